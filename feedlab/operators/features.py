@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from feedlab.operators.stats import ctr
 from feedlab.operators.terms import (merge_terms, pair_scores, rounded, top_n_per_key)
 from feedlab.functions.terms import sign_weight
+from feedlab.session import materialize
 
 FEATURE_COLUMNS = ["uid", "label", "sumclick", "sumshow", "ctr", "pnum", "pdef", "pbeau", "s_term_score"]
 VECTOR_ORDER = ["ctr", "pnum", "pdef", "pbeau", "s_term_score", "sumclick", "sumshow"]
@@ -68,8 +69,14 @@ def train_feature(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
     included, as in the source pipeline) and keeps the ``top_n`` strongest
     terms (``None`` keeps all).
     """
-    groups = (log.select("uid", "urlid", "label")
-                 .groupBy("uid", "urlid", "label").agg(F.count(F.lit(1)).alias("cnt")))
+    # the page vector feeds both the profile and the scores
+    page_vec = materialize(page_vec, "page_vector")
+    # Impressions reduced to (uid, urlid, label, cnt) once; the reduced table
+    # feeds the url statistics, the profile pairs and the final rows, so it is
+    # written once instead of rescanning the log per branch.
+    groups = materialize(log.select("uid", "urlid", "label")
+                            .groupBy("uid", "urlid", "label").agg(F.count(F.lit(1)).alias("cnt")),
+                         "impression_groups")
 
     # url statistics, from the reduced groups
     stats = groups.groupBy("urlid").agg(

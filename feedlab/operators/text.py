@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from feedlab.functions.strings import lit_regex, split_all, split_limited
 from feedlab.functions.terms import text_to_tokens, weight_text
-from feedlab.functions.tokens import tokenize
+from feedlab.functions.tokens import has_token, tokenize
 from feedlab.operators.terms import DIGITS, rounded, top_n_per_key
+from feedlab.session import materialize
 
 
 def tokenize_df(df: DataFrame, col: str, out: str = "tokens", tokenizer=tokenize) -> DataFrame:
@@ -23,9 +24,26 @@ def tokenize_df(df: DataFrame, col: str, out: str = "tokens", tokenizer=tokenize
     return df.withColumn(out, tokenizer(F.col(col)))
 
 
+def explode_values(df: DataFrame, keep, arr, alias: str, pos: str | None = None) -> DataFrame:
+    """Rows of the array's elements (empty/null arrays give no row).
+
+    Uses the *outer* generator and drops the null row: a plain ``explode``
+    makes the optimizer infer ``size(arr) > 0`` and push it below the
+    projection, which evaluates an expensive array expression (a tokenizer)
+    twice per row.
+    """
+    a = F.col(arr) if isinstance(arr, str) else arr
+    keep = [keep] if isinstance(keep, str) else list(keep)
+    if pos:
+        out = df.select(*keep, F.posexplode_outer(a).alias(pos, alias))
+    else:
+        out = df.select(*keep, F.explode_outer(a).alias(alias))
+    return out.where(F.col(alias).isNotNull())
+
+
 def term_frequencies(df: DataFrame, key: str, tokens: str) -> DataFrame:
     """``(key, term, tf, n)``: occurrences of each term and the document length."""
-    ex = df.select(key, F.size(tokens).alias("n"), F.explode(tokens).alias("term"))
+    ex = explode_values(df.select(key, tokens, F.size(tokens).alias("n")), [key, "n"], tokens, "term")
     return ex.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"), F.max("n").alias("n"))
 
 
@@ -39,7 +57,8 @@ def tfidf(df: DataFrame, key: str, text: str, tokenizer=tokenize, idf: DataFrame
     tf = term_frequencies(toks, key, "tokens")
     if idf is None:
         dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        n_docs = toks.where(F.size("tokens") > 0).agg(F.count(F.lit(1)).alias("n_docs"))
+        # N from a cheap "has a token" scan, not a third pass over tf
+        n_docs = df.where(has_token(F.col(text))).agg(F.count(F.lit(1)).alias("n_docs"))
         idf = dfreq.crossJoin(n_docs).select(
             "term", F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)).alias("idf"))
     j = tf.join(idf, "term")
@@ -129,7 +148,7 @@ def remove_stopwords_table(df: DataFrame, key: str, col: str, out: str, stop: Da
     row.  Rows whose tokens are all removed keep an empty array.
     """
     stop_l = stop.select(F.lower(F.col(word)).alias("_sw")).distinct()
-    ex = df.select(key, F.posexplode(col).alias("_pos", "_tok"))
+    ex = explode_values(df, key, col, "_tok", pos="_pos")
     kept = ex.join(stop_l, F.lower(F.col("_tok")) == F.col("_sw"), "left_anti")
     regrouped = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", "_tok"))).alias("_s"))
     back = regrouped.select(key, F.transform("_s", lambda s: s["_tok"]).alias(out))

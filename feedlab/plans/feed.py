@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from feedlab.operators.features import train_feature
 from feedlab.operators.terms import page_vector
 from feedlab.operators.text import keywords
-from feedlab.session import scratch_path
+from feedlab.session import materialize
 from feedlab.sources.tables import impressions, pages_info
 
 TITLE_K = 20
@@ -43,9 +43,5 @@ def feed_train_feature(spark: SparkSession, sf_dir: str, top_n: int | None = PRO
 
 
 def checkpoint_stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write a stage to Parquet under the shared checkpoint folder and read it
-    back: cuts lineage and survives executor loss (a lost task re-reads the
-    file instead of recomputing the stage)."""
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    """Stage output written to the shared checkpoint folder (see ``materialize``)."""
+    return materialize(df, name)

@@ -91,3 +91,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, never reused folder under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "feedlab-scratch", f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet to a fresh folder under the shared checkpoint
+    folder and return a DataFrame reading it back.
+
+    Used where one intermediate feeds several branches of a plan (Spark would
+    otherwise recompute it per branch) and to cut long lineages: a lost
+    executor then re-reads the file instead of recomputing the stage.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -48,7 +48,13 @@ def first_line(c: Column) -> Column:
 
 
 def pages_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").where(F.col("doc_id") % PAGE_GAP_MODULUS != 0)
+    # Hash-partition pages by key once: the per-page text work (tokenize,
+    # keyword top-k, term counts) groups by urlid and reuses this layout.  The
+    # explicit partition count keeps AQE from coalescing this small-but-CPU-heavy
+    # shuffle into a single task.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = (table(spark, sf_dir, "documents").where(F.col("doc_id") % PAGE_GAP_MODULUS != 0)
+            .repartition(n, "doc_id"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "url")
     j = docs.join(labels, "doc_id", "left").join(pages, "doc_id", "left")
