@@ -116,3 +116,17 @@ def q_sql_view_query(spark, sf_dir):
         FROM {imp} i LEFT JOIN {pages} p ON i.urlid = p.urlid
         GROUP BY i.uid""",
         imp=impressions(spark, sf_dir), pages=pages_info(spark, sf_dir).select("urlid"))
+
+
+@query("ctr_by_url_stream", S.with_(S.IMPRESSIONS) + """
+SELECT urlid, CAST(sum(label) AS BIGINT) AS sumclick, count(*) AS sumshow,
+       CAST(sum(label) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS ctr
+FROM impressions GROUP BY urlid
+""")
+def q_ctr_by_url_stream(spark, sf_dir):
+    # the same A1 aggregate, maintained incrementally by Structured Streaming
+    from feedlab.session import scratch_path
+    from feedlab.streaming.clicks import ctr_stream, impression_stream, run_available_now
+    sink = scratch_path(spark, "ctr-stream-sink")
+    run_available_now(ctr_stream(impression_stream(spark, sf_dir, file_glob="events.parquet")), sink)
+    return spark.read.parquet(sink)
