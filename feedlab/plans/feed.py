@@ -45,3 +45,39 @@ def feed_train_feature(spark: SparkSession, sf_dir: str, top_n: int | None = PRO
 def checkpoint_stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Stage output written to the shared checkpoint folder (see ``materialize``)."""
     return materialize(df, name)
+
+
+def feed_json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The warehouse-style training table (one JSON object per row):
+    ``userid, label, ts_interval, p_num, p_defination, p_beauty,
+    title_term_score, url_whole_term_score``.
+
+    * ``ts_interval``: seconds since the url's first impression;
+    * ``title_term_score``: title keywords of the page · the user's profile of
+      clicked-page title keywords (unsigned);
+    * ``url_whole_term_score``: the signed whole-page score of the feature table.
+    Pages missing from the page table leave the three page columns null.
+    """
+    from feedlab.operators.relational import positives
+    from feedlab.operators.terms import merge_terms, pair_scores, rounded, term_score, user_profile_topn
+    imp = impressions(spark, sf_dir).select("event_id", "uid", "urlid", "ts", "label")
+    pages = pages_info(spark, sf_dir)
+    pv = materialize(feed_page_vector(pages), "page_vector")
+    prof = user_profile_topn(imp, pv, n=PROFILE_N)
+    scored = term_score(imp, pv, prof)
+    kw = title_keywords(pages).select("urlid", "term", "weight")
+    clicked = positives(imp).where(F.col("uid").isNotNull()).select("uid", "urlid").join(kw, "urlid")
+    cprof = merge_terms(clicked, "uid")
+    pairs = imp.select("uid", "urlid").where(F.col("uid").isNotNull()).distinct()
+    tdot = pair_scores(pairs, kw, cprof)
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    first = imp.groupBy("urlid").agg(F.min(us).alias("_t0"))
+    j = (scored.join(first, "urlid")
+               .join(pages.select("urlid", "pnum", "pdef", "pbeau"), "urlid", "left")
+               .join(tdot, ["uid", "urlid"], "left"))
+    return j.select(
+        F.col("uid").alias("userid"), "label",
+        ((us - F.col("_t0")) / F.lit(1e6)).alias("ts_interval"),
+        F.col("pnum").alias("p_num"), F.col("pdef").alias("p_defination"), F.col("pbeau").alias("p_beauty"),
+        rounded(F.coalesce(F.col("dot"), F.lit(0.0))).alias("title_term_score"),
+        F.col("s_term_score").alias("url_whole_term_score"))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedlab.operators.relational import (drop_incomplete, hash_bucket, positives, preview, run_sql,
-                                          true_positives)
+from feedlab.operators.relational import (drop_incomplete, hash_bucket, join_keep_left, positives, preview,
+                                          rename_all, run_sql, true_positives)
 from feedlab.operators.stats import ctr_by_key, join_page, join_stats, click_show
 from feedlab.plans import sql as S
 from feedlab.plans.registry import query
@@ -21,7 +21,8 @@ SELECT urlid, CAST(sum(label) AS BIGINT) AS sumclick, count(*) AS sumshow,
 FROM impressions GROUP BY urlid
 """)
 def q_ctr_by_url(spark, sf_dir):
-    return ctr_by_key(impressions(spark, sf_dir).select("urlid", "label"), "urlid", "label")
+    stats = ctr_by_key(impressions(spark, sf_dir).select("urlid", "label"), "urlid", "label")
+    return rename_all(stats, ["urlid", "sumclick", "sumshow", "ctr"])
 
 
 @query("ratings", S.with_(S.IMPRESSIONS) + "SELECT uid, urlid, label FROM impressions")
@@ -54,8 +55,9 @@ SELECT i.event_id, i.uid, i.urlid, i.label, s.sumclick, s.sumshow
 FROM impressions i LEFT JOIN url_stats s ON i.urlid = s.urlid
 """)
 def q_join_url_stats(spark, sf_dir):
+    # all log columns plus the two statistics columns (F2 over J2)
     imp = impressions(spark, sf_dir).select("event_id", "uid", "urlid", "label")
-    return join_stats(imp, click_show(imp, "urlid", "label"), "urlid")
+    return join_keep_left(imp, click_show(imp, "urlid", "label"), "urlid", ["sumclick", "sumshow"])
 
 
 @query("preview_topn", S.with_(S.IMPRESSIONS) + """

@@ -206,3 +206,73 @@ def q_feature_vector(spark, sf_dir):
     v = assemble(feed_train_feature(spark, sf_dir), VECTOR_ORDER)
     arr = vector_to_array("features")
     return v.select(F.col("label"), *[arr[i].alias(f"f_{c}") for i, c in enumerate(VECTOR_ORDER)])
+
+
+def _json_table_sql() -> str:
+    head = S.with_(*S.FEATURE_BASE).rstrip("\n")
+    return head + """,
+cprof AS (
+  SELECT i.uid, k.term, round(sum(k.weight), 6) AS weight
+  FROM impressions i JOIN kw_title k ON i.urlid = k.urlid
+  WHERE i.label > 0 AND i.uid IS NOT NULL GROUP BY i.uid, k.term),
+tscore AS (
+  SELECT i.event_id, sum(k.weight * c.weight) AS dot
+  FROM impressions i JOIN kw_title k ON i.urlid = k.urlid JOIN cprof c ON c.uid = i.uid AND c.term = k.term
+  GROUP BY i.event_id),
+first_ts AS (SELECT urlid, min(epoch_us(ts)) AS t0 FROM impressions GROUP BY urlid),
+json_table AS (
+  SELECT i.uid AS userid, i.label, (epoch_us(i.ts) - f.t0) / 1e6 AS ts_interval,
+         p.pnum AS p_num, p.pdef AS p_defination, p.pbeau AS p_beauty,
+         """ + S.nz("round(coalesce(t.dot, 0.0), 6)") + """ AS title_term_score,
+         ts.s_term_score AS url_whole_term_score
+  FROM impressions i JOIN first_ts f ON i.urlid = f.urlid
+  LEFT JOIN pages_info p ON i.urlid = p.urlid
+  LEFT JOIN tscore t ON t.event_id = i.event_id
+  JOIN term_score ts ON ts.event_id = i.event_id)
+"""
+
+
+_JVEC_COLS = ", ".join(f"CAST({c} AS DOUBLE) AS f_{c}" for c in JSON_VECTOR_ORDER)
+_JVEC_NOTNULL = " AND ".join(f"{c} IS NOT NULL" for c in JSON_VECTOR_ORDER)
+
+
+def json_ml_input(spark, sf_dir):
+    """JSON export of the training table read back (schema inferred), rows
+    with a missing feature dropped (F7), assembled into the 6-vector (M3)."""
+    from feedlab.operators.relational import drop_incomplete
+    from feedlab.plans.feed import feed_json_table
+    from feedlab.session import scratch_path
+    from feedlab.sources.readers import read_json
+    path = scratch_path(spark, "json_table")
+    feed_json_table(spark, sf_dir).write.json(path)
+    t = drop_incomplete(read_json(spark, path), JSON_VECTOR_ORDER)
+    return assemble(t, JSON_VECTOR_ORDER)
+
+
+@query("feature_vector_json", _json_table_sql() + f"""
+SELECT CAST(label AS DOUBLE) AS label, {_JVEC_COLS}
+FROM json_table WHERE {_JVEC_NOTNULL}
+""")
+def q_feature_vector_json(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+    v = json_ml_input(spark, sf_dir)
+    arr = vector_to_array("features")
+    return v.select(F.col("label"), *[arr[i].alias(f"f_{c}") for i, c in enumerate(JSON_VECTOR_ORDER)])
+
+
+@query("io_nested_json", S.with_(S.IMPRESSIONS, S.PAGES_INFO, S.PAGE_VECTOR, S.SIGNED_TERMS,
+                                 S.USER_PROFILE, S.USER_PROFILE_TOP) + """
+SELECT uid, term, weight FROM user_profile_top
+""")
+def q_io_nested_json(spark, sf_dir):
+    # profiles as nested rows (uid, array<struct<term, weight>>) -> JSON lines -> back
+    from feedlab.session import scratch_path
+    from feedlab.sources.readers import read_json
+    from feedlab.sources.sinks import write_nested
+    imp = impressions(spark, sf_dir)
+    prof = user_profile_topn(imp, feed_page_vector(pages_info(spark, sf_dir)), n=21)
+    nested = prof.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("terms"))
+    path = scratch_path(spark, "nested")
+    write_nested(nested, path)
+    back = read_json(spark, path, "uid bigint, terms array<struct<term:string,weight:double>>")
+    return back.select("uid", F.inline("terms"))

@@ -16,6 +16,7 @@ from feedlab.functions.terms import tokens_to_text
 from feedlab.functions.tokens import tokenize
 from feedlab.operators.clean import (clean_fields, guard_width, page_fields_with_defaults, quote_fields,
                                      strip_id_prefixes)
+from feedlab.operators.relational import cast_cols
 from feedlab.plans import sql as S
 from feedlab.plans.registry import query
 from feedlab.session import scratch_path
@@ -66,8 +67,8 @@ SELECT uid, urlid, CAST(event_id AS VARCHAR) AS ts, label FROM impressions
 def q_src_tsv_parse(spark, sf_dir):
     imp = impressions(spark, sf_dir).select("uid", "urlid", F.col("event_id").cast("string").alias("ts"), "label")
     lines = read_lines(spark, _roundtrip_lines(spark, imp, "tsv"))
-    return parse_tsv(lines, ["uid", "urlid", "ts", "label"], types={"uid": "bigint", "urlid": "bigint",
-                                                                    "label": "int"})
+    fields = parse_tsv(lines, ["uid", "urlid", "ts", "label"])
+    return cast_cols(fields, {"uid": "bigint", "urlid": "bigint", "label": "int"})
 
 
 @query("src_key_rest", S.with_(S.PAGES_INFO) + """

@@ -160,3 +160,81 @@ def q_ml_model_roundtrip(spark, sf_dir):
     b = back.transform(test).select(F.monotonically_increasing_id().alias("_i"),
                                     F.col("prediction").alias("pred_after"))
     return a.join(b, "_i").drop("_i").withColumn("same", F.col("pred_before") == F.col("pred_after"))
+
+
+def _lr_and_test(spark, sf_dir):
+    train, test = random_split(_ml_input(spark, sf_dir), [0.9, 0.1], SEED)
+    return fit_lr(train, 30, 0.3, 0.1), test
+
+
+@query("lr_threshold_predictions")
+def q_lr_threshold_predictions(spark, sf_dir):
+    """Best-F threshold from the training curve, set on the fitted model (M13),
+    then the held-out set scored with it."""
+    from feedlab.operators.evaluate import best_threshold
+    model, test = _lr_and_test(spark, sf_dir)
+    curve = model.summary.fMeasureByThreshold.withColumnRenamed("F-Measure", "f_measure")
+    t = best_threshold(curve, "f_measure").first()["threshold"]
+    model.setThreshold(float(t))
+    return prediction_report(model.transform(test)).withColumn("threshold", F.lit(float(t)))
+
+
+@query("lr_eval")
+def q_lr_eval(spark, sf_dir):
+    """Native AUC ROC / PR of held-out LR scores (probability of class 1),
+    next to MLlib's evaluator on the same scores."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.functions import vector_to_array
+    from feedlab.operators.evaluate import auc_pr, auc_roc
+    model, test = _lr_and_test(spark, sf_dir)
+    pred = model.transform(test).select("label", vector_to_array("probability")[1].alias("score"))
+    pred = checkpoint_stage(spark, pred, "lr_scores")
+    roc = auc_roc(pred).first()["auc_roc"]
+    pr = auc_pr(pred).first()["auc_pr"]
+    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    rows = [("auc_roc", float(roc), float(ev.evaluate(pred))),
+            ("auc_pr", float(pr), float(ev.setMetricName("areaUnderPR").evaluate(pred)))]
+    return spark.createDataFrame(rows, "metric string, native double, mllib double")
+
+
+@query("lr_json_coefficients")
+def q_lr_json_coefficients(spark, sf_dir):
+    """LR on the JSON-table 6-vector: 500 iterations, reg 0.2, elastic net 0.8 (M3 + M5)."""
+    from feedlab.operators.features import JSON_VECTOR_ORDER
+    from feedlab.plans.q_features import json_ml_input
+    data = checkpoint_stage(spark, json_ml_input(spark, sf_dir), "json_ml_input")
+    m = fit_lr(data, 500, 0.2, 0.8)
+    rows = [(n, float(v)) for n, v in zip(JSON_VECTOR_ORDER, m.coefficients.toArray())]
+    rows += [("intercept", float(m.intercept)), ("train_auc_roc", float(m.summary.areaUnderROC))]
+    return spark.createDataFrame(rows, "feature string, value double")
+
+
+@query("tree_eval")
+def q_tree_eval(spark, sf_dir):
+    """Accuracy, test error and weighted F1 of the three tree models on the held-out set."""
+    from feedlab.operators.evaluate import accuracy, weighted_f1
+    train, test = random_split(_ml_input(spark, sf_dir), [0.9, 0.1], SEED)
+    out = None
+    for name, model in (("decision_tree", fit_tree(train, 5)), ("random_forest", fit_forest(train, 10, 0.7)),
+                        ("gbt", fit_gbt(train, 0.7))):
+        pred = model.transform(test).select("label", "prediction")
+        m = accuracy(pred).crossJoin(weighted_f1(pred)).withColumn("model", F.lit(name))
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@query("dt_report")
+def q_dt_report(spark, sf_dir):
+    """Tree statistics: node count, depth, classes, features, importances, rules (M7)."""
+    from feedlab.operators.models import tree_report
+    train, _ = random_split(_ml_input(spark, sf_dir), [0.9, 0.1], SEED)
+    rep = tree_report(fit_tree(train, 5))
+    return spark.createDataFrame([(k, str(v)) for k, v in sorted(rep.items())], "name string, value string")
+
+
+@query("als_rmse")
+def q_als_rmse(spark, sf_dir):
+    """RMSE of ALS predictions on the held-out ratings (E1 on M10)."""
+    from feedlab.operators.evaluate import rmse
+    model, test = _als(spark, sf_dir)
+    return rmse(model.transform(test), "prediction", "label")

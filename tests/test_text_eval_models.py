@@ -158,3 +158,24 @@ def test_lr_save_load_same_predictions(spark):
     b = [r.prediction for r in back.transform(df).collect()]
     assert a == b
     assert len(m.summary.objectiveHistory) >= 1
+
+
+def test_estimator_save_load(spark):
+    from pyspark.ml.recommendation import ALS
+    from feedlab.operators.models import save_model
+    from feedlab.session import scratch_path
+    est = ALS(maxIter=5, regParam=0.01, numUserBlocks=20, numItemBlocks=100, userCol="uid", itemCol="urlid",
+              ratingCol="label", seed=42)
+    p = scratch_path(spark, "als_est")
+    save_model(est, p)
+    back = ALS.load(p)
+    assert (back.getMaxIter(), back.getRegParam(), back.getNumUserBlocks(), back.getNumItemBlocks()) == (5, 0.01, 20, 100)
+
+
+def test_als_seeded_repeatable(spark):
+    from feedlab.operators.models import fit_als
+    rows = [(u, i, float((u * i) % 2)) for u in range(20) for i in range(15) if (u + i) % 3]
+    df = spark.createDataFrame(rows, "uid int, urlid int, label float")
+    a = fit_als(df, 5, 0.01, 2, 2).userFactors.orderBy("id").collect()
+    b = fit_als(df, 5, 0.01, 2, 2).userFactors.orderBy("id").collect()
+    assert a == b
