@@ -42,9 +42,10 @@ def cumulative_counts(df: DataFrame, score: str = "score", label: str = "label",
     """``(score, pos, neg, tp, fp, P, N)``: tp/fp are counts at score >= s."""
     counts = score_counts(df, score, label)
     qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = counts.agg(F.percentile_approx("score", qs, 10 * n_buckets).alias("_b"))
+    bounds = counts.agg(F.percentile_approx("score", qs, 10 * n_buckets)).scalar()
     # bucket 0 holds the highest scores: number of bounds strictly above s
-    b = (counts.crossJoin(bounds)
+    # (a subquery may not sit inside a lambda: project it as a column first)
+    b = (counts.withColumn("_b", bounds)
                .withColumn("bucket", F.size(F.filter("_b", lambda x: x > F.col("score"))))
                .drop("_b"))
     tot = b.groupBy("bucket").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
@@ -54,14 +55,15 @@ def cumulative_counts(df: DataFrame, score: str = "score", label: str = "label",
         F.coalesce(F.sum("bp").over(before), F.lit(0)).alias("off_p"),
         F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("off_n"),
     )
-    totals = tot.agg(F.sum("bp").alias("P"), F.sum("bn").alias("N"))
+    p_total = tot.agg(F.sum("bp")).scalar()
+    n_total = tot.agg(F.sum("bn")).scalar()
     inside = Window.partitionBy("bucket").orderBy(F.col("score").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     cum = (b.join(F.broadcast(off), "bucket")
             .select("score", "pos", "neg",
                     (F.col("off_p") + F.sum("pos").over(inside)).alias("tp"),
-                    (F.col("off_n") + F.sum("neg").over(inside)).alias("fp"))
-            .crossJoin(F.broadcast(totals)))
+                    (F.col("off_n") + F.sum("neg").over(inside)).alias("fp"),
+                    p_total.alias("P"), n_total.alias("N")))
     return cum
 
 
@@ -130,8 +132,8 @@ def best_threshold(curve: DataFrame, metric: str, tol: float = 1e-5, threshold:
     The curve is ordered by threshold descending, so "first row within
     tolerance" is the largest such threshold.  One row: ``(threshold, metric)``.
     """
-    mx = curve.agg(F.max(metric).alias("_mx"))
-    near = curve.crossJoin(mx).where(F.col("_mx") - F.col(metric) < F.lit(tol))
+    mx = curve.agg(F.max(metric)).scalar()
+    near = curve.where(mx - F.col(metric) < F.lit(tol))
     best = near.agg(F.max(F.struct(threshold, metric)).alias("_b"))
     return best.select(F.col("_b")[threshold].alias(threshold), F.col("_b")[metric].alias(metric))
 

@@ -84,11 +84,11 @@ def true_positives(df: DataFrame, label: str = "label", pred: str = "prediction"
 def within_of_max(df: DataFrame, col: str, tol: float = 1e-5) -> DataFrame:
     """Rows within ``tol`` of the column's global maximum.
 
-    The maximum is a one-row aggregate (partial per partition, then a single
-    row), attached as a scalar: nothing grows with the data on one node.
+    The maximum is a scalar subquery (partial max per partition, then one
+    row), evaluated once: nothing grows with the data on one node.
     """
-    mx = df.agg(F.max(col).alias("_max"))
-    return df.crossJoin(mx).where(F.col("_max") - F.col(col) < F.lit(tol)).drop("_max")
+    mx = df.agg(F.max(col)).scalar()
+    return df.where(mx - F.col(col) < F.lit(tol))
 
 
 def preview(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:

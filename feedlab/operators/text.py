@@ -58,9 +58,8 @@ def tfidf(df: DataFrame, key: str, text: str, tokenizer=tokenize, idf: DataFrame
     if idf is None:
         dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         # N from a cheap "has a token" scan, not a third pass over tf
-        n_docs = df.where(has_token(F.col(text))).agg(F.count(F.lit(1)).alias("n_docs"))
-        idf = dfreq.crossJoin(n_docs).select(
-            "term", F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)).alias("idf"))
+        n_docs = df.where(has_token(F.col(text))).agg(F.count(F.lit(1))).scalar()
+        idf = dfreq.select("term", F.log((n_docs + 1.0) / (F.col("df") + 1.0)).alias("idf"))
     j = tf.join(idf, "term")
     w = F.col("tf").cast("double") / F.col("n").cast("double") * F.col("idf")
     return j.select(key, "term", rounded(w, DIGITS).alias("weight"))

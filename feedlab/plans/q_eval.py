@@ -93,8 +93,8 @@ FROM scores s CROSS JOIN best b
 """.replace("\n, best AS", ",\nbest AS"))
 def q_apply_threshold(spark, sf_dir):
     s = scores(spark, sf_dir).drop("prediction")
-    best = best_threshold(f_by_threshold(s), "f_measure").select(F.col("threshold").alias("_t"))
-    out = apply_threshold(s.crossJoin(best), "score", F.col("_t"))
+    best = best_threshold(f_by_threshold(s), "f_measure").select("threshold").scalar()
+    out = apply_threshold(s, "score", best)
     return out.select("event_id", "score", "label", "prediction")
 
 

@@ -218,7 +218,12 @@ def q_tree_eval(spark, sf_dir):
     for name, model in (("decision_tree", fit_tree(train, 5)), ("random_forest", fit_forest(train, 10, 0.7)),
                         ("gbt", fit_gbt(train, 0.7))):
         pred = model.transform(test).select("label", "prediction")
-        m = accuracy(pred).crossJoin(weighted_f1(pred)).withColumn("model", F.lit(name))
+        acc = accuracy(pred)
+        f1 = weighted_f1(pred)
+        m = spark.range(1).select(F.lit(name).alias("model"), acc.select("accuracy").scalar().alias("accuracy"),
+                                  acc.select("test_error").scalar().alias("test_error"),
+                                  f1.select("weighted_f1").scalar().alias("weighted_f1"),
+                                  f1.select("f1_error").scalar().alias("f1_error"))
         out = m if out is None else out.unionByName(m)
     return out
 
