@@ -48,17 +48,11 @@ def first_line(c: Column) -> Column:
 
 
 def pages_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Hash-partition pages by key once: the per-page text work (tokenize,
-    # keyword top-k, term counts) groups by urlid and reuses this layout.  The
-    # explicit partition count keeps AQE from coalescing this small-but-CPU-heavy
-    # shuffle into a single task.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = (table(spark, sf_dir, "documents").where(F.col("doc_id") % PAGE_GAP_MODULUS != 0)
-            .repartition(n, "doc_id"))
+    docs = table(spark, sf_dir, "documents").where(F.col("doc_id") % PAGE_GAP_MODULUS != 0)
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "url")
     j = docs.join(labels, "doc_id", "left").join(pages, "doc_id", "left")
-    return j.select(
+    out = j.select(
         F.col("doc_id").alias("urlid"),
         F.col("source").alias("utype"),
         F.col("url"),
@@ -71,6 +65,12 @@ def pages_info(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit(";"), F.col("source"), F.lit(":1")).alias("points"),
         F.concat_ws(",", F.col("lang"), F.col("source")).alias("tags"),
     )
+    # Hash-partition pages by key once, after the projection so a consumer that
+    # needs only titles shuffles only titles.  The per-page text work
+    # (tokenize, keyword top-k, term counts) groups by urlid and reuses this
+    # layout.  The explicit count keeps AQE from coalescing this small but
+    # CPU-heavy shuffle into a single task.
+    return out.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "urlid")
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
