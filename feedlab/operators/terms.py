@@ -140,6 +140,19 @@ def user_profile_topn(log: DataFrame, page_vec: DataFrame, n: int = 21, **kw) ->
     return top_n_per_key(prof, kw.get("user", "uid"), [F.col("weight").desc(), F.col("term").asc()], n)
 
 
+def clicked_profile(log: DataFrame, term_rows: DataFrame, user: str = "uid", item: str = "urlid",
+                    label: str = "label") -> DataFrame:
+    """Per user, the summed term weights of the pages they clicked.
+
+    Clicks are counted per (user, page) first, so each page's terms are
+    joined once per pair and scaled by the click count.
+    """
+    clicks = (log.where((F.col(label) > F.lit(0)) & F.col(user).isNotNull())
+                 .groupBy(user, item).agg(F.count(F.lit(1)).cast("double").alias("_c")))
+    rows = clicks.join(term_rows, item).select(user, "term", (F.col("_c") * F.col("weight")).alias("weight"))
+    return merge_terms(rows, user)
+
+
 def pair_scores(pairs: DataFrame, page_vec: DataFrame, profile: DataFrame, user: str = "uid",
                 item: str = "urlid") -> DataFrame:
     """Unsigned dot product of page vector and user profile per (user, item).

@@ -58,16 +58,14 @@ def feed_json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     * ``url_whole_term_score``: the signed whole-page score of the feature table.
     Pages missing from the page table leave the three page columns null.
     """
-    from feedlab.operators.relational import positives
-    from feedlab.operators.terms import merge_terms, pair_scores, rounded, term_score, user_profile_topn
+    from feedlab.operators.terms import clicked_profile, pair_scores, rounded, term_score, user_profile_topn
     imp = impressions(spark, sf_dir).select("event_id", "uid", "urlid", "ts", "label")
     pages = pages_info(spark, sf_dir)
     pv = materialize(feed_page_vector(pages), "page_vector")
     prof = user_profile_topn(imp, pv, n=PROFILE_N)
     scored = term_score(imp, pv, prof)
     kw = title_keywords(pages).select("urlid", "term", "weight")
-    clicked = positives(imp).where(F.col("uid").isNotNull()).select("uid", "urlid").join(kw, "urlid")
-    cprof = merge_terms(clicked, "uid")
+    cprof = clicked_profile(imp, kw)
     pairs = imp.select("uid", "urlid").where(F.col("uid").isNotNull()).distinct()
     tdot = pair_scores(pairs, kw, cprof)
     us = F.unix_micros(F.col("ts").cast("timestamp"))

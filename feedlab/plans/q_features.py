@@ -152,12 +152,10 @@ WHERE i.label > 0 AND i.uid IS NOT NULL
 GROUP BY i.uid, k.term
 """)
 def q_clicked_title_profile(spark, sf_dir):
-    from feedlab.operators.relational import positives
+    from feedlab.operators.terms import clicked_profile
     from feedlab.plans.feed import title_keywords
-    imp = positives(impressions(spark, sf_dir), "label")
     kw = title_keywords(pages_info(spark, sf_dir)).select("urlid", "term", "weight")
-    rows = imp.where(F.col("uid").isNotNull()).select("uid", "urlid").join(kw, "urlid")
-    return merge_terms(rows, "uid")
+    return clicked_profile(impressions(spark, sf_dir), kw)
 
 
 @query("join_user_profile", S.with_(S.IMPRESSIONS, S.PAGES_INFO, S.PAGE_VECTOR, S.SIGNED_TERMS,
