@@ -68,7 +68,9 @@ def feed_json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     cprof = clicked_profile(imp, kw)
     pairs = imp.select("uid", "urlid").where(F.col("uid").isNotNull()).distinct()
     tdot = pair_scores(pairs, kw, cprof)
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    # microseconds since the epoch of the wall-clock timestamp, independent of
+    # the session time zone
+    us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
     first = imp.groupBy("urlid").agg(F.min(us).alias("_t0"))
     j = (scored.join(first, "urlid")
                .join(pages.select("urlid", "pnum", "pdef", "pbeau"), "urlid", "left")
