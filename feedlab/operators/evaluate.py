@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedlab.operators.relational import range_buckets
+
 N_BUCKETS = 256
 METRIC_DIGITS = 9
 
@@ -41,13 +43,8 @@ def cumulative_counts(df: DataFrame, score: str = "score", label: str = "label",
                       n_buckets: int = N_BUCKETS) -> DataFrame:
     """``(score, pos, neg, tp, fp, P, N)``: tp/fp are counts at score >= s."""
     counts = score_counts(df, score, label)
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = counts.agg(F.percentile_approx("score", qs, 10 * n_buckets)).scalar()
-    # bucket 0 holds the highest scores: number of bounds strictly above s
-    # (a subquery may not sit inside a lambda: project it as a column first)
-    b = (counts.withColumn("_b", bounds)
-               .withColumn("bucket", F.size(F.filter("_b", lambda x: x > F.col("score"))))
-               .drop("_b"))
+    # bucket 0 holds the highest scores
+    b = range_buckets(counts, "score", n_buckets, out="bucket", descending=True)
     tot = b.groupBy("bucket").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(

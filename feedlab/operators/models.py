@@ -140,12 +140,37 @@ def fit_als(df: DataFrame, iters: int = 10, reg: float = 0.01, user_blocks: int
 
 
 def index_ids(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Dense 0-based int index of an id column (for ids beyond 2^31)."""
-    from pyspark.ml.feature import StringIndexer
+    """``df`` plus a dense 0-based int index of an id column (for ids beyond
+    2^31), computed distributed (no id list on the driver)."""
+    from feedlab.operators.relational import dense_index
     out = out or f"{col}_idx"
-    si = StringIndexer(inputCol=col, outputCol=out, stringOrderType="alphabetAsc")
-    m = si.fit(df.withColumn(col, F.col(col).cast("string")))
-    return m.transform(df.withColumn(col, F.col(col).cast("string"))).withColumn(out, F.col(out).cast("int"))
+    idx = dense_index(df, col, out)
+    return df.join(idx, col, "left").withColumn(out, F.col(out).cast("int"))
+
+
+INT_MAX = 2 ** 31 - 1
+
+
+def als_input(df: DataFrame, user: str = "uid", item: str = "urlid", rating: str = "label"):
+    """Ratings ready for ALS: ``(df, user_map, item_map)``.
+
+    Ids that fit in a 32-bit int are cast; otherwise the column is replaced by
+    a dense index and the map ``(original, index)`` is returned so results can
+    be joined back.  The range check is one scalar aggregate.
+    """
+    r = df.agg(F.min(user).alias("u0"), F.max(user).alias("u1"), F.min(item).alias("i0"),
+               F.max(item).alias("i1")).first()
+    maps = {}
+    out = df
+    for c, lo, hi in ((user, r["u0"], r["u1"]), (item, r["i0"], r["i1"])):
+        if lo is not None and (lo < 0 or hi > INT_MAX):
+            out = index_ids(out, c, f"{c}__idx")
+            maps[c] = out.select(c, f"{c}__idx").distinct()
+            out = out.drop(c).withColumnRenamed(f"{c}__idx", c)
+        else:
+            out = out.withColumn(c, F.col(c).cast("int"))
+            maps[c] = None
+    return out.withColumn(rating, F.col(rating).cast("float")), maps[user], maps[item]
 
 
 def user_factors(model) -> DataFrame:

@@ -102,3 +102,42 @@ def run_sql(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
     Uses parameterised ``spark.sql`` so no global temp view is left behind.
     """
     return spark.sql(query, **frames)
+
+
+def range_buckets(df: DataFrame, col: str, n_buckets: int = 256, out: str = "_bucket",
+                  descending: bool = False) -> DataFrame:
+    """Assign each row a bucket of ``col``'s value range (approximate quantiles,
+    one aggregate pass).  Buckets are ordered: ascending values get ascending
+    bucket numbers (or the reverse with ``descending``).  Equal values share a
+    bucket, so per-bucket work can be finished with a window partitioned by
+    bucket and stitched together with per-bucket offsets (a bounded table).
+    """
+    qs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = df.agg(F.percentile_approx(col, qs, 10 * n_buckets)).scalar()
+    # (a subquery may not sit inside a lambda: project it as a column first)
+    with_b = df.withColumn("_bounds", bounds)
+    if descending:
+        b = F.size(F.filter("_bounds", lambda x: x > F.col(col)))
+    else:
+        b = F.size(F.filter("_bounds", lambda x: x < F.col(col)))
+    return with_b.withColumn(out, b).drop("_bounds")
+
+
+def dense_index(df: DataFrame, col: str, out: str | None = None, n_buckets: int = 256) -> DataFrame:
+    """``(col, out)``: a dense 0-based index of the distinct values of ``col``
+    in ascending order, computed without collecting the values anywhere.
+
+    Distinct values are cut into ordered range buckets; bucket sizes (one row
+    per bucket) are prefix-summed into offsets, and a window partitioned by
+    bucket numbers the values inside each bucket.
+    """
+    from pyspark.sql import Window
+    out = out or f"{col}_idx"
+    ids = df.select(col).where(F.col(col).isNotNull()).distinct()
+    b = range_buckets(ids, col, n_buckets)
+    sizes = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_bucket").orderBy(col)
+    j = b.join(F.broadcast(offsets), "_bucket")
+    return j.select(col, (F.col("_off") + F.row_number().over(inside) - 1).alias(out))

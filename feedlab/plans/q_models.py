@@ -111,8 +111,8 @@ def q_gbt_predictions(spark, sf_dir):
 
 
 def _ratings_split(spark, sf_dir):
-    r = ratings(spark, sf_dir).select(F.col("uid").cast("int").alias("uid"), F.col("urlid").cast("int").alias("urlid"),
-                                      F.col("label").cast("float").alias("label"))
+    from feedlab.operators.models import als_input
+    r, _, _ = als_input(ratings(spark, sf_dir))
     r = checkpoint_stage(spark, r, "ratings")
     return random_split(r, [0.8, 0.2], SEED)
 

@@ -139,8 +139,25 @@ def test_chi2_matches_mllib_and_bins(spark):
 def test_index_ids_beyond_int(spark):
     df = spark.createDataFrame([(2 ** 40,), (5,), (2 ** 40,)], "uid long")
     out = {(int(r.uid), r.uid_idx) for r in index_ids(df, "uid").collect()}
-    # dense int index, one per distinct id
-    assert len(out) == 2 and {i for _, i in out} == {0, 1}
+    # dense int index in id order
+    assert out == {(5, 0), (2 ** 40, 1)}
+
+
+def test_dense_index_many_values(spark):
+    from feedlab.operators.relational import dense_index
+    df = spark.range(0, 50_000).select(((F.col("id") * 7919) % 1_000_003 * 1_000_000_007).alias("k"))
+    idx = dense_index(df, "k", "i", n_buckets=16)
+    rows = sorted((r.k, r.i) for r in idx.collect())
+    assert [i for _, i in rows] == list(range(len(rows)))
+
+
+def test_als_input_indexes_wide_ids(spark):
+    from feedlab.operators.models import als_input
+    df = spark.createDataFrame([(2 ** 40, 1, 1), (7, 2, 0), (2 ** 40, 2, 1)], "uid long, urlid long, label int")
+    out, umap, imap = als_input(df)
+    assert imap is None and umap is not None
+    assert dict(out.groupBy("uid").count().collect()) == {0: 1, 1: 2}
+    assert out.schema["uid"].dataType.simpleString() == "int"
 
 
 def test_lr_save_load_same_predictions(spark):
