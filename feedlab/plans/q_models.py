@@ -63,9 +63,18 @@ def q_chi2_stats(spark, sf_dir):
     return chi2_stats(feed_train_feature(spark, sf_dir), VECTOR_ORDER, "label")
 
 
+CHI2_BINS = 100
+
+
 @query("chi2_select")
 def q_chi2_select(spark, sf_dir):
-    m = chi2_select(_ml_input(spark, sf_dir), "features", "label", k=3)
+    # MLlib's chi-square test rejects features with more than 10,000 distinct
+    # values, so every feature is first cut into at most 100 quantile bins.
+    from feedlab.operators.models import bin_columns
+    feats = checkpoint_stage(spark, feed_train_feature(spark, sf_dir), "train_feature")
+    binned = bin_columns(feats.select("label", *[F.col(c).cast("double").alias(c) for c in VECTOR_ORDER]),
+                         VECTOR_ORDER, n_bins=CHI2_BINS)
+    m = chi2_select(assemble(binned, VECTOR_ORDER), "features", "label", k=3)
     idx = list(m.selectedFeatures)
     rows = [(rank, i, VECTOR_ORDER[i]) for rank, i in enumerate(idx)]
     return spark.createDataFrame(rows, "rank int, feature_index int, feature string")
