@@ -16,7 +16,6 @@ from feedlab.functions.strings import lit_regex, split_all, split_limited
 from feedlab.functions.terms import text_to_tokens, weight_text
 from feedlab.functions.tokens import has_token, tokenize
 from feedlab.operators.terms import DIGITS, rounded, top_n_per_key
-from feedlab.session import materialize
 
 
 def tokenize_df(df: DataFrame, col: str, out: str = "tokens", tokenizer=tokenize) -> DataFrame:

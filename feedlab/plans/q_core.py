@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from feedlab.operators.relational import (drop_incomplete, hash_bucket, join_keep_left, positives, preview,
                                           rename_all, run_sql, true_positives)
-from feedlab.operators.stats import ctr_by_key, join_page, join_stats, click_show
+from feedlab.operators.stats import click_show, ctr_by_key, join_page
 from feedlab.plans import sql as S
 from feedlab.plans.registry import query
 from feedlab.sources.tables import impressions, pages_info, ratings, scores

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from feedlab.operators.evaluate import (accuracy, apply_threshold, auc_pr, auc_roc, best_threshold,
                                         f_by_threshold, precision_by_threshold, rmse, roc_curve, weighted_f1)
 from feedlab.plans import sql as S

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from feedlab.functions.terms import parse_terms, tag_terms
 from feedlab.operators.features import JSON_VECTOR_ORDER, VECTOR_ORDER, assemble, page_defaults
 from feedlab.operators.stats import join_profile
-from feedlab.operators.terms import (explode_terms, merge_terms, merge_terms_topn, signed_terms,
+from feedlab.operators.terms import (explode_terms, merge_terms, signed_terms,
                                      term_score, terms_to_text, user_profile, user_profile_topn)
 from feedlab.plans import sql as S
 from feedlab.plans.feed import feed_page_vector, feed_train_feature

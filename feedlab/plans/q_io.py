@@ -9,7 +9,6 @@ plain SQL on the table.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from feedlab.functions.strings import unquote
 from feedlab.functions.terms import tokens_to_text

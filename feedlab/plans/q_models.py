@@ -16,7 +16,6 @@ from feedlab.operators.models import (chi2_select, chi2_stats, fit_als, fit_fore
                                       load_model, prediction_report, recommend_items, recommend_users,
                                       save_model, user_factors)
 from feedlab.operators.relational import random_split
-from feedlab.plans import sql as S
 from feedlab.plans.feed import checkpoint_stage, feed_train_feature
 from feedlab.plans.q_features import _feature_table_sql
 from feedlab.plans.registry import query

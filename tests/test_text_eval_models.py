@@ -4,10 +4,9 @@ import math
 
 from pyspark.sql import functions as F
 
-from feedlab.functions.terms import text_to_tokens, truncate_tokens
+from feedlab.functions.terms import truncate_tokens
 from feedlab.operators.embed import mean_vectors, nearest
-from feedlab.operators.evaluate import (auc_pr, auc_roc, best_threshold, f_by_threshold, roc_curve,
-                                        weighted_f1)
+from feedlab.operators.evaluate import auc_pr, auc_roc, best_threshold, roc_curve, weighted_f1
 from feedlab.operators.models import bin_columns, chi2_stats, index_ids
 from feedlab.operators.text import (combine_tokens, keywords, remove_stopwords, remove_stopwords_table,
                                     term_doc_count, tokens_from_text)
