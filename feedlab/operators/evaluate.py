@@ -52,15 +52,14 @@ def cumulative_counts(df: DataFrame, score: str = "score", label: str = "label",
         F.coalesce(F.sum("bp").over(before), F.lit(0)).alias("off_p"),
         F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("off_n"),
     )
-    p_total = tot.agg(F.sum("bp")).scalar()
-    n_total = tot.agg(F.sum("bn")).scalar()
+    totals = tot.agg(F.struct(F.sum("bp").alias("P"), F.sum("bn").alias("N"))).scalar()
     inside = Window.partitionBy("bucket").orderBy(F.col("score").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     cum = (b.join(F.broadcast(off), "bucket")
             .select("score", "pos", "neg",
                     (F.col("off_p") + F.sum("pos").over(inside)).alias("tp"),
                     (F.col("off_n") + F.sum("neg").over(inside)).alias("fp"),
-                    p_total.alias("P"), n_total.alias("N")))
+                    totals["P"].alias("P"), totals["N"].alias("N")))
     return cum
 
 

@@ -67,8 +67,7 @@ def feature_job(spark: SparkSession, impressions_path: str, pages_path: str, out
     """Impression and page exports -> the nine-column feature table at ``out_path``."""
     imp = read_impression_export(spark, impressions_path, quarantine=f"{out_path}_quarantine/impressions")
     pages = read_page_export(spark, pages_path, charset, quarantine=f"{out_path}_quarantine/pages")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pages = materialize(pages.repartition(n, "urlid"), "pages_clean")
+    pages = materialize(pages.repartition("urlid"), "pages_clean")
     kw = keywords(pages.select("urlid", "title"), "urlid", "title", title_k).select("urlid", "term", "weight")
     pv = page_vector(kw, pages.select("urlid", "points", "tags"))
     feats = train_feature(imp, pages.select("urlid", "pnum", "pdef", "pbeau"), pv, top_n)

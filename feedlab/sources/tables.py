@@ -68,9 +68,9 @@ def pages_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Hash-partition pages by key once, after the projection so a consumer that
     # needs only titles shuffles only titles.  The per-page text work
     # (tokenize, keyword top-k, term counts) groups by urlid and reuses this
-    # layout.  The explicit count keeps AQE from coalescing this small but
-    # CPU-heavy shuffle into a single task.
-    return out.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "urlid")
+    # layout.  No fixed count: AQE sizes the partitions from the data (and
+    # keeps at least the cluster's parallelism for small inputs).
+    return out.repartition("urlid")
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
