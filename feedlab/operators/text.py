@@ -125,13 +125,14 @@ def english_stopwords() -> list[str]:
 
 
 def remove_stopwords(df: DataFrame, col: str, out: str, words: list[str] | None = None,
-                     case_sensitive: bool = False) -> DataFrame:
+                     case_sensitive: bool = False, locale: str = "en") -> DataFrame:
     """Drop stop words from a token array with MLlib's transformer.
 
     ``words`` defaults to the built-in English list; the list travels inside
     the transformer, so it must be small (a dictionary, not a table).
     """
-    remover = StopWordsRemover(inputCol=col, outputCol=out, caseSensitive=case_sensitive,
+    # the locale is pinned so case folding does not depend on the JVM default
+    remover = StopWordsRemover(inputCol=col, outputCol=out, caseSensitive=case_sensitive, locale=locale,
                                stopWords=words if words is not None else english_stopwords())
     return remover.transform(df)
 

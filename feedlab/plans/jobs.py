@@ -34,16 +34,20 @@ IMPRESSION_FIELDS = ("uid", "urlid", "ts", "label")
 
 def read_impression_export(spark: SparkSession, path: str, quarantine: str | None = None,
                            prefix_len: int = 2) -> DataFrame:
-    """``uid \\t urlid \\t ts \\t label`` lines with prefixed ids -> typed impressions."""
+    """``uid \\t urlid \\t ts \\t label`` lines with prefixed ids -> typed impressions.
+
+    Lines of the wrong width or with a label that is not an integer go to
+    ``quarantine`` (the source jobs would fail on them)."""
     good, bad = guard_width(read_lines(spark, path), len(IMPRESSION_FIELDS))
-    if quarantine:
-        bad.write.mode("overwrite").text(quarantine)
     f = split_all("value", "\t")
-    return good.select(
+    label = f[3].try_cast("int")
+    if quarantine:
+        bad.unionByName(good.where(label.isNull())).write.mode("overwrite").text(quarantine)
+    return good.where(label.isNotNull()).select(
         strip_prefix(f[0], prefix_len).try_cast("bigint").alias("uid"),
         strip_prefix(f[1], prefix_len).try_cast("bigint").alias("urlid"),
         f[2].alias("ts"),
-        f[3].try_cast("int").alias("label"))
+        label.alias("label"))
 
 
 def read_page_export(spark: SparkSession, path: str, charset: str | None = None,

@@ -16,7 +16,7 @@ def _exports(spark):
     imp_lines = imp.select(F.concat_ws("\t", F.concat(F.lit("u:"), F.col("uid").cast("string")),
                                        F.concat(F.lit("p:"), F.col("urlid").cast("string")),
                                        F.col("event_id").cast("string"), F.col("label").cast("string")))
-    bad = spark.createDataFrame([("u:1\tp:2\t3",)], "value string")          # 3 fields: quarantined
+    bad = spark.createDataFrame([("u:1\tp:2\t3",), ("u:1\tp:2\t3\tx",)], "value string")  # quarantined
     imp_path = scratch_path(spark, "exp-imp")
     imp_lines.union(bad).write.text(imp_path)
     p = pages_info(spark, SF_SMALL)
@@ -37,7 +37,7 @@ def test_feature_job_matches_query(spark):
     exp = E.queries()["train_feature"](spark, SF_SMALL)
     norm = lambda df: Counter(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.collect())
     assert norm(got) == norm(exp.select(*got.columns))
-    assert spark.read.text(out + "_quarantine/impressions").count() == 1
+    assert spark.read.text(out + "_quarantine/impressions").count() == 2
 
 
 def test_text_and_model_jobs(spark):
