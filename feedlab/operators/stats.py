@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedlab.session import materialize
+
 
 def click_show(df: DataFrame, key: str = "urlid", label: str = "label",
                clicks: str = "sumclick", shows: str = "sumshow") -> DataFrame:
@@ -31,9 +33,22 @@ def ctr_by_key(df: DataFrame, key: str = "urlid", label: str = "label") -> DataF
     return click_show(df, key, label).withColumn("ctr", ctr(F.col("sumclick"), F.col("sumshow")))
 
 
+def lookup_join(log: DataFrame, side: DataFrame, key, how: str = "left", name: str = "lookup") -> DataFrame:
+    """Join a large log to a keyed side table (few rows per key).
+
+    The side is written once under the shared checkpoint folder, so the join
+    sees a plain shuffle on both inputs: AQE broadcasts the side when its
+    measured size is small, and otherwise splits the partition of a hot key
+    on the log side (skew-join splitting needs both inputs to be shuffle
+    stages; a side that is the output of an aggregate or of its own join
+    would reuse its partitioning and block it).
+    """
+    return log.join(materialize(side, name), key, how)
+
+
 def join_stats(log: DataFrame, stats: DataFrame, key: str = "urlid") -> DataFrame:
     """Every log row plus the key's statistics, null when missing."""
-    return log.join(stats, key, "left")
+    return lookup_join(log, stats, key, "left", "url_stats")
 
 
 def join_page(log: DataFrame, page: DataFrame, key: str = "urlid",
@@ -46,7 +61,7 @@ def join_page(log: DataFrame, page: DataFrame, key: str = "urlid",
     """
     if broadcast_max_rows is not None and fits_rows(page, broadcast_max_rows):
         return log.join(F.broadcast(page), key, "left")
-    return log.join(page, key, "left")
+    return lookup_join(log, page, key, "left", "pages")
 
 
 def fits_rows(df: DataFrame, max_rows: int) -> bool:
@@ -56,4 +71,4 @@ def fits_rows(df: DataFrame, max_rows: int) -> bool:
 
 def join_profile(rows: DataFrame, profile: DataFrame, key: str = "uid") -> DataFrame:
     """LEFT OUTER sample ⟕ user profile on ``uid``."""
-    return rows.join(profile, key, "left")
+    return lookup_join(rows, profile, key, "left", "profiles")

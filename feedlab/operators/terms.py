@@ -168,8 +168,9 @@ def pair_scores(pairs: DataFrame, page_vec: DataFrame, profile: DataFrame, user:
 def term_score(rows: DataFrame, page_vec: DataFrame, profile: DataFrame, user: str = "uid",
                item: str = "urlid", label: str = "label", out: str = "s_term_score") -> DataFrame:
     """Every row plus Σ signed page weight × profile weight; 0 when nothing matches."""
+    from feedlab.operators.stats import lookup_join
     pairs = rows.select(user, item).where(F.col(user).isNotNull()).distinct()
     dots = pair_scores(pairs, page_vec, profile, user, item)
-    j = rows.join(dots, [user, item], "left")
+    j = lookup_join(rows, dots, [user, item], "left", "pair_scores")
     signed = sign_weight(label, F.coalesce(F.col("dot"), F.lit(0.0)))
     return j.withColumn(out, rounded(signed)).drop("dot")

@@ -52,12 +52,15 @@ def tfidf(df: DataFrame, key: str, text: str, tokenizer=tokenize, idf: DataFrame
     N counts documents with at least one token.  A supplied ``idf`` table
     ``(term, idf)`` replaces the corpus statistics.
     """
-    toks = df.select(key, tokenizer(F.col(text)).alias("tokens"))
+    # one shuffle of the (pruned) text by document key: tokenising is spread
+    # over the cluster and the per-document aggregate needs no further shuffle
+    docs = df.select(key, text).repartition(key)
+    toks = docs.select(key, tokenizer(F.col(text)).alias("tokens"))
     tf = term_frequencies(toks, key, "tokens")
     if idf is None:
         dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         # N from a cheap "has a token" scan, not a third pass over tf
-        n_docs = df.where(has_token(F.col(text))).agg(F.count(F.lit(1))).scalar()
+        n_docs = docs.where(has_token(F.col(text))).agg(F.count(F.lit(1))).scalar()
         idf = dfreq.select("term", F.log((n_docs + 1.0) / (F.col("df") + 1.0)).alias("idf"))
     j = tf.join(idf, "term")
     w = F.col("tf").cast("double") / F.col("n").cast("double") * F.col("idf")
@@ -99,8 +102,9 @@ def token_count(lines: DataFrame, col: str = "value", sep: str = "\t") -> DataFr
 def term_doc_count(df: DataFrame, key: str, title: str, terms: str, sep: str = ",") -> DataFrame:
     """Term frequency per document (A4): ``(key, title, term, tf)``;
     a document without terms gives one row ``("-", 0)``."""
-    ex = df.select(key, title, F.explode_outer(F.when(F.col(terms).isNotNull(), split_all(terms, sep)))
-                   .alias("term"))
+    docs = df.select(key, title, terms).repartition(key)
+    ex = docs.select(key, title, F.explode_outer(F.when(F.col(terms).isNotNull(), split_all(terms, sep)))
+                     .alias("term"))
     counted = ex.groupBy(key, title, "term").agg(F.count("term").alias("tf"))
     return counted.select(key, title, F.coalesce("term", F.lit("-")).alias("term"), F.col("tf").cast("long"))
 

@@ -8,6 +8,7 @@ from feedlab.operators.relational import (drop_incomplete, hash_bucket, join_kee
                                           rename_all, run_sql, true_positives)
 from feedlab.operators.stats import click_show, ctr_by_key, join_page
 from feedlab.plans import sql as S
+from feedlab.session import materialize
 from feedlab.plans.registry import query
 from feedlab.sources.tables import impressions, pages_info, ratings, scores
 
@@ -57,7 +58,8 @@ FROM impressions i LEFT JOIN url_stats s ON i.urlid = s.urlid
 def q_join_url_stats(spark, sf_dir):
     # all log columns plus the two statistics columns (F2 over J2)
     imp = impressions(spark, sf_dir).select("event_id", "uid", "urlid", "label")
-    return join_keep_left(imp, click_show(imp, "urlid", "label"), "urlid", ["sumclick", "sumshow"])
+    stats = materialize(click_show(imp, "urlid", "label"), "url_stats")
+    return join_keep_left(imp, stats, "urlid", ["sumclick", "sumshow"])
 
 
 @query("preview_topn", S.with_(S.IMPRESSIONS) + """

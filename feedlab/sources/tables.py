@@ -65,12 +65,10 @@ def pages_info(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit(";"), F.col("source"), F.lit(":1")).alias("points"),
         F.concat_ws(",", F.col("lang"), F.col("source")).alias("tags"),
     )
-    # Hash-partition pages by key once, after the projection so a consumer that
-    # needs only titles shuffles only titles.  The per-page text work
-    # (tokenize, keyword top-k, term counts) groups by urlid and reuses this
-    # layout.  No fixed count: AQE sizes the partitions from the data (and
-    # keeps at least the cluster's parallelism for small inputs).
-    return out.repartition("urlid")
+    # Not repartitioned here: joins against this view must see a plain shuffle
+    # on both sides so AQE can broadcast it or split a hot url; the text
+    # operators key-partition their own (pruned) input.
+    return out
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,3 +64,28 @@ def test_hot_url_and_user(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_lookup_join_splits_hot_url(spark):
+    from feedlab.operators.stats import click_show, join_stats
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        imp = impressions(spark, SF_MID).select("event_id", "urlid", "label")
+        hot = imp.withColumn("urlid", F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.col("urlid")))
+        out = join_stats(hot, click_show(hot))
+        rows = out.collect()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            out.explain()
+        assert "skew=true" in buf.getvalue()
+        assert len(rows) == imp.count()
+        shows = Counter(r.urlid for r in rows)
+        assert all(r.sumshow == shows[r.urlid] for r in rows)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
