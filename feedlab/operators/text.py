@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from feedlab.functions.strings import lit_regex, split_all, split_limited
 from feedlab.functions.terms import text_to_tokens, weight_text
 from feedlab.functions.tokens import has_token, tokenize
+from feedlab.operators.stats import lookup_join
 from feedlab.operators.terms import DIGITS, rounded, top_n_per_key
+from feedlab.session import materialize
 
 
 def tokenize_df(df: DataFrame, col: str, out: str = "tokens", tokenizer=tokenize) -> DataFrame:
@@ -62,7 +64,9 @@ def tfidf(df: DataFrame, key: str, text: str, tokenizer=tokenize, idf: DataFrame
         # N from a cheap "has a token" scan, not a third pass over tf
         n_docs = docs.where(has_token(F.col(text))).agg(F.count(F.lit(1))).scalar()
         idf = dfreq.select("term", F.log((n_docs + 1.0) / (F.col("df") + 1.0)).alias("idf"))
-    j = tf.join(idf, "term")
+    # every document has "the": the idf side is written once so AQE can
+    # broadcast it or split the hot term's partition
+    j = lookup_join(tf, idf, "term", "inner", "idf")
     w = F.col("tf").cast("double") / F.col("n").cast("double") * F.col("idf")
     return j.select(key, "term", rounded(w, DIGITS).alias("weight"))
 
@@ -116,7 +120,7 @@ def term_total_count(tf: DataFrame, term: str = "term", count: str = "tf") -> Da
 
 def term_share(tf: DataFrame, total: DataFrame, key: str, term: str = "term") -> DataFrame:
     """Per document term: its count, the corpus total and the share."""
-    j = tf.join(total, term)
+    j = lookup_join(tf, total, term, "inner", "term_totals")
     return j.select(key, term, "tf", F.col("count").alias("total"),
                     rounded(F.col("tf") / F.col("count"), DIGITS).alias("share"))
 
@@ -150,9 +154,9 @@ def remove_stopwords_table(df: DataFrame, key: str, col: str, out: str, stop: Da
     re-collected in their original order per row.  ``key`` must identify the
     row.  Rows whose tokens are all removed keep an empty array.
     """
-    stop_l = stop.select(F.lower(F.col(word)).alias("_sw")).distinct()
-    ex = explode_values(df, key, col, "_tok", pos="_pos")
-    kept = ex.join(stop_l, F.lower(F.col("_tok")) == F.col("_sw"), "left_anti")
+    stop_l = materialize(stop.select(F.lower(F.col(word)).alias("_sw")).distinct(), "stopwords")
+    ex = explode_values(df, key, col, "_tok", pos="_pos").withColumn("_sw", F.lower(F.col("_tok")))
+    kept = ex.join(stop_l, "_sw", "left_anti")
     regrouped = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", "_tok"))).alias("_s"))
     back = regrouped.select(key, F.transform("_s", lambda s: s["_tok"]).alias(out))
     res = df.join(back, key, "left")

@@ -58,6 +58,7 @@ def feed_json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     * ``url_whole_term_score``: the signed whole-page score of the feature table.
     Pages missing from the page table leave the three page columns null.
     """
+    from feedlab.operators.stats import lookup_join
     from feedlab.operators.terms import clicked_profile, pair_scores, rounded, term_score, user_profile_topn
     imp = impressions(spark, sf_dir).select("event_id", "uid", "urlid", "ts", "label")
     pages = pages_info(spark, sf_dir)
@@ -72,9 +73,9 @@ def feed_json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the session time zone
     us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
     first = imp.groupBy("urlid").agg(F.min(us).alias("_t0"))
-    j = (scored.join(first, "urlid")
-               .join(pages.select("urlid", "pnum", "pdef", "pbeau"), "urlid", "left")
-               .join(tdot, ["uid", "urlid"], "left"))
+    j = lookup_join(scored, first, "urlid", "inner", "url_first_ts")
+    j = j.join(pages.select("urlid", "pnum", "pdef", "pbeau"), "urlid", "left")
+    j = lookup_join(j, tdot, ["uid", "urlid"], "left", "title_scores")
     return j.select(
         F.col("uid").alias("userid"), "label",
         ((us - F.col("_t0")) / F.lit(1e6)).alias("ts_interval"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from feedlab.functions.terms import parse_terms, tag_terms
 from feedlab.operators.features import JSON_VECTOR_ORDER, VECTOR_ORDER, assemble, page_defaults
-from feedlab.operators.stats import join_profile
+from feedlab.operators.stats import join_profile, lookup_join
 from feedlab.operators.terms import (explode_terms, merge_terms, signed_terms,
                                      term_score, terms_to_text, user_profile, user_profile_topn)
 from feedlab.plans import sql as S
@@ -105,7 +105,8 @@ def q_page_vector_defaults(spark, sf_dir):
     imp = impressions(spark, sf_dir).select("event_id", "urlid")
     pages = pages_info(spark, sf_dir)
     nterms = feed_page_vector(pages).groupBy("urlid").agg(F.count(F.lit(1)).alias("n_terms"))
-    j = imp.join(pages.select("urlid", "pnum", "pdef", "pbeau"), "urlid", "left").join(nterms, "urlid", "left")
+    j = imp.join(pages.select("urlid", "pnum", "pdef", "pbeau"), "urlid", "left")
+    j = lookup_join(j, nterms, "urlid", "left", "page_term_counts")
     j = page_defaults(j).withColumn("n_terms", F.coalesce("n_terms", F.lit(0)).cast("long"))
     return j.select("event_id", "urlid", "pnum", "pdef", "pbeau", "n_terms")
 

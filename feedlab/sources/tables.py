@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlab.operators.stats import click_show, ctr
+from feedlab.operators.stats import click_show, ctr, lookup_join
 
 # Event types counted as a click (label 1); every other event is a show only.
 CLICK_EVENTS = ("click", "purchase")
@@ -99,7 +99,7 @@ def scores(spark: SparkSession, sf_dir: str, cutoff: float = 0.4) -> DataFrame:
     imp = impressions(spark, sf_dir).select("event_id", "urlid", "label")
     stats = click_show(imp, "urlid", "label").select(
         "urlid", F.round(ctr(F.col("sumclick"), F.col("sumshow")), 4).alias("score"))
-    j = imp.join(stats, "urlid", "left")
+    j = lookup_join(imp, stats, "urlid", "left", "url_ctr")
     return j.select(
         "event_id",
         F.col("score"),
