@@ -12,13 +12,13 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from feedlab.constants import ID_PREFIX_LEN, MISSING, SIMILARITY_DIGITS
+
 # Unicode whitespace as Python's str.strip() sees it: Java's \s in UNICODE
 # mode plus the four information separators U+001C..U+001F.
 _WS = r"[\s\x{1c}-\x{1f}]"
 _EDGE_WS = rf"(?U)^{_WS}+|{_WS}+$"
 
-MISSING = "-"
-
 
 def lit_regex(sep: str) -> str:
     """A Java regex matching ``sep`` literally."""
@@ -50,7 +50,7 @@ def quote(c) -> Column:
     return F.concat(F.lit('"'), col_of(c), F.lit('"'))
 
 
-def strip_prefix(c, n: int = 2) -> Column:
+def strip_prefix(c, n: int = ID_PREFIX_LEN) -> Column:
     """Drop the first ``n`` characters (``s[n:]``); shorter values give ``""`` (C4)."""
     return F.substring(col_of(c), n + 1, 2147483647)
 
@@ -65,7 +65,7 @@ def join_fields(cols, sep: str = "\t") -> Column:
     return F.concat_ws(sep, *[col_of(c) for c in cols])
 
 
-def fmt_fixed(c, digits: int = 5) -> Column:
+def fmt_fixed(c, digits: int = SIMILARITY_DIGITS) -> Column:
     """Fixed-decimal text with grouping, e.g. ``1,234.50000``."""
     return F.format_number(col_of(c), digits)
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from feedlab.constants import POINT_ITEM_SEP, TAG_SEP, TERM_ITEM_SEP, TERM_KV_SEP, TOKEN_TRUNCATE
 from feedlab.functions.strings import MISSING, col_of, lit_regex, split_all
 
 TERM_STRUCT = "array<struct<term:string,weight:double>>"
@@ -18,7 +19,7 @@ def empty_terms() -> Column:
     return F.array().cast(TERM_STRUCT)
 
 
-def parse_terms(c, item_sep: str = ",", kv_sep: str = ":") -> Column:
+def parse_terms(c, item_sep: str = TERM_ITEM_SEP, kv_sep: str = TERM_KV_SEP) -> Column:
     """``"k:v,k:v"`` -> term vector.
 
     Items that do not split into exactly two parts, or whose value is not a
@@ -33,7 +34,7 @@ def parse_terms(c, item_sep: str = ",", kv_sep: str = ":") -> Column:
     return F.coalesce(kept, empty_terms())
 
 
-def tag_terms(c, sep: str = ",") -> Column:
+def tag_terms(c, sep: str = TAG_SEP) -> Column:
     """``"k,k"`` -> one (term, 1.0) per occurrence; ``"-"`` / null -> empty."""
     c = col_of(c)
     tags = F.transform(split_all(c, sep), lambda x: F.struct(x.alias("term"), F.lit(1.0).alias("weight")))
@@ -64,7 +65,7 @@ def text_to_tokens(c, sep: str = ",") -> Column:
         F.split(c, lit_regex(sep), -1))
 
 
-def truncate_tokens(c, n: int = 10) -> Column:
+def truncate_tokens(c, n: int = TOKEN_TRUNCATE) -> Column:
     """First ``n`` tokens."""
     return F.slice(col_of(c), 1, n)
 

@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlab.constants import MISSING_NUMBER, URLINFO_FIELDS
 from feedlab.functions.strings import clean_field, quote, split_all, strip_prefix
 
-URLINFO_FIELDS = ("utype", "url", "title", "s_title", "pnum", "pdef", "pbeau", "ppoint", "tpoint", "s_content")
-
 
 def clean_fields(df: DataFrame, col: str = "value", sep: str = "\t") -> DataFrame:
     """Split a line, trim each field (Unicode whitespace), empty -> ``"-"``,
@@ -61,7 +60,7 @@ def page_fields_with_defaults(df: DataFrame, col: str = "urlinfo", keep: Sequenc
     v = F.col("_valid")
     return s.select(
         *keep, *[F.col(c) for c in URLINFO_FIELDS if c not in ("pnum", "pdef", "pbeau")],
-        F.when(v, F.col("pnum").try_cast("int")).otherwise(F.lit(-1)).alias("pnum"),
-        F.when(v, F.col("pdef").try_cast("double")).otherwise(F.lit(-1.0)).alias("pdef"),
-        F.when(v, F.col("pbeau").try_cast("double")).otherwise(F.lit(-1.0)).alias("pbeau"),
+        F.when(v, F.col("pnum").try_cast("int")).otherwise(F.lit(MISSING_NUMBER)).alias("pnum"),
+        F.when(v, F.col("pdef").try_cast("double")).otherwise(F.lit(float(MISSING_NUMBER))).alias("pdef"),
+        F.when(v, F.col("pbeau").try_cast("double")).otherwise(F.lit(float(MISSING_NUMBER))).alias("pbeau"),
         v.alias("_valid"))

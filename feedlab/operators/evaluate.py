@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedlab.constants import THRESHOLD_TOLERANCE
 from feedlab.operators.relational import range_buckets
 
 N_BUCKETS = 256
@@ -122,7 +123,8 @@ def auc_pr(df: DataFrame, score: str = "score", label: str = "label") -> DataFra
     return c.agg(_m(F.sum(area)).alias("auc_pr"))
 
 
-def best_threshold(curve: DataFrame, metric: str, tol: float = 1e-5, threshold: str = "threshold") -> DataFrame:
+def best_threshold(curve: DataFrame, metric: str, tol: float = THRESHOLD_TOLERANCE,
+                   threshold: str = "threshold") -> DataFrame:
     """Highest threshold whose metric is within ``tol`` of the maximum.
 
     The curve is ordered by threshold descending, so "first row within

@@ -20,15 +20,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlab import constants as C
 from feedlab.operators.stats import ctr
 from feedlab.operators.terms import (merge_terms, pair_scores, rounded, top_n_per_key)
 from feedlab.functions.terms import sign_weight
 from feedlab.session import materialize
 
 FEATURE_COLUMNS = ["uid", "label", "sumclick", "sumshow", "ctr", "pnum", "pdef", "pbeau", "s_term_score"]
-VECTOR_ORDER = ["ctr", "pnum", "pdef", "pbeau", "s_term_score", "sumclick", "sumshow"]
-JSON_VECTOR_ORDER = ["ts_interval", "p_num", "p_defination", "p_beauty", "title_term_score",
-                     "url_whole_term_score"]
+VECTOR_ORDER = list(C.VECTOR_ORDER)
+JSON_VECTOR_ORDER = list(C.JSON_VECTOR_ORDER)
 
 # Rows emitted per task for one chunk of a repeated group.
 EXPAND_CHUNK = 10_000
@@ -54,13 +54,14 @@ def expand_counts(df: DataFrame, count: str = "cnt", chunk: int = EXPAND_CHUNK)
 
 def page_defaults(df: DataFrame) -> DataFrame:
     """Impressions without a page get ``pnum = pdef = pbeau = -1``."""
-    return (df.withColumn("pnum", F.coalesce(F.col("pnum").cast("int"), F.lit(-1)))
-              .withColumn("pdef", F.coalesce(F.col("pdef").cast("double"), F.lit(-1.0)))
-              .withColumn("pbeau", F.coalesce(F.col("pbeau").cast("double"), F.lit(-1.0))))
+    d = C.MISSING_NUMBER
+    return (df.withColumn("pnum", F.coalesce(F.col("pnum").cast("int"), F.lit(d)))
+              .withColumn("pdef", F.coalesce(F.col("pdef").cast("double"), F.lit(float(d))))
+              .withColumn("pbeau", F.coalesce(F.col("pbeau").cast("double"), F.lit(float(d)))))
 
 
 def train_feature(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
-                  top_n: int | None = 21, with_click_stats: bool = True) -> DataFrame:
+                  top_n: int | None = C.PROFILE_TOP_N, with_click_stats: bool = True) -> DataFrame:
     """Feature rows for every impression (M1).
 
     ``log``: ``(uid, urlid, label)``; ``page_attrs``: ``(urlid, pnum, pdef,

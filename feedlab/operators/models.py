@@ -17,6 +17,8 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlab import constants as C
+
 SEED = 42
 STAT_DIGITS = 6
 
@@ -63,7 +65,8 @@ def bin_columns(df: DataFrame, cols: Sequence[str], n_bins: int = 100, relative_
     return out
 
 
-def chi2_select(df: DataFrame, features_col: str = "features", label: str = "label", k: int = 3):
+def chi2_select(df: DataFrame, features_col: str = "features", label: str = "label",
+                k: int = C.CHI2_TOP_FEATURES):
     """Top-``k`` features by chi-square test (M4); returns the fitted model."""
     from pyspark.ml.feature import UnivariateFeatureSelector
     sel = UnivariateFeatureSelector(featuresCol=features_col, labelCol=label, outputCol="selected",
@@ -74,26 +77,26 @@ def chi2_select(df: DataFrame, features_col: str = "features", label: str = "lab
 
 # ------------------------------------------------------------ classifiers
 
-def fit_lr(df: DataFrame, max_iter: int = 30, reg: float = 0.3, enet: float = 0.1, label: str = "label",
-           features: str = "features"):
+def fit_lr(df: DataFrame, max_iter: int = C.LR_MAX_ITER, reg: float = C.LR_REG, enet: float = C.LR_ENET,
+           label: str = "label", features: str = "features"):
     """Logistic regression (M5); the training summary carries M6 and the curves."""
     return LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=enet, labelCol=label,
                               featuresCol=features).fit(df)
 
 
-def fit_tree(df: DataFrame, depth: int = 5, label: str = "label", features: str = "features"):
+def fit_tree(df: DataFrame, depth: int = C.TREE_DEPTH, label: str = "label", features: str = "features"):
     """Decision tree, depth 5 (M7)."""
     return DecisionTreeClassifier(maxDepth=depth, labelCol=label, featuresCol=features, seed=SEED).fit(df)
 
 
-def fit_forest(df: DataFrame, trees: int = 10, subsample: float = 0.7, label: str = "label",
+def fit_forest(df: DataFrame, trees: int = C.FOREST_TREES, subsample: float = C.SUBSAMPLE, label: str = "label",
                features: str = "features"):
     """Random forest, 10 trees, subsample 0.7 (M8)."""
     return RandomForestClassifier(numTrees=trees, subsamplingRate=subsample, labelCol=label,
                                   featuresCol=features, seed=SEED).fit(df)
 
 
-def fit_gbt(df: DataFrame, subsample: float = 0.7, label: str = "label", features: str = "features",
+def fit_gbt(df: DataFrame, subsample: float = C.SUBSAMPLE, label: str = "label", features: str = "features",
             max_iter: int = 20):
     """Gradient-boosted trees, subsample 0.7 (M9)."""
     return GBTClassifier(subsamplingRate=subsample, labelCol=label, featuresCol=features, seed=SEED,
@@ -128,7 +131,8 @@ def set_threshold(model, t: float):
 
 # --------------------------------------------------------------------- ALS
 
-def fit_als(df: DataFrame, iters: int = 10, reg: float = 0.01, user_blocks: int = 20, item_blocks: int = 100,
+def fit_als(df: DataFrame, iters: int = C.ALS_MAX_ITER, reg: float = C.ALS_REG,
+            user_blocks: int = C.ALS_USER_BLOCKS, item_blocks: int = C.ALS_ITEM_BLOCKS,
             user: str = "uid", item: str = "urlid", rating: str = "label", rank: int = 10, seed: int = SEED):
     """Explicit-feedback ALS (M10) with the reference's block counts.
 
@@ -178,13 +182,13 @@ def user_factors(model) -> DataFrame:
     return model.userFactors.orderBy("id")
 
 
-def recommend_items(model, k: int = 10, user: str = "uid", item: str = "urlid") -> DataFrame:
+def recommend_items(model, k: int = C.ALS_TOP_K, user: str = "uid", item: str = "urlid") -> DataFrame:
     """Top-``k`` items per user, exploded to rows ``(uid, urlid, rating)``."""
     recs = model.recommendForAllUsers(k)
     return recs.select(user, F.inline("recommendations")).select(user, item, "rating")
 
 
-def recommend_users(model, k: int = 10, user: str = "uid", item: str = "urlid") -> DataFrame:
+def recommend_users(model, k: int = C.ALS_TOP_K, user: str = "uid", item: str = "urlid") -> DataFrame:
     """Top-``k`` users per item, exploded."""
     recs = model.recommendForAllItems(k)
     return recs.select(item, F.inline("recommendations")).select(item, user, "rating")

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlab.constants import THRESHOLD_TOLERANCE
+
 
 def select_cols(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Column subset (F1)."""
@@ -81,7 +83,7 @@ def true_positives(df: DataFrame, label: str = "label", pred: str = "prediction"
     return df.where((F.col(label) == F.lit(1)) & (F.col(pred) > F.lit(0)))
 
 
-def within_of_max(df: DataFrame, col: str, tol: float = 1e-5) -> DataFrame:
+def within_of_max(df: DataFrame, col: str, tol: float = THRESHOLD_TOLERANCE) -> DataFrame:
     """Rows within ``tol`` of the column's global maximum.
 
     The maximum is a scalar subquery (partial max per partition, then one

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedlab.constants import POINT_ITEM_SEP, TERM_KV_SEP
 from feedlab.functions.terms import parse_terms, sign_weight, tag_terms, weight_text
 
 DIGITS = 6
@@ -68,7 +69,7 @@ def page_vector_from_text(page: DataFrame, key: str = "urlid", title_terms: str
                           points: str = "ppoint", tags: str = "tpoint") -> DataFrame:
     """Page vector from the text form of a page row (T4):
     ``s_title`` ("k:v,k:v") ⊕ ``ppoint`` ("k:v;k:v") ⊕ ``tpoint`` ("k,k")."""
-    parts = F.concat(parse_terms(title_terms, ",", ":"), parse_terms(points, ";", ":"), tag_terms(tags))
+    parts = F.concat(parse_terms(title_terms), parse_terms(points, POINT_ITEM_SEP, TERM_KV_SEP), tag_terms(tags))
     return merge_terms(explode_terms(page, key, parts), key)
 
 
@@ -79,7 +80,7 @@ def page_vector(keyword_rows: DataFrame, page: DataFrame, key: str = "urlid",
     ``keyword_rows`` is ``(key, term, weight)`` (e.g. title keywords).  Computed
     once per page, never per impression.
     """
-    pts = explode_terms(page, key, parse_terms(points, ";", ":"))
+    pts = explode_terms(page, key, parse_terms(points, POINT_ITEM_SEP, TERM_KV_SEP))
     tgs = explode_terms(page, key, tag_terms(tags))
     kw = keyword_rows.select(key, "term", F.col("weight").cast("double").alias("weight"))
     return merge_terms(kw.unionByName(pts).unionByName(tgs), key)

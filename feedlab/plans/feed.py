@@ -9,15 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlab import constants as C
 from feedlab.operators.features import train_feature
 from feedlab.operators.terms import page_vector
 from feedlab.operators.text import keywords
 from feedlab.session import materialize
 from feedlab.sources.tables import impressions, pages_info
 
-TITLE_K = 20
-CONTENT_K = 40
-PROFILE_N = 21
+TITLE_K = C.TITLE_KEYWORDS
+CONTENT_K = C.CONTENT_KEYWORDS
+PROFILE_N = C.PROFILE_TOP_N
 
 
 def title_keywords(pages: DataFrame, k: int = TITLE_K) -> DataFrame:

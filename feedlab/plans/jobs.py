@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlab import constants as C
 from feedlab.functions.strings import clean_field, split_all, strip_prefix
 from feedlab.operators.clean import guard_width
 from feedlab.operators.features import FEATURE_COLUMNS, VECTOR_ORDER, assemble, train_feature
@@ -28,12 +29,12 @@ from feedlab.operators.text import keywords
 from feedlab.session import materialize
 from feedlab.sources.readers import read_lines
 
-PAGE_FIELDS = ("urlid", "utype", "url", "title", "pnum", "pdef", "pbeau", "ppoint", "tpoint", "tcontent")
-IMPRESSION_FIELDS = ("uid", "urlid", "ts", "label")
+PAGE_FIELDS = C.RAW_PAGE_FIELDS
+IMPRESSION_FIELDS = C.RAW_IMPRESSION_FIELDS
 
 
 def read_impression_export(spark: SparkSession, path: str, quarantine: str | None = None,
-                           prefix_len: int = 2) -> DataFrame:
+                           prefix_len: int = C.ID_PREFIX_LEN) -> DataFrame:
     """``uid \\t urlid \\t ts \\t label`` lines with prefixed ids -> typed impressions.
 
     Lines of the wrong width or with a label that is not an integer go to
@@ -51,7 +52,7 @@ def read_impression_export(spark: SparkSession, path: str, quarantine: str | Non
 
 
 def read_page_export(spark: SparkSession, path: str, charset: str | None = None,
-                     quarantine: str | None = None, prefix_len: int = 2) -> DataFrame:
+                     quarantine: str | None = None, prefix_len: int = C.ID_PREFIX_LEN) -> DataFrame:
     """10-field page lines -> cleaned, typed page rows (fields trimmed, empty -> ``"-"``)."""
     good, bad = guard_width(read_lines(spark, path, charset), len(PAGE_FIELDS))
     if quarantine:
@@ -67,7 +68,7 @@ def read_page_export(spark: SparkSession, path: str, charset: str | None = None,
 
 
 def feature_job(spark: SparkSession, impressions_path: str, pages_path: str, out_path: str,
-                fmt: str = "csv", charset: str | None = None, title_k: int = 20, top_n: int = 21) -> DataFrame:
+                fmt: str = "csv", charset: str | None = None, title_k: int = C.TITLE_KEYWORDS, top_n: int = C.PROFILE_TOP_N) -> DataFrame:
     """Impression and page exports -> the nine-column feature table at ``out_path``."""
     imp = read_impression_export(spark, impressions_path, quarantine=f"{out_path}_quarantine/impressions")
     pages = read_page_export(spark, pages_path, charset, quarantine=f"{out_path}_quarantine/pages")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from feedlab import constants as C
 from feedlab.functions.terms import parse_terms, tag_terms
 from feedlab.operators.features import JSON_VECTOR_ORDER, VECTOR_ORDER, assemble, page_defaults
 from feedlab.operators.stats import join_profile, lookup_join
@@ -71,7 +72,7 @@ WHERE len(kv) = 2 AND TRY_CAST(kv[2] AS DOUBLE) IS NOT NULL
 """)
 def q_terms_parse_points(spark, sf_dir):
     p = pages_info(spark, sf_dir)
-    return explode_terms(p, "urlid", parse_terms("points", ";", ":"))
+    return explode_terms(p, "urlid", parse_terms("points", C.POINT_ITEM_SEP, C.TERM_KV_SEP))
 
 
 @query("terms_tags", S.with_(S.PAGES_INFO) + """

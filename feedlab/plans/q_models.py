@@ -22,11 +22,10 @@ from feedlab.plans.registry import query
 from feedlab.session import scratch_path
 from feedlab.sources.tables import ratings
 
+from feedlab import constants as C
+
 SEED = 42
-ALS_ITERS = 10
-ALS_REG = 0.01
-ALS_USER_BLOCKS = 20
-ALS_ITEM_BLOCKS = 100
+CLS_SPLIT = list(C.TRAIN_SPLIT_CLASSIFIER)
 
 
 def _features(spark, sf_dir):
@@ -73,7 +72,7 @@ def q_chi2_select(spark, sf_dir):
     feats = checkpoint_stage(spark, feed_train_feature(spark, sf_dir), "train_feature")
     binned = bin_columns(feats.select("label", *[F.col(c).cast("double").alias(c) for c in VECTOR_ORDER]),
                          VECTOR_ORDER, n_bins=CHI2_BINS)
-    m = chi2_select(assemble(binned, VECTOR_ORDER), "features", "label", k=3)
+    m = chi2_select(assemble(binned, VECTOR_ORDER), "features", "label")
     idx = list(m.selectedFeatures)
     rows = [(rank, i, VECTOR_ORDER[i]) for rank, i in enumerate(idx)]
     return spark.createDataFrame(rows, "rank int, feature_index int, feature string")
@@ -81,8 +80,8 @@ def q_chi2_select(spark, sf_dir):
 
 @query("lr_coefficients")
 def q_lr_coefficients(spark, sf_dir):
-    train, _ = random_split(_ml_input(spark, sf_dir), [0.9, 0.1], SEED)
-    m = fit_lr(train, 30, 0.3, 0.1)
+    train, _ = random_split(_ml_input(spark, sf_dir), CLS_SPLIT, SEED)
+    m = fit_lr(train)
     rows = [(name, float(v)) for name, v in zip(VECTOR_ORDER, m.coefficients.toArray())]
     rows.append(("intercept", float(m.intercept)))
     return spark.createDataFrame(rows, "feature string, coefficient double")
@@ -90,8 +89,8 @@ def q_lr_coefficients(spark, sf_dir):
 
 @query("lr_objective")
 def q_lr_objective(spark, sf_dir):
-    train, _ = random_split(_ml_input(spark, sf_dir), [0.9, 0.1], SEED)
-    m = fit_lr(train, 30, 0.3, 0.1)
+    train, _ = random_split(_ml_input(spark, sf_dir), CLS_SPLIT, SEED)
+    m = fit_lr(train)
     hist = m.summary.objectiveHistory
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "iteration int, objective double")
 
@@ -102,32 +101,32 @@ def _report(model, test):
 
 @query("dt_predictions")
 def q_dt_predictions(spark, sf_dir):
-    train, test = random_split(_ml_input(spark, sf_dir), [0.9, 0.1], SEED)
-    return _report(fit_tree(train, 5), test)
+    train, test = random_split(_ml_input(spark, sf_dir), CLS_SPLIT, SEED)
+    return _report(fit_tree(train), test)
 
 
 @query("rf_predictions")
 def q_rf_predictions(spark, sf_dir):
-    train, test = random_split(_ml_input(spark, sf_dir), [0.9, 0.1], SEED)
-    return _report(fit_forest(train, 10, 0.7), test)
+    train, test = random_split(_ml_input(spark, sf_dir), CLS_SPLIT, SEED)
+    return _report(fit_forest(train), test)
 
 
 @query("gbt_predictions")
 def q_gbt_predictions(spark, sf_dir):
-    train, test = random_split(_ml_input(spark, sf_dir), [0.9, 0.1], SEED)
-    return _report(fit_gbt(train, 0.7), test)
+    train, test = random_split(_ml_input(spark, sf_dir), CLS_SPLIT, SEED)
+    return _report(fit_gbt(train), test)
 
 
 def _ratings_split(spark, sf_dir):
     from feedlab.operators.models import als_input
     r, _, _ = als_input(ratings(spark, sf_dir))
     r = checkpoint_stage(spark, r, "ratings")
-    return random_split(r, [0.8, 0.2], SEED)
+    return random_split(r, list(C.TRAIN_SPLIT_ALS), SEED)
 
 
 def _als(spark, sf_dir):
     train, test = _ratings_split(spark, sf_dir)
-    return fit_als(train, ALS_ITERS, ALS_REG, ALS_USER_BLOCKS, ALS_ITEM_BLOCKS), test
+    return fit_als(train), test
 
 
 @query("als_predictions")
@@ -146,20 +145,20 @@ def q_als_user_factors(spark, sf_dir):
 @query("als_user_recs")
 def q_als_user_recs(spark, sf_dir):
     model, _ = _als(spark, sf_dir)
-    return recommend_items(model, 10)
+    return recommend_items(model)
 
 
 @query("als_item_recs")
 def q_als_item_recs(spark, sf_dir):
     model, _ = _als(spark, sf_dir)
-    return recommend_users(model, 10)
+    return recommend_users(model)
 
 
 @query("ml_model_roundtrip")
 def q_ml_model_roundtrip(spark, sf_dir):
     data = _ml_input(spark, sf_dir)
-    train, test = random_split(data, [0.9, 0.1], SEED)
-    m = fit_lr(train, 30, 0.3, 0.1)
+    train, test = random_split(data, CLS_SPLIT, SEED)
+    m = fit_lr(train)
     path = scratch_path(spark, "lr_model")
     save_model(m, path)
     back = load_model(LogisticRegressionModel, path)
@@ -171,8 +170,8 @@ def q_ml_model_roundtrip(spark, sf_dir):
 
 
 def _lr_and_test(spark, sf_dir):
-    train, test = random_split(_ml_input(spark, sf_dir), [0.9, 0.1], SEED)
-    return fit_lr(train, 30, 0.3, 0.1), test
+    train, test = random_split(_ml_input(spark, sf_dir), CLS_SPLIT, SEED)
+    return fit_lr(train), test
 
 
 @query("lr_threshold_predictions")
@@ -211,7 +210,7 @@ def q_lr_json_coefficients(spark, sf_dir):
     from feedlab.operators.features import JSON_VECTOR_ORDER
     from feedlab.plans.q_features import json_ml_input
     data = checkpoint_stage(spark, json_ml_input(spark, sf_dir), "json_ml_input")
-    m = fit_lr(data, 500, 0.2, 0.8)
+    m = fit_lr(data, C.LR_TABLE_MAX_ITER, C.LR_TABLE_REG, C.LR_TABLE_ENET)
     rows = [(n, float(v)) for n, v in zip(JSON_VECTOR_ORDER, m.coefficients.toArray())]
     rows += [("intercept", float(m.intercept)), ("train_auc_roc", float(m.summary.areaUnderROC))]
     return spark.createDataFrame(rows, "feature string, value double")
@@ -221,10 +220,10 @@ def q_lr_json_coefficients(spark, sf_dir):
 def q_tree_eval(spark, sf_dir):
     """Accuracy, test error and weighted F1 of the three tree models on the held-out set."""
     from feedlab.operators.evaluate import accuracy, weighted_f1
-    train, test = random_split(_ml_input(spark, sf_dir), [0.9, 0.1], SEED)
+    train, test = random_split(_ml_input(spark, sf_dir), CLS_SPLIT, SEED)
     out = None
-    for name, model in (("decision_tree", fit_tree(train, 5)), ("random_forest", fit_forest(train, 10, 0.7)),
-                        ("gbt", fit_gbt(train, 0.7))):
+    for name, model in (("decision_tree", fit_tree(train)), ("random_forest", fit_forest(train)),
+                        ("gbt", fit_gbt(train))):
         pred = model.transform(test).select("label", "prediction")
         acc = accuracy(pred)
         f1 = weighted_f1(pred)
@@ -240,8 +239,8 @@ def q_tree_eval(spark, sf_dir):
 def q_dt_report(spark, sf_dir):
     """Tree statistics: node count, depth, classes, features, importances, rules (M7)."""
     from feedlab.operators.models import tree_report
-    train, _ = random_split(_ml_input(spark, sf_dir), [0.9, 0.1], SEED)
-    rep = tree_report(fit_tree(train, 5))
+    train, _ = random_split(_ml_input(spark, sf_dir), CLS_SPLIT, SEED)
+    rep = tree_report(fit_tree(train))
     return spark.createDataFrame([(k, str(v)) for k, v in sorted(rep.items())], "name string, value string")
 
 

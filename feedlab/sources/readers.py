@@ -13,10 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from feedlab.constants import IMPRESSION_FIELDS  # label first (see SURVEY §1.3)
 from feedlab.functions.strings import split_all, split_limited
 
-# Column order of the joined impression export (label first; see SURVEY §1.3).
-IMPRESSION_FIELDS = ("label", "ts", "uid", "urlid", "urlinfo")
 IMPRESSION_TYPES = {"label": "int", "ts": "string", "uid": "bigint", "urlid": "bigint", "urlinfo": "string"}
 
 # Field separator used when a non-UTF-8 file is read through the CSV reader
