@@ -1,6 +1,6 @@
 """Tokenisation as a native regular-expression extraction.
 
-The reference runs a per-row segmenter library in Python workers; here the
+The source jobs run a per-row segmenter library in Python workers; here the
 tokenizer is a column expression: lower-cased Latin letter runs, and each Han
 character as its own token.  Any other tokenizer that yields
 ``array<string>`` can be passed to the text operators instead.

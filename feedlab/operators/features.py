@@ -117,7 +117,7 @@ def train_feature(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
 def assemble(df: DataFrame, cols: list[str], label: str = "label", out: str = "features",
              handle_invalid: str = "skip") -> DataFrame:
     """Dense feature vector in a fixed column order (M2/M3); rows with nulls
-    are skipped, as the reference's tuple-building map would fail on them."""
+    are skipped, as the source jobs' tuple-building map would fail on them."""
     from pyspark.ml.feature import VectorAssembler
     va = VectorAssembler(inputCols=cols, outputCol=out, handleInvalid=handle_invalid)
     casted = df.select(F.col(label).cast("double").alias(label),

@@ -1,7 +1,7 @@
 """Models on the feature table and the rating log.
 
 Model fitting is MLlib (distributed gradient/tree aggregation, block ALS);
-this module fixes the reference's hyper-parameters as defaults, adds seeds,
+this module fixes the source jobs' hyper-parameters as defaults, adds seeds,
 and turns model outputs into plain DataFrames.  Chi-square statistics are
 also computed natively from contingency counts so they can be checked in SQL.
 """
@@ -113,7 +113,7 @@ def prediction_report(pred: DataFrame, label: str = "label") -> DataFrame:
 
 
 def tree_report(model) -> dict:
-    """Tree statistics printed by the reference jobs (node count, depth,
+    """Tree statistics printed by the source jobs (node count, depth,
     importances, class/feature counts, rule text)."""
     rep = {"num_features": model.numFeatures, "feature_importances": model.featureImportances.toArray().tolist(),
            "debug_string": model.toDebugString}
@@ -134,7 +134,7 @@ def set_threshold(model, t: float):
 def fit_als(df: DataFrame, iters: int = C.ALS_MAX_ITER, reg: float = C.ALS_REG,
             user_blocks: int = C.ALS_USER_BLOCKS, item_blocks: int = C.ALS_ITEM_BLOCKS,
             user: str = "uid", item: str = "urlid", rating: str = "label", rank: int = 10, seed: int = SEED):
-    """Explicit-feedback ALS (M10) with the reference's block counts.
+    """Explicit-feedback ALS (M10) with the source jobs' block counts.
 
     ALS ids must fit in a 32-bit int; use ``index_ids`` first for larger keys.
     """

@@ -69,7 +69,7 @@ def hash_split(df: DataFrame, key: str, train_pct: int) -> tuple[DataFrame, Data
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
-    """Random split (F8) as in the reference jobs; seeded."""
+    """Random split (F8) as in the source jobs; seeded."""
     return df.randomSplit(list(weights), seed)
 
 

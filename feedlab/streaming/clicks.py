@@ -1,6 +1,6 @@
 """Incremental click/show statistics with Structured Streaming.
 
-The reference recomputes per-url clicks and shows (A1) in batch over the
+The source jobs recompute per-url clicks and shows (A1) in batch over the
 whole impression export each time new part files land.  The same operator
 applied to a streaming DataFrame keeps the per-url totals as Spark state and
 only reads new files on each trigger.  Nothing new is computed: the

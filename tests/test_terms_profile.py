@@ -92,7 +92,7 @@ def test_expand_counts_restores_multiplicity(spark):
 
 
 def brute_force_features(log, attrs, pv, top_n=21):
-    """Per-impression reference computation in plain Python."""
+    """Per-impression brute-force computation in plain Python."""
     vec = defaultdict(dict)
     for u, t, w in pv:
         vec[u][t] = vec[u].get(t, 0.0) + w
