@@ -117,10 +117,10 @@ def net_sign(df: DataFrame, user: str = "uid", item: str = "urlid", label: str =
     page vector scaled by this one integer per pair instead of one vector per
     impression.
     """
+    from feedlab.operators.relational import drop_null_key
     one = F.col(count) if count else F.lit(1)
     s = F.when(F.col(label) != F.lit(0), one).otherwise(-one)
-    return (df.where(F.col(user).isNotNull())
-              .groupBy(user, item).agg(F.sum(s).cast("double").alias("net")))
+    return drop_null_key(df, user).groupBy(user, item).agg(F.sum(s).cast("double").alias("net"))
 
 
 def user_profile(log: DataFrame, page_vec: DataFrame, user: str = "uid", item: str = "urlid",

@@ -91,7 +91,8 @@ def pages_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return impressions(spark, sf_dir).select("uid", "urlid", "label")
+    from feedlab.operators.relational import select_cols
+    return select_cols(impressions(spark, sf_dir), ["uid", "urlid", "label"])
 
 
 def scores(spark: SparkSession, sf_dir: str, cutoff: float = 0.4) -> DataFrame:
