@@ -14,7 +14,7 @@ from feedlab.operators.features import train_feature
 from feedlab.operators.terms import page_vector
 from feedlab.operators.text import keywords
 from feedlab.session import materialize
-from feedlab.sources.tables import impressions, pages_info
+from feedlab.sources.tables import impressions, pages_info, table
 
 TITLE_K = C.TITLE_KEYWORDS
 CONTENT_K = C.CONTENT_KEYWORDS
@@ -57,7 +57,8 @@ def feed_json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     * ``title_term_score``: title keywords of the page · the user's profile of
       clicked-page title keywords (unsigned);
     * ``url_whole_term_score``: the signed whole-page score of the feature table.
-    Pages missing from the page table leave the three page columns null.
+    ``p_defination`` / ``p_beauty`` are null for pages without labels, as in
+    a warehouse export with missing values (dropped before training, F7).
     """
     from feedlab.operators.stats import lookup_join
     from feedlab.operators.terms import clicked_profile, pair_scores, rounded, term_score, user_profile_topn
@@ -75,7 +76,11 @@ def feed_json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
     first = imp.groupBy("urlid").agg(F.min(us).alias("_t0"))
     j = lookup_join(scored, first, "urlid", "inner", "url_first_ts")
-    j = j.join(pages.select("urlid", "pnum", "pdef", "pbeau"), "urlid", "left")
+    # definition / beauty as exported: null for pages without labels
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("urlid"),
+                                                   F.col("quality").cast("double").alias("pdef"),
+                                                   F.col("toxic").cast("double").alias("pbeau"))
+    j = j.join(pages.select("urlid", "pnum"), "urlid", "left").join(labels, "urlid", "left")
     j = lookup_join(j, tdot, ["uid", "urlid"], "left", "title_scores")
     return j.select(
         F.col("uid").alias("userid"), "label",

@@ -10,7 +10,7 @@ from feedlab.operators.stats import click_show, ctr_by_key, join_page
 from feedlab.plans import sql as S
 from feedlab.session import materialize
 from feedlab.plans.registry import query
-from feedlab.sources.tables import impressions, pages_info, ratings, scores
+from feedlab.sources.tables import impressions, pages_info, ratings, scores, table
 
 # Largest page table the map-side lookup (J4) will broadcast.
 PAGE_BROADCAST_MAX_ROWS = 1_000_000
@@ -98,14 +98,19 @@ def q_flt_true_positives(spark, sf_dir):
 
 
 @query("flt_complete_rows", S.with_(S.IMPRESSIONS, S.PAGES_INFO) + """
-SELECT i.event_id, i.uid, i.urlid, p.url, p.pnum, p.pdef
+SELECT i.event_id, i.uid, i.urlid, p.url, l.quality, l.toxic
 FROM impressions i LEFT JOIN pages_info p ON i.urlid = p.urlid
-WHERE p.url IS NOT NULL AND p.pnum IS NOT NULL AND p.pdef IS NOT NULL
+LEFT JOIN labels l ON i.urlid = l.doc_id
+WHERE p.url IS NOT NULL AND l.quality IS NOT NULL AND l.toxic IS NOT NULL
 """)
 def q_flt_complete_rows(spark, sf_dir):
+    # quality / toxic are null for pages without labels: rows with a missing
+    # feature are dropped
     imp = impressions(spark, sf_dir).select("event_id", "uid", "urlid")
-    j = imp.join(pages_info(spark, sf_dir).select("urlid", "url", "pnum", "pdef"), "urlid", "left")
-    return drop_incomplete(j, ["url", "pnum", "pdef"])
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("urlid"), "quality", "toxic")
+    j = (imp.join(pages_info(spark, sf_dir).select("urlid", "url"), "urlid", "left")
+            .join(labels, "urlid", "left"))
+    return drop_incomplete(j, ["url", "quality", "toxic"])
 
 
 @query("sql_view_query", S.with_(S.IMPRESSIONS, S.PAGES_INFO) + """

@@ -222,11 +222,12 @@ tscore AS (
 first_ts AS (SELECT urlid, min(epoch_us(ts)) AS t0 FROM impressions GROUP BY urlid),
 json_table AS (
   SELECT i.uid AS userid, i.label, (epoch_us(i.ts) - f.t0) / 1e6 AS ts_interval,
-         p.pnum AS p_num, p.pdef AS p_defination, p.pbeau AS p_beauty,
+         p.pnum AS p_num, CAST(l.quality AS DOUBLE) AS p_defination, CAST(l.toxic AS DOUBLE) AS p_beauty,
          """ + S.nz("round(coalesce(t.dot, 0.0), 6)") + """ AS title_term_score,
          ts.s_term_score AS url_whole_term_score
   FROM impressions i JOIN first_ts f ON i.urlid = f.urlid
   LEFT JOIN pages_info p ON i.urlid = p.urlid
+  LEFT JOIN labels l ON i.urlid = l.doc_id
   LEFT JOIN tscore t ON t.event_id = i.event_id
   JOIN term_score ts ON ts.event_id = i.event_id)
 """

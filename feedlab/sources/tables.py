@@ -23,9 +23,6 @@ from feedlab.operators.stats import click_show, ctr, lookup_join
 
 # Event types counted as a click (label 1); every other event is a show only.
 CLICK_EVENTS = ("click", "purchase")
-# Documents whose id is a multiple of this are left out of the page table, so
-# some impressions find no page (the left joins then carry real nulls).
-PAGE_GAP_MODULUS = 7
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,7 +63,7 @@ def first_line(c: Column) -> Column:
 
 def pages_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc_table = table(spark, sf_dir, "documents")
-    docs = doc_table.where(F.col("doc_id") % PAGE_GAP_MODULUS != 0)
+    docs = doc_table
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "url")
     j = docs.join(labels, "doc_id", "left").join(pages, "doc_id", "left")
