@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedlab.constants import POINT_ITEM_SEP, TAG_SEP, TERM_ITEM_SEP, TERM_KV_SEP, TOKEN_TRUNCATE
+from feedlab.constants import TAG_SEP, TERM_ITEM_SEP, TERM_KV_SEP, TOKEN_TRUNCATE
 from feedlab.functions.strings import MISSING, col_of, lit_regex, split_all
 
 TERM_STRUCT = "array<struct<term:string,weight:double>>"
