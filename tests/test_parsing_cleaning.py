@@ -102,3 +102,24 @@ def test_gbk_decode(spark):
     raw = open([f for f in __import__("glob").glob(p + "/part-*") if __import__("os").path.getsize(f)][0], "rb").read()
     assert raw == "1\t中文 abc\n".encode("gbk")
     assert read_lines(spark, p, charset="GBK").collect()[0].value == "1\t中文 abc"
+
+
+def test_compact_without_count_packs_small_files(spark):
+    import glob
+    df = spark.range(2000).select(F.col("id").cast("string").alias("v"))
+    src = scratch_path(spark, "many-small")
+    write_lines(df.repartition(40), src)
+    dst = scratch_path(spark, "packed")
+    compact(spark, src, dst)
+    parts = [f for f in glob.glob(dst + "/part-*")]
+    assert len(parts) < 40
+    assert read_lines(spark, dst).count() == 2000
+
+
+def test_json_schema_inferred(spark):
+    from feedlab.sources.readers import read_json
+    p = scratch_path(spark, "json-infer")
+    spark.createDataFrame([(1, "a", 0.5), (2, None, 1.5)], "k long, s string, x double").write.json(p)
+    t = read_json(spark, p)
+    assert dict(t.dtypes) == {"k": "bigint", "s": "string", "x": "double"}
+    assert sorted(r.k for r in t.collect()) == [1, 2]

@@ -195,3 +195,10 @@ def test_als_seeded_repeatable(spark):
     a = fit_als(df, 5, 0.01, 2, 2).userFactors.orderBy("id").collect()
     b = fit_als(df, 5, 0.01, 2, 2).userFactors.orderBy("id").collect()
     assert a == b
+
+
+def test_dense_index_skips_nulls_and_duplicates(spark):
+    from feedlab.operators.relational import dense_index
+    df = spark.createDataFrame([(3,), (None,), (3,), (10,), (-4,)], "k long")
+    got = sorted((r.k, r.i) for r in dense_index(df, "k", "i", n_buckets=4).collect())
+    assert got == [(-4, 0), (3, 1), (10, 2)]
