@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlab.constants import THRESHOLD_TOLERANCE
-from feedlab.operators.relational import range_buckets
+from feedlab.operators.relational import range_buckets, within_of_max
 
 N_BUCKETS = 256
 METRIC_DIGITS = 9
@@ -130,8 +130,7 @@ def best_threshold(curve: DataFrame, metric: str, tol: float = THRESHOLD_TOLERAN
     The curve is ordered by threshold descending, so "first row within
     tolerance" is the largest such threshold.  One row: ``(threshold, metric)``.
     """
-    mx = curve.agg(F.max(metric)).scalar()
-    near = curve.where(mx - F.col(metric) < F.lit(tol))
+    near = within_of_max(curve, metric, tol)
     best = near.agg(F.max(F.struct(threshold, metric)).alias("_b"))
     return best.select(F.col("_b")[threshold].alias(threshold), F.col("_b")[metric].alias(metric))
 

@@ -148,8 +148,9 @@ def clicked_profile(log: DataFrame, term_rows: DataFrame, user: str = "uid", ite
     Clicks are counted per (user, page) first, so each page's terms are
     joined once per pair and scaled by the click count.
     """
-    clicks = (log.where((F.col(label) > F.lit(0)) & F.col(user).isNotNull())
-                 .groupBy(user, item).agg(F.count(F.lit(1)).cast("double").alias("_c")))
+    from feedlab.operators.relational import drop_null_key, positives
+    clicks = (drop_null_key(positives(log, label), user)
+              .groupBy(user, item).agg(F.count(F.lit(1)).cast("double").alias("_c")))
     rows = clicks.join(term_rows, item).select(user, "term", (F.col("_c") * F.col("weight")).alias("weight"))
     return merge_terms(rows, user)
 
