@@ -161,11 +161,19 @@ def weighted_f1(df: DataFrame, pred: str = "prediction", label: str = "label") -
     p = F.col(pred).cast("double")
     y = F.col(label).cast("double")
     pairs = df.groupBy(y.alias("y"), p.alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    support = pairs.groupBy(F.col("y").alias("c")).agg(F.sum("n").alias("support"))
-    predicted = pairs.groupBy(F.col("p").alias("c")).agg(F.sum("n").alias("predicted"))
-    tp = pairs.where(F.col("y") == F.col("p")).select(F.col("y").alias("c"), F.col("n").alias("tp"))
-    per = (support.join(predicted, "c", "left").join(tp, "c", "left")
-                  .fillna(0, ["predicted", "tp"]))
+    # each (label, prediction) count adds to its label class (support, true
+    # positives) and to its predicted class (predicted): one more aggregate,
+    # no joins; classes seen only as predictions carry no weight
+    zero = F.lit(0).cast("long")
+    roles = pairs.select(F.explode(F.array(
+        F.struct(F.col("y").alias("c"), F.col("n").alias("support"),
+                 F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(zero).alias("tp"),
+                 zero.alias("predicted")),
+        F.struct(F.col("p").alias("c"), zero.alias("support"), zero.alias("tp"),
+                 F.col("n").alias("predicted")))).alias("r")).select("r.*")
+    per = (roles.groupBy("c").agg(F.sum("support").alias("support"), F.sum("tp").alias("tp"),
+                                  F.sum("predicted").alias("predicted"))
+                .where(F.col("support") > 0))
     prec = F.when(F.col("predicted") == 0, F.lit(0.0)).otherwise(F.col("tp") / F.col("predicted"))
     rec = F.col("tp") / F.col("support")
     f1 = F.when(prec + rec == 0, F.lit(0.0)).otherwise(2.0 * prec * rec / (prec + rec))

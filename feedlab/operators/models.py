@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlab import constants as C
+from feedlab.session import materialize
 
 SEED = 42
 STAT_DIGITS = 6
@@ -39,8 +40,10 @@ def chi2_stats(df: DataFrame, features: Sequence[str], label: str = "label") ->
         F.col(label).cast("double").alias("_y"),
         F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"))
                             for f in features])).alias("_s"))
-    cells = (stacked.select("_s.feature", "_s.value", "_y")
-                    .groupBy("feature", "value", "_y").agg(F.count(F.lit(1)).alias("o")))
+    # the cell table (features x values x labels) feeds four branches: write it once
+    cells = materialize(stacked.select("_s.feature", "_s.value", "_y")
+                               .groupBy("feature", "value", "_y").agg(F.count(F.lit(1)).alias("o")),
+                        "chi2_cells")
     rows = cells.groupBy("feature", "value").agg(F.sum("o").alias("r"))
     cols = cells.groupBy("feature", "_y").agg(F.sum("o").alias("c"))
     tot = cells.groupBy("feature").agg(F.sum("o").alias("t"), F.countDistinct("value").alias("nv"),
