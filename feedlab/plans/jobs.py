@@ -121,3 +121,40 @@ def model_job(spark: SparkSession, features: DataFrame, out_path: str, max_iter:
             ("auc_roc", float(auc_roc(scored).first()["auc_roc"])),
             ("auc_pr", float(auc_pr(scored).first()["auc_pr"]))]
     return spark.createDataFrame(rows, "metric string, value double")
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line for the jobs (``spark-submit -m`` style)::
+
+        python -m feedlab.plans.jobs features --impressions IMP --pages PAGES --out OUT [--fmt csv] [--charset GBK]
+        python -m feedlab.plans.jobs text --pages PAGES --out OUT [--size 128] [--min-count 2]
+
+    The session comes from ``SparkSession.builder.getOrCreate()``, so cluster
+    settings (master, ``spark.checkpoint.dir``) are taken from the submission.
+    """
+    import argparse
+    ap = argparse.ArgumentParser(prog="feedlab.plans.jobs")
+    sub = ap.add_subparsers(dest="job", required=True)
+    f = sub.add_parser("features")
+    f.add_argument("--impressions", required=True)
+    f.add_argument("--pages", required=True)
+    f.add_argument("--out", required=True)
+    f.add_argument("--fmt", default="csv")
+    f.add_argument("--charset", default=None)
+    t = sub.add_parser("text")
+    t.add_argument("--pages", required=True)
+    t.add_argument("--out", required=True)
+    t.add_argument("--charset", default=None)
+    t.add_argument("--size", type=int, default=C.W2V_SIZE)
+    t.add_argument("--min-count", type=int, default=C.W2V_MIN_COUNT)
+    args = ap.parse_args(argv)
+    spark = SparkSession.builder.getOrCreate()
+    if args.job == "features":
+        feature_job(spark, args.impressions, args.pages, args.out, fmt=args.fmt, charset=args.charset)
+    else:
+        text_job(spark, args.pages, args.out, charset=args.charset, vector_size=args.size,
+                 min_count=args.min_count)
+
+
+if __name__ == "__main__":
+    main()

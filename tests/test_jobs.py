@@ -49,3 +49,11 @@ def test_text_and_model_jobs(spark):
     feats = E.queries()["train_feature"](spark, SF_SMALL)
     m = {r.metric: r.value for r in model_job(spark, feats, scratch_path(spark, "model")).collect()}
     assert 0.0 <= m["auc_roc"] <= 1.0 and 0.0 <= m["best_threshold"] <= 1.0
+
+
+def test_feature_job_command_line(spark):
+    from feedlab.plans.jobs import main
+    imp_path, page_path = _exports(spark)
+    out = scratch_path(spark, "cli-features")
+    main(["features", "--impressions", imp_path, "--pages", page_path, "--out", out, "--fmt", "parquet"])
+    assert spark.read.parquet(out).count() == E.queries()["train_feature"](spark, SF_SMALL).count()
