@@ -42,3 +42,17 @@ def test_scan_prunes_columns(spark):
 def test_topn_uses_window_group_limit(spark):
     plan = plan_text(E.queries()["user_profile_topn"](spark, SF_SMALL))
     assert "WindowGroupLimit" in plan
+
+
+def test_spread_only_narrow_tables(spark):
+    from feedlab.session import scratch_path
+    from feedlab.sources.tables import spread_if_few_files
+    par = spark.sparkContext.defaultParallelism
+    wide_path = scratch_path(spark, "wide")
+    spark.range(10_000).repartition(par * 2).write.parquet(wide_path)
+    narrow_path = scratch_path(spark, "narrow")
+    spark.range(10_000).coalesce(1).write.parquet(narrow_path)
+    wide = spark.read.parquet(wide_path)
+    narrow = spark.read.parquet(narrow_path)
+    assert spread_if_few_files(wide) is wide                      # no extra shuffle
+    assert "RoundRobinPartitioning" in plan_text(spread_if_few_files(narrow))
