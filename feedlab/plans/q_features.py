@@ -179,8 +179,10 @@ def q_join_user_profile(spark, sf_dir):
 SELECT event_id, s_term_score FROM term_score
 """)
 def q_term_score(spark, sf_dir):
+    from feedlab.session import materialize
     imp = impressions(spark, sf_dir).select("event_id", "uid", "urlid", "label")
-    pv = feed_page_vector(pages_info(spark, sf_dir))
+    # the page vector feeds the profile and the scores: written once
+    pv = materialize(feed_page_vector(pages_info(spark, sf_dir)), "page_vector")
     prof = user_profile_topn(imp, pv, n=21)
     return term_score(imp, pv, prof).select("event_id", "s_term_score")
 
