@@ -40,14 +40,11 @@ def all_queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
-QUERY_MODULES = ("q_core", "q_io", "q_text", "q_terms", "q_features", "q_eval", "q_models", "q_embed")
+QUERY_MODULES = ("q_core", "q_io", "q_text", "q_features", "q_eval", "q_models", "q_embed")
 
 
 def _load() -> None:
     # Importing the query modules fills the registry.
     import importlib
-    import importlib.util
     for m in QUERY_MODULES:
-        name = f"feedlab.plans.{m}"
-        if importlib.util.find_spec(name) is not None:
-            importlib.import_module(name)
+        importlib.import_module(f"feedlab.plans.{m}")

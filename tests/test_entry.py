@@ -47,3 +47,29 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert norm(df.columns, [tuple(r) for r in df.collect()]) == norm(dcols, res.fetchall())
+
+
+def test_registry_imports_without_the_jars(tmp_path):
+    """Importing the registry and building the oracle texts reads no file of the
+    Spark installation: it works with an empty ``jars`` folder and no JVM."""
+    import subprocess
+    import sys
+    code = ("import glob, zipfile\n"
+            "glob.glob = lambda *a, **k: []\n"
+            "def no(*a, **k): raise OSError('no archive')\n"
+            "zipfile.ZipFile = no\n"
+            "import __spark_entry__ as e\n"
+            "print(len(e.queries()), len(e.oracle_sql()))\n")
+    import os
+    repo = os.path.dirname(os.path.abspath(E.__file__))
+    out = subprocess.run([sys.executable, "-c", code], cwd=repo, capture_output=True, text=True,
+                         env=os.environ | {"SPARK_HOME": str(tmp_path)})
+    assert out.returncode == 0, out.stderr
+    n_queries, n_sql = map(int, out.stdout.split())
+    assert n_queries >= 96 and n_sql >= 75
+
+
+def test_stop_words_equal_the_library_list(spark):
+    from pyspark.ml.feature import StopWordsRemover
+    from feedlab.constants import ENGLISH_STOP_WORDS
+    assert list(ENGLISH_STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english")
