@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +39,24 @@ def keep_rows(docs: DataFrame, kept_ids: DataFrame, doc_id: str = "doc_id") -> D
     column one stays.  A row with a null id has no match and does not stay."""
     ids = kept_ids.select(F.col(kept_ids.columns[0]).alias(doc_id)).distinct()
     return docs.join(ids, doc_id, "left_semi").dropDuplicates()
+
+
+_shipped: set[str] = set()
+
+
+def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this package on the executors' path.
+
+    The package is added to the job's Python files once per application, so the
+    functions run whatever folder the executors' Python starts in.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[2]
+        file = Path(tempfile.mkdtemp(prefix="feedlab-py-")) / "feedlab.zip"
+        with zipfile.ZipFile(file, "w") as z:
+            for p in sorted((root / "feedlab").rglob("*.py")):
+                z.write(p, p.relative_to(root).as_posix())
+        sc.addPyFile(str(file))
+        _shipped.add(sc.applicationId)
+    return df.mapInArrow(function, schema)

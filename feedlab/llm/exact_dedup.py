@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlab.llm.common import SPACES, materialize, shuffle_partitions, text_bytes
+from feedlab.llm.common import SPACES, map_arrow, materialize, shuffle_partitions, text_bytes
 
 # Bytes of distinct content that a scan task or a bucket's table holds at a time.
 TABLE_BYTES = 48 << 20
@@ -218,11 +218,11 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text"),
                       F.length(F.coalesce(F.col(text), F.lit(""))).cast("long").alias("chars"))
-    local = materialize(src.mapInArrow(_collapse(table_bytes), _LOCAL_DDL), "exact-local")
+    local = materialize(map_arrow(src, _collapse(table_bytes), _LOCAL_DDL), "exact-local")
     reps = (local.filter(F.col("content").isNotNull())
             .select("bucket", "content", "rep_id", "size", "chars", "best_id", "best_row")
             .repartition(shuffle_partitions(spark), "bucket"))
-    verdict = materialize(reps.mapInArrow(_decide(table_bytes), _VERDICT_DDL), "exact-verdict")
+    verdict = materialize(map_arrow(reps, _decide(table_bytes), _VERDICT_DDL), "exact-verdict")
     return (local.select("row_id", "doc_id", "rep_id").join(verdict, "rep_id")
             .select("doc_id", "keep_id", "group_size", (F.col("row_id") == F.col("keep_row")).alias("kept"),
                     "text_sha256"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlab.llm.common import SPACES, text_bytes, without_spaces
+from feedlab.llm.common import SPACES, map_arrow, text_bytes, without_spaces
 
 SYMBOLS = "#*$%&|<>"
 WINDOW_WORDS = 3
@@ -114,7 +114,7 @@ def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules=RU
                       (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long").alias("n_symbols"),
                       text_bytes(text).alias("__text"))
     id_type = src.schema["doc_id"].dataType.simpleString()
-    measured = src.mapInArrow(_measure, f"doc_id {id_type}, word_chars long, n_symbols long, n_words long, "
+    measured = map_arrow(src, _measure, f"doc_id {id_type}, word_chars long, n_symbols long, n_words long, "
                                         "n_lines long, n_dup_lines long, n_repeat_words long")
     return measured.select("doc_id", *MEASURES, failure_bits(rules).alias("failures"))
 

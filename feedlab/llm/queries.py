@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from feedlab.llm import quality_ledger
 from feedlab.llm.common import read_table
+from feedlab.session import scratch_path
 from feedlab.llm.exact_dedup import exact_dedup
+from feedlab.llm.packing import pack_documents
 from feedlab.llm.simhash import near_duplicates
+from feedlab.llm.token_files import token_index, write_token_files
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +44,11 @@ def op1(spark, sf_dir):
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+@op("op3_packing")
+def op3(spark, sf_dir):
+    return pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 _KEPT_SQL = "NOT (" + " OR ".join(f"({r.failed})" for r in quality_ledger.RULES
                                   if quality_ledger.POLICIES[quality_ledger.DEFAULT_POLICY] >> r.bit & 1) + ")"
 
@@ -76,3 +84,10 @@ def op7(spark, sf_dir):
 @op("op8_simhash")
 def op8(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@op("op10_token_files")
+def op10(spark, sf_dir):
+    path = scratch_path(spark, "token-files")
+    write_token_files(read_table(spark, sf_dir, "documents"), path)
+    return token_index(spark, path)

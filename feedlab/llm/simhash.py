@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from feedlab.llm.common import materialize, text_bytes
+from feedlab.llm.common import map_arrow, materialize, text_bytes
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -62,8 +62,8 @@ def _fingerprints(shingle_words: int):
 def simhash(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, fp: the fingerprint as a signed 64-bit integer."""
-    return (docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text"))
-            .mapInArrow(_fingerprints(shingle_words), "doc_id long, fp long"))
+    return map_arrow(docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text")),
+                     _fingerprints(shingle_words), "doc_id long, fp long")
 
 
 def bit_blocks(radius: int) -> list[tuple[int, int]]:
@@ -138,7 +138,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame
               .join(tiles.select(*key, F.col("tile").alias("tile2"), F.col("fps").alias("fb"),
                                  F.col("ids").alias("nb")), [*key, "tile2"])
               .select("fa", "na", "fb", "nb", F.lit(False).alias("same")))
-    return within.unionByName(across).mapInArrow(_compare(radius), "a long, b long")
+    return map_arrow(within.unionByName(across), _compare(radius), "a long, b long")
 
 
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
