@@ -11,6 +11,7 @@ from feedlab.llm.common import read_table
 from feedlab.session import scratch_path
 from feedlab.llm.exact_dedup import exact_dedup
 from feedlab.llm.packing import pack_documents
+from feedlab.llm.pii import replace_pii
 from feedlab.llm.simhash import near_duplicates
 from feedlab.llm.token_files import token_index, write_token_files
 
@@ -86,6 +87,18 @@ def op8(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def pii_key(spark) -> bytes:
+    """The surrogates' key: the session's ``spark.feedlab.pii.key``.  Without one
+    a fixed key is used, which is fit for tests only."""
+    return spark.conf.get("spark.feedlab.pii.key", "feedlab-test-key").encode()
+
+
+@op("op9_pii")
+def op9(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_pii(docs, pii_key(spark))
+
+
 @op("op10_token_files")
 def op10(spark, sf_dir):
     path = scratch_path(spark, "token-files")
