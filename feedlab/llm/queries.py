@@ -12,6 +12,7 @@ from feedlab.session import scratch_path
 from feedlab.llm.exact_dedup import exact_dedup
 from feedlab.llm.packing import pack_documents
 from feedlab.llm.pii import replace_pii
+from feedlab.llm.sentencepiece_stream import encode_pieces
 from feedlab.llm.simhash import near_duplicates
 from feedlab.llm.token_files import token_index, write_token_files
 
@@ -45,6 +46,11 @@ def op1(spark, sf_dir):
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+@op("op2_sentencepiece")
+def op2(spark, sf_dir):
+    return encode_pieces(read_table(spark, sf_dir, "documents"))
+
+
 @op("op3_packing")
 def op3(spark, sf_dir):
     return pack_documents(read_table(spark, sf_dir, "documents"))
