@@ -10,6 +10,7 @@ from feedlab.llm import quality_ledger
 from feedlab.llm.common import read_table
 from feedlab.session import scratch_path
 from feedlab.llm.exact_dedup import exact_dedup
+from feedlab.llm.html_style_tree import extract_main_text
 from feedlab.llm.packing import pack_documents
 from feedlab.llm.pii import replace_pii
 from feedlab.llm.sentencepiece_stream import encode_pieces
@@ -110,3 +111,8 @@ def op10(spark, sf_dir):
     path = scratch_path(spark, "token-files")
     write_token_files(read_table(spark, sf_dir, "documents"), path)
     return token_index(spark, path)
+
+
+@op("op6_html_extraction")
+def op6(spark, sf_dir):
+    return extract_main_text(read_table(spark, sf_dir, "pages"))
