@@ -15,6 +15,7 @@ from feedlab.llm.packing import pack_documents
 from feedlab.llm.pii import replace_pii
 from feedlab.llm.sentencepiece_stream import encode_pieces
 from feedlab.llm.simhash import near_duplicates
+from feedlab.llm.substring_dedup import substring_dedup
 from feedlab.llm.token_files import token_index, write_token_files
 
 QUERIES: dict = {}
@@ -116,3 +117,24 @@ def op10(spark, sf_dir):
 @op("op6_html_extraction")
 def op6(spark, sf_dir):
     return extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
+SUBSTRING_SQL = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM g) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM r),
+g2 AS (SELECT doc_id, list(p) AS ps, count(*) AS n_removed FROM gone GROUP BY doc_id),
+k AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, w,
+             coalesce(ps, []) AS ps FROM d LEFT JOIN g2 USING (doc_id)),
+u AS (SELECT doc_id, i, w[i] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM k)),
+t AS (SELECT u.doc_id, string_agg(x, ' ' ORDER BY u.i) AS s
+      FROM u LEFT JOIN gone ON u.doc_id = gone.doc_id AND u.i = gone.p WHERE gone.p IS NULL GROUP BY u.doc_id)
+SELECT k.doc_id, n_words, n_removed, sha256(coalesce(t.s, '')) AS kept_sha256 FROM k LEFT JOIN t USING (doc_id)
+"""
+
+
+@op("op5_substring_dedup", SUBSTRING_SQL)
+def op5(spark, sf_dir):
+    return substring_dedup(read_table(spark, sf_dir, "documents"), with_text=False)
