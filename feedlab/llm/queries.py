@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from feedlab.llm import quality_ledger
 from feedlab.llm.common import read_table
+from feedlab.llm.weak_quality import score_quality
 from feedlab.session import scratch_path
 from feedlab.llm.exact_dedup import exact_dedup
 from feedlab.llm.html_style_tree import extract_main_text
@@ -119,6 +120,11 @@ def op6(spark, sf_dir):
     return extract_main_text(read_table(spark, sf_dir, "pages"))
 
 
+@op("op4_quality_classifier")
+def op4(spark, sf_dir):
+    return score_quality(read_table(spark, sf_dir, "documents"))
+
+
 SUBSTRING_SQL = rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
