@@ -34,13 +34,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def keep_rows(docs: DataFrame, kept_ids: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id is in ``kept_ids``; of rows equal in every
-    column one stays.  A row with a null id has no match and does not stay."""
-    ids = kept_ids.select(F.col(kept_ids.columns[0]).alias(doc_id)).distinct()
-    return docs.join(ids, doc_id, "left_semi").dropDuplicates()
-
-
 _shipped: set[str] = set()
 
 

@@ -100,8 +100,10 @@ def failure_bits(rules=RULES) -> Column:
     return bits
 
 
-def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules=RULES) -> DataFrame:
-    """doc_id, the measurements and ``failures`` (a bit per failed rule), one row per row.
+def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules=RULES,
+           carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the measurements, ``failures`` (a bit per failed rule) and the
+    columns ``carry``, one row per row.
 
     A null text has no words.  Words are runs of characters outside
     U+0009-U+000D and space; lines are what stands between \\n.  Null and
@@ -112,11 +114,13 @@ def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules=RU
     src = docs.select(F.col(doc_id).alias("doc_id"),
                       F.length(without_spaces(whole)).cast("long").alias("word_chars"),
                       (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-                      text_bytes(text).alias("__text"))
-    id_type = src.schema["doc_id"].dataType.simpleString()
-    measured = map_arrow(src, _measure, f"doc_id {id_type}, word_chars long, n_symbols long, n_words long, "
-                                        "n_lines long, n_dup_lines long, n_repeat_words long")
-    return measured.select("doc_id", *MEASURES, failure_bits(rules).alias("failures"))
+                      text_bytes(text).alias("__text"),
+                      *[F.col(c).alias(f"__carry{i}") for i, c in enumerate(carry)])
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields if f.name != "__text")
+    measured = map_arrow(src, _measure, ddl + ", n_words long, n_lines long, n_dup_lines long, n_repeat_words long")
+    own = ["doc_id", *MEASURES]
+    return measured.select(*[F.col(c) for c in own if c not in carry], failure_bits(rules).alias("failures"),
+                           *[F.col(f"__carry{i}").alias(c) for i, c in enumerate(carry)])
 
 
 def passes(policy: str | int, failures: str = "failures") -> Column:
