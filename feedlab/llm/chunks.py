@@ -9,13 +9,14 @@ unsigned 32-bit bytes, so a text's ids are one ``bytes.join``.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
 # Chunks and words remembered per Python worker, and the longest text of one.
-MEMO_CHUNKS = 250_000
-MEMO_WORDS = 600_000
+MEMO_CHUNKS = 300_000
+MEMO_WORDS = 900_000
 MEMO_CHARS = 48
 
 # Latin-1 letters, then punctuation without the apostrophe (which begins
@@ -50,15 +51,33 @@ class _Memo(dict):
         return ids
 
 
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies:
+    itself if Latin-1 shows it, else the next one from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
+_CHARACTERS = _byte_characters()
+
+
 class _Encoder:
     def __init__(self, path: str):
         self.tokenizer = _load(path)
+        self.merge = self.tokenizer.model.tokenize
         self.chunks = _Memo(self.chunk, MEMO_CHUNKS)
         self.marks = _Memo(self.whole, 10_000)
 
     def whole(self, text: str) -> bytes:
         return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def word(self, word: str) -> bytes:
+        """Ids of one pre-token, by the library's model alone."""
+        if not word.isascii() or word[0] == " ":
+            word = word.encode().decode("latin-1").translate(_CHARACTERS)
+        return array("I", [t.id for t in self.merge(word)]).tobytes()
+
 
 class SpaceKeepingEncoder(_Encoder):
     """Byte-level BPE whose pre-tokens are words with one leading space.
@@ -70,8 +89,8 @@ class SpaceKeepingEncoder(_Encoder):
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.words = _Memo(lambda w: self.whole(" " + w), MEMO_WORDS)
-        self.bare = _Memo(self.whole, MEMO_CHUNKS)
+        self.words = _Memo(lambda w: self.word(" " + w), MEMO_WORDS)
+        self.bare = _Memo(self.word, MEMO_CHUNKS)
 
     def chunk(self, text: str) -> bytes:
         if m := _WORD.fullmatch(text):
@@ -96,7 +115,7 @@ class SpaceDroppingEncoder(_Encoder):
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.words = _Memo(self.whole, MEMO_WORDS)
+        self.words = _Memo(self.word, MEMO_WORDS)
 
     def chunk(self, text: bytes) -> bytes:
         text = text.decode()
