@@ -45,11 +45,12 @@ CHI2_TOP_FEATURES = 3
 ALS_MAX_ITER, ALS_REG, ALS_USER_BLOCKS, ALS_ITEM_BLOCKS = 10, 0.01, 20, 100
 ALS_TOP_K = 10
 TRAIN_SPLIT_ALS = (0.8, 0.2)
-TRAIN_SPLIT_CLASSIFIER = (0.9, 0.1)
+TRAIN_SPLIT_CLASSIFIER = (0.99, 0.01)   # 0.9 / 0.1 in the development job
 
 # embeddings
 W2V_SIZE = 128                   # 16 in the smaller job
 W2V_MIN_COUNT = 2
+W2V_PARTITIONS = 8               # training shards: part of the model, so not taken from the cluster (own value)
 SYNONYMS_K = 5
 SIMILARITY_DIGITS = 5
 

@@ -61,8 +61,9 @@ def unquote(c) -> Column:
 
 
 def join_fields(cols, sep: str = "\t") -> Column:
-    """Re-join fields with a separator (C6); null fields are skipped."""
-    return F.concat_ws(sep, *[col_of(c) for c in cols])
+    """Re-join fields with a separator (C6); a null field is an empty one, so
+    later fields keep their places."""
+    return F.concat_ws(sep, *[F.coalesce(col_of(c).cast("string"), F.lit("")) for c in cols])
 
 
 def fmt_fixed(c, digits: int = SIMILARITY_DIGITS) -> Column:

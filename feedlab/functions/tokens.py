@@ -25,9 +25,3 @@ def tokenize(c, pattern: str = TOKEN_PATTERN) -> Column:
 
 # Character class of one token start, for "has at least one token" checks.
 TOKEN_CHAR = r"[a-zà-ÿ]|\p{IsHan}"
-
-
-def has_token(c, char_pattern: str = TOKEN_CHAR) -> Column:
-    """True when the text holds at least one token (stops at the first hit,
-    much cheaper than extracting all tokens)."""
-    return F.coalesce(F.lower(col_of(c)).rlike(char_pattern), F.lit(False))

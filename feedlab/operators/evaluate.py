@@ -6,9 +6,9 @@ Binary curves (ROC, PR, precision/F by threshold) need, per distinct score
 task, so the cumulative counts are computed in two levels:
 
 1. rows are reduced to one row per distinct score (partial + final agg);
-2. distinct scores are cut into ``n_buckets`` score ranges (approximate
-   quantiles, one aggregate pass); bucket totals (``n_buckets`` rows, a
-   proven bound) are prefix-summed in one small task and broadcast;
+2. distinct scores are cut into score ranges of about half a million rows
+   (approximate quantiles, one aggregate pass); range totals (one row each)
+   are prefix-summed in one small task;
 3. inside each bucket a window partitioned by bucket adds the local
    running sum to the bucket's offset.
 
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from feedlab.constants import THRESHOLD_TOLERANCE
 from feedlab.operators.relational import range_buckets, within_of_max
+from feedlab.session import materialize
 
-N_BUCKETS = 256
 METRIC_DIGITS = 9
 
 
@@ -41,9 +41,10 @@ def score_counts(df: DataFrame, score: str = "score", label: str = "label") -> D
 
 
 def cumulative_counts(df: DataFrame, score: str = "score", label: str = "label",
-                      n_buckets: int = N_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = None) -> DataFrame:
     """``(score, pos, neg, tp, fp, P, N)``: tp/fp are counts at score >= s."""
-    counts = score_counts(df, score, label)
+    # read by the bounds, the range totals and the curve: written once
+    counts = materialize(score_counts(df, score, label), "score_counts")
     # bucket 0 holds the highest scores
     b = range_buckets(counts, "score", n_buckets, out="bucket", descending=True)
     tot = b.groupBy("bucket").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
@@ -56,7 +57,7 @@ def cumulative_counts(df: DataFrame, score: str = "score", label: str = "label",
     totals = tot.agg(F.struct(F.sum("bp").alias("P"), F.sum("bn").alias("N"))).scalar()
     inside = Window.partitionBy("bucket").orderBy(F.col("score").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    cum = (b.join(F.broadcast(off), "bucket")
+    cum = (b.join(off, "bucket")
             .select("score", "pos", "neg",
                     (F.col("off_p") + F.sum("pos").over(inside)).alias("tp"),
                     (F.col("off_n") + F.sum("neg").over(inside)).alias("fp"),
@@ -85,11 +86,6 @@ def precision_by_threshold(df: DataFrame, score: str = "score", label: str = "la
     return c.select(F.col("score").alias("threshold"), _precision().alias("precision"))
 
 
-def recall_by_threshold(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    c = cumulative_counts(df, score, label)
-    return c.select(F.col("score").alias("threshold"), _recall().alias("recall"))
-
-
 def f_measure(p: Column, r: Column, beta: float = 1.0) -> Column:
     b2 = beta * beta
     return F.when(p + r == 0, F.lit(0.0)).otherwise((1.0 + b2) * p * r / (F.lit(b2) * p + r))

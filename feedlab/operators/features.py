@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from feedlab import constants as C
 from feedlab.operators.stats import ctr
-from feedlab.operators.terms import (merge_terms, pair_scores, rounded, top_n_per_key)
+from feedlab.operators.terms import (merge_terms, pair_scores, pair_scores_topn, rounded, top_n_per_key)
 from feedlab.functions.terms import sign_weight
 from feedlab.session import materialize
 
@@ -62,7 +62,14 @@ def page_defaults(df: DataFrame) -> DataFrame:
 
 def train_feature(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
                   top_n: int | None = C.PROFILE_TOP_N, with_click_stats: bool = True) -> DataFrame:
-    """Feature rows for every impression (M1).
+    """Feature rows for every impression (M1): ``feature_groups``, each row as
+    often as its impressions."""
+    return expand_counts(feature_groups(log, page_attrs, page_vec, top_n, with_click_stats))
+
+
+def feature_groups(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
+                   top_n: int | None = C.PROFILE_TOP_N, with_click_stats: bool = True) -> DataFrame:
+    """Feature row and ``cnt`` per ``(uid, urlid, label)`` group of impressions.
 
     ``log``: ``(uid, urlid, label)``; ``page_attrs``: ``(urlid, pnum, pdef,
     pbeau)``; ``page_vec``: ``(urlid, term, weight)``.  The user profile sums
@@ -93,16 +100,11 @@ def train_feature(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
     profile = merge_terms(prof_rows, "uid")
     if top_n is not None:
         profile = top_n_per_key(profile, "uid", [F.col("weight").desc(), F.col("term").asc()], top_n)
-    dots = pair_scores(pairs, page_vec, profile)
+    dots = (pair_scores if top_n is None else pair_scores_topn)(pairs, page_vec, profile)
 
     url_side = page_attrs.select("urlid", "pnum", "pdef", "pbeau")
     if with_click_stats:
         url_side = stats.join(url_side, "urlid", "left")
-    # One row per url, written once: the join below then has a plain shuffle
-    # on both sides, so AQE can broadcast the url side or split the
-    # partition of a url that a third of all users saw (skew join splitting
-    # needs both join inputs to be shuffle stages).
-    url_side = materialize(url_side, "url_features")
     feat = (groups.join(url_side, "urlid", "left")
                   .join(dots, ["uid", "urlid"], "left"))
     feat = page_defaults(feat)
@@ -111,7 +113,7 @@ def train_feature(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
     if with_click_stats:
         cols += [F.col("sumclick"), F.col("sumshow"), ctr(F.col("sumclick"), F.col("sumshow")).alias("ctr")]
     cols += [F.col("pnum"), F.col("pdef"), F.col("pbeau"), score.alias("s_term_score"), F.col("cnt")]
-    return expand_counts(feat.select(*cols))
+    return feat.select(*cols)
 
 
 def assemble(df: DataFrame, cols: list[str], label: str = "label", out: str = "features",

@@ -8,6 +8,7 @@ also computed natively from contingency counts so they can be checked in SQL.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
@@ -26,28 +27,29 @@ STAT_DIGITS = 6
 
 # --------------------------------------------------------------- chi-square
 
-def chi2_stats(df: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
+def chi2_stats(df: DataFrame, features: Sequence[str], label: str = "label", count: str | None = None) -> DataFrame:
     """Pearson chi-square of each (categorical) feature against the label (M4).
 
     ``(feature, statistic, dof)``.  With O the observed count of a
     (value, label) cell, r and c its row/column totals and T the total,
     statistic = Σ_nonzero O²·T/(r·c) − T, equal to Σ (O−E)²/E over all
     cells.  All counts are grouped aggregates over the stacked
-    ``(feature, value, label)`` rows; continuous features should be binned
-    first (``bin_columns``) so the tables stay small.
+    ``(feature, value, label)`` rows.  ``count`` names a column of
+    multiplicities, for rows that are already reduced to groups.
     """
     stacked = df.select(
-        F.col(label).cast("double").alias("_y"),
+        F.col(label).cast("double").alias("_y"), (F.col(count) if count else F.lit(1)).cast("long").alias("_c"),
         F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"))
                             for f in features])).alias("_s"))
     # the cell table (features x values x labels) feeds four branches: write it once
-    cells = materialize(stacked.select("_s.feature", "_s.value", "_y")
-                               .groupBy("feature", "value", "_y").agg(F.count(F.lit(1)).alias("o")),
+    cells = materialize(stacked.select("_s.feature", "_s.value", "_y", "_c")
+                               .groupBy("feature", "value", "_y").agg(F.sum("_c").alias("o")),
                         "chi2_cells")
     rows = cells.groupBy("feature", "value").agg(F.sum("o").alias("r"))
     cols = cells.groupBy("feature", "_y").agg(F.sum("o").alias("c"))
-    tot = cells.groupBy("feature").agg(F.sum("o").alias("t"), F.countDistinct("value").alias("nv"),
-                                       F.countDistinct("_y").alias("ny"))
+    # null is a value of the tables above but not a distinct one
+    tot = (rows.groupBy("feature").agg(F.sum("r").alias("t"), F.count("value").alias("nv"))
+           .join(cols.groupBy("feature").agg(F.count("_y").alias("ny")), "feature"))
     j = cells.join(rows, ["feature", "value"]).join(cols, ["feature", "_y"]).join(tot, "feature")
     term = F.col("o").cast("double") * F.col("o") * F.col("t") / (F.col("r").cast("double") * F.col("c"))
     agg = j.groupBy("feature").agg(F.sum(term).alias("s"), F.max("t").alias("t"), F.max("nv").alias("nv"),
@@ -56,26 +58,46 @@ def chi2_stats(df: DataFrame, features: Sequence[str], label: str = "label") ->
                       ((F.col("nv") - 1) * (F.col("ny") - 1)).cast("long").alias("dof"))
 
 
-def bin_columns(df: DataFrame, cols: Sequence[str], n_bins: int = 100, relative_error: float = 1e-3) -> DataFrame:
-    """Replace continuous columns by their quantile-bin index (for chi-square
-    selection of columns with many distinct values)."""
-    from pyspark.ml.feature import QuantileDiscretizer
-    qd = QuantileDiscretizer(inputCols=list(cols), outputCols=[f"{c}__bin" for c in cols], numBuckets=n_bins,
-                             relativeError=relative_error, handleInvalid="keep")
-    out = qd.fit(df).transform(df)
-    for c in cols:
-        out = out.drop(c).withColumnRenamed(f"{c}__bin", c)
-    return out
-
-
-def chi2_select(df: DataFrame, features_col: str = "features", label: str = "label",
-                k: int = C.CHI2_TOP_FEATURES):
-    """Top-``k`` features by chi-square test (M4); returns the fitted model."""
-    from pyspark.ml.feature import UnivariateFeatureSelector
-    sel = UnivariateFeatureSelector(featuresCol=features_col, labelCol=label, outputCol="selected",
-                                    selectionMode="numTopFeatures")
-    sel.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(k)
-    return sel.fit(df)
+def _log_gamma_q(a: float, x: float) -> float:
+    """ln of the upper regularised incomplete gamma function Q(a, x): the series
+    of its complement below the mean, Lentz's continued fraction above."""
+    if x <= 0:
+        return 0.0
+    if x < a + 1:
+        term = total = 1.0 / a
+        n = a
+        while term > total * 1e-16:
+            n += 1
+            term *= x / n
+            total += term
+        return math.log1p(-min(math.exp(math.log(total) - x + a * math.log(x) - math.lgamma(a)), 1 - 1e-16))
+    b, c = x + 1 - a, 1e300
+    d = h = 1.0 / b
+    for i in range(1, 100_000):
+        an = -i * (i - a)
+        b += 2
+        d = 1.0 / (an * d + b)
+        c = b + an / c
+        h *= d * c
+        if abs(d * c - 1) < 1e-15:
+            break
+    return math.log(h) - x + a * math.log(x) - math.lgamma(a)
+
+
+def chi2_p_value(statistic: float, dof: int) -> float:
+    """Probability of a chi-square statistic at least this large."""
+    return 1.0 if dof <= 0 else math.exp(_log_gamma_q(dof / 2, statistic / 2))
+
+
+def chi2_select(stats: DataFrame, features: Sequence[str], k: int = C.CHI2_TOP_FEATURES) -> list[tuple[int, str]]:
+    """The ``k`` features of smallest chi-square p-value, as (index, name) in
+    index order (M4); equal p-values keep the features' order, as MLlib's
+    selector does.  ``stats`` is ``chi2_stats`` of the same features: one row
+    each, from the exact cells, so columns of any number of values work.
+    """
+    p = {r["feature"]: chi2_p_value(r["statistic"], r["dof"]) for r in stats.collect()}
+    best = sorted(range(len(features)), key=lambda i: (p[features[i]], i))[:k]
+    return [(i, features[i]) for i in sorted(best)]
 
 
 # ------------------------------------------------------------ classifiers
@@ -124,14 +146,11 @@ def tree_report(model) -> dict:
         if hasattr(model, attr):
             v = getattr(model, attr)
             rep[attr] = list(v) if isinstance(v, (list, tuple)) else v
+    if hasattr(model, "trees"):
+        rep["trees"] = [f"depth {t.depth}, {t.numNodes} nodes" for t in model.trees]
     return rep
 
 
-def set_threshold(model, t: float):
-    """Set the decision threshold on the fitted model (M13; not on the estimator)."""
-    return model.setThreshold(t)
-
-
 # --------------------------------------------------------------------- ALS
 
 def fit_als(df: DataFrame, iters: int = C.ALS_MAX_ITER, reg: float = C.ALS_REG,
@@ -139,62 +158,72 @@ def fit_als(df: DataFrame, iters: int = C.ALS_MAX_ITER, reg: float = C.ALS_REG,
             user: str = "uid", item: str = "urlid", rating: str = "label", rank: int = 10, seed: int = SEED):
     """Explicit-feedback ALS (M10) with the source jobs' block counts.
 
-    ALS ids must fit in a 32-bit int; use ``index_ids`` first for larger keys.
+    Ids must be 32-bit: pass what ``als_input`` returns.
     """
-    als = ALS(maxIter=iters, regParam=reg, numUserBlocks=user_blocks, numItemBlocks=item_blocks,
-              userCol=user, itemCol=item, ratingCol=rating, rank=rank, seed=seed, coldStartStrategy="drop")
-    return als.fit(df)
+    return als_estimator(iters, reg, user_blocks, item_blocks, user, item, rating, rank, seed).fit(df)
 
 
-def index_ids(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """``df`` plus a dense 0-based int index of an id column (for ids beyond
-    2^31), computed distributed (no id list on the driver)."""
-    from feedlab.operators.relational import dense_index
-    out = out or f"{col}_idx"
-    idx = dense_index(df, col, out)
-    return df.join(idx, col, "left").withColumn(out, F.col(out).cast("int"))
-
-
-INT_MAX = 2 ** 31 - 1
+def als_estimator(iters: int = C.ALS_MAX_ITER, reg: float = C.ALS_REG, user_blocks: int = C.ALS_USER_BLOCKS,
+                  item_blocks: int = C.ALS_ITEM_BLOCKS, user: str = "uid", item: str = "urlid", rating: str = "label",
+                  rank: int = 10, seed: int = SEED) -> ALS:
+    """The unfitted estimator, which can be saved (K8)."""
+    return ALS(maxIter=iters, regParam=reg, numUserBlocks=user_blocks, numItemBlocks=item_blocks,
+               userCol=user, itemCol=item, ratingCol=rating, rank=rank, seed=seed, coldStartStrategy="drop")
 
 
 def als_input(df: DataFrame, user: str = "uid", item: str = "urlid", rating: str = "label"):
     """Ratings ready for ALS: ``(df, user_map, item_map)``.
 
-    Ids that fit in a 32-bit int are cast; otherwise the column is replaced by
-    a dense index and the map ``(original, index)`` is returned so results can
-    be joined back.  The range check is one scalar aggregate.
+    ALS takes 32-bit ids, so both id columns are always replaced by dense
+    indices (computed distributed, no id list on the driver); the maps
+    ``(original, index)`` lead back (``with_ids``).  Ratings without a user or
+    an item are dropped: ALS cannot place them.
     """
-    r = df.agg(F.min(user).alias("u0"), F.max(user).alias("u1"), F.min(item).alias("i0"),
-               F.max(item).alias("i1")).first()
-    maps = {}
-    out = df
-    for c, lo, hi in ((user, r["u0"], r["u1"]), (item, r["i0"], r["i1"])):
-        if lo is not None and (lo < 0 or hi > INT_MAX):
-            out = index_ids(out, c, f"{c}__idx")
-            maps[c] = out.select(c, f"{c}__idx").distinct()
-            out = out.drop(c).withColumnRenamed(f"{c}__idx", c)
-        else:
-            out = out.withColumn(c, F.col(c).cast("int"))
-            maps[c] = None
-    return out.withColumn(rating, F.col(rating).cast("float")), maps[user], maps[item]
-
-
-def user_factors(model) -> DataFrame:
+    from feedlab.operators.relational import dense_index
+    out = df.where(F.col(user).isNotNull() & F.col(item).isNotNull()).withColumn(rating, F.col(rating).cast("float"))
+    maps = []
+    for c in (user, item):
+        index = dense_index(out, c, INDEX)
+        maps.append(materialize(index.select(c, F.col(INDEX).cast("int").alias(INDEX)), f"als_{c}"))
+        out = out.join(maps[-1], c).drop(c).withColumnRenamed(INDEX, c)
+    return out, maps[0], maps[1]
+
+
+INDEX = "_als_index"
+
+
+def with_ids(df: DataFrame, id_map: DataFrame, col: str) -> DataFrame:
+    """Replace the ALS indices in ``col`` by the original ids."""
+    original = id_map.columns[0]
+    m = id_map.select(F.col(original).alias("_original"), F.col(INDEX).alias(col))
+    out = df.join(m, col)
+    return out.select(*[F.col("_original").alias(c) if c == col else F.col(c) for c in df.columns])
+
+
+def user_factors(model, user_map: DataFrame | None = None) -> DataFrame:
     """``(id, features)`` ordered by id."""
-    return model.userFactors.orderBy("id")
+    f = model.userFactors
+    return (with_ids(f, user_map, "id") if user_map is not None else f).orderBy("id")
+
+
+def _recommended(recs: DataFrame, key: str, other: str, maps) -> DataFrame:
+    rows = recs.select(key, F.inline("recommendations")).select(key, other, "rating")
+    for col, id_map in maps:
+        if id_map is not None:
+            rows = with_ids(rows, id_map, col)
+    return rows
 
 
-def recommend_items(model, k: int = C.ALS_TOP_K, user: str = "uid", item: str = "urlid") -> DataFrame:
+def recommend_items(model, k: int = C.ALS_TOP_K, user: str = "uid", item: str = "urlid",
+                    user_map: DataFrame | None = None, item_map: DataFrame | None = None) -> DataFrame:
     """Top-``k`` items per user, exploded to rows ``(uid, urlid, rating)``."""
-    recs = model.recommendForAllUsers(k)
-    return recs.select(user, F.inline("recommendations")).select(user, item, "rating")
+    return _recommended(model.recommendForAllUsers(k), user, item, ((user, user_map), (item, item_map)))
 
 
-def recommend_users(model, k: int = C.ALS_TOP_K, user: str = "uid", item: str = "urlid") -> DataFrame:
+def recommend_users(model, k: int = C.ALS_TOP_K, user: str = "uid", item: str = "urlid",
+                    user_map: DataFrame | None = None, item_map: DataFrame | None = None) -> DataFrame:
     """Top-``k`` users per item, exploded."""
-    recs = model.recommendForAllItems(k)
-    return recs.select(item, F.inline("recommendations")).select(item, user, "rating")
+    return _recommended(model.recommendForAllItems(k), item, user, ((user, user_map), (item, item_map)))
 
 
 # ------------------------------------------------------------ persistence

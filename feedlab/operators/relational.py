@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlab.constants import THRESHOLD_TOLERANCE
+from feedlab.session import materialize
 
 
 def select_cols(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -41,11 +42,6 @@ def cast_cols(df: DataFrame, types: Mapping[str, str], strict: bool = False) ->
     return out
 
 
-def with_const(df: DataFrame, name: str, value) -> DataFrame:
-    """Constant column."""
-    return df.withColumn(name, F.lit(value))
-
-
 def drop_null_key(df: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not null."""
     return df.where(F.col(key).isNotNull())
@@ -106,16 +102,24 @@ def run_sql(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
     return spark.sql(query, **frames)
 
 
-def range_buckets(df: DataFrame, col: str, n_buckets: int = 256, out: str = "_bucket",
+# Rows that a range bucket holds on average.
+BUCKET_ROWS = 500_000
+
+
+def range_buckets(df: DataFrame, col: str, n_buckets: int | None = None, out: str = "_bucket",
                   descending: bool = False) -> DataFrame:
     """Assign each row a bucket of ``col``'s value range (approximate quantiles,
     one aggregate pass).  Buckets are ordered: ascending values get ascending
     bucket numbers (or the reverse with ``descending``).  Equal values share a
     bucket, so per-bucket work can be finished with a window partitioned by
-    bucket and stitched together with per-bucket offsets (a bounded table).
+    bucket and stitched together with per-bucket offsets (one row a bucket).
+    The number of buckets follows the number of rows (``BUCKET_ROWS`` each).
     """
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.agg(F.percentile_approx(col, qs, 10 * n_buckets)).scalar()
+    n = n_buckets or -(-df.count() // BUCKET_ROWS)
+    if n <= 1:
+        return df.withColumn(out, F.lit(0))
+    qs = [i / n for i in range(1, n)]
+    bounds = df.agg(F.percentile_approx(col, qs, 10 * n)).scalar()
     # (a subquery may not sit inside a lambda: project it as a column first)
     with_b = df.withColumn("_bounds", bounds)
     if descending:
@@ -125,7 +129,7 @@ def range_buckets(df: DataFrame, col: str, n_buckets: int = 256, out: str = "_bu
     return with_b.withColumn(out, b).drop("_bounds")
 
 
-def dense_index(df: DataFrame, col: str, out: str | None = None, n_buckets: int = 256) -> DataFrame:
+def dense_index(df: DataFrame, col: str, out: str | None = None, n_buckets: int | None = None) -> DataFrame:
     """``(col, out)``: a dense 0-based index of the distinct values of ``col``
     in ascending order, computed without collecting the values anywhere.
 
@@ -135,11 +139,10 @@ def dense_index(df: DataFrame, col: str, out: str | None = None, n_buckets: int
     """
     from pyspark.sql import Window
     out = out or f"{col}_idx"
-    ids = df.select(col).where(F.col(col).isNotNull()).distinct()
+    ids = materialize(df.select(col).where(F.col(col).isNotNull()).distinct(), "index_values")
     b = range_buckets(ids, col, n_buckets)
     sizes = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     inside = Window.partitionBy("_bucket").orderBy(col)
-    j = b.join(F.broadcast(offsets), "_bucket")
-    return j.select(col, (F.col("_off") + F.row_number().over(inside) - 1).alias(out))
+    return b.join(offsets, "_bucket").select(col, (F.col("_off") + F.row_number().over(inside) - 1).alias(out))

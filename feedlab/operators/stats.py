@@ -33,42 +33,47 @@ def ctr_by_key(df: DataFrame, key: str = "urlid", label: str = "label") -> DataF
     return click_show(df, key, label).withColumn("ctr", ctr(F.col("sumclick"), F.col("sumshow")))
 
 
-def lookup_join(log: DataFrame, side: DataFrame, key, how: str = "left", name: str = "lookup") -> DataFrame:
+def lookup_join(log: DataFrame, side: DataFrame, key, how: str = "left") -> DataFrame:
     """Join a large log to a keyed side table (few rows per key).
 
-    The side is written once under the shared checkpoint folder, so the join
-    sees a plain shuffle on both inputs: AQE broadcasts the side when its
-    measured size is small, and otherwise splits the partition of a hot key
-    on the log side (skew-join splitting needs both inputs to be shuffle
-    stages; a side that is the output of an aggregate or of its own join
-    would reuse its partitioning and block it).
+    Nothing is written: with ``spark.sql.adaptive.forceOptimizeSkewedJoin``
+    (``session.RECOMMENDED_CONF``) AQE splits the partition of a hot key on the
+    log side even where the side's own partitioning would otherwise be reused,
+    and it broadcasts a side that measures small.
     """
-    return log.join(materialize(side, name), key, how)
+    return log.join(side, key, how)
 
 
 def join_stats(log: DataFrame, stats: DataFrame, key: str = "urlid") -> DataFrame:
     """Every log row plus the key's statistics, null when missing."""
-    return lookup_join(log, stats, key, "left", "url_stats")
+    return lookup_join(log, stats, key, "left")
 
 
 def join_page(log: DataFrame, page: DataFrame, key: str = "urlid",
-              broadcast_max_rows: int | None = None) -> DataFrame:
+              broadcast_max_bytes: int | None = None) -> DataFrame:
     """LEFT OUTER log ⟕ page on ``key``.
 
-    With ``broadcast_max_rows`` set (J4, the map-side lookup) the page side is
-    broadcast only after a bounded count proves it holds at most that many
-    rows; a larger page table falls back to the shuffled join.
+    With ``broadcast_max_bytes`` set (J4, the map-side lookup) the page side is
+    written once, its rows are measured, and it is broadcast only if they take
+    at most that many bytes; a larger table goes through the shuffled join.
     """
-    if broadcast_max_rows is not None and fits_rows(page, broadcast_max_rows):
-        return log.join(F.broadcast(page), key, "left")
-    return lookup_join(log, page, key, "left", "pages")
+    if broadcast_max_bytes is not None:
+        page = materialize(page, "broadcast_side")
+        if row_bytes(page) <= broadcast_max_bytes:
+            return log.join(F.broadcast(page), key, "left")
+    return lookup_join(log, page, key, "left")
 
 
-def fits_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of all values: 8 per column and row, and the length of each text."""
+    text = [F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) for f in df.schema.fields
+            if f.dataType.simpleString() not in ("int", "bigint", "double", "float", "boolean", "timestamp")]
+    per_row = F.lit(8 * len(df.columns)).cast("long")
+    for t in text:
+        per_row = per_row + t
+    return df.agg(F.coalesce(F.sum(per_row), F.lit(0))).first()[0]
 
 
 def join_profile(rows: DataFrame, profile: DataFrame, key: str = "uid") -> DataFrame:
     """LEFT OUTER sample ⟕ user profile on ``uid``."""
-    return lookup_join(rows, profile, key, "left", "profiles")
+    return lookup_join(rows, profile, key, "left")

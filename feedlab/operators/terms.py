@@ -167,12 +167,31 @@ def pair_scores(pairs: DataFrame, page_vec: DataFrame, profile: DataFrame, user:
     return rows.groupBy(user, item).agg(F.sum(F.col("weight") * F.col("pw")).alias("dot"))
 
 
+def pair_scores_topn(pairs: DataFrame, page_vec: DataFrame, profile: DataFrame, user: str = "uid",
+                     item: str = "urlid") -> DataFrame:
+    """``pair_scores`` for profiles of a bounded number of terms per user.
+
+    A profile travels as one array and a page as one map, so a pair is one row
+    in both joins instead of one row per term.  The dot product is a native
+    fold over the user's terms.
+    """
+    terms = profile.groupBy(user).agg(
+        F.sort_array(F.collect_list(F.struct("term", F.col("weight").alias("w")))).alias("_terms"))
+    page = page_vec.groupBy(item).agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("_page"))
+    j = pairs.select(user, item).join(page, item).join(terms, user)
+    dot = F.aggregate("_terms", F.lit(0.0),
+                      lambda acc, t: acc + t["w"] * F.coalesce(F.try_element_at("_page", t["term"]), F.lit(0.0)))
+    return j.select(user, item, dot.alias("dot"))
+
+
 def term_score(rows: DataFrame, page_vec: DataFrame, profile: DataFrame, user: str = "uid",
-               item: str = "urlid", label: str = "label", out: str = "s_term_score") -> DataFrame:
-    """Every row plus Σ signed page weight × profile weight; 0 when nothing matches."""
+               item: str = "urlid", label: str = "label", out: str = "s_term_score",
+               topn_profile: bool = False) -> DataFrame:
+    """Every row plus Σ signed page weight × profile weight; 0 when nothing matches.
+    ``topn_profile``: the profile holds a bounded number of terms per user."""
     from feedlab.operators.stats import lookup_join
     pairs = rows.select(user, item).where(F.col(user).isNotNull()).distinct()
-    dots = pair_scores(pairs, page_vec, profile, user, item)
-    j = lookup_join(rows, dots, [user, item], "left", "pair_scores")
+    dots = (pair_scores_topn if topn_profile else pair_scores)(pairs, page_vec, profile, user, item)
+    j = lookup_join(rows, dots, [user, item], "left")
     signed = sign_weight(label, F.coalesce(F.col("dot"), F.lit(0.0)))
     return j.withColumn(out, rounded(signed)).drop("dot")

@@ -9,22 +9,17 @@ filter (``WindowGroupLimit``), bounded by the document's own length.
 from __future__ import annotations
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlab.functions.strings import lit_regex, split_all, split_limited
+from feedlab.functions.strings import split_all, split_limited
 from feedlab.functions.terms import text_to_tokens, weight_text
-from feedlab.functions.tokens import has_token, tokenize
+from feedlab.functions.tokens import tokenize
 from feedlab.operators.stats import lookup_join
 from feedlab.operators.terms import DIGITS, rounded, top_n_per_key
 from feedlab.session import materialize
 
 
-def tokenize_df(df: DataFrame, col: str, out: str = "tokens", tokenizer=tokenize) -> DataFrame:
-    """Ordered tokens of a text column."""
-    return df.withColumn(out, tokenizer(F.col(col)))
-
-
 def explode_values(df: DataFrame, keep, arr, alias: str, pos: str | None = None) -> DataFrame:
     """Rows of the array's elements (empty/null arrays give no row).
 
@@ -43,9 +38,11 @@ def explode_values(df: DataFrame, keep, arr, alias: str, pos: str | None = None)
 
 
 def term_frequencies(df: DataFrame, key: str, tokens: str) -> DataFrame:
-    """``(key, term, tf, n)``: occurrences of each term and the document length."""
-    ex = explode_values(df.select(key, tokens, F.size(tokens).alias("n")), [key, "n"], tokens, "term")
-    return ex.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"), F.max("n").alias("n"))
+    """``(key, term, tf, n, leads)``: occurrences of each term, the document
+    length, and whether the term is the document's first token."""
+    ex = explode_values(df.select(key, tokens, F.size(tokens).alias("n")), [key, "n"], tokens, "term", pos="pos")
+    return ex.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"), F.max("n").alias("n"),
+                                       (F.min("pos") == 0).alias("leads"))
 
 
 def tfidf(df: DataFrame, key: str, text: str, tokenizer=tokenize, idf: DataFrame | None = None) -> DataFrame:
@@ -54,19 +51,16 @@ def tfidf(df: DataFrame, key: str, text: str, tokenizer=tokenize, idf: DataFrame
     N counts documents with at least one token.  A supplied ``idf`` table
     ``(term, idf)`` replaces the corpus statistics.
     """
-    # one shuffle of the (pruned) text by document key: tokenising is spread
-    # over the cluster and the per-document aggregate needs no further shuffle
-    docs = df.select(key, text).repartition(key)
-    toks = docs.select(key, tokenizer(F.col(text)).alias("tokens"))
+    toks = df.select(key, tokenizer(F.col(text)).alias("tokens"))
     tf = term_frequencies(toks, key, "tokens")
     if idf is None:
+        # The text is read and tokenised once: document frequencies, N (every
+        # document has one leading term) and the weights read the written table.
+        tf = materialize(tf, "term_frequencies")
         dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        # N from a cheap "has a token" scan, not a third pass over tf
-        n_docs = docs.where(has_token(F.col(text))).agg(F.count(F.lit(1))).scalar()
+        n_docs = tf.agg(F.count_if("leads")).scalar()
         idf = dfreq.select("term", F.log((n_docs + 1.0) / (F.col("df") + 1.0)).alias("idf"))
-    # every document has "the": the idf side is written once so AQE can
-    # broadcast it or split the hot term's partition
-    j = lookup_join(tf, idf, "term", "inner", "idf")
+    j = lookup_join(tf, idf, "term", "inner")
     w = F.col("tf").cast("double") / F.col("n").cast("double") * F.col("idf")
     return j.select(key, "term", rounded(w, DIGITS).alias("weight"))
 
@@ -106,7 +100,7 @@ def token_count(lines: DataFrame, col: str = "value", sep: str = "\t") -> DataFr
 def term_doc_count(df: DataFrame, key: str, title: str, terms: str, sep: str = ",") -> DataFrame:
     """Term frequency per document (A4): ``(key, title, term, tf)``;
     a document without terms gives one row ``("-", 0)``."""
-    docs = df.select(key, title, terms).repartition(key)
+    docs = df.select(key, title, terms)
     ex = docs.select(key, title, F.explode_outer(F.when(F.col(terms).isNotNull(), split_all(terms, sep)))
                      .alias("term"))
     counted = ex.groupBy(key, title, "term").agg(F.count("term").alias("tf"))
@@ -120,7 +114,7 @@ def term_total_count(tf: DataFrame, term: str = "term", count: str = "tf") -> Da
 
 def term_share(tf: DataFrame, total: DataFrame, key: str, term: str = "term") -> DataFrame:
     """Per document term: its count, the corpus total and the share."""
-    j = lookup_join(tf, total, term, "inner", "term_totals")
+    j = lookup_join(tf, total, term, "inner")
     return j.select(key, term, "tf", F.col("count").alias("total"),
                     rounded(F.col("tf") / F.col("count"), DIGITS).alias("share"))
 
@@ -165,35 +159,42 @@ def remove_stopwords_table(df: DataFrame, key: str, col: str, out: str, stop: Da
 
 # ------------------------------------------------------------- token lists
 
-def combine_tokens(lines: DataFrame, col: str = "value") -> DataFrame:
+TOKEN_LINE_FIELDS = 4
+
+
+def _token_lines(lines: DataFrame, col: str, s_term) -> tuple[DataFrame, DataFrame]:
+    """Token rows of lines with at most four fields, and the wider lines as they are."""
+    f = split_limited(col, "\t", TOKEN_LINE_FIELDS + 1)
+    n = F.size(f)
+    wide = F.coalesce(n > TOKEN_LINE_FIELDS, F.lit(False))
+    field = lambda i: F.get(f, F.lit(i))
+    urlid = F.when(n >= 2, field(0)).otherwise(F.col(col))
+    title = F.when(n >= 2, field(1)).otherwise(F.lit("-"))
+    good = lines.where(~wide).select(urlid.alias("urlid"), title.alias("title"), s_term(n, field).alias("s_term"))
+    return good, lines.where(wide)
+
+
+def combine_tokens(lines: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
     """``urlid \\t title \\t s_title \\t s_content`` lines -> ``(urlid, title, s_term)``.
 
     4 fields: title tokens followed by content tokens; 3 fields: title tokens;
     2 fields: the title as the only token; 1 field: whole line as id, title
-    ``"-"``, no tokens.  Lines with more than 4 fields are returned by
-    ``guard_width`` as bad rows, not here.
+    ``"-"``, no tokens.  Lines with more fields are returned whole on the
+    second side (quarantine).
     """
-    f = split_limited(col, "\t", 5)
-    n = F.size(f)
-    s_term = (F.when(n >= 4, split_all(F.concat(f[2], F.lit(","), f[3]), ","))
-               .when(n == 3, split_all(f[2], ","))
-               .when(n == 2, F.array(f[1]))
-               .otherwise(F.array().cast("array<string>")))
-    urlid = F.when(n >= 2, f[0]).otherwise(F.col(col))
-    title = F.when(n >= 2, f[1]).otherwise(F.lit("-"))
-    return lines.select(urlid.alias("urlid"), title.alias("title"), s_term.alias("s_term"))
-
-
-def title_tokens(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Title-only variant of ``combine_tokens``."""
-    f = split_limited(col, "\t", 5)
-    n = F.size(f)
-    s_term = (F.when(n >= 3, split_all(f[2], ","))
-               .when(n == 2, F.array(f[1]))
-               .otherwise(F.array().cast("array<string>")))
-    urlid = F.when(n >= 2, f[0]).otherwise(F.col(col))
-    title = F.when(n >= 2, f[1]).otherwise(F.lit("-"))
-    return lines.select(urlid.alias("urlid"), title.alias("title"), s_term.alias("s_term"))
+    return _token_lines(lines, col, lambda n, field: (
+        F.when(n >= 4, split_all(F.concat(field(2), F.lit(","), field(3)), ","))
+         .when(n == 3, split_all(field(2), ","))
+         .when(n == 2, F.array(field(1)))
+         .otherwise(F.array().cast("array<string>"))))
+
+
+def title_tokens(lines: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Title-only variant of ``combine_tokens`` (T13); wider lines on the second side."""
+    return _token_lines(lines, col, lambda n, field: (
+        F.when(n >= 3, split_all(field(2), ","))
+         .when(n == 2, F.array(field(1)))
+         .otherwise(F.array().cast("array<string>"))))
 
 
 def tokens_from_text(df: DataFrame, key: str, title: str, terms: str, sep: str = ",") -> DataFrame:
@@ -204,6 +205,3 @@ def tokens_from_text(df: DataFrame, key: str, title: str, terms: str, sep: str =
         text_to_tokens(terms, sep).alias("s_term"),
     )
 
-
-def split_tokens(c: Column, sep: str = ",") -> Column:
-    return F.split(c, lit_regex(sep), -1)

@@ -1,7 +1,8 @@
 """End-to-end feed plans on the canonical views.
 
-Each function returns a lazy DataFrame; nothing is collected.  Stage outputs
-can be cut with ``checkpoint_stage`` when a plan is reused or very long.
+Nothing is collected.  Stage outputs that several branches read are written
+under ``spark.checkpoint.dir`` while the DataFrame is being built, so building
+one runs jobs; the result itself is lazy.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlab import constants as C
-from feedlab.operators.features import train_feature
+from feedlab.operators.features import feature_groups, train_feature
 from feedlab.operators.terms import page_vector
 from feedlab.operators.text import keywords
 from feedlab.session import materialize
@@ -43,6 +44,13 @@ def feed_train_feature(spark: SparkSession, sf_dir: str, top_n: int | None = PRO
     return train_feature(imp, attrs, feed_page_vector(pages), top_n, with_click_stats)
 
 
+def feed_feature_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature rows with their counts, before they are expanded."""
+    pages = pages_info(spark, sf_dir)
+    return feature_groups(impressions(spark, sf_dir), pages.select("urlid", "pnum", "pdef", "pbeau"),
+                          feed_page_vector(pages), PROFILE_N)
+
+
 def checkpoint_stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Stage output written to the shared checkpoint folder (see ``materialize``)."""
     return materialize(df, name)
@@ -66,7 +74,7 @@ def feed_json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = pages_info(spark, sf_dir)
     pv = materialize(feed_page_vector(pages), "page_vector")
     prof = user_profile_topn(imp, pv, n=PROFILE_N)
-    scored = term_score(imp, pv, prof)
+    scored = term_score(imp, pv, prof, topn_profile=True)
     kw = title_keywords(pages).select("urlid", "term", "weight")
     cprof = clicked_profile(imp, kw)
     pairs = imp.select("uid", "urlid").where(F.col("uid").isNotNull()).distinct()
@@ -75,13 +83,13 @@ def feed_json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the session time zone
     us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
     first = imp.groupBy("urlid").agg(F.min(us).alias("_t0"))
-    j = lookup_join(scored, first, "urlid", "inner", "url_first_ts")
+    j = lookup_join(scored, first, "urlid", "inner")
     # definition / beauty as exported: null for pages without labels
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("urlid"),
                                                    F.col("quality").cast("double").alias("pdef"),
                                                    F.col("toxic").cast("double").alias("pbeau"))
     j = j.join(pages.select("urlid", "pnum"), "urlid", "left").join(labels, "urlid", "left")
-    j = lookup_join(j, tdot, ["uid", "urlid"], "left", "title_scores")
+    j = lookup_join(j, tdot, ["uid", "urlid"], "left")
     return j.select(
         F.col("uid").alias("userid"), "label",
         ((us - F.col("_t0")) / F.lit(1e6)).alias("ts_interval"),

@@ -1,7 +1,8 @@
 """End-to-end jobs over the raw delimited exports.
 
-These are the jobs a user of the source scripts runs, re-expressed as one
-lazy plan each over the library's operators:
+These are the jobs a user of the source scripts runs, re-expressed over the
+library's operators (stage outputs that several branches read are written
+under ``spark.checkpoint.dir``):
 
 * ``feature_job``: impression TSV (``uid, urlid, ts, label`` with 2-character
   id prefixes) + page TSV (10 fields, optionally GBK) -> nine-column feature
@@ -26,7 +27,7 @@ from feedlab.operators.clean import guard_width
 from feedlab.operators.features import FEATURE_COLUMNS, VECTOR_ORDER, assemble, train_feature
 from feedlab.operators.terms import page_vector
 from feedlab.operators.text import keywords
-from feedlab.session import materialize
+from feedlab.session import materialize, remove_scratch
 from feedlab.sources.readers import read_lines
 
 PAGE_FIELDS = C.RAW_PAGE_FIELDS
@@ -37,30 +38,33 @@ def read_impression_export(spark: SparkSession, path: str, quarantine: str | Non
                            prefix_len: int = C.ID_PREFIX_LEN) -> DataFrame:
     """``uid \\t urlid \\t ts \\t label`` lines with prefixed ids -> typed impressions.
 
-    Lines of the wrong width or with a label that is not an integer go to
+    Lines of the wrong width, or whose label or ids are not integers, go to
     ``quarantine`` (the source jobs would fail on them)."""
     good, bad = guard_width(read_lines(spark, path), len(IMPRESSION_FIELDS))
     f = split_all("value", "\t")
-    label = f[3].try_cast("int")
+    label = F.get(f, F.lit(3)).try_cast("int")
+    uid = strip_prefix(F.get(f, F.lit(0)), prefix_len).try_cast("bigint")
+    urlid = strip_prefix(F.get(f, F.lit(1)), prefix_len).try_cast("bigint")
+    whole = label.isNotNull() & uid.isNotNull() & urlid.isNotNull()
     if quarantine:
-        bad.unionByName(good.where(label.isNull())).write.mode("overwrite").text(quarantine)
-    return good.where(label.isNotNull()).select(
-        strip_prefix(f[0], prefix_len).try_cast("bigint").alias("uid"),
-        strip_prefix(f[1], prefix_len).try_cast("bigint").alias("urlid"),
-        f[2].alias("ts"),
-        label.alias("label"))
+        bad.unionByName(good.where(~whole)).write.mode("overwrite").text(quarantine)
+    return good.where(whole).select(uid.alias("uid"), urlid.alias("urlid"), F.get(f, F.lit(2)).alias("ts"),
+                                    label.alias("label"))
 
 
 def read_page_export(spark: SparkSession, path: str, charset: str | None = None,
                      quarantine: str | None = None, prefix_len: int = C.ID_PREFIX_LEN) -> DataFrame:
-    """10-field page lines -> cleaned, typed page rows (fields trimmed, empty -> ``"-"``)."""
+    """10-field page lines -> cleaned, typed page rows (fields trimmed, empty -> ``"-"``).
+
+    Lines of the wrong width, or whose id is not an integer, go to ``quarantine``."""
     good, bad = guard_width(read_lines(spark, path, charset), len(PAGE_FIELDS))
-    if quarantine:
-        bad.write.mode("overwrite").text(quarantine)
     f = F.transform(split_all("value", "\t"), lambda x: clean_field(x))
-    cols = {n: f[i] for i, n in enumerate(PAGE_FIELDS)}
-    return good.select(
-        strip_prefix(cols["urlid"], prefix_len).try_cast("bigint").alias("urlid"),
+    cols = {n: F.get(f, F.lit(i)) for i, n in enumerate(PAGE_FIELDS)}
+    urlid = strip_prefix(cols["urlid"], prefix_len).try_cast("bigint")
+    if quarantine:
+        bad.unionByName(good.where(urlid.isNull())).write.mode("overwrite").text(quarantine)
+    return good.where(urlid.isNotNull()).select(
+        urlid.alias("urlid"),
         cols["utype"].alias("utype"), cols["url"].alias("url"), cols["title"].alias("title"),
         cols["pnum"].try_cast("int").alias("pnum"), cols["pdef"].try_cast("double").alias("pdef"),
         cols["pbeau"].try_cast("double").alias("pbeau"),
@@ -72,7 +76,7 @@ def feature_job(spark: SparkSession, impressions_path: str, pages_path: str, out
     """Impression and page exports -> the nine-column feature table at ``out_path``."""
     imp = read_impression_export(spark, impressions_path, quarantine=f"{out_path}_quarantine/impressions")
     pages = read_page_export(spark, pages_path, charset, quarantine=f"{out_path}_quarantine/pages")
-    pages = materialize(pages.repartition("urlid"), "pages_clean")
+    pages = materialize(pages, "pages_clean")
     kw = keywords(pages.select("urlid", "title"), "urlid", "title", title_k).select("urlid", "term", "weight")
     pv = page_vector(kw, pages.select("urlid", "points", "tags"))
     feats = train_feature(imp, pages.select("urlid", "pnum", "pdef", "pbeau"), pv, top_n)
@@ -102,7 +106,7 @@ def text_job(spark: SparkSession, pages_path: str, out_path: str, charset: str |
 
 
 def model_job(spark: SparkSession, features: DataFrame, out_path: str, max_iter: int = 30, reg: float = 0.3,
-              enet: float = 0.1, train_share: float = 0.9, seed: int = 42) -> DataFrame:
+              enet: float = 0.1, train_share: float = C.TRAIN_SPLIT_CLASSIFIER[0], seed: int = 42) -> DataFrame:
     """Feature table -> LR with the best-F threshold set on the model; saves the
     model and returns ``(metric, value)`` rows (held-out AUC ROC/PR, threshold)."""
     from pyspark.ml.functions import vector_to_array
@@ -154,6 +158,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         text_job(spark, args.pages, args.out, charset=args.charset, vector_size=args.size,
                  min_count=args.min_count)
+    remove_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -12,8 +12,8 @@ from feedlab.session import materialize
 from feedlab.plans.registry import query
 from feedlab.sources.tables import impressions, pages_info, ratings, scores, table
 
-# Largest page table the map-side lookup (J4) will broadcast.
-PAGE_BROADCAST_MAX_ROWS = 1_000_000
+# Largest page table, in bytes, that the map-side lookup (J4) will broadcast.
+PAGE_BROADCAST_MAX_BYTES = 64 << 20
 
 
 @query("ctr_by_url", S.with_(S.IMPRESSIONS) + """
@@ -48,7 +48,21 @@ def q_join_page(spark, sf_dir):
 def q_join_page_broadcast(spark, sf_dir):
     imp = impressions(spark, sf_dir).select("event_id", "uid", "urlid", "label")
     return join_page(imp, pages_info(spark, sf_dir).select(*_PAGE_COLS),
-                     broadcast_max_rows=PAGE_BROADCAST_MAX_ROWS)
+                     broadcast_max_bytes=PAGE_BROADCAST_MAX_BYTES)
+
+
+@query("join_labelled_page", S.with_(S.IMPRESSIONS) + """
+SELECT i.event_id, i.urlid, coalesce(CAST(l.quality AS INTEGER), -1) AS pnum,
+       coalesce(CAST(l.quality AS DOUBLE), -1.0) AS pdef, coalesce(CAST(l.toxic AS DOUBLE), -1.0) AS pbeau
+FROM impressions i LEFT JOIN labels l ON i.urlid = l.doc_id
+""")
+def q_join_labelled_page(spark, sf_dir):
+    # only labelled pages on the page side: the unmatched urls get the defaults
+    from feedlab.operators.features import page_defaults
+    page = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("urlid"), F.col("quality").alias("pnum"),
+                                                 F.col("quality").alias("pdef"), F.col("toxic").alias("pbeau"))
+    imp = impressions(spark, sf_dir).select("event_id", "urlid")
+    return page_defaults(join_page(imp, page)).select("event_id", "urlid", "pnum", "pdef", "pbeau")
 
 
 @query("join_url_stats", S.with_(S.IMPRESSIONS, S.URL_STATS) + """

@@ -107,7 +107,7 @@ def q_page_vector_defaults(spark, sf_dir):
     pages = pages_info(spark, sf_dir)
     nterms = feed_page_vector(pages).groupBy("urlid").agg(F.count(F.lit(1)).alias("n_terms"))
     j = imp.join(pages.select("urlid", "pnum", "pdef", "pbeau"), "urlid", "left")
-    j = lookup_join(j, nterms, "urlid", "left", "page_term_counts")
+    j = lookup_join(j, nterms, "urlid", "left")
     j = page_defaults(j).withColumn("n_terms", F.coalesce("n_terms", F.lit(0)).cast("long"))
     return j.select("event_id", "urlid", "pnum", "pdef", "pbeau", "n_terms")
 
@@ -236,19 +236,20 @@ json_table AS (
 
 
 _JVEC_COLS = ", ".join(f"CAST({c} AS DOUBLE) AS f_{c}" for c in JSON_VECTOR_ORDER)
-_JVEC_NOTNULL = " AND ".join(f"{c} IS NOT NULL" for c in JSON_VECTOR_ORDER)
+_JVEC_NOTNULL = " AND ".join(f"{c} IS NOT NULL" for c in ["userid", *JSON_VECTOR_ORDER])
 
 
 def json_ml_input(spark, sf_dir):
-    """JSON export of the training table read back (schema inferred), rows
-    with a missing feature dropped (F7), assembled into the 6-vector (M3)."""
+    """JSON export of the training table read back, rows with a missing user or
+    feature dropped (F7), assembled into the 6-vector (M3)."""
     from feedlab.operators.relational import drop_incomplete
     from feedlab.plans.feed import feed_json_table
     from feedlab.session import scratch_path
     from feedlab.sources.readers import read_json
     path = scratch_path(spark, "json_table")
-    feed_json_table(spark, sf_dir).write.json(path)
-    t = drop_incomplete(read_json(spark, path), JSON_VECTOR_ORDER)
+    table_ = feed_json_table(spark, sf_dir)
+    table_.write.json(path)
+    t = drop_incomplete(read_json(spark, path, table_.schema), ["userid", *JSON_VECTOR_ORDER])
     return assemble(t, JSON_VECTOR_ORDER)
 
 

@@ -18,7 +18,7 @@ from feedlab.operators.clean import (clean_fields, guard_width, page_fields_with
 from feedlab.operators.relational import cast_cols
 from feedlab.plans import sql as S
 from feedlab.plans.registry import query
-from feedlab.session import scratch_path
+from feedlab.session import charset_codecs, materialize, scratch_path
 from feedlab.sources.readers import (parse_impressions, parse_key_rest, parse_tsv, read_csv, read_csv_named,
                                      read_json, read_lines)
 from feedlab.sources.sinks import compact, copy_dataset, write_csv, write_lines
@@ -70,6 +70,49 @@ def q_src_tsv_parse(spark, sf_dir):
     return cast_cols(fields, {"uid": "bigint", "urlid": "bigint", "label": "int"})
 
 
+@query("src_short_lines", S.with_(S.IMPRESSIONS) + """
+SELECT CAST(label AS INTEGER) AS label, CAST(event_id AS VARCHAR) AS ts,
+       CASE WHEN label = 1 THEN uid END AS uid, CASE WHEN label = 1 THEN urlid END AS urlid,
+       CAST(NULL AS VARCHAR) AS urlinfo
+FROM impressions
+""")
+def q_src_short_lines(spark, sf_dir):
+    # two fields of five on lines without a click, four on the others
+    imp = impressions(spark, sf_dir)
+    short = F.concat_ws(",", F.col("label").cast("string"), F.col("event_id").cast("string"))
+    line = F.when(F.col("label") == 1, F.concat_ws(",", short, F.col("uid").cast("string"),
+                                                   F.col("urlid").cast("string"))).otherwise(short)
+    path = scratch_path(spark, "short")
+    imp.select(line.alias("value")).write.text(path)
+    return parse_impressions(read_lines(spark, path))
+
+
+@query("src_tsv_short", """
+SELECT CAST(c_custkey AS VARCHAR) AS k, CASE WHEN c_acctbal > 0 THEN c_name END AS name,
+       CAST(NULL AS INTEGER) AS nation
+FROM customer
+""")
+def q_src_tsv_short(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    line = F.when(F.col("c_acctbal") > 0, F.concat_ws(TAB, F.col("c_custkey").cast("string"), "c_name")).otherwise(
+        F.col("c_custkey").cast("string"))
+    path = scratch_path(spark, "short_tsv")
+    c.select(line.alias("value")).write.text(path)
+    return parse_tsv(read_lines(spark, path), ["k", "name", "nation"], types={"nation": "int"})
+
+
+@query("io_null_fields", """
+SELECT coalesce(CAST(l.quality AS VARCHAR), '') || chr(9) || CAST(d.doc_id AS VARCHAR) || chr(9)
+       || coalesce(CAST(l.toxic AS VARCHAR), '') || chr(9) || d.source AS value
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+""")
+def q_io_null_fields(spark, sf_dir):
+    # documents without labels have null fields, which keep their places
+    d = table(spark, sf_dir, "documents").select("doc_id", "source")
+    j = d.join(table(spark, sf_dir, "labels"), "doc_id", "left").select("quality", "doc_id", "toxic", "source")
+    return read_lines(spark, _roundtrip_lines(spark, j, "null_fields"))
+
+
 @query("src_key_rest", S.with_(S.PAGES_INFO) + """
 SELECT CAST(urlid AS VARCHAR) AS urlid, coalesce(url || chr(9) || utype, '') AS urlinfo FROM pages_info
 """)
@@ -97,8 +140,12 @@ def q_src_json_table(spark, sf_dir):
 SELECT p_partkey, p_name || ' 中文页面' AS p_name FROM part
 """)
 def q_src_gbk_decode(spark, sf_dir):
-    # needs spark.sql.legacy.javaCharsets=true for the GBK codec
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    # the GBK codec needs spark.sql.legacy.javaCharsets (session.RECOMMENDED_CONF)
+    with charset_codecs(spark):
+        return _gbk_lines(spark, sf_dir)
+
+
+def _gbk_lines(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     line = F.concat_ws(TAB, F.col("p_partkey").cast("string"), F.concat(F.col("p_name"), F.lit(" 中文页面")))
     path = scratch_path(spark, "gbk")
@@ -107,7 +154,7 @@ def q_src_gbk_decode(spark, sf_dir):
                ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
       .csv(path))
     lines = read_lines(spark, path, charset="GBK")
-    return parse_tsv(lines, ["p_partkey", "p_name"], types={"p_partkey": "bigint"})
+    return materialize(parse_tsv(lines, ["p_partkey", "p_name"], types={"p_partkey": "bigint"}), "gbk")
 
 
 @query("clean_fields", """

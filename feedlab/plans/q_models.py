@@ -9,14 +9,15 @@ and transform do not recompute it.
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
 from feedlab.operators.features import VECTOR_ORDER, assemble
-from feedlab.operators.models import (chi2_select, chi2_stats, fit_als, fit_forest, fit_gbt, fit_lr, fit_tree,
-                                      load_model, prediction_report, recommend_items, recommend_users,
-                                      save_model, user_factors)
+from feedlab.operators.models import (als_estimator, als_input, chi2_select, chi2_stats, fit_als, fit_forest,
+                                      fit_gbt, fit_lr, fit_tree, load_model, prediction_report, recommend_items,
+                                      recommend_users, save_model, tree_report, user_factors, with_ids)
 from feedlab.operators.relational import random_split
-from feedlab.plans.feed import checkpoint_stage, feed_train_feature
+from feedlab.plans.feed import checkpoint_stage, feed_feature_groups, feed_train_feature
 from feedlab.plans.q_features import _feature_table_sql
 from feedlab.plans.registry import query
 from feedlab.session import scratch_path
@@ -28,10 +29,6 @@ SEED = 42
 CLS_SPLIT = list(C.TRAIN_SPLIT_CLASSIFIER)
 
 
-def _features(spark, sf_dir):
-    return checkpoint_stage(spark, feed_train_feature(spark, sf_dir), "train_feature")
-
-
 def _ml_input(spark, sf_dir):
     return checkpoint_stage(spark, assemble(feed_train_feature(spark, sf_dir), VECTOR_ORDER), "ml_input")
 
@@ -58,23 +55,14 @@ GROUP BY cells.feature
 
 @query("chi2_stats", _chi2_sql())
 def q_chi2_stats(spark, sf_dir):
-    return chi2_stats(feed_train_feature(spark, sf_dir), VECTOR_ORDER, "label")
-
-
-CHI2_BINS = 100
+    # counted from the reduced (uid, urlid, label) groups, not from their expansion
+    return chi2_stats(feed_feature_groups(spark, sf_dir), VECTOR_ORDER, "label", count="cnt")
 
 
 @query("chi2_select")
 def q_chi2_select(spark, sf_dir):
-    # MLlib's chi-square test rejects features with more than 10,000 distinct
-    # values, so every feature is first cut into at most 100 quantile bins.
-    from feedlab.operators.models import bin_columns
-    feats = checkpoint_stage(spark, feed_train_feature(spark, sf_dir), "train_feature")
-    binned = bin_columns(feats.select("label", *[F.col(c).cast("double").alias(c) for c in VECTOR_ORDER]),
-                         VECTOR_ORDER, n_bins=CHI2_BINS)
-    m = chi2_select(assemble(binned, VECTOR_ORDER), "features", "label")
-    idx = list(m.selectedFeatures)
-    rows = [(rank, i, VECTOR_ORDER[i]) for rank, i in enumerate(idx)]
+    stats = chi2_stats(feed_feature_groups(spark, sf_dir), VECTOR_ORDER, "label", count="cnt")
+    rows = [(rank, i, name) for rank, (i, name) in enumerate(chi2_select(stats, VECTOR_ORDER))]
     return spark.createDataFrame(rows, "rank int, feature_index int, feature string")
 
 
@@ -117,41 +105,52 @@ def q_gbt_predictions(spark, sf_dir):
     return _report(fit_gbt(train), test)
 
 
-def _ratings_split(spark, sf_dir):
-    from feedlab.operators.models import als_input
-    r, _, _ = als_input(ratings(spark, sf_dir))
-    r = checkpoint_stage(spark, r, "ratings")
-    return random_split(r, list(C.TRAIN_SPLIT_ALS), SEED)
-
-
 def _als(spark, sf_dir):
-    train, test = _ratings_split(spark, sf_dir)
-    return fit_als(train), test
+    """(model, held-out ratings, user map, item map)"""
+    r, users, items = als_input(ratings(spark, sf_dir))
+    r = checkpoint_stage(spark, r, "ratings")
+    train, test = random_split(r, list(C.TRAIN_SPLIT_ALS), SEED)
+    return fit_als(train), test, users, items
 
 
 @query("als_predictions")
 def q_als_predictions(spark, sf_dir):
-    model, test = _als(spark, sf_dir)
-    return model.transform(test).select("uid", "urlid", "label", "prediction")
+    model, test, users, items = _als(spark, sf_dir)
+    pred = model.transform(test).select("uid", "urlid", "label", "prediction")
+    return with_ids(with_ids(pred, users, "uid"), items, "urlid")
 
 
 @query("als_user_factors")
 def q_als_user_factors(spark, sf_dir):
-    model, _ = _als(spark, sf_dir)
-    return user_factors(model).select("id", F.array_join(F.transform("features", lambda x: x.cast("string")), ",")
-                                      .alias("features"))
+    model, _, users, _ = _als(spark, sf_dir)
+    return user_factors(model, users).select(
+        "id", F.array_join(F.transform("features", lambda x: x.cast("string")), ",").alias("features"))
 
 
 @query("als_user_recs")
 def q_als_user_recs(spark, sf_dir):
-    model, _ = _als(spark, sf_dir)
-    return recommend_items(model)
+    model, _, users, items = _als(spark, sf_dir)
+    return recommend_items(model, user_map=users, item_map=items)
 
 
 @query("als_item_recs")
 def q_als_item_recs(spark, sf_dir):
-    model, _ = _als(spark, sf_dir)
-    return recommend_users(model)
+    model, _, users, items = _als(spark, sf_dir)
+    return recommend_users(model, user_map=users, item_map=items)
+
+
+@query("als_estimator_roundtrip")
+def q_als_estimator_roundtrip(spark, sf_dir):
+    """The estimator saved, loaded and fitted again (K8), next to the first one's predictions."""
+    r, users, items = als_input(ratings(spark, sf_dir))
+    train, test = random_split(checkpoint_stage(spark, r, "ratings"), list(C.TRAIN_SPLIT_ALS), SEED)
+    est = als_estimator()
+    path = scratch_path(spark, "als_estimator")
+    save_model(est, path)
+    before = est.fit(train).transform(test).withColumnRenamed("prediction", "pred_before")
+    both = load_model(ALS, path).fit(train).transform(before).withColumnRenamed("prediction", "pred_after")
+    out = both.select("uid", "urlid", "label", "pred_before", "pred_after")
+    return with_ids(with_ids(out, users, "uid"), items, "urlid")
 
 
 @query("ml_model_roundtrip")
@@ -162,11 +161,11 @@ def q_ml_model_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "lr_model")
     save_model(m, path)
     back = load_model(LogisticRegressionModel, path)
-    a = m.transform(test).select(F.monotonically_increasing_id().alias("_i"), "label",
-                                 F.col("prediction").alias("pred_before"))
-    b = back.transform(test).select(F.monotonically_increasing_id().alias("_i"),
-                                    F.col("prediction").alias("pred_after"))
-    return a.join(b, "_i").drop("_i").withColumn("same", F.col("pred_before") == F.col("pred_after"))
+    # one table scored by both models, so rows pair by construction
+    keep = ("rawPrediction", "probability", "prediction")
+    before = m.transform(test).withColumnRenamed("prediction", "pred_before").drop(*keep)
+    both = back.transform(before).withColumnRenamed("prediction", "pred_after").drop(*keep)
+    return both.select("label", "pred_before", "pred_after", (F.col("pred_before") == F.col("pred_after")).alias("same"))
 
 
 def _lr_and_test(spark, sf_dir):
@@ -235,18 +234,33 @@ def q_tree_eval(spark, sf_dir):
     return out
 
 
+def _tree_report(spark, sf_dir, fit):
+    train, _ = random_split(_ml_input(spark, sf_dir), CLS_SPLIT, SEED)
+    rep = tree_report(fit(train))
+    return spark.createDataFrame([(k, str(v)) for k, v in sorted(rep.items())], "name string, value string")
+
+
 @query("dt_report")
 def q_dt_report(spark, sf_dir):
     """Tree statistics: node count, depth, classes, features, importances, rules (M7)."""
-    from feedlab.operators.models import tree_report
-    train, _ = random_split(_ml_input(spark, sf_dir), CLS_SPLIT, SEED)
-    rep = tree_report(fit_tree(train))
-    return spark.createDataFrame([(k, str(v)) for k, v in sorted(rep.items())], "name string, value string")
+    return _tree_report(spark, sf_dir, fit_tree)
+
+
+@query("rf_report")
+def q_rf_report(spark, sf_dir):
+    """Forest statistics: total nodes, tree weights, importances, rules, tree list (M8)."""
+    return _tree_report(spark, sf_dir, fit_forest)
+
+
+@query("gbt_report")
+def q_gbt_report(spark, sf_dir):
+    """The same of the boosted trees (M9)."""
+    return _tree_report(spark, sf_dir, fit_gbt)
 
 
 @query("als_rmse")
 def q_als_rmse(spark, sf_dir):
     """RMSE of ALS predictions on the held-out ratings (E1 on M10)."""
     from feedlab.operators.evaluate import rmse
-    model, test = _als(spark, sf_dir)
+    model, test, _, _ = _als(spark, sf_dir)
     return rmse(model.transform(test), "prediction", "label")

@@ -9,6 +9,7 @@ conversion); on a cluster they belong in the job submission.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -23,6 +24,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key's partition even where a side's partitioning would be reused
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # the GBK codec of legacy exports
+    "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
@@ -57,11 +62,24 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+@contextlib.contextmanager
+def charset_codecs(spark: SparkSession):
+    """Legacy charsets for the jobs that run inside; the setting is put back."""
+    name = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) a fresh private folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session.  Where it is unset, a
+    single-process local session (tests) gets a fresh private folder; on a
+    cluster that is an error, as executors would write to their own disks.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -72,6 +90,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/").rsplit("/", 1)[0] if _is_uuid_leaf(current) else current
+    if not sc.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="feedlab-ckpt-")
     sc.setCheckpointDir(local)
     return local
@@ -90,7 +110,15 @@ def _is_uuid_leaf(path: str) -> bool:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, never reused folder under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "feedlab-scratch", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(root, "feedlab-scratch", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's stage outputs.  For the end of a job whose
+    results are written elsewhere: DataFrames over stage outputs end with it."""
+    path = os.path.join(ensure_checkpoint_dir(spark), "feedlab-scratch", spark.sparkContext.applicationId)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def materialize(df, name: str):

@@ -51,10 +51,12 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], charset: str | No
 
 def parse_impressions(df: DataFrame, col: str = "value") -> DataFrame:
     """``label,ts,uid,urlid,urlinfo`` lines: the first four commas split, the
-    rest (which may hold commas and tabs) is ``urlinfo`` (S2)."""
+    rest (which may hold commas and tabs) is ``urlinfo`` (S2); fields that a
+    short line does not have are null."""
     f = split_limited(col, ",", len(IMPRESSION_FIELDS))
     return df.select(*[
-        (f[i] if IMPRESSION_TYPES[n] == "string" else f[i].try_cast(IMPRESSION_TYPES[n])).alias(n)
+        (F.get(f, F.lit(i)) if IMPRESSION_TYPES[n] == "string"
+         else F.get(f, F.lit(i)).try_cast(IMPRESSION_TYPES[n])).alias(n)
         for i, n in enumerate(IMPRESSION_FIELDS)])
 
 
@@ -65,7 +67,7 @@ def parse_tsv(df: DataFrame, names: Sequence[str], col: str = "value",
     types = types or {}
     out = []
     for i, n in enumerate(names):
-        c = f.getItem(i)
+        c = F.get(f, F.lit(i))
         out.append((c.try_cast(types[n]) if n in types else c).alias(n))
     return df.select(*out)
 

@@ -29,23 +29,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_if_few_files(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
-    """Round-robin ``df`` when its ``source`` table (default: ``df``) is stored
-    in fewer files than the cluster has cores.
-
-    A table in a handful of files (here: one file, one row group) is read by a
-    handful of tasks, and CPU-heavy per-row work (tokenising whole documents)
-    would run in those few tasks.  A large table is stored in many files and
-    is read in parallel already, so it gets no extra shuffle.  Round-robin
-    output does not satisfy any join or aggregate requirement, so later joins
-    still shuffle both sides by key (and AQE may split a hot key).
-    """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if len((source if source is not None else df).inputFiles()) < parallelism:
-        return df.repartition(parallelism)
-    return df
-
-
 def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(
@@ -62,12 +45,11 @@ def first_line(c: Column) -> Column:
 
 
 def pages_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    doc_table = table(spark, sf_dir, "documents")
-    docs = doc_table
+    docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "url")
     j = docs.join(labels, "doc_id", "left").join(pages, "doc_id", "left")
-    out = j.select(
+    return j.select(
         F.col("doc_id").alias("urlid"),
         F.col("source").alias("utype"),
         F.col("url"),
@@ -80,11 +62,6 @@ def pages_info(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit(";"), F.col("source"), F.lit(":1")).alias("points"),
         F.concat_ws(",", F.col("lang"), F.col("source")).alias("tags"),
     )
-    # Not key-partitioned here: joins against this view must see a plain
-    # shuffle on both sides so AQE can broadcast it or split a hot url; the
-    # text operators key-partition their own (pruned) input.  Spread after the
-    # projection, so a consumer of titles only shuffles titles.
-    return spread_if_few_files(out, doc_table)
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +74,7 @@ def scores(spark: SparkSession, sf_dir: str, cutoff: float = 0.4) -> DataFrame:
     imp = impressions(spark, sf_dir).select("event_id", "urlid", "label")
     stats = click_show(imp, "urlid", "label").select(
         "urlid", F.round(ctr(F.col("sumclick"), F.col("sumshow")), 4).alias("score"))
-    j = lookup_join(imp, stats, "urlid", "left", "url_ctr")
+    j = lookup_join(imp, stats, "urlid", "left")
     return j.select(
         "event_id",
         F.col("score"),

@@ -44,15 +44,27 @@ def test_topn_uses_window_group_limit(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_spread_only_narrow_tables(spark):
+def test_text_is_scanned_once_for_keywords(spark):
+    """The eager stages are seen too: every job of the query, by its input scans."""
+    from feedlab.plans.feed import content_keywords
+    from feedlab.sources import tables
+    scans = []
+    real = tables.table
+    try:
+        tables.table = lambda s, d, n: scans.append(n) or real(s, d, n)
+        content_keywords(tables.pages_info(spark, SF_SMALL)).count()
+    finally:
+        tables.table = real
+    assert scans.count("documents") == 1
+    plan = plan_text(E.queries()["keywords_content"](spark, SF_SMALL))
+    assert "documents.parquet" not in plan          # what is left reads the written frequencies
+
+
+def test_plan_does_not_depend_on_the_number_of_files(spark):
     from feedlab.session import scratch_path
-    from feedlab.sources.tables import spread_if_few_files
-    par = spark.sparkContext.defaultParallelism
-    wide_path = scratch_path(spark, "wide")
-    spark.range(10_000).repartition(par * 2).write.parquet(wide_path)
-    narrow_path = scratch_path(spark, "narrow")
-    spark.range(10_000).coalesce(1).write.parquet(narrow_path)
-    wide = spark.read.parquet(wide_path)
-    narrow = spark.read.parquet(narrow_path)
-    assert spread_if_few_files(wide) is wide                      # no extra shuffle
-    assert "RoundRobinPartitioning" in plan_text(spread_if_few_files(narrow))
+    from feedlab.operators.text import keywords
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").selectExpr("doc_id urlid", "text")
+    path = scratch_path(spark, "many")
+    docs.repartition(12).write.parquet(path)
+    many = {tuple(r) for r in keywords(spark.read.parquet(path), "urlid", "text", 5).collect()}
+    assert many == {tuple(r) for r in keywords(docs, "urlid", "text", 5).collect()}

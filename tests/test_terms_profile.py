@@ -74,8 +74,28 @@ def test_left_join_keeps_missing_and_fans_out(spark):
     page = spark.createDataFrame([(10, "x"), (10, "y")], "urlid long, title string")
     got = sorted((r.uid, r.title) for r in join_page(log, page).collect())
     assert got == [(1, "x"), (1, "y"), (2, None)]
-    got_b = sorted((r.uid, r.title) for r in join_page(log, page, broadcast_max_rows=10).collect())
-    assert got_b == got
+    for limit in (1 << 20, 3):              # broadcast, and too large for it
+        j = join_page(log, page, broadcast_max_bytes=limit)
+        assert sorted((r.uid, r.title) for r in j.collect()) == got
+
+
+def test_row_bytes_counts_texts(spark):
+    from feedlab.operators.stats import row_bytes
+    df = spark.createDataFrame([(1, "x" * 1000), (2, None)], "urlid long, title string")
+    assert row_bytes(df) == 2 * 16 + 1000 and row_bytes(df.limit(0)) == 0
+
+
+def test_topn_scores_equal_row_scores(spark):
+    import random
+    from feedlab.operators.terms import pair_scores, pair_scores_topn
+    rng = random.Random(4)
+    pairs = spark.createDataFrame([(u, i) for u in range(8) for i in range(6)], "uid long, urlid long")
+    page = spark.createDataFrame([(i, f"t{t}", rng.random()) for i in range(5) for t in rng.sample(range(12), 6)],
+                                 "urlid long, term string, weight double")
+    prof = spark.createDataFrame([(u, f"t{t}", rng.random() - 0.5) for u in range(7) for t in rng.sample(range(12), 5)],
+                                 "uid long, term string, weight double")
+    get = lambda f: {(r.uid, r.urlid): round(r.dot, 9) for r in f(pairs, page, prof).collect() if abs(r.dot) > 1e-12}
+    assert get(pair_scores) == get(pair_scores_topn)
 
 
 def test_terms_to_text_sorted(spark):

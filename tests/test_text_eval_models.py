@@ -7,17 +7,28 @@ from pyspark.sql import functions as F
 from feedlab.functions.terms import truncate_tokens
 from feedlab.operators.embed import mean_vectors, nearest
 from feedlab.operators.evaluate import auc_pr, auc_roc, best_threshold, roc_curve, weighted_f1
-from feedlab.operators.models import bin_columns, chi2_stats, index_ids
+from feedlab.operators.models import chi2_p_value, chi2_select, chi2_stats
 from feedlab.operators.text import (combine_tokens, keywords, remove_stopwords, remove_stopwords_table,
                                     term_doc_count, tokens_from_text)
 
 
 def test_combine_tokens_by_width(spark):
     df = spark.createDataFrame([("1\tT\ta,b\tc",), ("2\tT\ta,b",), ("3\tT",), ("lone",)], "value string")
-    got = {r.urlid: (r.title, r.s_term) for r in combine_tokens(df).collect()}
+    good, wide = combine_tokens(df)
+    assert wide.collect() == []
+    got = {r.urlid: (r.title, r.s_term) for r in good.collect()}
     assert got == {"1": ("T", ["a", "b", "c"]), "2": ("T", ["a", "b"]), "3": ("T", ["T"]), "lone": ("-", [])}
 
 
+def test_wide_token_lines_are_quarantined(spark):
+    from feedlab.operators.text import title_tokens
+    df = spark.createDataFrame([("1\tT\ta\tb\tLOST",), ("2\tT\ta",)], "value string")
+    for f in (combine_tokens, title_tokens):
+        good, wide = f(df)
+        assert [r.urlid for r in good.collect()] == ["2"]
+        assert [r.value for r in wide.collect()] == ["1\tT\ta\tb\tLOST"]
+
+
 def test_null_tokens(spark):
     df = spark.createDataFrame([("1", "T", None), ("2", "T", "a,b")], "urlid string, title string, s string")
     got = {r.urlid: (r.title, r.s_term) for r in tokens_from_text(df, "urlid", "title", "s").collect()}
@@ -130,16 +141,29 @@ def test_chi2_matches_mllib_and_bins(spark):
     vec = VectorAssembler(inputCols=["a", "b"], outputCol="f").transform(df)
     ref = ChiSquareTest.test(vec, "f", "label").collect()[0].statistics
     assert math.isclose(stats["a"], ref[0], rel_tol=1e-9) and math.isclose(stats["b"], ref[1], rel_tol=1e-9)
-    binned = bin_columns(df, ["wide"], n_bins=50)
-    assert binned.select(F.countDistinct("wide")).collect()[0][0] <= 50
-    assert chi2_stats(binned, ["wide"], "label").count() == 1
-
-
-def test_index_ids_beyond_int(spark):
-    df = spark.createDataFrame([(2 ** 40,), (5,), (2 ** 40,)], "uid long")
-    out = {(int(r.uid), r.uid_idx) for r in index_ids(df, "uid").collect()}
-    # dense int index in id order
-    assert out == {(5, 0), (2 ** 40, 1)}
+    test = ChiSquareTest.test(vec, "f", "label").collect()[0]
+    for name, p in zip(("a", "b"), test.pValues):
+        row = next(r for r in chi2_stats(df, ["a", "b"], "label").collect() if r.feature == name)
+        assert math.isclose(chi2_p_value(row.statistic, row.dof), p, rel_tol=1e-6, abs_tol=1e-300)
+    # a column of 400 values needs no bins, and counted groups give the same
+    grouped = df.groupBy("a", "b", "wide", "label").count()
+    key = lambda d: sorted((r.feature, r.statistic, r.dof) for r in d.collect())
+    assert key(chi2_stats(df, ["a", "b", "wide"], "label")) == key(
+        chi2_stats(grouped, ["a", "b", "wide"], "label", count="count"))
+
+
+def test_chi2_select_equals_the_library(spark):
+    from pyspark.ml.feature import UnivariateFeatureSelector
+    from feedlab.operators.features import assemble
+    rows = [(float(i % 2), float(i % 2 if i % 10 else 3), float(i % 3), float((i * 7) % 5 + (i % 2) * (i % 4 == 0)),
+             float(i % 7)) for i in range(500)]
+    cols = ["p", "q", "r", "s"]
+    df = spark.createDataFrame(rows, "label double, p double, q double, r double, s double")
+    sel = UnivariateFeatureSelector(featuresCol="features", labelCol="label", outputCol="o",
+                                    selectionMode="numTopFeatures")
+    sel.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(2)
+    want = sorted(sel.fit(assemble(df, cols)).selectedFeatures)
+    assert [i for i, _ in chi2_select(chi2_stats(df, cols, "label"), cols, 2)] == want
 
 
 def test_dense_index_many_values(spark):
@@ -150,13 +174,21 @@ def test_dense_index_many_values(spark):
     assert [i for _, i in rows] == list(range(len(rows)))
 
 
-def test_als_input_indexes_wide_ids(spark):
-    from feedlab.operators.models import als_input
-    df = spark.createDataFrame([(2 ** 40, 1, 1), (7, 2, 0), (2 ** 40, 2, 1)], "uid long, urlid long, label int")
+def test_als_returns_original_ids(spark):
+    from feedlab.operators.models import (als_input, fit_als, recommend_items, recommend_users, user_factors, with_ids)
+    users, items = [2 ** 40 + u for u in range(6)], [-3, 2 ** 33, 5, 6, 2 ** 50]
+    rows = [(u, i, (n * 7) % 2) for n, (u, i) in enumerate((u, i) for u in users for i in items)]
+    df = spark.createDataFrame(rows + [(None, 5, 1), (users[0], None, 1)], "uid long, urlid long, label int")
     out, umap, imap = als_input(df)
-    assert imap is None and umap is not None
-    assert dict(out.groupBy("uid").count().collect()) == {0: 1, 1: 2}
-    assert out.schema["uid"].dataType.simpleString() == "int"
+    assert out.count() == len(rows)          # rows without an id are dropped
+    assert out.schema["uid"].dataType.simpleString() == out.schema["urlid"].dataType.simpleString() == "int"
+    model = fit_als(out, iters=2, user_blocks=2, item_blocks=2)
+    pred = with_ids(with_ids(model.transform(out), umap, "uid"), imap, "urlid")
+    assert {(r.uid, r.urlid) for r in pred.collect()} == {(u, i) for u, i, _ in rows}
+    assert {r.id for r in user_factors(model, umap).collect()} == set(users)
+    for recs in (recommend_items(model, 3, user_map=umap, item_map=imap), recommend_users(model, 3, user_map=umap, item_map=imap)):
+        got = recs.collect()
+        assert {r.uid for r in got} <= set(users) and {r.urlid for r in got} <= set(items) and len(got) >= 15
 
 
 def test_lr_save_load_same_predictions(spark):
