@@ -105,6 +105,10 @@ def feature_groups(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
     url_side = page_attrs.select("urlid", "pnum", "pdef", "pbeau")
     if with_click_stats:
         url_side = stats.join(url_side, "urlid", "left")
+    # One row per url, written once: the join below then has a plain shuffle on
+    # both sides, so AQE can split the partition of a url that a third of all
+    # users saw.
+    url_side = materialize(url_side, "url_features")
     feat = (groups.join(url_side, "urlid", "left")
                   .join(dots, ["uid", "urlid"], "left"))
     feat = page_defaults(feat)

@@ -102,7 +102,8 @@ def run_sql(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
     return spark.sql(query, **frames)
 
 
-# Rows that a range bucket holds on average.
+# Range buckets of any table, and rows for each further one.
+LEAST_BUCKETS = 8
 BUCKET_ROWS = 500_000
 
 
@@ -115,9 +116,7 @@ def range_buckets(df: DataFrame, col: str, n_buckets: int | None = None, out: st
     bucket and stitched together with per-bucket offsets (one row a bucket).
     The number of buckets follows the number of rows (``BUCKET_ROWS`` each).
     """
-    n = n_buckets or -(-df.count() // BUCKET_ROWS)
-    if n <= 1:
-        return df.withColumn(out, F.lit(0))
+    n = n_buckets or LEAST_BUCKETS + df.count() // BUCKET_ROWS
     qs = [i / n for i in range(1, n)]
     bounds = df.agg(F.percentile_approx(col, qs, 10 * n)).scalar()
     # (a subquery may not sit inside a lambda: project it as a column first)

@@ -33,15 +33,19 @@ def ctr_by_key(df: DataFrame, key: str = "urlid", label: str = "label") -> DataF
     return click_show(df, key, label).withColumn("ctr", ctr(F.col("sumclick"), F.col("sumshow")))
 
 
-def lookup_join(log: DataFrame, side: DataFrame, key, how: str = "left") -> DataFrame:
-    """Join a large log to a keyed side table (few rows per key).
-
-    Nothing is written: with ``spark.sql.adaptive.forceOptimizeSkewedJoin``
-    (``session.RECOMMENDED_CONF``) AQE splits the partition of a hot key on the
-    log side even where the side's own partitioning would otherwise be reused,
-    and it broadcasts a side that measures small.
+def lookup_join(log: DataFrame, side: DataFrame, key, how: str = "left", name: str = "lookup") -> DataFrame:
+    """Join a large log to a keyed side (few rows per key) that is itself the
+    result of an aggregate or a join on that key.
+
+    The side is written once under the shared checkpoint folder, so the join
+    sees a plain shuffle on both inputs: AQE broadcasts the side when its
+    measured size is small, and otherwise splits the partition of a hot key on
+    the log side.  Without the write the side would reuse its own partitioning,
+    its last operator would stand between the shuffle and the join, and AQE
+    (with or without ``forceOptimizeSkewedJoin``) splits only where the shuffle
+    feeds the join directly.  A stored table needs no write: join it as it is.
     """
-    return log.join(side, key, how)
+    return log.join(materialize(side, name), key, how)
 
 
 def join_stats(log: DataFrame, stats: DataFrame, key: str = "urlid") -> DataFrame:

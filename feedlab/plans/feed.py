@@ -88,7 +88,7 @@ def feed_json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("urlid"),
                                                    F.col("quality").cast("double").alias("pdef"),
                                                    F.col("toxic").cast("double").alias("pbeau"))
-    j = j.join(pages.select("urlid", "pnum"), "urlid", "left").join(labels, "urlid", "left")
+    j = lookup_join(j, pages.select("urlid", "pnum"), "urlid").join(labels, "urlid", "left")
     j = lookup_join(j, tdot, ["uid", "urlid"], "left")
     return j.select(
         F.col("uid").alias("userid"), "label",

@@ -27,7 +27,7 @@ from feedlab.operators.clean import guard_width
 from feedlab.operators.features import FEATURE_COLUMNS, VECTOR_ORDER, assemble, train_feature
 from feedlab.operators.terms import page_vector
 from feedlab.operators.text import keywords
-from feedlab.session import materialize, remove_scratch
+from feedlab.session import materialize, stage_outputs_removed
 from feedlab.sources.readers import read_lines
 
 PAGE_FIELDS = C.RAW_PAGE_FIELDS
@@ -153,12 +153,12 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("--min-count", type=int, default=C.W2V_MIN_COUNT)
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    if args.job == "features":
-        feature_job(spark, args.impressions, args.pages, args.out, fmt=args.fmt, charset=args.charset)
-    else:
-        text_job(spark, args.pages, args.out, charset=args.charset, vector_size=args.size,
-                 min_count=args.min_count)
-    remove_scratch(spark)
+    with stage_outputs_removed(spark):
+        if args.job == "features":
+            feature_job(spark, args.impressions, args.pages, args.out, fmt=args.fmt, charset=args.charset)
+        else:
+            text_job(spark, args.pages, args.out, charset=args.charset, vector_size=args.size,
+                     min_count=args.min_count)
 
 
 if __name__ == "__main__":

@@ -122,8 +122,7 @@ def q_flt_complete_rows(spark, sf_dir):
     # feature are dropped
     imp = impressions(spark, sf_dir).select("event_id", "uid", "urlid")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("urlid"), "quality", "toxic")
-    j = (imp.join(pages_info(spark, sf_dir).select("urlid", "url"), "urlid", "left")
-            .join(labels, "urlid", "left"))
+    j = join_page(imp, pages_info(spark, sf_dir).select("urlid", "url")).join(labels, "urlid", "left")
     return drop_incomplete(j, ["url", "quality", "toxic"])
 
 
@@ -138,7 +137,7 @@ def q_sql_view_query(spark, sf_dir):
                count(p.urlid) AS shows_with_page
         FROM {imp} i LEFT JOIN {pages} p ON i.urlid = p.urlid
         GROUP BY i.uid""",
-        imp=impressions(spark, sf_dir), pages=pages_info(spark, sf_dir).select("urlid"))
+        imp=impressions(spark, sf_dir), pages=materialize(pages_info(spark, sf_dir).select("urlid"), "page_ids"))
 
 
 @query("ctr_by_url_stream", S.with_(S.IMPRESSIONS) + """

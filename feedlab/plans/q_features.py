@@ -106,7 +106,7 @@ def q_page_vector_defaults(spark, sf_dir):
     imp = impressions(spark, sf_dir).select("event_id", "urlid")
     pages = pages_info(spark, sf_dir)
     nterms = feed_page_vector(pages).groupBy("urlid").agg(F.count(F.lit(1)).alias("n_terms"))
-    j = imp.join(pages.select("urlid", "pnum", "pdef", "pbeau"), "urlid", "left")
+    j = lookup_join(imp, pages.select("urlid", "pnum", "pdef", "pbeau"), "urlid", "left", "pages")
     j = lookup_join(j, nterms, "urlid", "left")
     j = page_defaults(j).withColumn("n_terms", F.coalesce("n_terms", F.lit(0)).cast("long"))
     return j.select("event_id", "urlid", "pnum", "pdef", "pbeau", "n_terms")

@@ -16,6 +16,7 @@ from feedlab.functions.tokens import tokenize
 from feedlab.operators.clean import (clean_fields, guard_width, page_fields_with_defaults, quote_fields,
                                      strip_id_prefixes)
 from feedlab.operators.relational import cast_cols
+from feedlab.operators.stats import join_page
 from feedlab.plans import sql as S
 from feedlab.plans.registry import query
 from feedlab.session import charset_codecs, materialize, scratch_path
@@ -50,7 +51,7 @@ FROM impressions i LEFT JOIN pages_info p ON i.urlid = p.urlid
 def q_src_impression_parse(spark, sf_dir):
     imp = impressions(spark, sf_dir)
     pages = pages_info(spark, sf_dir).select("urlid", "utype", "url", "title")
-    j = imp.join(pages, "urlid", "left")
+    j = join_page(imp, pages)
     # label,ts,uid,urlid,urlinfo where urlinfo holds tabs and commas (titles)
     line = F.concat_ws(",", F.col("label").cast("string"), F.col("event_id").cast("string"),
                        F.col("uid").cast("string"), F.col("urlid").cast("string"),

@@ -107,18 +107,29 @@ def _is_uuid_leaf(path: str) -> bool:
         return False
 
 
+_open_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, never reused folder under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "feedlab-scratch", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(root, "feedlab-scratch", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")
+    for scope in _open_scopes:
+        scope.append(path)
+    return path
 
 
-def remove_scratch(spark: SparkSession) -> None:
-    """Delete this application's stage outputs.  For the end of a job whose
+@contextlib.contextmanager
+def stage_outputs_removed(spark: SparkSession):
+    """Delete the stage outputs written inside, at the end.  For jobs whose
     results are written elsewhere: DataFrames over stage outputs end with it."""
-    path = os.path.join(ensure_checkpoint_dir(spark), "feedlab-scratch", spark.sparkContext.applicationId)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def materialize(df, name: str):
