@@ -45,16 +45,21 @@ def first_line(c: Column) -> Column:
 
 
 def pages_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The three tables are all as large as the corpus, so they meet in shuffled
+    joins whatever their size; what is derived from the text comes before the
+    joins, so a consumer of titles shuffles titles only."""
+    text = F.col("text")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", "n_chars", first_line(text).alias("title"), text.alias("content"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "url")
-    j = docs.join(labels, "doc_id", "left").join(pages, "doc_id", "left")
+    j = docs.join(labels.hint("merge"), "doc_id", "left").join(pages.hint("merge"), "doc_id", "left")
     return j.select(
         F.col("doc_id").alias("urlid"),
         F.col("source").alias("utype"),
         F.col("url"),
-        first_line(F.col("text")).alias("title"),
-        F.col("text").alias("content"),
+        F.col("title"),
+        F.col("content"),
         F.col("n_chars").cast("int").alias("pnum"),
         F.coalesce(F.col("quality"), F.lit(-1)).cast("double").alias("pdef"),
         F.coalesce(F.col("toxic"), F.lit(-1)).cast("double").alias("pbeau"),
