@@ -6,8 +6,8 @@
 2. Expectation-maximisation on the pattern counts estimates the share of good
    documents and, per labeller and class, how often it votes what (Dawid and
    Skene, 1979).  No true label is used.
-3. The posteriors of a bounded sample (``sample_docs``, the smallest hashes of
-   the ids) train a hashed linear scorer in one task.
+3. The posteriors of a sample of about ``sample_docs`` documents, drawn by a hash,
+   train a hashed linear scorer in one task.
 4. Every document is scored.
 """
 
@@ -26,11 +26,11 @@ from feedlab.llm.common import map_arrow, materialize, text_bytes
 from feedlab.llm.quality_ledger import SYMBOLS, repeated_window_words
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
-# The scorer is fitted on this many documents at most.
-SAMPLE_DOCS = 20_000
+# The scorer is fitted on about this many documents (all, if there are fewer).
+SAMPLE_DOCS = 8_000
 FEATURES = 1 << 16
 EM_ROUNDS = 100
-FIT_STEPS = 150
+FIT_STEPS = 120
 
 # --- fixed values: frequent function words of the corpus languages --------------
 FUNCTION_WORDS = frozenset(w.encode() for w in """the of and to in a is that for it with as was on be by this are at
@@ -269,13 +269,22 @@ def _score(model: WeakLabelModel, weights: np.ndarray):
     return run
 
 
-def fit_labels(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> WeakLabelModel:
-    """The weak-label model of a corpus, from its vote pattern counts."""
+def fit_labels(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[WeakLabelModel, int]:
+    """The weak-label model of a corpus, from its vote pattern counts, and the
+    number of documents."""
     src = docs.select(F.col(doc_id).alias("doc_id"), text_bytes(text).alias("text"))
     ddl = f"doc_id {src.schema['doc_id'].dataType.simpleString()}, pattern int"
     rows = map_arrow(src, _patterns, ddl).groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").collect()
-    return WeakLabelModel.fit([r["pattern"] for r in rows], [r["n"] for r in rows]) if rows else WeakLabelModel(
-        0.5, np.full((len(LABELLERS), 2, 2), 0.5))
+    if not rows:
+        return WeakLabelModel(0.5, np.full((len(LABELLERS), 2, 2), 0.5)), 0
+    return WeakLabelModel.fit([r["pattern"] for r in rows], [r["n"] for r in rows]), sum(r["n"] for r in rows)
+
+
+def hashed_share(share: float):
+    """True for about this share of the rows, by a hash of id and text."""
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64("doc_id", "text") < F.lit(int(share * 2.0 ** 64) - (1 << 63))
 
 
 def score_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, sample_docs: int = SAMPLE_DOCS,
@@ -286,10 +295,13 @@ def score_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     Null and repeated ids pass through, an empty table stays empty, and other
     columns are ignored.
     """
-    model = fit_labels(docs, doc_id, text)
+    model, n = fit_labels(docs, doc_id, text)
     src = docs.select(F.col(doc_id).alias("doc_id"), text_bytes(text).alias("text"))
-    sample = src.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample_docs).select("text")
-    rows = materialize(map_arrow(sample.coalesce(1), _fit(model), "feature int, weight double"), "quality-weights")
+    # drawn where the rows are; only the sample meets in the fitting task, in a
+    # fixed order so that the same corpus gives the same weights
+    sample = src.filter(hashed_share(sample_docs / n if n else 1.0)).select("text")
+    sample = sample.repartition(1).sortWithinPartitions("text")
+    rows = materialize(map_arrow(sample, _fit(model), "feature int, weight double"), "quality-weights")
     weights = np.zeros(FEATURES + 1)
     for r in rows.collect():                       # at most FEATURES + 1 numbers
         weights[r["feature"]] = r["weight"]
