@@ -4,18 +4,19 @@ A window is a run of ``window`` consecutive words.  Every word covered by a
 window that also occurs in a document with a smaller id is removed.
 
 The corpus is its own reference, so reference shards are cut by content: each
-window is routed by its anchor, the n-gram in it with the smallest hash.  Equal
+window is routed by its anchor, the smallest hash of an n-gram in it.  Equal
 windows have equal anchors, hence lie in one shard, and a shard holds only text
-around anchors that more than one document has.  A shard's distinct segments
+around one anchor that more than one document has.  A shard's distinct segments
 form a suffix automaton whose states carry the smallest id among their
 occurrences; segments are streamed through it for matching statistics, and a
-window's state says whether an earlier document has it.  Windows compare as
-whole words in the automaton; hashes only choose where.
+window's state says whether an earlier document has it.  (The automaton of a
+single segment is a path: all its windows have the segment's smallest id.)
+Windows compare as whole words; hashes only choose where.
 
 Stages (each a shuffle, no step gathers a group):
 
 1. scan tasks send (anchor, id) in blobs by anchor, one entry per anchor and
-   batch, and keep those seen twice in a batch as hits already: an anchor in a
+   batch, and know those seen twice in a batch as hits already: an anchor in a
    third of all documents arrives as one entry per batch;
 2. anchors met in two entries become hits of their documents;
 3. documents meet their hits and send distinct segments, each with the list of
@@ -30,12 +31,12 @@ import hashlib
 import pickle
 import tempfile
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,12 +44,14 @@ from feedlab.llm.common import map_arrow, materialize, shuffle_partitions, text_
 
 WINDOW = 13
 # Words of an anchor.
-ANCHOR = 6
+ANCHOR = 5
 # Words of reference text in one automaton.
 SHARD_WORDS = 200_000
-# Reference shards per shuffle partition.
-SHARDS_PER_TASK = 16
-# Bytes of a bucket's segments held in memory before they go to a temporary file.
+# Windows of a segment at most (a bit of a mask each).
+SEGMENT_WINDOWS = 32
+# Bytes of segments that a task holds before it sends them on, and of a shard's
+# rows before they go to a temporary file.
+HELD_BYTES = 96 << 20
 SPOOL_BYTES = 32 << 20
 # Stands for a null id, which sorts after every id.
 LAST = np.iinfo(np.int64).max
@@ -71,18 +74,33 @@ class WordHashes(dict):
 _hashes = WordHashes()
 
 
+def _window_minima(g: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of each run of ``width`` values, by doubling."""
+    reach = 1
+    while 2 * reach <= width:
+        g = np.minimum(g[:-reach], g[reach:])
+        reach *= 2
+    rest = width - reach
+    return np.minimum(g[:-rest], g[rest:]) if rest else g
+
+
 def anchors(words: list[bytes], window: int, n: int):
-    """(hash, first window, windows) of each anchor: the leftmost n-gram of
-    smallest hash in each window, and the windows that have it."""
+    """(hash, first window, windows) of each run of windows with one anchor: the
+    smallest hash of an n-gram in the window.  Long runs come in parts."""
     h = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
     count = len(words) - n + 1
     g = np.zeros(count, dtype=np.uint64)
     for i in range(n):
         g = (g ^ h[i:i + count]) * _MIX[i % len(_MIX)]
         g ^= g >> np.uint64(31)
-    at = sliding_window_view(g, window - n + 1).argmin(axis=1) + np.arange(len(words) - window + 1)
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return g[at[first]], first, np.diff(np.concatenate([first, [len(at)]]))
+    m = _window_minima(g, window - n + 1)
+    first = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
+    length = np.diff(np.append(first, len(m)))
+    if length.max() > SEGMENT_WINDOWS:
+        parts = -(-length // SEGMENT_WINDOWS)
+        first = np.concatenate([a + SEGMENT_WINDOWS * np.arange(k) for a, k in zip(first, parts)])
+        length = np.minimum(np.diff(np.append(first, len(m))), SEGMENT_WINDOWS)
+    return m[first], first, length
 
 
 class SuffixAutomaton:
@@ -163,7 +181,7 @@ def _send_anchors(window: int, n: int, parts: int):
             for d, text in zip(b.column(0).to_pylist(), b.column(1)):
                 words = text.as_py().split()
                 if len(words) >= window:
-                    h = np.unique(anchors(words, window, n)[0])
+                    h = anchors(words, window, n)[0]
                     ids.append(h)
                     docs.append(np.full(len(h), d, dtype=np.int64))
             if not ids:
@@ -171,13 +189,14 @@ def _send_anchors(window: int, n: int, parts: int):
             h, d = np.concatenate(ids), np.concatenate(docs)
             order = np.lexsort((d, h))
             h, d = h[order], d[order]
+            new = np.concatenate([[True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])])
+            h, d = h[new], d[new]
             new = np.concatenate([[True], h[1:] != h[:-1]])
-            group = np.cumsum(new) - 1
             first = np.flatnonzero(new)
-            last_doc = d[np.concatenate([first[1:] - 1, [len(d) - 1]])]
-            twice = (d[first] != last_doc)[group]
+            many = np.diff(np.append(first, len(h))) > 1
+            twice = many[np.cumsum(new) - 1]
             # hits known in the batch, by document
-            yield from _by_document(h[twice], d[twice])
+            yield from _by_document(h[twice], d[twice], parts)
             # one entry of each anchor, by partition
             h, d = h[first], d[first]
             part = (h % np.uint64(parts)).astype(np.int64)
@@ -191,42 +210,46 @@ def _send_anchors(window: int, n: int, parts: int):
     return run
 
 
-def _by_document(h: np.ndarray, d: np.ndarray):
-    """Rows (null, id, anchors of the id)."""
+def _by_document(h: np.ndarray, d: np.ndarray, parts: int = 1):
+    """Rows (some partition, id, anchors of the id)."""
     if not len(h):
         return
     order = np.argsort(d, kind="stable")
     h, d = h[order], d[order]
     cuts = np.flatnonzero(np.diff(d)) + 1
+    ids = d[np.concatenate([[0], cuts])]
     yield pa.RecordBatch.from_arrays(
-        [pa.nulls(len(cuts) + 1, pa.int32()), pa.array(d[np.concatenate([[0], cuts])]),
+        [pa.array((ids % parts).astype(np.int32)), pa.array(ids),
          pa.array([x.tobytes() for x in np.split(h, cuts)], pa.binary())], names=["part", "id", "blob"])
 
 
 def _meet_anchors(batches):
-    """Entries of whole partitions: anchors with two documents are hits."""
-    hs: dict[int, list] = {}
+    """Entries of whole partitions: anchors with two documents are hits.  Rows
+    that are hits already go through."""
+    held: list[bytes] = []
     current = None
 
     def close():
-        blobs = hs.pop(current)
-        h = np.concatenate([np.frombuffer(x, dtype="<u8", count=len(x) // 16) for x in blobs])
-        d = np.concatenate([np.frombuffer(x, dtype="<i8", offset=len(x) // 2) for x in blobs])
-        order = np.lexsort((d, h))
-        h, d = h[order], d[order]
-        same = h[1:] == h[:-1]
-        hit = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        yield from _by_document(h[hit], d[hit])
+        if held:
+            h = np.concatenate([np.frombuffer(x, dtype="<u8", count=len(x) // 16) for x in held])
+            d = np.concatenate([np.frombuffer(x, dtype="<i8", offset=len(x) // 2) for x in held])
+            held.clear()
+            order = np.argsort(h, kind="stable")
+            h, d = h[order], d[order]
+            same = h[1:] == h[:-1]
+            hit = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+            yield from _by_document(h[hit], d[hit])
 
     for b in batches:
-        for part, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        through = b.filter(b.column(1).is_valid())
+        if through.num_rows:
+            yield through
+        for part, blob in zip(*(c.to_pylist() for c in b.filter(b.column(1).is_null()).select(["part", "blob"]).columns)):
             if part != current:
-                if current is not None:
-                    yield from close()
+                yield from close()
                 current = part
-            hs.setdefault(part, []).append(blob)
-    if current is not None:
-        yield from close()
+            held.append(blob)
+    yield from close()
 
 
 # --- documents together with what belongs to them ------------------------------
@@ -270,7 +293,7 @@ def _documents(batches) -> Iterator[tuple]:
 
 # --- 3: segments ----------------------------------------------------------------
 
-def _segments(window: int, n: int, shards: int):
+def _segments(window: int, n: int):
     def run(batches):
         held: dict[tuple[int, bytes], list] = {}
         size = 0
@@ -279,8 +302,9 @@ def _segments(window: int, n: int, shards: int):
             keys = list(held)
             places = [np.array(held[k], dtype=_PLACE).tobytes() for k in keys]
             return pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.binary()),
-                 pa.array(places, pa.binary())], names=["shard", "segment", "places"])
+                [pa.array(np.array([k[0] for k in keys], dtype=np.uint64).view(np.int64)),
+                 pa.array([k[1] for k in keys], pa.binary()), pa.array(places, pa.binary())],
+                names=["anchor", "segment", "places"])
 
         for i, _, variant, text, hits in _documents(batches):
             if not hits:
@@ -290,8 +314,8 @@ def _segments(window: int, n: int, shards: int):
                 continue
             h, first, count = anchors(words, window, n)
             wanted = np.isin(h, np.frombuffer(b"".join(hits), dtype="<u8"))
-            for a, at, c in zip((h[wanted] >> np.uint64(16)).tolist(), first[wanted].tolist(), count[wanted].tolist()):
-                key = (a % shards, b" ".join(words[at:at + c + window - 1]))
+            for a, at, c in zip(h[wanted].tolist(), first[wanted].tolist(), count[wanted].tolist()):
+                key = (a, b" ".join(words[at:at + c + window - 1]))
                 where = held.get(key)
                 if where is None:
                     held[key] = [(i, variant, at)]
@@ -299,7 +323,7 @@ def _segments(window: int, n: int, shards: int):
                 else:
                     where.append((i, variant, at))
                     size += 100
-            if size > SPOOL_BYTES:
+            if size > HELD_BYTES:
                 yield leave()
                 held, size = {}, 0
         if held:
@@ -309,50 +333,85 @@ def _segments(window: int, n: int, shards: int):
 
 # --- 4: shards --------------------------------------------------------------------
 
-def _answer(rows, window: int, shard_words: int) -> Iterator[tuple[bytes, list[int]]]:
-    """(places, earliest id per window) for the rows (segment, places) of one
-    shard.  A shard beyond ``shard_words`` is several automata, each of which
-    all rows are streamed through."""
-    with tempfile.SpooledTemporaryFile(max_size=SPOOL_BYTES) as spool:
-        n = 0
-        for row in rows:
-            pickle.dump(row, spool)
-            n += 1
-
-        def again():
-            spool.seek(0)
-            for _ in range(n):
-                yield pickle.load(spool)
-
-        best: list = [None] * n
-        def stream(machine, number):
-            machine.close()
-            known: dict[bytes, list[int]] = {}
-            for i, (segment, _) in enumerate(again()):
-                found = known.get(segment)
-                if found is None:
-                    ids = [number.get(w, -1) for w in segment.split(b" ")]
-                    found = known[segment] = machine.earliest_windows(ids, window)
-                best[i] = found if best[i] is None else [min(x, y) for x, y in zip(best[i], found)]
-
-        # distinct segments first, so that copies add nothing to the automaton
-        least: dict[bytes, int] = {}
-        for segment, places in again():
-            i = int(np.frombuffer(places, dtype=_PLACE)["id"].min())
-            if i < least.get(segment, LAST) or segment not in least:
-                least[segment] = i
-        machine, number, size = SuffixAutomaton(), {}, 0
-        for segment, i in least.items():
-            ids = [number.setdefault(w, len(number)) for w in segment.split(b" ")]
-            machine.add(ids, i)
-            size += len(ids)
-            if size >= shard_words:
-                stream(machine, number)
-                machine, number, size = SuffixAutomaton(), {}, 0
-        if size:
-            stream(machine, number)
-        for (_, places), found in zip(again(), best):
+def _least_id(places: bytes) -> int:
+    return int.from_bytes(places[:8], "little", signed=True) if len(places) == _PLACE.itemsize else int(
+        np.frombuffer(places, dtype=_PLACE)["id"].min())
+
+
+def _last_id(places: bytes) -> int:
+    return int.from_bytes(places[:8], "little", signed=True) if len(places) == _PLACE.itemsize else int(
+        np.frombuffer(places, dtype=_PLACE)["id"].max())
+
+
+class Rows:
+    """Rows (segment, places) that can be read again: in memory, and beyond
+    SPOOL_BYTES in a temporary file."""
+
+    def __init__(self):
+        self.held, self.bytes, self.spool, self.n = [], 0, None, 0
+
+    def add(self, row) -> None:
+        self.n += 1
+        self.held.append(row)
+        self.bytes += len(row[0]) + len(row[1]) + 200
+        if self.bytes > SPOOL_BYTES:
+            self.spool = self.spool or tempfile.TemporaryFile()
+            for x in self.held:
+                pickle.dump(x, self.spool)
+            self.held, self.bytes = [], 0
+
+    def __iter__(self):
+        if self.spool:
+            self.spool.seek(0)
+            for _ in range(self.n - len(self.held)):
+                yield pickle.load(self.spool)
+        yield from self.held
+
+    def close(self) -> None:
+        if self.spool:
+            self.spool.close()
+
+
+def _answer(rows: Rows, window: int, shard_words: int) -> Iterator[tuple[bytes, list[int]]]:
+    """(places, earliest id per window) for the rows of one anchor.  Distinct
+    segments beyond ``shard_words`` are several automata, each of which all rows
+    are streamed through."""
+    least: dict[bytes, int] = {}           # distinct segments: copies add nothing
+    for segment, places in rows:
+        i = _least_id(places)
+        if i < least.get(segment, LAST + 1):
+            least[segment] = i
+    if len(least) == 1:
+        (segment, i), = least.items()
+        found = [i] * (segment.count(b" ") + 2 - window)
+        for _, places in rows:
             yield places, found
+        return
+
+    best: list = [None] * rows.n
+
+    def stream(machine, number):
+        machine.close()
+        known: dict[bytes, list[int]] = {}
+        for i, (segment, _) in enumerate(rows):
+            found = known.get(segment)
+            if found is None:
+                ids = [number.get(w, -1) for w in segment.split(b" ")]
+                found = known[segment] = machine.earliest_windows(ids, window)
+            best[i] = found if best[i] is None else [min(x, y) for x, y in zip(best[i], found)]
+
+    machine, number, size = SuffixAutomaton(), {}, 0
+    for segment, i in least.items():
+        ids = [number.setdefault(w, len(number)) for w in segment.split(b" ")]
+        machine.add(ids, i)
+        size += len(ids)
+        if size >= shard_words:
+            stream(machine, number)
+            machine, number, size = SuffixAutomaton(), {}, 0
+    if size:
+        stream(machine, number)
+    for (_, places), found in zip(rows, best):
+        yield places, found
 
 
 def _shards(window: int, shard_words: int):
@@ -360,34 +419,30 @@ def _shards(window: int, shard_words: int):
         out: list = []
 
         def leave():
-            batch = pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()),
-                                                pa.array([y for _, y in out], pa.binary())], names=["places", "earliest"])
+            places, found = zip(*out)
+            ends = np.cumsum([0] + [len(x) for x in found])
+            earliest = np.fromiter((i for x in found for i in x), dtype="<i8", count=int(ends[-1])).tobytes()
             out.clear()
-            return batch
-
-        def rows():
-            for b in batches:
-                yield from zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(places, pa.binary()), pa.array([earliest[8 * a:8 * b] for a, b in zip(ends, ends[1:])], pa.binary())],
+                names=["places", "earliest"])
 
         def answers():
-            pending: list = []
-            stream, ahead = rows(), None
-            ahead = next(stream, None)
-            while ahead is not None:
-                shard = ahead[0]
-
-                def one():
-                    nonlocal ahead
-                    while ahead is not None and ahead[0] == shard:
-                        yield ahead[1], ahead[2]
-                        ahead = next(stream, None)
-                yield from _answer(one(), window, shard_words)
-            yield from pending
+            anchor, rows = None, Rows()
+            for b in batches:
+                for a, segment, places in zip(*(c.to_pylist() for c in b.columns)):
+                    if a != anchor:
+                        yield from _answer(rows, window, shard_words)
+                        rows.close()
+                        anchor, rows = a, Rows()
+                    rows.add((segment, places))
+            yield from _answer(rows, window, shard_words)
+            rows.close()
 
         for places, found in answers():
             # only where a place lies after the earliest one of a window
-            if np.frombuffer(places, dtype=_PLACE)["id"].max() > min(found):
-                out.append((places, np.array(found, dtype="<i8").tobytes()))
+            if _last_id(places) > min(found):
+                out.append((places, found))
                 if len(out) >= 10_000:
                     yield leave()
         if out:
@@ -397,33 +452,42 @@ def _shards(window: int, shard_words: int):
 
 # --- 5: removals --------------------------------------------------------------------
 
+_REMOVAL = np.dtype([("variant", "<i4"), ("at", "<i4"), ("mask", "<u8")])
+
+
 def _removals(batches):
     """Rows (id, payload): variant, first window and a bit per window to remove."""
-    kind = np.dtype([("variant", "<i4"), ("at", "<i4"), ("mask", "<u8")])
     for b in batches:
-        ids, payloads = [], []
-        for places, earliest in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            p, e = np.frombuffer(places, dtype=_PLACE), np.frombuffer(earliest, dtype="<i8")
-            later = e[None, :] < p["id"][:, None]
-            bits = (later * (np.uint64(1) << np.arange(len(e), dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
-            some = bits > 0
-            rows = np.zeros(int(some.sum()), dtype=kind)
-            rows["variant"], rows["at"], rows["mask"] = p["variant"][some], p["at"][some], bits[some]
-            ids.append(p["id"][some])
-            payloads.append(rows)
-        if ids:
-            ids, rows = np.concatenate(ids), np.concatenate(payloads)
-            order = np.argsort(ids, kind="stable")
-            ids, rows = ids[order], rows[order]
+        places, earliest = (c.to_pylist() for c in b.columns)
+        if not places:
+            continue
+        p = np.frombuffer(b"".join(places), dtype=_PLACE)
+        e = np.frombuffer(b"".join(earliest), dtype="<i8")
+        n_places = np.array([len(x) for x in places]) // _PLACE.itemsize
+        n_windows = np.array([len(x) for x in earliest]) // 8
+        # every place with every window of its segment
+        row = np.repeat(np.arange(len(places)), n_places)
+        size = n_windows[row]
+        begin = np.concatenate([[0], np.cumsum(size)[:-1]])
+        k = np.arange(int(size.sum())) - np.repeat(begin, size)
+        first = np.concatenate([[0], np.cumsum(n_windows)[:-1]])[row]
+        later = e[np.repeat(first, size) + k] < np.repeat(p["id"], size)
+        mask = np.bitwise_or.reduceat(later.astype(np.uint64) << k.astype(np.uint64), begin)
+        some = mask > 0
+        rows = np.zeros(int(some.sum()), dtype=_REMOVAL)
+        rows["variant"], rows["at"], rows["mask"] = p["variant"][some], p["at"][some], mask[some]
+        ids = p["id"][some]
+        order = np.argsort(ids, kind="stable")
+        ids, rows = ids[order], rows[order]
+        if len(ids):
             cuts = np.flatnonzero(np.diff(ids)) + 1
-            if len(ids):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[np.concatenate([[0], cuts])]), pa.array([x.tobytes() for x in np.split(rows, cuts)],
-                                                                          pa.binary())], names=["id", "payload"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[np.concatenate([[0], cuts])]),
+                 pa.array([x.tobytes() for x in np.split(rows, cuts)], pa.binary())], names=["id", "payload"])
 
 
 def _apply(window: int, with_text: bool):
-    kind = np.dtype([("variant", "<i4"), ("at", "<i4"), ("mask", "<u8")])
+    bit = np.arange(SEGMENT_WINDOWS, dtype=np.uint64)
 
     def run(batches):
         rows = []
@@ -439,15 +503,12 @@ def _apply(window: int, with_text: bool):
             words = text.split()
             total = len(words)
             if payloads:
-                r = np.frombuffer(b"".join(payloads), dtype=kind)
+                r = np.frombuffer(b"".join(payloads), dtype=_REMOVAL)
                 r = r[r["variant"] == variant]
-                edge = np.zeros(total + 1, dtype=np.int64)
-                for k in range(window):
-                    starts = r["at"][(r["mask"] >> np.uint64(k)) & np.uint64(1) == 1] + k
-                    np.add.at(edge, starts, 1)
-                    np.add.at(edge, starts + window, -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                words = [w for w, g in zip(words, gone.tolist()) if not g]
+                i, k = np.nonzero((r["mask"][:, None] >> bit) & np.uint64(1))
+                starts = r["at"][i] + k
+                edge = np.bincount(starts, minlength=total + 1) - np.bincount(starts + window, minlength=total + 1)
+                words = list(compress(words, (np.cumsum(edge[:total]) == 0).tolist()))
             kept = b" ".join(words)
             rows.append((doc_id, total, total - len(words), hashlib.sha256(kept).hexdigest(),
                          kept.decode())[:4 + with_text])
@@ -468,21 +529,19 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     other's words; each is judged by its own text.  An empty table gives an
     empty result; other columns are ignored.
     """
-    if not anchor <= window <= 64:
-        raise ValueError("an anchor is no longer than the window, and a window at most 64 words")
+    if not 1 <= anchor <= window:
+        raise ValueError("an anchor is no longer than the window")
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                       F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("id"), text_bytes(text).alias("text"))
     blob_ddl = "part int, id long, blob binary"
-    sent = materialize(map_arrow(src.select("id", "text"), _send_anchors(window, anchor, parts), blob_ddl),
-                       "substring-anchors")
-    met = map_arrow(sent.filter("part is not null").select("part", "blob").repartition(parts, "part")
-                    .sortWithinPartitions("part"), _meet_anchors, blob_ddl)
-    hits = sent.filter("part is null").unionByName(met).select("id", F.col("blob").alias("payload"))
-    segments = map_arrow(_with_documents(src, hits), _segments(window, anchor, parts * SHARDS_PER_TASK),
-                         "shard int, segment binary, places binary")
-    answers = map_arrow(segments.repartition(parts, "shard").sortWithinPartitions("shard"),
+    sent = map_arrow(src.select("id", "text"), _send_anchors(window, anchor, parts), blob_ddl)
+    hits = map_arrow(sent.repartition(parts, "part").sortWithinPartitions("part"), _meet_anchors, blob_ddl).select(
+        "id", F.col("blob").alias("payload"))
+    segments = map_arrow(_with_documents(src, hits), _segments(window, anchor),
+                         "anchor long, segment binary, places binary")
+    answers = map_arrow(segments.repartition(parts, "anchor").sortWithinPartitions("anchor"),
                         _shards(window, shard_words), "places binary, earliest binary")
     removals = materialize(map_arrow(answers.repartition(parts), _removals, "id long, payload binary"),
                            "substring-removals")
