@@ -195,8 +195,8 @@ def _send_anchors(window: int, n: int, parts: int):
             first = np.flatnonzero(new)
             many = np.diff(np.append(first, len(h))) > 1
             twice = many[np.cumsum(new) - 1]
-            # hits known in the batch, by document
-            yield from _by_document(h[twice], d[twice], parts)
+            # hits known in the batch
+            yield from _hits(h[twice], d[twice], parts)
             # one entry of each anchor, by partition
             h, d = h[first], d[first]
             part = (h % np.uint64(parts)).astype(np.int64)
@@ -206,89 +206,119 @@ def _send_anchors(window: int, n: int, parts: int):
             blobs = [x.tobytes() + y.tobytes() for x, y in zip(np.split(h, cuts), np.split(d, cuts))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part[np.concatenate([[0], cuts])].astype(np.int32)), pa.nulls(len(blobs), pa.int64()),
-                 pa.array(blobs, pa.binary())], names=["part", "id", "blob"])
+                 pa.array(blobs, pa.binary())], names=["part", "dest", "blob"])
     return run
 
 
-def _by_document(h: np.ndarray, d: np.ndarray, parts: int = 1):
-    """Rows (some partition, id, anchors of the id)."""
-    if not len(h):
-        return
-    order = np.argsort(d, kind="stable")
-    h, d = h[order], d[order]
-    cuts = np.flatnonzero(np.diff(d)) + 1
-    ids = d[np.concatenate([[0], cuts])]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array((ids % parts).astype(np.int32)), pa.array(ids),
-         pa.array([x.tobytes() for x in np.split(h, cuts)], pa.binary())], names=["part", "id", "blob"])
+def _destinations(parts: int) -> int:
+    """Destinations of what belongs to documents: a prime, so that ids in steps
+    spread too, a few to a shuffle partition."""
+    n = 4 * parts + 1
+    while any(n % i == 0 for i in range(2, int(n ** 0.5) + 1)):
+        n += 2
+    return n
+
+
+def _by_destination(ids: np.ndarray, records: np.ndarray, dests: int):
+    """(destinations, blobs): the ids and records that go to each."""
+    dest = ids % dests
+    order = np.argsort(dest, kind="stable")
+    ids, records, dest = ids[order], records[order], dest[order]
+    cuts = np.flatnonzero(np.diff(dest)) + 1
+    blobs = [a.tobytes() + b.tobytes() for a, b in zip(np.split(ids, cuts), np.split(records, cuts))]
+    return dest[np.concatenate([[0], cuts])], blobs
 
 
-def _meet_anchors(batches):
+def _hits(h: np.ndarray, d: np.ndarray, parts: int):
+    """Rows (some partition, destination, ids and anchors)."""
+    if len(h):
+        dest, blobs = _by_destination(d, h, _destinations(parts))
+        yield pa.RecordBatch.from_arrays([pa.array((dest % parts).astype(np.int32)), pa.array(dest), pa.array(blobs, pa.binary())],
+                                         names=["part", "dest", "blob"])
+
+
+def _meet_anchors(parts: int):
     """Entries of whole partitions: anchors with two documents are hits.  Rows
     that are hits already go through."""
-    held: list[bytes] = []
-    current = None
-
-    def close():
-        if held:
-            h = np.concatenate([np.frombuffer(x, dtype="<u8", count=len(x) // 16) for x in held])
-            d = np.concatenate([np.frombuffer(x, dtype="<i8", offset=len(x) // 2) for x in held])
-            held.clear()
-            order = np.argsort(h, kind="stable")
-            h, d = h[order], d[order]
-            same = h[1:] == h[:-1]
-            hit = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-            yield from _by_document(h[hit], d[hit])
+    def run(batches):
+        held: list[bytes] = []
+        current = None
+
+        def close():
+            if held:
+                h = np.concatenate([np.frombuffer(x, dtype="<u8", count=len(x) // 16) for x in held])
+                d = np.concatenate([np.frombuffer(x, dtype="<i8", offset=len(x) // 2) for x in held])
+                held.clear()
+                order = np.argsort(h, kind="stable")
+                h, d = h[order], d[order]
+                same = h[1:] == h[:-1]
+                hit = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+                yield from _hits(h[hit], d[hit], parts)
 
-    for b in batches:
-        through = b.filter(b.column(1).is_valid())
-        if through.num_rows:
-            yield through
-        for part, blob in zip(*(c.to_pylist() for c in b.filter(b.column(1).is_null()).select(["part", "blob"]).columns)):
-            if part != current:
-                yield from close()
-                current = part
-            held.append(blob)
-    yield from close()
+        for b in batches:
+            through = b.filter(b.column(1).is_valid())
+            if through.num_rows:
+                yield through
+            entries = b.filter(b.column(1).is_null())
+            for part, blob in zip(entries.column(0).to_pylist(), entries.column(2).to_pylist()):
+                if part != current:
+                    yield from close()
+                    current = part
+                held.append(blob)
+        yield from close()
+    return run
 
 
 # --- documents together with what belongs to them ------------------------------
 
-_MEET_DDL = "id long, kind int, payload binary, doc_id long"
+_MEET_DDL = "dest long, kind int, id long, payload binary, doc_id long"
 
 
 def _compress(batches):
     z = zstandard.ZstdCompressor(level=3)
     for b in batches:
-        packed = [z.compress(t.as_py()) for t in b.column(1)]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.ones(b.num_rows, dtype=np.int32)),
-                                          pa.array(packed, pa.binary()), b.column(2)],
-                                         names=["id", "kind", "payload", "doc_id"])
+        packed = [z.compress(t.as_py()) for t in b.column(2)]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.ones(b.num_rows, dtype=np.int32)), b.column(1),
+                                          pa.array(packed, pa.binary()), b.column(3)],
+                                         names=["dest", "kind", "id", "payload", "doc_id"])
 
 
 def _with_documents(src: DataFrame, side: DataFrame) -> DataFrame:
-    """Rows of ``side`` (id, payload), then the texts of the same id, in order."""
-    texts = map_arrow(src.select("id", "text", "doc_id"), _compress, _MEET_DDL)
-    side = side.select("id", F.lit(0).alias("kind"), "payload", F.lit(None).cast("long").alias("doc_id"))
-    return (texts.unionByName(side).repartition(shuffle_partitions(src.sparkSession), "id")
-            .sortWithinPartitions("id", "kind", "payload"))
-
-
-def _documents(batches) -> Iterator[tuple]:
-    """(id, doc_id, variant, text, payloads): texts with the payloads of their id.
-    Texts that share an id are its variants, numbered in order."""
+    """Per destination the blobs of ``side`` (dest, payload), then the texts by id."""
+    parts = shuffle_partitions(src.sparkSession)
+    dest = F.pmod("id", F.lit(_destinations(parts)).cast("long"))
+    texts = map_arrow(src.select(dest.alias("dest"), "id", "text", "doc_id"), _compress, _MEET_DDL)
+    none = F.lit(None).cast("long")
+    side = side.select("dest", F.lit(0).alias("kind"), none.alias("id"), "payload", none.alias("doc_id"))
+    return (texts.unionByName(side).repartition(parts, "dest").sortWithinPartitions("dest", "kind", "id", "payload"))
+
+
+def _documents(batches, record: np.dtype) -> Iterator[tuple]:
+    """(id, doc_id, variant, text, records): texts with the records of their id.
+    Texts that share an id are its variants, numbered in order.  What is held is
+    one destination's records, a part of a shuffle partition."""
     z = zstandard.ZstdDecompressor()
-    current, side, variant = None, [], 0
+    current, blobs, ids, records, last, variant = None, [], None, None, None, 0
+    width = 8 + record.itemsize
     for b in batches:
-        for i, kind, payload, doc_id in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2),
-                                            b.column(3).to_pylist()):
-            if i != current:
-                current, side, variant = i, [], 0
+        for dest, kind, i, payload, doc_id in zip(*(b.column(c).to_pylist() for c in (0, 1, 2)), b.column(3),
+                                                  b.column(4).to_pylist()):
+            if dest != current:
+                current, blobs, ids, last, variant = dest, [], None, None, 0
             if kind == 0:
-                side.append(payload.as_py())
-            else:
-                yield i, doc_id, variant, z.decompress(payload.as_py()), side
-                variant += 1
+                blobs.append(payload.as_py())
+                continue
+            if ids is None:
+                counts = [len(x) // width for x in blobs]
+                ids = np.concatenate([np.frombuffer(x, dtype="<i8", count=n) for x, n in zip(blobs, counts)] or [np.zeros(0, "<i8")])
+                records = np.concatenate([np.frombuffer(x, dtype=record, offset=8 * n) for x, n in zip(blobs, counts)]
+                                         or [np.zeros(0, record)])
+                order = np.argsort(ids, kind="stable")
+                ids, records, blobs = ids[order], records[order], []
+            variant = variant + 1 if i == last else 0
+            last = i
+            own = records[np.searchsorted(ids, i):np.searchsorted(ids, i, side="right")]
+            yield i, doc_id, variant, z.decompress(payload.as_py()), own
 
 
 # --- 3: segments ----------------------------------------------------------------
@@ -306,14 +336,14 @@ def _segments(window: int, n: int):
                  pa.array([k[1] for k in keys], pa.binary()), pa.array(places, pa.binary())],
                 names=["anchor", "segment", "places"])
 
-        for i, _, variant, text, hits in _documents(batches):
-            if not hits:
+        for i, _, variant, text, hits in _documents(batches, np.dtype("<u8")):
+            if not len(hits):
                 continue
             words = text.split()
             if len(words) < window:
                 continue
             h, first, count = anchors(words, window, n)
-            wanted = np.isin(h, np.frombuffer(b"".join(hits), dtype="<u8"))
+            wanted = np.isin(h, hits)
             for a, at, c in zip(h[wanted].tolist(), first[wanted].tolist(), count[wanted].tolist()):
                 key = (a, b" ".join(words[at:at + c + window - 1]))
                 where = held.get(key)
@@ -455,35 +485,33 @@ def _shards(window: int, shard_words: int):
 _REMOVAL = np.dtype([("variant", "<i4"), ("at", "<i4"), ("mask", "<u8")])
 
 
-def _removals(batches):
-    """Rows (id, payload): variant, first window and a bit per window to remove."""
-    for b in batches:
-        places, earliest = (c.to_pylist() for c in b.columns)
-        if not places:
-            continue
-        p = np.frombuffer(b"".join(places), dtype=_PLACE)
-        e = np.frombuffer(b"".join(earliest), dtype="<i8")
-        n_places = np.array([len(x) for x in places]) // _PLACE.itemsize
-        n_windows = np.array([len(x) for x in earliest]) // 8
-        # every place with every window of its segment
-        row = np.repeat(np.arange(len(places)), n_places)
-        size = n_windows[row]
-        begin = np.concatenate([[0], np.cumsum(size)[:-1]])
-        k = np.arange(int(size.sum())) - np.repeat(begin, size)
-        first = np.concatenate([[0], np.cumsum(n_windows)[:-1]])[row]
-        later = e[np.repeat(first, size) + k] < np.repeat(p["id"], size)
-        mask = np.bitwise_or.reduceat(later.astype(np.uint64) << k.astype(np.uint64), begin)
-        some = mask > 0
-        rows = np.zeros(int(some.sum()), dtype=_REMOVAL)
-        rows["variant"], rows["at"], rows["mask"] = p["variant"][some], p["at"][some], mask[some]
-        ids = p["id"][some]
-        order = np.argsort(ids, kind="stable")
-        ids, rows = ids[order], rows[order]
-        if len(ids):
-            cuts = np.flatnonzero(np.diff(ids)) + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[np.concatenate([[0], cuts])]),
-                 pa.array([x.tobytes() for x in np.split(rows, cuts)], pa.binary())], names=["id", "payload"])
+def _removals(dests: int):
+    """Rows (dest, payload): ids with variant, first window and a bit per window
+    to remove."""
+    def run(batches):
+        for b in batches:
+            places, earliest = (c.to_pylist() for c in b.columns)
+            if not places:
+                continue
+            p = np.frombuffer(b"".join(places), dtype=_PLACE)
+            e = np.frombuffer(b"".join(earliest), dtype="<i8")
+            n_places = np.array([len(x) for x in places]) // _PLACE.itemsize
+            n_windows = np.array([len(x) for x in earliest]) // 8
+            # every place with every window of its segment
+            row = np.repeat(np.arange(len(places)), n_places)
+            size = n_windows[row]
+            begin = np.concatenate([[0], np.cumsum(size)[:-1]])
+            k = np.arange(int(size.sum())) - np.repeat(begin, size)
+            first = np.concatenate([[0], np.cumsum(n_windows)[:-1]])[row]
+            later = e[np.repeat(first, size) + k] < np.repeat(p["id"], size)
+            mask = np.bitwise_or.reduceat(later.astype(np.uint64) << k.astype(np.uint64), begin)
+            some = mask > 0
+            rows = np.zeros(int(some.sum()), dtype=_REMOVAL)
+            rows["variant"], rows["at"], rows["mask"] = p["variant"][some], p["at"][some], mask[some]
+            if len(rows):
+                dest, blobs = _by_destination(p["id"][some].astype(np.int64), rows, dests)
+                yield pa.RecordBatch.from_arrays([pa.array(dest), pa.array(blobs, pa.binary())], names=["dest", "payload"])
+    return run
 
 
 def _apply(window: int, with_text: bool):
@@ -499,11 +527,10 @@ def _apply(window: int, with_text: bool):
             names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"][:4 + with_text]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
-        for _, doc_id, variant, text, payloads in _documents(batches):
+        for _, doc_id, variant, text, r in _documents(batches, _REMOVAL):
             words = text.split()
             total = len(words)
-            if payloads:
-                r = np.frombuffer(b"".join(payloads), dtype=_REMOVAL)
+            if len(r):
                 r = r[r["variant"] == variant]
                 i, k = np.nonzero((r["mask"][:, None] >> bit) & np.uint64(1))
                 starts = r["at"][i] + k
@@ -535,15 +562,15 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     parts = shuffle_partitions(spark)
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                       F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("id"), text_bytes(text).alias("text"))
-    blob_ddl = "part int, id long, blob binary"
+    blob_ddl = "part int, dest long, blob binary"
     sent = map_arrow(src.select("id", "text"), _send_anchors(window, anchor, parts), blob_ddl)
-    hits = map_arrow(sent.repartition(parts, "part").sortWithinPartitions("part"), _meet_anchors, blob_ddl).select(
-        "id", F.col("blob").alias("payload"))
+    hits = map_arrow(sent.repartition(parts, "part").sortWithinPartitions("part"), _meet_anchors(parts), blob_ddl).select(
+        "dest", F.col("blob").alias("payload"))
     segments = map_arrow(_with_documents(src, hits), _segments(window, anchor),
                          "anchor long, segment binary, places binary")
     answers = map_arrow(segments.repartition(parts, "anchor").sortWithinPartitions("anchor"),
                         _shards(window, shard_words), "places binary, earliest binary")
-    removals = materialize(map_arrow(answers.repartition(parts), _removals, "id long, payload binary"),
+    removals = materialize(map_arrow(answers.repartition(parts), _removals(_destinations(parts)), "dest long, payload binary"),
                            "substring-removals")
     ddl = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return map_arrow(_with_documents(src, removals), _apply(window, with_text), ddl)
