@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlab.llm.common import DOCUMENT_COLUMNS, read_table, without_spaces
-from feedlab.llm.exact_dedup import exact_dedup
+from feedlab.llm.common import DOCUMENT_COLUMNS, read_table
+from feedlab.llm.exact_dedup import keep_one
 from feedlab.llm.packing import pack_documents
 from feedlab.llm.pii import replace_pii
 from feedlab.llm.quality_ledger import DEFAULT_POLICY, ledger, passes
@@ -29,12 +29,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts equal without white space.  Rows that
-    share both id and text are repeated rows, of which one stays."""
-    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"))
-    own = docs.withColumn("__sha", F.sha2(without_spaces(F.coalesce("text", F.lit(""))), 256))
-    return (own.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("__sha") == F.col("sha")), "left_semi")
-            .dropDuplicates(["doc_id", "__sha"]).select(*DOCUMENT_COLUMNS))
+    """One document of each group of texts equal without white space."""
+    return keep_one(docs).select(*DOCUMENT_COLUMNS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,8 +136,7 @@ def _bucket(content: bytes) -> int:
 
 def _collapse(budget: int):
     def run(batches):
-        base = TaskContext.get().partitionId() << 40
-        n, held, used = 0, {}, 0
+        held, used = {}, 0
         def leave(entries):
             rows = [(g[0], g[1], g[0], _bucket(c), c, g[2], g[3], g[4], g[5]) for c, g in entries]
             for i in range(0, len(rows), 2000):
@@ -146,10 +144,8 @@ def _collapse(budget: int):
                     [pa.array(x, t.type) for x, t in zip(zip(*rows[i:i + 2000]), _LOCAL)], schema=_LOCAL)
         for b in batches:
             members = []
-            for doc, text, chars in zip(*(c.to_pylist() for c in b.columns)):
+            for row, doc, text, chars in zip(*(c.to_pylist() for c in b.columns)):
                 content = text.translate(None, SPACES.encode())
-                row = base + n
-                n += 1
                 order = _NO_ID if doc is None else doc
                 g = held.get(content)
                 if g is None:
@@ -215,14 +211,30 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Repeated rows count as copies: exactly one row of a group has ``kept``.
     An empty table gives an empty result; other columns of ``docs`` are ignored.
     """
-    spark = docs.sparkSession
-    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text"),
+    local, verdict = _groups(docs, F.monotonically_increasing_id(), doc_id, text, table_bytes)
+    return (local.select("row_id", "doc_id", "rep_id").join(verdict, "rep_id")
+            .select("doc_id", "keep_id", "group_size", (F.col("row_id") == F.col("keep_row")).alias("kept"),
+                    "text_sha256"))
+
+
+def _groups(docs: DataFrame, row_id, doc_id: str, text: str, table_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their representatives, and the verdicts on representatives."""
+    src = docs.select(row_id.alias("row_id"), F.col(doc_id).cast("long").alias("doc_id"),
+                      text_bytes(text).alias("text"),
                       F.length(F.coalesce(F.col(text), F.lit(""))).cast("long").alias("chars"))
     local = materialize(map_arrow(src, _collapse(table_bytes), _LOCAL_DDL), "exact-local")
     reps = (local.filter(F.col("content").isNotNull())
             .select("bucket", "content", "rep_id", "size", "chars", "best_id", "best_row")
-            .repartition(shuffle_partitions(spark), "bucket"))
-    verdict = materialize(map_arrow(reps, _decide(table_bytes), _VERDICT_DDL), "exact-verdict")
-    return (local.select("row_id", "doc_id", "rep_id").join(verdict, "rep_id")
-            .select("doc_id", "keep_id", "group_size", (F.col("row_id") == F.col("keep_row")).alias("kept"),
-                    "text_sha256"))
+            .repartition(shuffle_partitions(docs.sparkSession), "bucket"))
+    return local, materialize(map_arrow(reps, _decide(table_bytes), _VERDICT_DDL), "exact-verdict")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+             table_bytes: int = TABLE_BYTES) -> DataFrame:
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with all columns: exactly
+    one of each group, whatever the ids.  The rows are numbered in a written
+    copy, so that a row is itself and not its id."""
+    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "exact-rows")
+    _, verdict = _groups(numbered, F.col("__row"), doc_id, text, table_bytes)
+    kept = verdict.select(F.col("keep_row").alias("__row")).distinct()
+    return numbered.join(kept, "__row", "left_semi").drop("__row")
