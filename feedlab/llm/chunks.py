@@ -15,8 +15,8 @@ from functools import lru_cache
 import numpy as np
 
 # Chunks and words remembered per Python worker, and the longest text of one.
-MEMO_CHUNKS = 300_000
-MEMO_WORDS = 900_000
+MEMO_CHUNKS = 200_000
+MEMO_WORDS = 500_000
 MEMO_CHARS = 48
 
 # Latin-1 letters, then punctuation without the apostrophe (which begins
