@@ -172,7 +172,7 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     round_ = 0
     while True:
         n = left.filter("offset = 0").count()
-        if n <= 1 and round_:
+        if n == 0:
             break
         round_ += 1
         tasks = max(1, -(-n // MERGE_FAN_IN))

@@ -94,6 +94,18 @@ def test_packing_merges_in_rounds(spark, monkeypatch):
     assert len(windows) == -(-total // 1024)
 
 
+def test_packing_keeps_the_one_window_left_by_several_tasks(spark, monkeypatch):
+    # three half windows in two merge tasks: whichever meet end exactly full, and one stays open
+    monkeypatch.setattr(P, "MERGE_FAN_IN", 2)
+    data = [(i, "word " * 511) for i in range(3)]
+    assert len(library_ids("byte_bpe_50k.json", data[0][1].strip(), 0)) == 512
+    data = [(i, t.strip()) for i, t in data]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartitionByRange(3, "doc_id")
+    got = P.pack_documents(df).collect()
+    assert len(check_pieces(got, data)) == 2
+    assert sorted((r.doc_id, r.length) for r in got) == [(0, 512), (1, 512), (2, 512)]
+
+
 def test_packer_keeps_few_windows_open():
     rng = random.Random(1)
     packer, closed, total = P.OnlinePacker(100, 8, 4), [], 0
