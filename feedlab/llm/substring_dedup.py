@@ -21,8 +21,11 @@ Stages (each a shuffle, no step gathers a group):
 2. anchors met in two entries become hits of their documents;
 3. documents meet their hits and send distinct segments, each with the list of
    its places, to the shards;
-4. shards answer each segment with the earliest document per window;
-5. answers are dealt out evenly, turned into removals and meet the documents.
+4. shards answer each segment with the earliest document per window; an anchor
+   whose distinct segments pass one automaton's bound is not answered there, its
+   windows go on by the hash of all their words, which equal windows share;
+5. answers are dealt out evenly, windows of hot anchors meet and are answered,
+   and both are turned into removals and meet the documents.
 """
 
 from __future__ import annotations
@@ -402,84 +405,155 @@ class Rows:
             self.spool.close()
 
 
-def _answer(rows: Rows, window: int, shard_words: int) -> Iterator[tuple[bytes, list[int]]]:
-    """(places, earliest id per window) for the rows of one anchor.  Distinct
-    segments beyond ``shard_words`` are several automata, each of which all rows
-    are streamed through."""
-    least: dict[bytes, int] = {}           # distinct segments: copies add nothing
-    for segment, places in rows:
-        i = _least_id(places)
-        if i < least.get(segment, LAST + 1):
-            least[segment] = i
+def _answer(rows: Rows, least: dict[bytes, int], window: int) -> Iterator[tuple[bytes, list[int]]]:
+    """(places, earliest id per window) for the rows of one anchor, whose distinct
+    segments and their smallest ids are ``least``: one automaton at most."""
     if len(least) == 1:
         (segment, i), = least.items()
         found = [i] * (segment.count(b" ") + 2 - window)
         for _, places in rows:
             yield places, found
         return
+    machine, number = SuffixAutomaton(), {}
+    for segment, i in least.items():
+        machine.add([number.setdefault(w, len(number)) for w in segment.split(b" ")], i)
+    machine.close()
+    known: dict[bytes, list[int]] = {}
+    for segment, places in rows:
+        found = known.get(segment)
+        if found is None:
+            found = known[segment] = machine.earliest_windows([number[w] for w in segment.split(b" ")], window)
+        yield places, found
 
-    best: list = [None] * rows.n
 
-    def stream(machine, number):
-        machine.close()
-        known: dict[bytes, list[int]] = {}
-        for i, (segment, _) in enumerate(rows):
-            found = known.get(segment)
-            if found is None:
-                ids = [number.get(w, -1) for w in segment.split(b" ")]
-                found = known[segment] = machine.earliest_windows(ids, window)
-            best[i] = found if best[i] is None else [min(x, y) for x, y in zip(best[i], found)]
+class Onward:
+    """Windows of hot anchors, each with its places, on their way to the task of
+    their own hash."""
 
-    machine, number, size = SuffixAutomaton(), {}, 0
-    for segment, i in least.items():
-        ids = [number.setdefault(w, len(number)) for w in segment.split(b" ")]
-        machine.add(ids, i)
-        size += len(ids)
-        if size >= shard_words:
-            stream(machine, number)
-            machine, number, size = SuffixAutomaton(), {}, 0
-    if size:
-        stream(machine, number)
-    for (_, places), found in zip(rows, best):
-        yield places, found
+    def __init__(self, window: int):
+        self.window, self.held, self.size = window, {}, 0
+
+    def add(self, segment: bytes, places: bytes):
+        words = segment.split(b" ")
+        p = np.frombuffer(places, dtype=_PLACE)
+        for k in range(len(words) - self.window + 1):
+            own = p.copy()
+            own["at"] += k
+            key = b" ".join(words[k:k + self.window])
+            where = self.held.get(key)
+            if where is None:
+                where = self.held[key] = []
+                self.size += len(key) + 300
+            where.append(own.tobytes())
+            self.size += 100 * len(p)
+            if self.size > HELD_BYTES:
+                yield self.leave()
+
+    def leave(self):
+        keys = list(self.held)
+        places = [b"".join(x) for x in self.held.values()]
+        self.held, self.size = {}, 0
+        return _routed([_content_key(k) for k in keys], keys, places, [None] * len(keys))
+
+
+def _content_key(x: bytes) -> int:
+    return xxhash.xxh64_intdigest(x) - (1 << 63)
+
+
+_ROUTED_DDL = "key long, segment binary, places binary, earliest binary"
+
+
+def _routed(keys, segments, places, earliest):
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64())] + [pa.array(x, pa.binary()) for x in (segments, places, earliest)],
+                                      names=["key", "segment", "places", "earliest"])
+
+
+def _answered(out: list):
+    """Rows of (places, earliest id per window), dealt out by the places."""
+    places, found = zip(*out)
+    ends = np.cumsum([0] + [len(x) for x in found])
+    earliest = np.fromiter((i for x in found for i in x), dtype="<i8", count=int(ends[-1])).tobytes()
+    return _routed([_content_key(x) for x in places], [None] * len(places), places,
+                   [earliest[8 * a:8 * b] for a, b in zip(ends, ends[1:])])
 
 
 def _shards(window: int, shard_words: int):
+    """Answers of anchors whose distinct segments have at most ``shard_words``
+    words; of a hotter anchor the windows, which go on by their own hash.  What is
+    held is one automaton's text and a part of the rows."""
     def run(batches):
+        onward = Onward(window)
+        anchor, rows, least, words, hot = None, Rows(), {}, 0, False
         out: list = []
 
-        def leave():
-            places, found = zip(*out)
-            ends = np.cumsum([0] + [len(x) for x in found])
-            earliest = np.fromiter((i for x in found for i in x), dtype="<i8", count=int(ends[-1])).tobytes()
-            out.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(places, pa.binary()), pa.array([earliest[8 * a:8 * b] for a, b in zip(ends, ends[1:])], pa.binary())],
-                names=["places", "earliest"])
-
-        def answers():
-            anchor, rows = None, Rows()
-            for b in batches:
-                for a, segment, places in zip(*(c.to_pylist() for c in b.columns)):
-                    if a != anchor:
-                        yield from _answer(rows, window, shard_words)
-                        rows.close()
-                        anchor, rows = a, Rows()
-                    rows.add((segment, places))
-            yield from _answer(rows, window, shard_words)
+        def close():
+            for places, found in _answer(rows, least, window) if least else ():
+                # only where a place lies after the earliest one of a window
+                if _last_id(places) > min(found):
+                    out.append((places, found))
+                    if len(out) >= 10_000:
+                        yield _answered(out)
+                        out.clear()
             rows.close()
 
-        for places, found in answers():
-            # only where a place lies after the earliest one of a window
-            if _last_id(places) > min(found):
-                out.append((places, found))
-                if len(out) >= 10_000:
-                    yield leave()
+        for b in batches:
+            for a, segment, places in zip(*(c.to_pylist() for c in b.columns)):
+                if a != anchor:
+                    yield from close()
+                    anchor, rows, least, words, hot = a, Rows(), {}, 0, False
+                if hot:
+                    yield from onward.add(segment, places)
+                    continue
+                rows.add((segment, places))
+                i = _least_id(places)
+                if segment not in least:           # copies add nothing
+                    words += segment.count(b" ") + 1
+                if i < least.get(segment, LAST + 1):
+                    least[segment] = i
+                if words > shard_words and len(least) > 1:
+                    hot = True
+                    for row in rows:
+                        yield from onward.add(*row)
+                    rows.close()
+                    rows, least = Rows(), {}
+        yield from close()
         if out:
-            yield leave()
+            yield _answered(out)
+        if onward.held:
+            yield onward.leave()
     return run
 
 
+def _windows(batches):
+    """Answers to the windows of hot anchors, met by their hash and compared as
+    whole words.  Rows that are answers already go through."""
+    key, rows, least = None, Rows(), {}
+    out: list = []
+
+    def close():
+        for segment, places in rows:
+            if _last_id(places) > least[segment]:
+                out.append((places, [least[segment]]))
+                if len(out) >= 10_000:
+                    yield _answered(out)
+                    out.clear()
+        rows.close()
+
+    for b in batches:
+        through = b.filter(b.column(3).is_valid())
+        if through.num_rows:
+            yield through
+        for k, segment, places in zip(*(c.to_pylist() for c in b.filter(b.column(3).is_null()).columns[:3])):
+            if k != key:
+                yield from close()
+                key, rows, least = k, Rows(), {}
+            rows.add((segment, places))
+            least[segment] = min(_least_id(places), least.get(segment, LAST))
+    yield from close()
+    if out:
+        yield _answered(out)
+
+
 # --- 5: removals --------------------------------------------------------------------
 
 _REMOVAL = np.dtype([("variant", "<i4"), ("at", "<i4"), ("mask", "<u8")])
@@ -489,8 +563,8 @@ def _removals(dests: int):
     """Rows (dest, payload): ids with variant, first window and a bit per window
     to remove."""
     def run(batches):
-        for b in batches:
-            places, earliest = (c.to_pylist() for c in b.columns)
+        for b in _windows(batches):
+            places, earliest = (c.to_pylist() for c in b.columns[2:])
             if not places:
                 continue
             p = np.frombuffer(b"".join(places), dtype=_PLACE)
@@ -569,8 +643,8 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     segments = map_arrow(_with_documents(src, hits), _segments(window, anchor),
                          "anchor long, segment binary, places binary")
     answers = map_arrow(segments.repartition(parts, "anchor").sortWithinPartitions("anchor"),
-                        _shards(window, shard_words), "places binary, earliest binary")
-    removals = materialize(map_arrow(answers.repartition(parts), _removals(_destinations(parts)), "dest long, payload binary"),
-                           "substring-removals")
+                        _shards(window, shard_words), _ROUTED_DDL)
+    removals = materialize(map_arrow(answers.repartition(parts, "key").sortWithinPartitions("key"),
+                                     _removals(_destinations(parts)), "dest long, payload binary"), "substring-removals")
     ddl = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return map_arrow(_with_documents(src, removals), _apply(window, with_text), ddl)

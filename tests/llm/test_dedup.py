@@ -190,6 +190,39 @@ def test_substring_dedup_edges(spark, shard_words):
     assert sorted((tuple(r) for r in got), key=str) == brute_substring(rows)
 
 
+def test_hot_anchor_goes_on_by_its_windows(monkeypatch):
+    # one anchor, 600 surroundings: no automaton holds or streams them all
+    import numpy as np
+    import pyarrow as pa
+    streamed = []
+    real = SD.SuffixAutomaton.earliest_windows
+    monkeypatch.setattr(SD.SuffixAutomaton, "earliest_windows", lambda m, *a: streamed.append(1) or real(m, *a))
+    rng = random.Random(5)
+    segments = []
+    for i in range(600):
+        before, after = (f"{x}{rng.randrange(30)}" for x in "ba")
+        segments.append(" ".join([before] * 8 + "one two three four five".split() + [after] * 8).encode())
+    places = [np.array([(i, 0, 7)], dtype=SD._PLACE).tobytes() for i in range(len(segments))]
+    batch = pa.RecordBatch.from_arrays([pa.array([3] * len(segments), pa.int64()), pa.array(segments), pa.array(places)],
+                                       names=["anchor", "segment", "places"])
+    sent = list(SD._shards(13, 500)(iter([batch])))
+    assert len(streamed) <= len(set(segments))
+    rows = sorted((r for b in sent for r in b.to_pylist()), key=lambda r: r["key"])
+    assert all(r["earliest"] is None for r in rows) and len(rows) == len({r["segment"] for r in rows})
+    got = set()
+    for b in SD._windows(iter([pa.RecordBatch.from_pylist(rows, schema=sent[0].schema)])):
+        for r in b.to_pylist():
+            least, = np.frombuffer(r["earliest"], dtype="<i8")
+            got |= {(int(p["id"]), int(p["at"]) - 7) for p in np.frombuffer(r["places"], dtype=SD._PLACE) if p["id"] > least}
+    first, want = {}, set()
+    for i, s in enumerate(segments):
+        w = s.split()
+        for k in range(len(w) - 12):
+            if first.setdefault(tuple(w[k:k + 13]), i) < i:
+                want.add((i, k))
+    assert want and got == want
+
+
 def test_substring_dedup_long_text_and_empty_table(spark):
     long_text = " ".join(f"w{i % 7919}" for i in range(50_000))
     rows = [(1, long_text), (2, long_text[: len(long_text) // 2])]
