@@ -28,12 +28,18 @@ from feedlab.llm.common import map_arrow, materialize
 _CYR = "А-ЯЁа-яё"
 PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?<![.-])",
-    "secret": r"\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b\s{0,3}[=:]\s{0,3}[\"']?(?P<secret_value>[A-Za-z0-9_/+-]{8,})",
+    # the key word in any case, alone or after a prefix that ends in _ or -
+    "secret": (r"(?<![^\W_])(?i:password|passwd|pwd|secret|token|api[_-]?key)\b\s{0,3}[=:]\s{0,3}[\"']?"
+               r"(?P<secret_value>[A-Za-z0-9_/+-]{8,})"),
     "key_id": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d.-])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{13,19})(?![\d-])",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?!\d)",
+    "phone": (r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}"
+              # without separators; in pairs; in other groups
+              r"|\+(?:\d{8,15}|\d{1,3}[ .-]\d{7,12})|\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\d(?:[ .-]\d{2}){4}"
+              r"|(?=\+(?:[ .()-]{0,2}\d){8})\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]\d{2,4}){2,4}"
+              r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\d)"),
     "name": (r"\b(?P<title>Mr|Mrs|Ms|Miss|Sir|Madam|Herr|Frau|Monsieur|Madame|M\.|Mme|Señor|Señora|Sr|Sra|Don|Doña)\.? "
              r"(?P<name_value>[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+(?: [A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+)?)(?![\w@])"),
     "name_cyr": (rf"\b(?P<title_cyr>господин|госпожа|Господин|Госпожа) "
@@ -54,7 +60,7 @@ SYLLABLES = {
 
 _RE = {k: re.compile(p) for k, p in PATTERNS.items()}
 _TITLES = ("Mr", "Ms", "Miss", "Sir", "Mada", "Herr", "Frau", "Monsieur", "M.", "Mme", "Se\xf1or", "Sr", "Don", "Do\xf1a")
-_SECRET_WORDS = re.compile(r"(?:pass(?:word|wd)|pwd|secret|token|api[_-]?key)\s{0,3}[=:]")
+_SECRET_WORDS = re.compile(r"(?i)(?:pass(?:word|wd)|pwd|secret|token|api[_-]?key)\s{0,3}[=:]")
 # Digits with the punctuation of numbers: where the numeric kinds can lie.
 _NUMBER = re.compile(r"[+(]?\d[\d .()-]*")
 _NUMERIC = ("ssn", "card", "ipv4", "phone")

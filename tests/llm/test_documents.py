@@ -140,6 +140,25 @@ def test_entities_found():
                      ["secret", "key_id", "name_f", "name_m"], ["name_f", "email"], [], [], [], ["ipv4"], ["ipv4"], ["email"]]
 
 
+WIDER_ROWS = [
+    (1, "API_KEY=abcd1234efgh and SECRET = zyxw9876vuts", ["secret", "secret"]),
+    (2, "Password: hunter2hunter2, db_password=qwertz123456 my-token: tok12345678", ["secret"] * 3),
+    (3, "call +14155552671 or +1 415-555-2671, +49 15123456789", ["phone"] * 3),
+    (4, "415 555 2671 and (415) 555 2671.", ["phone", "phone"]),
+    (5, "+33 1 23 45 67 89 1999 and +7 912 345-67-89", ["phone", "phone"]),
+    (6, "passwords=abcd1234efgh mytoken=abcd1234efgh, 12 345 678 and + 5", []),
+]
+
+
+def test_entities_in_other_cases_and_formats(spark):
+    for _, text, kinds in WIDER_ROWS:
+        assert [k for k, *_ in P.find(text)] == kinds, text
+    assert len({c for _, c, _, _ in P.find("+14155552671, +1 415-555-2671, +1 4155552671")}) == 1
+    assert [c for _, c, _, _ in P.find(WIDER_ROWS[4][1])] == ["+33123456789", "+79123456789"]
+    rows = [r[:2] for r in WIDER_ROWS]
+    check_replaced(spark, rows, P.replace_pii(table(spark, rows), b"key").collect())
+
+
 def check_replaced(spark, rows, got):
     """Same kinds in the same places, coreferent, distinct, and no original left."""
     originals = {(k, c) for _, t in rows for k, c, _, _ in P.find(t)}
