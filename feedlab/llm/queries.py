@@ -14,7 +14,7 @@ from feedlab.llm.exact_dedup import exact_dedup
 from feedlab.llm.html_style_tree import extract_main_text
 from feedlab.llm.packing import pack_documents
 from feedlab.llm.pii import replace_pii
-from feedlab.llm.sentencepiece_stream import encode_pieces
+from feedlab.llm.sentencepiece_stream import decode_pieces, encode_pieces
 from feedlab.llm.simhash import near_duplicates
 from feedlab.llm.substring_dedup import substring_dedup
 from feedlab.llm.token_files import token_index, write_token_files
@@ -51,7 +51,9 @@ def op1(spark, sf_dir):
 
 @op("op2_sentencepiece")
 def op2(spark, sf_dir):
-    return encode_pieces(read_table(spark, sf_dir, "documents"))
+    encoded = encode_pieces(read_table(spark, sf_dir, "documents"))
+    return decode_pieces(encoded, carry=("ids", "n_tokens")).select("doc_id", "ids", "n_tokens",
+                                                                    F.sha2("text", 256).alias("decoded_sha256"))
 
 
 @op("op3_packing")

@@ -263,8 +263,10 @@ def encode_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", m
     return map_arrow(src, run, "doc_id long, ids array<int>, n_tokens long")
 
 
-def decode_pieces(encoded: DataFrame, doc_id: str = "doc_id", ids: str = "ids", model: str | None = None) -> DataFrame:
-    """doc_id, text.  Null ids give a null text, no ids an empty one."""
+def decode_pieces(encoded: DataFrame, doc_id: str = "doc_id", ids: str = "ids", model: str | None = None,
+                  carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text and the columns of ``carry``.  Null ids give a null text, no
+    ids an empty one."""
     path = model or tokenizer_path("piece_bpe_32k.model")
 
     def run(batches):
@@ -273,7 +275,8 @@ def decode_pieces(encoded: DataFrame, doc_id: str = "doc_id", ids: str = "ids",
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
                 texts = [None if x is None else decode(x) for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())],
-                                                 names=["doc_id", "text"])
-    return map_arrow(encoded.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(ids).alias("ids")), run,
-                     "doc_id long, text string")
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string()), *part.columns[2:]],
+                                                 names=["doc_id", "text", *carry])
+    src = encoded.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(ids).alias("__ids"), *carry)
+    return map_arrow(src, run, ", ".join(["doc_id long, text string",
+                                          *(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in carry)]))

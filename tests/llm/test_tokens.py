@@ -1,5 +1,6 @@
 """Encoders, packing, token files and SentencePiece against the libraries."""
 
+import hashlib
 import random
 import zlib
 
@@ -208,3 +209,12 @@ def test_encode_and_decode_tables(spark, library):
     back = {r.doc_id: r.text for r in S.decode_pieces(enc).collect()}
     assert back == {d: t or "" for d, t in data}
     assert S.encode_pieces(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_query_decodes_the_whole_table(spark, library, tmp_path):
+    from feedlab.llm.queries import QUERIES
+    data = rows()
+    table(spark, data).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, tuple(r.ids), r.n_tokens, r.decoded_sha256) for r in QUERIES["op2_sentencepiece"](spark, str(tmp_path)).collect()}
+    ids = [library.encode(t or "") for _, t in data]
+    assert got == {(d, tuple(i), len(i), hashlib.sha256((t or "").encode()).hexdigest()) for (d, t), i in zip(data, ids)}
