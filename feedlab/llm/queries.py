@@ -12,6 +12,8 @@ from feedlab.llm.weak_quality import score_quality
 from feedlab.session import scratch_path
 from feedlab.llm.exact_dedup import exact_dedup
 from feedlab.llm.html_style_tree import extract_main_text
+from feedlab.llm.lexical_search import search
+from feedlab.llm.lsh_search import nearest_neighbours
 from feedlab.llm.packing import pack_documents
 from feedlab.llm.pii import replace_pii
 from feedlab.llm.sentencepiece_stream import decode_pieces, encode_pieces
@@ -146,3 +148,36 @@ SELECT k.doc_id, n_words, n_removed, sha256(coalesce(t.s, '')) AS kept_sha256 FR
 @op("op5_substring_dedup", SUBSTRING_SQL)
 def op5(spark, sf_dir):
     return substring_dedup(read_table(spark, sf_dir, "documents"), with_text=False)
+
+
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+SEARCH_SQL = rf"""
+WITH f AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                        'abcdefghijklmnopqrstuvwxyz'), '{_TERMS}') AS ts,
+                  row_number() OVER () AS r FROM documents),
+g AS (SELECT count(*) AS docs, CAST(sum(len(ts)) AS BIGINT) AS terms FROM f WHERE len(ts) > 0),
+t AS (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS term FROM f),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM t GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM p, g GROUP BY term),
+q AS (SELECT row_number() OVER () AS i, item_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                          'abcdefghijklmnopqrstuvwxyz'), '{_TERMS}') AS ts FROM benchmark),
+k AS (SELECT i, item_id, term, count(*) AS times FROM (SELECT i, item_id, unnest(ts) AS term FROM q) GROUP BY ALL),
+s AS (SELECT i, item_id, r, doc_id,
+             CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+      FROM k JOIN w USING (term) JOIN p USING (term), g GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+@op("op12_lexical_search", SEARCH_SQL)
+def op12(spark, sf_dir):
+    return search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@op("op13_lsh_search")
+def op13(spark, sf_dir):
+    return nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
