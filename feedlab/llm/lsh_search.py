@@ -11,7 +11,7 @@ perturbed bucket is scored by the squared distance between the query's
 projections and the bucket's slabs, buckets are visited in ascending score, and
 probing ends at the score beyond which a vector as near as the query's current
 k-th neighbour would lie with probability below the table's share of
-``RECALL``.  There is no cap on buckets, probes or candidates: the bound comes
+``RECALL`` (never before k candidates have been seen).  There is no cap on buckets, probes or candidates: the bound comes
 from the chi-square distribution alone and is the same rule at every size.
 Candidates of all tables are scored by the exact inner product and merged.
 
@@ -144,10 +144,11 @@ def _first_bound(dtype: str, dim: int, k: int, rows: np.ndarray, sample: np.ndar
 
 
 class _Best:
-    """A query's k best so far: products, ids and row numbers."""
+    """A query's k best so far: products, ids and row numbers.  ``bound`` is the
+    k-th product, ``known`` the larger of it and a bound known from elsewhere."""
 
-    def __init__(self, k: int, bound: float):
-        self.k, self.bound = k, bound
+    def __init__(self, k: int, known: float = -math.inf):
+        self.k, self.bound, self.known = k, -math.inf, known
         self.score, self.id, self.row = np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def add(self, score, ids, rows):
@@ -161,7 +162,8 @@ class _Best:
         order = np.lexsort((rows, ids, -score))[:self.k]
         self.score, self.id, self.row = score[order], ids[order], rows[order]
         if len(order) == self.k:
-            self.bound = max(self.bound, float(self.score[-1]))
+            self.bound = float(self.score[-1])
+            self.known = max(self.known, self.bound)
 
 
 def _slab_tables(proj: np.ndarray) -> np.ndarray:
@@ -182,7 +184,7 @@ def _probe(queries: list, dtype: str, dim: int, top: float, k: int, tables: int,
     norm = np.sqrt((q * q).sum(axis=1))
     own = np.array([x[0] for x in queries], dtype=np.int64)
     # the factor leaves room for the table's rounding to 32 bits
-    reach = lambda best, j: bound * (1 + 1e-5) * max(0.0, 2 - 2 * best.bound / (top * norm[j]))
+    reach = lambda best, j: bound * (1 + 1e-5) * max(0.0, 2 - 2 * best.known / (top * norm[j]))
 
     def batch(table, code, rows, ids, x, best):
         fresh = np.concatenate([[True], (code[1:] != code[:-1]).any(axis=1)])
@@ -198,17 +200,20 @@ def _probe(queries: list, dtype: str, dim: int, top: float, k: int, tables: int,
                 score += tab[:, i, bucket[:, i]]
             for j in range(part.start, part.stop):
                 s = score[j - at]
-                near = np.flatnonzero(s <= reach(best[j], j))
+                # until it has k neighbours a query goes on to the next bucket anyway
+                full = len(best[j].row) == k
+                near = np.flatnonzero(s <= reach(best[j], j)) if full else np.arange(len(s))
                 near = near[np.argsort(s[near], kind="stable")]       # estimated success order
                 done, step = 0, 64
-                while done < len(near) and s[near[done]] <= reach(best[j], j):
+                while done < len(near) and (not full or s[near[done]] <= reach(best[j], j)):
                     visit = near[done:done + step]
-                    visit = visit[s[visit] <= reach(best[j], j)]
+                    if full:
+                        visit = visit[s[visit] <= reach(best[j], j)]
                     n = size[visit]
                     at_rows = np.repeat(start[visit] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
                     at_rows = at_rows[rows[at_rows] != own[j]]
                     best[j].add(inner_products(x[at_rows], q[j]), ids[at_rows], rows[at_rows])
-                    done, step = done + step, step * 4
+                    done, step, full = done + step, step * 4, len(best[j].row) == k
 
     def run(batches):
         best = [_Best(k, x[3]) for x in queries]
@@ -250,7 +255,7 @@ def _merge(k: int):
                 if now != (row, qid):
                     if now:
                         yield out()
-                    now, best = (row, qid), _Best(k, -math.inf)
+                    now, best = (row, qid), _Best(k)
                 best.add(np.array(scores), np.array(ids, dtype=np.int64), np.array(rows, dtype=np.int64))
         if now:
             yield out()

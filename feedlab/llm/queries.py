@@ -16,6 +16,7 @@ from feedlab.llm.lexical_search import search
 from feedlab.llm.lsh_search import nearest_neighbours
 from feedlab.llm.packing import pack_documents
 from feedlab.llm.pii import replace_pii
+from feedlab.llm.prefix_trie import prefix_trie
 from feedlab.llm.sentencepiece_stream import decode_pieces, encode_pieces
 from feedlab.llm.simhash import near_duplicates
 from feedlab.llm.substring_dedup import substring_dedup
@@ -181,3 +182,41 @@ def op12(spark, sf_dir):
 @op("op13_lsh_search")
 def op13(spark, sf_dir):
     return nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+# crc32 of a conv_id's digits by a table of 256 remainders, eight shifts each.
+_BIT = "xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)"
+TRIE_SQL = rf"""
+WITH RECURSIVE rem AS (SELECT i, 0 AS step, CAST(i AS BIGINT) AS c FROM range(256) t(i)
+                       UNION ALL SELECT i, step + 1, {_BIT} FROM rem WHERE step < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM rem WHERE step = 8),
+own AS (SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+                             ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (SELECT conv_id, turns,
+                 CAST(xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+                   list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                   lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) % 9 AS BIGINT) AS h
+          FROM own, tab),
+built AS (SELECT a.conv_id, list_concat(coalesce(b.turns, [])[1:h], a.turns[h + 1:]) AS turns
+          FROM heads a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5),
+pre AS (SELECT conv_id, CAST(d AS BIGINT) AS depth, turns[1:d] AS p, turns[1:d - 1] AS up, len(turns) AS n
+        FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM built)),
+node AS (SELECT p, depth, min(conv_id) AS conv_id, any_value(up) AS up, count(*) AS n_convs,
+                CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * octet_length(encode(any_value(p)[depth].t)) END AS own,
+                sha256(coalesce(string_agg(CASE WHEN n = depth THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+         FROM pre GROUP BY p, depth),
+kids AS (SELECT up AS p, depth - 1 AS depth, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+full_node AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (p, depth)),
+sub AS (SELECT a.conv_id, a.depth, CAST(sum(CASE WHEN b.n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+               CAST(sum(b.own) AS BIGINT) AS saved_tokens
+        FROM full_node a JOIN full_node b ON b.depth >= a.depth AND b.p[1:a.depth] = a.p GROUP BY ALL)
+SELECT f.conv_id, f.depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, f.ends_sha256
+FROM full_node f JOIN sub s ON s.conv_id = f.conv_id AND s.depth = f.depth
+LEFT JOIN node u ON f.depth > 0 AND u.depth = f.depth - 1 AND u.p = f.up
+"""
+
+
+@op("op11_prefix_trie", TRIE_SQL)
+def op11(spark, sf_dir):
+    return prefix_trie(read_table(spark, sf_dir, "conversations"))
