@@ -6,14 +6,16 @@ normal distribution, so a projection difference of two vectors at distance r is
 r times a normal variable (Datar et al., "Locality-Sensitive Hashing Scheme
 Based on p-Stable Distributions", 2004).
 
-A query looks beyond its own bucket (Lv et al., "Multi-Probe LSH", 2007): a
-perturbed bucket is scored by the squared distance between the query's
-projections and the bucket's slabs, buckets are visited in ascending score, and
-probing ends at the score beyond which a vector as near as the query's current
-k-th neighbour would lie with probability below the table's share of
-``RECALL`` (never before k candidates have been seen).  There is no cap on buckets, probes or candidates: the bound comes
-from the chi-square distribution alone and is the same rule at every size.
-Candidates of all tables are scored by the exact inner product and merged.
+A query looks beyond its own bucket (Lv et al., "Multi-Probe LSH", 2007).  The
+chance that a neighbour at distance r lies in a perturbed bucket falls with the
+squared distance between the query's projections and the middle of the bucket's
+slabs, so that is a bucket's score, and buckets are visited in ascending score.
+The score of a neighbour's bucket is (r^2 + WIDTH^2 / 12) times a chi-square
+variable (the second term is the spread within a slab); probing ends where a
+vector as near as the query's current k-th neighbour would be missed with the
+table's share of 1 - ``RECALL``, and never before k candidates have been seen.
+There is no cap on buckets, probes or candidates: the rule is the same at every
+size.  Candidates of all tables are scored by the exact inner product and merged.
 
 The largest inner product is turned into the smallest distance by one more
 coordinate: x -> (x / M, sqrt(1 - |x|^2 / M^2)), q -> (q / |q|, 0), with M the
@@ -39,18 +41,18 @@ from pyspark.sql import types as T
 from feedlab.llm.common import map_arrow, materialize
 from feedlab.session import scratch_path
 
-TABLES = 3
-HASHES = 32          # two to a byte of the code, so an even number
+TABLES = 2
+HASHES = 48
 WIDTH = 0.5
-SLABS = 16           # the outermost slabs are open
-RECALL = 0.8         # aimed at by the probing bound, per neighbour
+SLABS = 32           # a slab's number is a byte of the code; the outermost are open
+RECALL = 0.9         # aimed at by the probing bound, per neighbour
 SEED = 13
 # Bytes of a broadcast block of queries, rows of the sample that gives a first
 # bound of the k-th neighbour, and indexed rows of one task.
 QUERY_BYTES = 16 << 20
 FIRST_ROWS = 4096
 TASK_ROWS = 16384
-_CHUNK = 32          # queries scored together against a batch of buckets
+_CHUNK = 64          # queries scored together against a batch of buckets
 
 
 def chi_square_quantile(p: float, k: int) -> float:
@@ -60,8 +62,8 @@ def chi_square_quantile(p: float, k: int) -> float:
 
 
 def probing_bound(tables: int = TABLES, hashes: int = HASHES, recall: float = RECALL) -> float:
-    """Squared projected distance, in units of the squared distance, up to which
-    a table's buckets are visited: all tables together miss 1 - recall."""
+    """Score, in units of r^2 + WIDTH^2 / 12, up to which a table's buckets are
+    visited: all tables together miss 1 - recall."""
     return chi_square_quantile(1 - (1 - recall) ** (1 / tables), hashes)
 
 
@@ -106,9 +108,11 @@ def _projections(x: np.ndarray, last: np.ndarray, a: np.ndarray, b: np.ndarray)
 
 
 def _codes(proj: np.ndarray) -> np.ndarray:
-    """Two slab numbers to a byte."""
-    slab = np.clip(np.floor(proj / WIDTH) + SLABS // 2, 0, SLABS - 1).astype(np.uint8)
-    return slab[:, 0::2] * SLABS + slab[:, 1::2]
+    return np.clip(np.floor(proj / WIDTH) + SLABS // 2, 0, SLABS - 1).astype(np.uint8)
+
+
+def _middles(code: np.ndarray) -> np.ndarray:
+    return ((code.astype(np.float32) - SLABS // 2) + 0.5) * np.float32(WIDTH)
 
 
 def _buckets(dtype: str, dim: int, top: float, tables: int, hashes: int, seed: int):
@@ -166,16 +170,6 @@ class _Best:
             self.known = max(self.known, self.bound)
 
 
-def _slab_tables(proj: np.ndarray) -> np.ndarray:
-    """(queries, bytes of a code, 256): squared distance from each query's
-    projections to the two slabs that a byte names."""
-    low = (np.arange(SLABS) - SLABS // 2) * WIDTH
-    high = low + WIDTH
-    low[0], high[-1] = -np.inf, np.inf
-    d = np.maximum(0, np.maximum(low - proj[:, :, None], proj[:, :, None] - high)) ** 2
-    return (d[:, 0::2, :, None] + d[:, 1::2, None, :]).reshape(len(proj), -1, SLABS * SLABS).astype(np.float32)
-
-
 def _probe(queries: list, dtype: str, dim: int, top: float, k: int, tables: int, hashes: int, seed: int,
            bound: float):
     """Every batch of indexed rows past a block of queries (row, id, bytes, first bound)."""
@@ -183,37 +177,42 @@ def _probe(queries: list, dtype: str, dim: int, top: float, k: int, tables: int,
     q = np.frombuffer(b"".join(x[2] for x in queries), dtype).reshape(-1, dim).astype(np.float64)
     norm = np.sqrt((q * q).sum(axis=1))
     own = np.array([x[0] for x in queries], dtype=np.int64)
-    # the factor leaves room for the table's rounding to 32 bits
-    reach = lambda best, j: bound * (1 + 1e-5) * max(0.0, 2 - 2 * best.known / (top * norm[j]))
+    spread, slack = WIDTH ** 2 / 12, dim * 2.0 ** -22
+    reach = lambda best, j: bound * (max(0.0, 2 - 2 * best.known / (top * norm[j])) + spread)
+
+    q32 = q.astype(np.float32)
 
     def batch(table, code, rows, ids, x, best):
+        x32 = x.astype(np.float32)
         fresh = np.concatenate([[True], (code[1:] != code[:-1]).any(axis=1)])
         start = np.flatnonzero(fresh)
         size = np.diff(np.concatenate([start, [len(code)]]))
-        bucket = code[start]
+        middle = _middles(code[start])
+        square = (middle * middle).sum(axis=1)
         for at in range(0, len(q), _CHUNK):
             part = slice(at, min(at + _CHUNK, len(q)))
             unit = q[part] / norm[part, None]
-            tab = _slab_tables(_projections(unit, np.zeros(len(unit)), a[table], off[table]))
-            score = np.zeros((len(unit), len(bucket)), dtype=np.float32)
-            for i in range(bucket.shape[1]):
-                score += tab[:, i, bucket[:, i]]
+            y = _projections(unit, np.zeros(len(unit)), a[table], off[table]).astype(np.float32)
+            score = (y * y).sum(axis=1)[:, None] - 2 * (y @ middle.T) + square
             for j in range(part.start, part.stop):
                 s = score[j - at]
                 # until it has k neighbours a query goes on to the next bucket anyway
-                full = len(best[j].row) == k
+                full, step = len(best[j].row) == k, 64
                 near = np.flatnonzero(s <= reach(best[j], j)) if full else np.arange(len(s))
-                near = near[np.argsort(s[near], kind="stable")]       # estimated success order
-                done, step = 0, 64
-                while done < len(near) and (not full or s[near[done]] <= reach(best[j], j)):
-                    visit = near[done:done + step]
-                    if full:
-                        visit = visit[s[visit] <= reach(best[j], j)]
+                while len(near):
+                    # the next buckets in estimated success order, more at a time
+                    first = np.argpartition(s[near], step)[:step] if len(near) > step else slice(None)
+                    visit, near = near[first], np.delete(near, first)
                     n = size[visit]
                     at_rows = np.repeat(start[visit] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
                     at_rows = at_rows[rows[at_rows] != own[j]]
+                    # single precision puts aside what is surely beyond the k-th
+                    rough = x32[at_rows] @ q32[j]
+                    at_rows = at_rows[rough >= best[j].bound - slack * top * norm[j]]
                     best[j].add(inner_products(x[at_rows], q[j]), ids[at_rows], rows[at_rows])
-                    done, step, full = done + step, step * 4, len(best[j].row) == k
+                    full, step = len(best[j].row) == k, step * 8
+                    if full:
+                        near = near[s[near] <= reach(best[j], j)]
 
     def run(batches):
         best = [_Best(k, x[3]) for x in queries]
@@ -277,8 +276,6 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 20, vec_id: str =
     fewer than k candidates all of them are returned.  An empty table gives an
     empty result; other columns are ignored.
     """
-    if hashes % 2:
-        raise ValueError("hashes must be even: a byte of a code holds two")
     spark = vectors.sparkSession
     source = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("embedding"))
     dtype = "<f4" if isinstance(source.schema["embedding"].dataType.elementType, T.FloatType) else "<f8"
