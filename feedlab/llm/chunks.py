@@ -1,7 +1,8 @@
 """Token ids of whole texts with the ``tokenizers`` library, through a memo of chunks.
 
-Both byte-pair vocabularies here split a text at white space before merging, so
-the ids of a text are the ids of its chunks in order.  A chunk is encoded by
+Both byte-pair vocabularies here take special tokens' strings out of a text first
+and split the rest at white space before merging, so the ids of a text are the
+ids of its chunks in order.  A chunk is encoded by
 the library once per task and then looked up; ids are kept as little-endian
 unsigned 32-bit bytes, so a text's ids are one ``bytes.join``.
 """
@@ -68,6 +69,9 @@ class _Encoder:
         self.merge = self.tokenizer.model.tokenize
         self.chunks = _Memo(self.chunk, MEMO_CHUNKS)
         self.marks = _Memo(self.whole, 10_000)
+        added = {t.content: pack_ids([i]) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+        self.special_ids = added
 
     def whole(self, text: str) -> bytes:
         return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -78,6 +82,16 @@ class _Encoder:
             word = word.encode().decode("latin-1").translate(_CHARACTERS)
         return array("I", [t.id for t in self.merge(word)]).tobytes()
 
+    def __call__(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids, as ``Tokenizer.encode`` gives them."""
+        if self.special is None or not self.special.search(text):
+            return self.plain(text)
+        out, at = [], 0
+        for m in self.special.finditer(text):
+            out += [self.plain(text[at:m.start()]), self.special_ids[m[0]]]
+            at = m.end()
+        return b"".join([*out, self.plain(text[at:])])
+
 
 class SpaceKeepingEncoder(_Encoder):
     """Byte-level BPE whose pre-tokens are words with one leading space.
@@ -100,7 +114,7 @@ class SpaceKeepingEncoder(_Encoder):
                     + self.bare[m[3]] + (self.marks[m[4]] if m[4] else b""))
         return self.whole(" " + text)
 
-    def __call__(self, text: str) -> bytes:
+    def plain(self, text: str) -> bytes:
         if not text:
             return b""
         if _UNSAFE.search(text):
@@ -123,14 +137,13 @@ class SpaceDroppingEncoder(_Encoder):
             return self.words[m[1].lower()] + (self.marks[m[2]] if m[2] else b"")
         return self.whole(text)
 
-    def __call__(self, text: str) -> bytes:
+    def plain(self, text: str) -> bytes:
         return b"".join(map(self.chunks.__getitem__, text.encode().split()))
 
 
 def _load(path: str):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True      # their strings in a text are ordinary text
     t.no_truncation()
     t.no_padding()
     return t

@@ -34,6 +34,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+TASK_BYTES = 128 << 20
+
+
+def tasks_for(df: DataFrame) -> int:
+    """Tasks of a shuffle of ``df``: the session's shuffle partitions, or as many as
+    hold ``TASK_BYTES`` each where that is more.  The plan's own size estimate is
+    free; only where it says more are the rows measured, by strings' lengths."""
+    least = shuffle_partitions(df.sparkSession)
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if estimate <= least * TASK_BYTES:
+        return least
+    sizes = [F.octet_length(f.name) if f.dataType.simpleString() in ("string", "binary") else F.lit(8)
+             for f in df.schema.fields]
+    total = df.agg(F.sum(sum((F.coalesce(s, F.lit(0)).cast("long") for s in sizes), F.lit(0).cast("long")))).first()[0]
+    return max(least, -(-(total or 0) // TASK_BYTES))
+
+
 _shipped: set[str] = set()
 
 

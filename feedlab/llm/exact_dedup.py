@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlab.llm.common import SPACES, map_arrow, materialize, shuffle_partitions, text_bytes
+from feedlab.llm.common import SPACES, map_arrow, materialize, tasks_for, text_bytes
 
 # Bytes of distinct content that a scan task or a bucket's table holds at a time.
 TABLE_BYTES = 48 << 20
@@ -224,8 +224,8 @@ def _groups(docs: DataFrame, row_id, doc_id: str, text: str, table_bytes: int) -
                       F.length(F.coalesce(F.col(text), F.lit(""))).cast("long").alias("chars"))
     local = materialize(map_arrow(src, _collapse(table_bytes), _LOCAL_DDL), "exact-local")
     reps = (local.filter(F.col("content").isNotNull())
-            .select("bucket", "content", "rep_id", "size", "chars", "best_id", "best_row")
-            .repartition(shuffle_partitions(docs.sparkSession), "bucket"))
+            .select("bucket", "content", "rep_id", "size", "chars", "best_id", "best_row"))
+    reps = reps.repartition(tasks_for(reps), "bucket")
     return local, materialize(map_arrow(reps, _decide(table_bytes), _VERDICT_DDL), "exact-verdict")
 
 

@@ -33,8 +33,9 @@ MERGE_FAN_IN = 256
 class Piece:
     __slots__ = ("doc_id", "start", "ids", "doc_tokens")
 
-    def __init__(self, doc_id, start: int, ids: bytes, doc_tokens: int):
-        self.doc_id, self.start, self.ids, self.doc_tokens = doc_id, start, ids, doc_tokens
+    def __init__(self, doc_id, start: int, ids, doc_tokens: int):
+        # a view: cutting a long document never copies what is left
+        self.doc_id, self.start, self.ids, self.doc_tokens = doc_id, start, memoryview(ids), doc_tokens
 
     def __len__(self) -> int:
         return len(self.ids) // 4
@@ -117,7 +118,7 @@ def _pack(pieces, size: int, windows: int, min_fragment: int, round_: int, last_
         s, offset = next(sequence), 0
         for p in window:
             rows.append((p.doc_id, p.start, len(p), zlib.crc32(p.ids), p.doc_tokens, s, offset,
-                         p.ids if still_open else None))
+                         bytes(p.ids) if still_open else None))
             offset += len(p)
 
     for piece in pieces:
@@ -141,8 +142,8 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     A document's ids are its tokens and then ``end_id``; a null or empty text
     has the end id alone.  Every id lies in exactly one piece; a window's pieces
     lie gapless from offset 0.  Null ids pass through, and repeated rows are
-    packed once each.  An empty table gives an empty result; other columns are
-    ignored.
+    packed once each.  A very long text is encoded in one task and cut in time linear
+    in its length.  An empty table gives an empty result; other columns are ignored.
     """
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
     end = pack_ids([end_id])

@@ -17,7 +17,7 @@ from feedlab.llm.lsh_search import nearest_neighbours
 from feedlab.llm.packing import pack_documents
 from feedlab.llm.pii import replace_pii
 from feedlab.llm.prefix_trie import prefix_trie
-from feedlab.llm.sentencepiece_stream import decode_pieces, encode_pieces
+from feedlab.llm.sentencepiece_stream import encode_pieces
 from feedlab.llm.simhash import near_duplicates
 from feedlab.llm.substring_dedup import substring_dedup
 from feedlab.llm.token_files import token_index, write_token_files
@@ -54,9 +54,7 @@ def op1(spark, sf_dir):
 
 @op("op2_sentencepiece")
 def op2(spark, sf_dir):
-    encoded = encode_pieces(read_table(spark, sf_dir, "documents"))
-    return decode_pieces(encoded, carry=("ids", "n_tokens")).select("doc_id", "ids", "n_tokens",
-                                                                    F.sha2("text", 256).alias("decoded_sha256"))
+    return encode_pieces(read_table(spark, sf_dir, "documents"), decoded_sha256=True)
 
 
 @op("op3_packing")

@@ -15,6 +15,7 @@ once, so texts are cut there and segments seen before are looked up.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from functools import lru_cache
 
@@ -62,6 +63,9 @@ class PieceModel:
         self.inside = {p[i:i + 2] for p in self.rank for i in range(len(p) - 1)}
         self.halves: dict[str, tuple[str, str] | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        sizes = np.array([len(x) for x in self.out], dtype=np.int64)
+        self.bytes_of = (np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes,
+                         np.frombuffer(b"".join(self.out), dtype=np.uint8))
         # pieces that merging their own characters ends in
         self.whole = {p for p in self.rank if self.half(p)}
 
@@ -230,9 +234,16 @@ class PieceEncoder:
             out.append(self._run_and_word(n, ""))
         return b"".join(out)
 
-    def decode(self, ids) -> str:
-        text = b"".join(map(self.m.out.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Texts of the id runs that end at ``ends``: every id's bytes are copied
+        from one table of all pieces' bytes."""
+        starts, sizes, table = self.m.bytes_of
+        n = sizes[ids]
+        to = np.concatenate([[0], np.cumsum(n)])
+        raw = table[np.repeat(starts[ids] - to[:-1], n) + np.arange(to[-1])].tobytes()
+        cuts = to[np.concatenate([[0], ends])].tolist()
+        texts = (raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:]))
+        return [t[1:] if t.startswith(" ") else t for t in texts]
 
 
 @lru_cache(maxsize=2)
@@ -240,11 +251,24 @@ def piece_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
-def encode_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:
-    """doc_id, ids, n_tokens, one row per row.
+def _encoded(encode, part) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a short run of texts, and where each text's ids end."""
+    bufs = [encode(t.as_py()) for t in part]
+    return np.frombuffer(b"".join(bufs), dtype="<i4"), np.cumsum([len(x) // 4 for x in bufs], dtype=np.int64)
 
-    A null or empty text has no ids.  Null and repeated ids pass through; an
-    empty table stays empty; other columns are ignored.
+
+def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids))
+
+
+def encode_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: str | None = None,
+                  decoded_sha256: bool = False) -> DataFrame:
+    """doc_id, ids, n_tokens, one row per row; with ``decoded_sha256`` the ids are
+    decoded again where they are, and the SHA-256 of the decoded text is added.
+
+    A null or empty text has no ids.  Very long texts stream through the search in
+    windows; a whole text's ids are one list.  Null and repeated ids and rows pass
+    through; an empty table stays empty; other columns are ignored.
     """
     path = model or tokenizer_path("piece_bpe_32k.model")
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -254,28 +278,35 @@ def encode_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", m
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
-                bufs = [encode(t.as_py()) for t in part.column(1)]
-                ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in bufs])])
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                               pa.array(np.frombuffer(b"".join(bufs), dtype="<i4")))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(np.diff(ends))],
-                                                 names=["doc_id", "ids", "n_tokens"])
-    return map_arrow(src, run, "doc_id long, ids array<int>, n_tokens long")
+                ids, ends = _encoded(encode, part.column(1))
+                columns = [part.column(0), _lists(ids, ends), pa.array(np.diff(ends, prepend=0))]
+                if decoded_sha256:
+                    columns.append(pa.array([hashlib.sha256(t.encode()).hexdigest() for t in encode.decode_all(ids, ends)],
+                                            pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_tokens", "decoded_sha256"][:len(columns)])
+    return map_arrow(src, run, "doc_id long, ids array<int>, n_tokens long"
+                     + (", decoded_sha256 string" if decoded_sha256 else ""))
 
 
 def decode_pieces(encoded: DataFrame, doc_id: str = "doc_id", ids: str = "ids", model: str | None = None,
                   carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, text and the columns of ``carry``.  Null ids give a null text, no
-    ids an empty one."""
+    """doc_id, text and the columns of ``carry`` (other than these two), one row per
+    row.  Null ids give a null text, no ids an empty one; an id list is decoded
+    whole, however long; repeated rows pass through; an empty table stays empty."""
     path = model or tokenizer_path("piece_bpe_32k.model")
+    if set(carry) & {"doc_id", "text"}:
+        raise ValueError("carry must not name doc_id or text: they are results")
 
     def run(batches):
-        decode = piece_encoder(path).decode
+        decode = piece_encoder(path).decode_all
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
-                texts = [None if x is None else decode(x) for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string()), *part.columns[2:]],
+                lists = part.column(1)
+                flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                sizes = np.array([0 if n is None else n for n in lists.value_lengths().to_pylist()], dtype=np.int64)
+                texts = pa.array(decode(flat, np.cumsum(sizes)), pa.string(), mask=np.asarray(lists.is_null()))
+                yield pa.RecordBatch.from_arrays([part.column(0), texts, *part.columns[2:]],
                                                  names=["doc_id", "text", *carry])
     src = encoded.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(ids).alias("__ids"), *carry)
     return map_arrow(src, run, ", ".join(["doc_id long, text string",

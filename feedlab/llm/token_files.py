@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from feedlab.llm.chunks import encoder, pack_ids, tokenizer_path
-from feedlab.llm.common import map_arrow, shuffle_partitions
+from feedlab.llm.common import map_arrow, tasks_for
 
 END_ID = 1
 # Parquet writer settings: version 2 pages delta-encode integers that have no
@@ -68,11 +68,14 @@ def write_token_files(docs: DataFrame, path: str, doc_id: str = "doc_id", text:
     """Write ``docs`` to ``path`` in ascending id order (a null id comes first).
 
     A null or empty text is the end id alone; repeated rows are written once
-    each; an empty table writes files without rows; other columns are ignored.
+    each, in any order among rows of one id; an id with many rows goes over several
+    files.  A very long text is one row of one file.  An empty table writes files
+    without rows; other columns are ignored.
     """
-    n = files or shuffle_partitions(docs.sparkSession)
-    src = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-           .repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text"))
+    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    keys = ("doc_id", "_text", "_row")
+    src = (src.withColumn("_text", F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id())
+           .repartitionByRange(files or tasks_for(src), *keys).sortWithinPartitions(*keys).select("doc_id", "text"))
     (map_arrow(src, _encode(tokenizer or tokenizer_path("word_bpe_49k.json"), end_id), _FILE_DDL)
      .write.options(**FILE_OPTIONS).parquet(path))
 

@@ -280,11 +280,13 @@ def fit_labels(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> t
     return WeakLabelModel.fit([r["pattern"] for r in rows], [r["n"] for r in rows]), sum(r["n"] for r in rows)
 
 
-def hashed_share(share: float):
-    """True for about this share of the rows, by a hash of id and text."""
+def hashed_share(rows: DataFrame, share: float) -> DataFrame:
+    """About this share of the rows, by a hash of the row's number: equal rows are
+    drawn one by one, so copies cannot all enter together."""
     if share >= 1:
-        return F.lit(True)
-    return F.xxhash64("doc_id", "text") < F.lit(int(share * 2.0 ** 64) - (1 << 63))
+        return rows
+    return (rows.withColumn("_row", F.monotonically_increasing_id())
+            .filter(F.xxhash64("_row") < F.lit(int(share * 2.0 ** 64) - (1 << 63))).drop("_row"))
 
 
 def score_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, sample_docs: int = SAMPLE_DOCS,
@@ -292,14 +294,15 @@ def score_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     """doc_id, posterior (of the labellers), score (of the scorer), kept; one row per row.
 
     A null text is empty; most labellers abstain on empty and very short texts.
-    Null and repeated ids pass through, an empty table stays empty, and other
-    columns are ignored.
+    Null and repeated ids pass through, repeated rows are drawn for the sample and
+    scored one by one, very long texts are measured whole, an empty table stays
+    empty, and other columns are ignored.
     """
     model, n = fit_labels(docs, doc_id, text)
     src = docs.select(F.col(doc_id).alias("doc_id"), text_bytes(text).alias("text"))
     # drawn where the rows are; only the sample meets in the fitting task, in a
-    # fixed order so that the same corpus gives the same weights
-    sample = src.filter(hashed_share(sample_docs / n if n else 1.0)).select("text")
+    # fixed order so that the same files give the same weights
+    sample = hashed_share(src, sample_docs / n if n else 1.0).select("text")
     sample = sample.repartition(1).sortWithinPartitions("text")
     rows = materialize(map_arrow(sample, _fit(model), "feature int, weight double"), "quality-weights")
     weights = np.zeros(FEATURES + 1)

@@ -2,12 +2,15 @@
 
 import hashlib
 import random
+import time
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
+import tokenizers
 from pyspark.sql import functions as F
 
 from feedlab.llm import chunks as C
@@ -40,12 +43,22 @@ def table(spark, data):
 @pytest.mark.parametrize("name,keeps_space", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_chunked_ids_equal_the_library(name, keeps_space):
     encode = C.encoder(C.tokenizer_path(name), keeps_space)
-    for t in random_texts(6000, 4) + ["plain words here, and Ölüm.", "a" * 3000, " lead", "trail "]:
-        assert encode(t) == encode.whole(t), repr(t)
+    texts = random_texts(6000, 4) + ["plain words here, and Ölüm.", "a" * 3000, " lead", "trail ", "<|endoftext|>",
+                                     "a <|endoftext|><|startoftext|> b<|ENDOFTEXT|>", "<|endoftext", "x <|startoftext|>"]
+    assert sum("<|endoftext|>" in t for t in texts) > 100
+    for t in texts:
+        assert encode(t) == library_ids(name, t), repr(t)
+
+
+@lru_cache
+def library_tokenizer(name):
+    """As the library loads its file, without a setting."""
+    return tokenizers.Tokenizer.from_file(C.tokenizer_path(name))
 
 
-def library_ids(name, text, end):
-    return np.array(C._load(C.tokenizer_path(name)).encode(text or "", add_special_tokens=False).ids + [end], dtype="<u4")
+def library_ids(name, text, *end):
+    ids = library_tokenizer(name).encode(text or "", add_special_tokens=False).ids
+    return np.array([*ids, *end], dtype="<u4").tobytes() if not end else np.array([*ids, *end], dtype="<u4")
 
 
 def check_pieces(got, data, end=0):
@@ -121,6 +134,15 @@ def test_packer_keeps_few_windows_open():
     assert sum(100 - s for s in sizes[:-1]) < 0.03 * total
 
 
+def test_a_long_document_is_cut_without_copies():
+    ids = b"\0\0\0\0" * 3_000_000
+    packer = P.OnlinePacker(1024, 4, 8)
+    began = time.process_time()
+    windows = list(packer.add(P.Piece(1, 0, ids, 3_000_000)))
+    assert time.process_time() - began < 1             # a copy of the rest per window would be 18 GB
+    assert [w[0].start for w in windows] == list(range(0, 3_000_000 - 1023, 1024))
+
+
 def test_packing_empty_table(spark):
     assert P.pack_documents(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
@@ -166,6 +188,17 @@ def test_token_metadata_scan_reads_no_tokens(spark, tmp_path):
     assert "tokens:array" not in plan
 
 
+def test_an_id_with_many_rows_goes_over_several_files(spark):
+    data = [(7, f"text {i % 50}") for i in range(3000)] + [(i, "other") for i in range(5)]
+    path = scratch_path(spark, "token-test")
+    T.write_token_files(table(spark, data), path, files=6)
+    got = sorted(T.token_index(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted(d for d, _ in data)
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
+    per_file = spark.read.parquet(path).groupBy("shard").count().collect()
+    assert len(per_file) >= 5 and max(r["count"] for r in per_file) < 1200
+
+
 def test_token_files_empty_table(spark):
     path = scratch_path(spark, "token-test")
     T.write_token_files(spark.createDataFrame([], "doc_id long, text string"), path)
@@ -185,7 +218,9 @@ def test_pieces_equal_the_library(library):
     for t in texts:
         ids = np.frombuffer(encode(t), dtype="<u4").tolist()
         assert ids == library.encode(t), repr(t)
-        assert encode.decode(ids) == library.decode(ids)
+    ids = [library.encode(t) for t in texts]
+    flat = np.array([i for x in ids for i in x], dtype=np.int64)
+    assert encode.decode_all(flat, np.cumsum([len(x) for x in ids])) == [library.decode(x) for x in ids]
 
 
 def test_stream_holds_a_bounded_window(library):
@@ -211,6 +246,18 @@ def test_encode_and_decode_tables(spark, library):
     assert S.encode_pieces(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_decode_edges(spark, library):
+    """Null and empty lists, repeated rows, a long list, clashing names, an empty table."""
+    long = library.encode("word " * 40_000)
+    data = [(1, None, 7), (2, [], 8), (3, [5, 9000], 9), (3, [5, 9000], 9), (None, long, 1)]
+    df = spark.createDataFrame(data, "doc_id long, ids array<int>, extra int").withColumn("text", F.lit("clash"))
+    want = sorted(((d, None if i is None else library.decode(i), x) for d, i, x in data), key=str)
+    assert sorted(map(tuple, S.decode_pieces(df, carry=("extra",)).collect()), key=str) == want
+    assert S.decode_pieces(df.limit(0), carry=("extra",)).collect() == []
+    with pytest.raises(ValueError):
+        S.decode_pieces(df, carry=("text",))
+
+
 def test_query_decodes_the_whole_table(spark, library, tmp_path):
     from feedlab.llm.queries import QUERIES
     data = rows()
