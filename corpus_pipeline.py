@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlab.llm.common import DOCUMENT_COLUMNS, read_table
+from feedlab.llm.common import DOCUMENT_COLUMNS, materialize, read_table
 from feedlab.llm.exact_dedup import keep_one
 from feedlab.llm.packing import pack_documents
 from feedlab.llm.pii import replace_pii
@@ -34,11 +34,14 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of linked fingerprints.  A row without
-    an id cannot stand for a group, nor be named as another's copy: it stays."""
-    kept = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    return (docs.join(kept, "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
-            .select(*DOCUMENT_COLUMNS))
+    """One row of each group of linked fingerprints: the smallest doc_id, a null one
+    last, and of equal ones the first row.  Rows are numbered in a written copy, so
+    rows that share an id, or have none, are rows of their own."""
+    rows = materialize(docs.select(*DOCUMENT_COLUMNS, F.monotonically_increasing_id().alias("row")), "pipeline-rows")
+    groups = near_duplicates(rows, doc_id="row").select(F.col("doc_id").alias("row"), "component_id")
+    ids = rows.select("row", F.col("doc_id").isNull().alias("without"), "doc_id")
+    first = groups.join(ids, "row").groupBy("component_id").agg(F.min(F.struct("without", "doc_id", "row")).alias("x"))
+    return rows.join(first.select("x.row"), "row", "left_semi").select(*DOCUMENT_COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
