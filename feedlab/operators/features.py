@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from feedlab import constants as C
 from feedlab.operators.stats import ctr
-from feedlab.operators.terms import (merge_terms, pair_scores, pair_scores_topn, rounded, top_n_per_key)
+from feedlab.operators.terms import (merge_terms, no_neg_zero, pair_scores, pair_scores_topn,
+                                     rounded, top_n_per_key)
 from feedlab.functions.terms import sign_weight
 from feedlab.session import materialize
 
@@ -120,6 +121,74 @@ def feature_groups(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
     return feat.select(*cols)
 
 
+def feature_groups_loo(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
+                       top_n: int = C.PROFILE_TOP_N) -> DataFrame:
+    """``feature_groups`` without leakage: every feature of an impression is taken
+    over all impressions but itself.
+
+    Click and show counts are the url's less the row's own.  The profile is the
+    user's less the row's own signed page vector, cut to its ``top_n`` terms after
+    that.  The cut is exact: removing a page changes the weights of that page's
+    terms only, so the new list consists of the page's terms (whose sums and
+    numbers of rows are looked up per pair) and of the user's best other terms,
+    all of which are among the first ``top_n`` + (most terms of a page) of the
+    full profile.  A term that only the row itself brought is gone.
+
+    Scale: a user travels as one array of that depth, a pair as one array of its
+    page's terms; the (uid, term) rows exist once, where both sums are formed.
+    """
+    page_vec = materialize(page_vec, "page_vector")
+    groups = materialize(log.select("uid", "urlid", "label")
+                            .groupBy("uid", "urlid", "label").agg(F.count(F.lit(1)).alias("cnt")),
+                         "impression_groups")
+    stats = groups.groupBy("urlid").agg(
+        F.sum(F.col("label").cast("long") * F.col("cnt")).alias("sumclick"), F.sum("cnt").alias("sumshow"))
+    url_side = materialize(stats.join(page_attrs.select("urlid", "pnum", "pdef", "pbeau"), "urlid", "left"),
+                           "url_features")
+
+    sgn = F.when(F.col("label") != F.lit(0), F.col("cnt")).otherwise(-F.col("cnt"))
+    pairs = (groups.where(F.col("uid").isNotNull()).groupBy("uid", "urlid")
+             .agg(F.sum(sgn).cast("double").alias("net"), F.sum("cnt").alias("rows")))
+    terms = materialize(pairs.join(page_vec, "urlid"), "pair_terms")
+    full = materialize(terms.groupBy("uid", "term").agg(F.sum(F.col("net") * F.col("weight")).alias("w"),
+                                                        F.sum("rows").alias("rows")), "full_profile")
+    most = page_vec.groupBy("urlid").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    ranked = top_n_per_key(full.select("uid", "term", rounded(F.col("w")).alias("w")), "uid",
+                           [F.col("w").desc(), F.col("term").asc()], top_n + most)
+    deep = materialize(ranked.groupBy("uid").agg(F.collect_list(F.struct("term", "w")).alias("_deep")), "deep_profile")
+    own = (terms.select("uid", "urlid", "term", F.col("weight").alias("pv")).join(full, ["uid", "term"])
+           .groupBy("uid", "urlid").agg(F.collect_list(F.struct("term", "pv", "w", "rows")).alias("_own")))
+    own = materialize(own, "own_terms")
+
+    sign = F.when(F.col("label") != F.lit(0), F.lit(1.0)).otherwise(F.lit(-1.0))
+
+    def entry(weight, term, pv):
+        # ascending order of these structs is descending weight, then term
+        return F.struct(no_neg_zero(-weight).alias("down"), term.alias("term"), pv.alias("pv"))
+
+    feat = groups.join(url_side, "urlid", "left").join(own, ["uid", "urlid"], "left").join(deep, "uid", "left")
+    left = F.transform(F.filter("_own", lambda t: t["rows"] > 1),
+                       lambda t: entry(rounded(t["w"] - F.col("_sign") * t["pv"]), t["term"], t["pv"]))
+    rest = F.transform(F.filter("_deep", lambda t: ~F.array_contains(F.col("_terms"), t["term"])),
+                       lambda t: entry(t["w"], t["term"], F.lit(0.0)))
+    top = F.slice(F.array_sort(F.concat("_left", "_rest")), 1, top_n)
+    dot = F.aggregate("_top", F.lit(0.0), lambda acc, t: acc - t["down"] * t["pv"])
+    feat = (page_defaults(feat).withColumn("_sign", sign)
+            .withColumn("_terms", F.transform("_own", lambda t: t["term"]))
+            .withColumn("_left", left).withColumn("_rest", rest).withColumn("_top", top))
+    clicks, shows = F.col("sumclick") - F.col("label"), F.col("sumshow") - 1
+    return feat.select("uid", "label", clicks.alias("sumclick"), shows.alias("sumshow"),
+                       ctr(clicks, F.when(shows > 0, shows)).alias("ctr"), "pnum", "pdef", "pbeau",
+                       rounded(F.coalesce(F.col("_sign") * dot, F.lit(0.0))).alias("s_term_score"), "cnt")
+
+
+def train_feature_loo(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
+                      top_n: int = C.PROFILE_TOP_N) -> DataFrame:
+    """Leave-one-out feature rows for every impression: ``feature_groups_loo``
+    expanded (impressions of one group have equal features)."""
+    return expand_counts(feature_groups_loo(log, page_attrs, page_vec, top_n))
+
+
 def assemble(df: DataFrame, cols: list[str], label: str = "label", out: str = "features",
              handle_invalid: str = "skip") -> DataFrame:
     """Dense feature vector in a fixed column order (M2/M3); rows with nulls

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlab import constants as C
-from feedlab.operators.features import feature_groups, train_feature
+from feedlab.operators.features import feature_groups, train_feature, train_feature_loo
 from feedlab.operators.terms import page_vector
 from feedlab.operators.text import keywords
 from feedlab.session import materialize
@@ -44,6 +44,13 @@ def feed_train_feature(spark: SparkSession, sf_dir: str, top_n: int | None = PRO
     return train_feature(imp, attrs, feed_page_vector(pages), top_n, with_click_stats)
 
 
+def feed_train_feature_loo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table with every feature taken over the other impressions."""
+    pages = pages_info(spark, sf_dir)
+    return train_feature_loo(impressions(spark, sf_dir), pages.select("urlid", "pnum", "pdef", "pbeau"),
+                             feed_page_vector(pages))
+
+
 def feed_feature_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature rows with their counts, before they are expanded."""
     pages = pages_info(spark, sf_dir)

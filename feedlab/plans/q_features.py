@@ -184,7 +184,7 @@ def q_term_score(spark, sf_dir):
     # the page vector feeds the profile and the scores: written once
     pv = materialize(feed_page_vector(pages_info(spark, sf_dir)), "page_vector")
     prof = user_profile_topn(imp, pv, n=21)
-    return term_score(imp, pv, prof).select("event_id", "s_term_score")
+    return term_score(imp, pv, prof, topn_profile=True).select("event_id", "s_term_score")
 
 
 # ----------------------------------------------------------- feature vectors

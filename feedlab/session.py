@@ -13,6 +13,8 @@ import contextlib
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -144,3 +146,24 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def map_arrow(df, function, schema: str):
+    """``df.mapInArrow`` with this package on the executors' path.
+
+    The package is added to the job's Python files once per application, so the
+    functions run whatever folder the executors' Python starts in.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        file = Path(tempfile.mkdtemp(prefix="feedlab-py-")) / "feedlab.zip"
+        with zipfile.ZipFile(file, "w") as z:
+            for p in sorted((root / "feedlab").rglob("*.py")):
+                z.write(p, p.relative_to(root).as_posix())
+        sc.addPyFile(str(file))
+        _shipped.add(sc.applicationId)
+    return df.mapInArrow(function, schema)
