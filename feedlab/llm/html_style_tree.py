@@ -6,8 +6,15 @@ paths (tag, id, classes), and each node gathers, over the host's pages, the
 presentations (child sequences) and the contents (text blocks) seen there.  A
 node whose contents repeat from page to page, or whose presentation never
 varies, has low importance; a branch whose combined importance is low is
-removed from every page of the host.  Elements that HTML itself marks as
-navigation, advertising, forms and so on have no importance on any host.
+removed from every page of the host.
+
+Every block element is judged, on hosts of two pages and more.  Markup is
+evidence beside the entropies: the importance from the tree (drawn towards 1 as if
+``PRIOR_PAGES`` more pages had spoken for the node) is multiplied by what the
+element's tag, role and class words leave of it (``Element.factor``), and plain
+article text has a floor (``ARTICLE_FLOOR``).  So a navigation element goes on any
+host, a "related-work" section of an article goes only where its content repeats
+from page to page, and an unmarked block goes if the tree says so.
 
 The tree is never built in one place: pages emit their nodes as rows, and the
 entropies are two nested aggregates by (host, path).  Copies of a page count
@@ -18,6 +25,7 @@ from __future__ import annotations
 
 import html
 import re
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -26,8 +34,13 @@ from pyspark.sql import functions as F
 
 from feedlab.llm.common import map_arrow, materialize
 
-# A host's node is judged from this many distinct pages on.
-MIN_PAGES = 5
+# Pages that speak for a node before any of its host's is seen, and the least
+# importance of an article's own unclassed text.
+PRIOR_PAGES = 2
+ARTICLE_FLOOR = 0.9
+# What markup leaves of a node's importance: elements and roles that are not
+# content, class words that say so, and words that an article uses as well.
+TAG_FACTOR, WORD_FACTOR, DOUBTFUL_FACTOR = 0.1, 0.2, 0.6
 # Branches below this combined importance go.
 MIN_IMPORTANCE = 0.35
 # Weight that a level of the tree passes on to what is below it.
@@ -44,10 +57,12 @@ audio video button select option textarea input dialog menu search datalist fiel
 NOISE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog",
                "alert", "menu", "menubar", "toolbar", "note"}
 NOISE_WORDS = set("""ad ads adv advert adverts advertisement advertising adsense adslot adbox banner banners sponsor
-sponsored promo promotion cookie cookies consent gdpr notice notices alert menu menus nav navbar navigation breadcrumb
-breadcrumbs sidebar sidebars header masthead footer footers comment comments commentlist respond reply replies
-discussion disqus social share sharing related recommended recommendations newsletter subscribe subscription signup
-login popup modal overlay widget widgets toolbar pagination pager copyright disclaimer""".split())
+sponsored cookie cookies consent gdpr menu menus nav navbar navigation breadcrumb breadcrumbs sidebar sidebars masthead
+footer footers comment comments commentlist respond replies disqus social sharing newsletter subscribe subscription
+signup login popup modal overlay widget widgets toolbar pagination pager copyright""".split())
+DOUBTFUL_WORDS = set("""alert disclaimer discussion header headers notice notices promo promotion recommendations
+recommended related reply share""".split())
+ARTICLE_WORDS = {"comment", "comments", "reply", "ad", "advert"}
 CONTENT_TAGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "blockquote", "pre", "td", "tr", "table",
                 "tbody", "thead", "th", "dl", "dt", "dd", "figure", "figcaption", "section", "article", "main"}
 # An open element of the second set ends when one of the first begins.
@@ -72,10 +87,12 @@ def host_of(url: str | None) -> str:
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "main", "plain", "children")
+    """``factor``: what the markup leaves of its importance; ``main``: it is within
+    an article; ``plain``: it is the article's own text; ``up``: its parent."""
+    __slots__ = ("tag", "path", "factor", "main", "plain", "up", "children")
 
-    def __init__(self, tag, path, noise, main, plain):
-        self.tag, self.path, self.noise, self.main, self.plain = tag, path, noise, main, plain
+    def __init__(self, tag, path, factor, main, plain, up):
+        self.tag, self.path, self.factor, self.main, self.plain, self.up = tag, path, factor, main, plain, up
         self.children: list[str] = []
 
 
@@ -99,23 +116,23 @@ def _element(tag: str, attrs: str, parent: Element) -> Element:
             elif name == "hidden" or name == "aria-hidden" and value == "true":
                 marked = True
     main = parent.main or tag in ("article", "main") or role == "main"
-    noise = parent.noise or tag in NOISE_TAGS or marked or role in NOISE_ROLES
     # an article's own header holds its title
-    noise = noise or tag == "header" and not parent.main
-    if names and not noise and tag not in ("html", "body", "article", "main") or names and tag == "article":
+    marked = marked or tag in NOISE_TAGS or role in NOISE_ROLES or tag == "header" and not parent.main
+    factor = TAG_FACTOR if marked else 1.0
+    if names and tag not in ("html", "body", "main"):
         words = set(re.split(r"[\s_\-:]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", names).lower()))
-        if tag == "article":
-            noise = noise or bool(words & {"comment", "comments", "reply", "ad", "advert"})
-        else:
-            noise = noise or bool(words & (NOISE_WORDS - {"header"} if parent.main else NOISE_WORDS))
+        if words & (NOISE_WORDS if parent.main or tag != "article" else ARTICLE_WORDS):
+            factor *= WORD_FACTOR
+        elif words & DOUBTFUL_WORDS and tag != "article":
+            factor *= DOUBTFUL_FACTOR if parent.main else WORD_FACTOR
     step = tag + ("." + ".".join(sorted(names.split())) if names else "")
-    return Element(tag, f"{parent.path}/{step}", noise, main, parent.plain and not names and tag in CONTENT_TAGS
-                   if parent.main else not names and tag in ("article", "main"))
+    plain = parent.plain and not names and tag in CONTENT_TAGS if parent.main else not names and tag in ("article", "main")
+    return Element(tag, f"{parent.path}/{step}", factor, main, plain and factor == 1, parent)
 
 
 def blocks(page: str) -> tuple[list[Block], list[Element]]:
     """The page's text blocks and block elements, in order."""
-    root = Element("", "", False, False, False)
+    root = Element("", "", 1.0, False, False, None)
     stack, found, elements = [root], [], []
     buf: list[str] = []
     linked = links = 0
@@ -196,10 +213,25 @@ def _hash(*parts: str) -> int:
     return xxhash.xxh64_intdigest("\0".join(parts)) - (1 << 63)
 
 
+@lru_cache(maxsize=200_000)
+def _path_hash(host: str, path: str) -> int:
+    return _hash(host, path)
+
+
+@lru_cache(maxsize=50_000)
+def _above(host: str, path: str) -> tuple[int, ...]:
+    steps = path.split("/")
+    return tuple(_path_hash(host, "/".join(steps[:i])) for i in range(2, len(steps)))
+
+
 def _judged(e: Element) -> bool:
-    """Whether the style tree decides on this element: not what HTML marks as
-    noise, and not plain article text."""
-    return not e.noise and not e.plain and e.tag not in ("html", "body", "")
+    """Every block element but those that hold the whole page."""
+    return e.tag not in ("html", "body", "") and e.tag in BLOCK_TAGS
+
+
+def importance_of(e: Element, tree: float) -> float:
+    """The element's importance by the tree and by its markup."""
+    return e.factor * (max(tree, ARTICLE_FLOOR) if e.plain else tree)
 
 
 _NODE_DDL = "host string, path long, above array<long>, depth int, kind int, feature long, page long"
@@ -218,9 +250,8 @@ def _nodes(batches):
             found, elements = blocks(page.as_py())
             signature = _hash(*(x.text for x in found))
             def row(e, kind, feature):
-                steps = e.path.split("/")
-                above = tuple(_hash(host, "/".join(steps[:i])) for i in range(2, len(steps)))
-                return host, _hash(host, e.path), above, len(steps), kind, feature, signature
+                return (host, _path_hash(host, e.path), _above(host, e.path), e.path.count("/") + 1, kind, feature,
+                        signature)
             for x in found:
                 if _judged(x.element):
                     rows.add(row(x.element, 0, _hash(x.text)))
@@ -273,35 +304,42 @@ def _page_paths(batches):
         for i, url, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
             host = host_of(url)
             if host:
-                rows.update((i, _hash(host, e.path)) for e in blocks(page.as_py())[1] if _judged(e))
+                rows.update((i, _path_hash(host, e.path)) for e in blocks(page.as_py())[1] if _judged(e))
         if rows:
             ids, paths = zip(*rows)
             yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(paths)],
                                              names=["page_id", "path"])
 
 
-def main_text(page: str, host: str = "", removed=frozenset()) -> str:
-    """The article of a page; ``removed`` holds low-importance paths of its host."""
+def main_text(page: str, host: str = "", tree: dict[int, float] | None = None) -> str:
+    """The article of a page; ``tree`` holds the importance of its host's nodes by
+    the style tree, 1 where it says nothing."""
     found, _ = blocks(page)
-    def stays(x: Block) -> bool:
-        if x.element.noise:
-            return False
-        if removed:
-            steps = x.element.path.split("/")
-            return not any(_hash(host, "/".join(steps[:i])) in removed for i in range(2, len(steps) + 1))
-        return True
-    left = [x for x in found if stays(x)]
+    tree = tree or {}
+    known: dict[int, bool] = {}
+
+    def stays(e: Element | None) -> bool:
+        if e is None:
+            return True
+        if id(e) not in known:
+            value = tree.get(_path_hash(host, e.path), 1.0) if tree and _judged(e) else 1.0
+            known[id(e)] = importance_of(e, value) >= MIN_IMPORTANCE and stays(e.up)
+        return known[id(e)]
+
+    left = [x for x in found if stays(x.element)]
     inside = [x for x in left if x.element.main]
-    if not inside:
-        # without an article, blocks that are nothing but links are menus
-        inside = [x for x in left if x.linked < 0.8 * len(x.text)]
+    # blocks that are nothing but links are menus
+    outside = [x for x in left if not x.element.main and x.linked < 0.8 * len(x.text)]
+    # an article is the main text unless it is the smaller part, as a teaser is
+    if sum(len(x.text) for x in inside) < sum(len(x.text) for x in outside):
+        inside = [x for x in left if x.element.main or x.linked < 0.8 * len(x.text)]
     return "\n".join(x.text for x in inside)
 
 
 def _extract(batches):
     for b in batches:
-        texts = [main_text(p.as_py(), host_of(u), frozenset(r or ()))
-                 for u, p, r in zip(b.column("url").to_pylist(), b.column("html"), b.column("removed").to_pylist())]
+        texts = [main_text(p.as_py(), host_of(u), {x["path"]: x["importance"] for x in t or ()})
+                 for u, p, t in zip(b.column("url").to_pylist(), b.column("html"), b.column("tree").to_pylist())]
         yield pa.RecordBatch.from_arrays(
             [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()),
              pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
@@ -310,7 +348,7 @@ def _extract(batches):
 def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """page_id, url, text, n_chars, one row per row.
 
-    A null or empty page has an empty text.  A null url, or one without a host,
+    A null or empty page has an empty text; a very long one is parsed whole.  A null url, or one without a host,
     belongs to no style tree; its page is cleaned by its own markup alone.
     Null and repeated ids pass through (copies of a page count once in the
     tree); an empty table stays empty; other columns are ignored.
@@ -318,14 +356,18 @@ def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "ur
     id_type = pages.schema[page_id].dataType.simpleString()
     src = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"),
                        F.coalesce(F.col(page), F.lit("")).alias("html"))
-    low = materialize(importance(src).filter((F.col("pages") >= MIN_PAGES) & (F.col("importance") < MIN_IMPORTANCE))
-                      .select("path"), "style-low")
+    nodes = importance(src)
+    shrunk = (F.col("importance") * F.col("pages") + PRIOR_PAGES) / (F.col("pages") + PRIOR_PAGES)
+    # a node of more importance stays whatever doubt its markup casts on it
+    low = materialize(nodes.select("path", shrunk.alias("importance"))
+                      .filter(F.col("importance") * DOUBTFUL_FACTOR < MIN_IMPORTANCE), "style-low")
     if low.isEmpty():
-        with_low = src.withColumn("removed", F.lit(None).cast("array<bigint>"))
+        judged = src.withColumn("tree", F.lit(None).cast("array<struct<path:bigint,importance:double>>"))
     else:
         per_page = materialize(
-            map_arrow(src, _page_paths, f"page_id {id_type}, path long").join(low, "path")
-            .groupBy(F.col("page_id").alias("id")).agg(F.collect_set("path").alias("removed")), "style-removed")
-        with_low = src.join(per_page, F.col("page_id").eqNullSafe(F.col("id")), "left").drop("id")
-    return map_arrow(with_low.select("page_id", "url", "html", "removed"), _extract,
+            map_arrow(src, _page_paths, f"page_id {id_type}, path long").distinct().join(low, "path")
+            .groupBy(F.col("page_id").alias("id")).agg(F.collect_list(F.struct("path", "importance")).alias("tree")),
+            "style-judged")
+        judged = src.join(per_page, F.col("page_id").eqNullSafe(F.col("id")), "left").drop("id")
+    return map_arrow(judged.select("page_id", "url", "html", "tree"), _extract,
                      f"page_id {id_type}, url string, text string, n_chars long")

@@ -324,9 +324,32 @@ def test_style_tree_importance_and_removal(spark):
     assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-9 for p in got)
     texts = {r.page_id: r.text for r in H.extract_main_text(pages).collect()}
     assert texts == {i: f"own text {i} {i * 7}\nmore {i + 1}" for i in range(12)}
-    # too few pages to judge by: everything stays
-    few = spark.createDataFrame(site(2), "page_id long, url string, html string")
-    assert all("Follow us" in r.text for r in H.extract_main_text(few).collect())
+    # two pages alone do not outweigh what speaks for an unmarked block, but they do for a doubtful one
+    few = spark.createDataFrame([(i, u, h.replace("x2", "related-links")) for i, u, h in site(2)],
+                                "page_id long, url string, html string")
+    assert all("Same words" in r.text and "Follow us" not in r.text for r in H.extract_main_text(few).collect())
+
+
+def test_every_block_is_judged(spark):
+    """On the given pages the tree holds nodes of nearly all of them."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    rows = [(H.host_of(r.url), r.html) for r in pages.collect()]
+    several = {h for h, n in collections.Counter(h for h, _ in rows).items() if n > 1}
+    nodes = {r.path for r in H.importance(pages).collect()}
+    judged = [any(H._path_hash(h, e.path) in nodes for e in H.blocks(p)[1]) for h, p in rows if h in several]
+    assert len(judged) > 0.7 * len(rows) and sum(judged) > 0.95 * len(judged)
+
+
+def test_markup_is_evidence_and_entropy_decides(spark):
+    body = lambda i, notes: (f"<body><article><p>Body {i}.</p><div class=related-work>{notes}</div>"
+                             f"<section class=discussion>Talk of {i}</section><div class=comments>me {i}</div></article></body>")
+    same = [(i, "http://same.org/", body(i, "the same everywhere")) for i in range(8)]
+    own = [(100 + i, "http://own.org/", body(i, f"work {i}")) for i in range(8)]
+    got = {r.page_id: r.text for r in H.extract_main_text(spark.createDataFrame(same + own, "page_id long, url string, html string")).collect()}
+    assert got == ({i: f"Body {i}.\nTalk of {i}" for i in range(8)}
+                   | {100 + i: f"Body {i}.\nwork {i}\nTalk of {i}" for i in range(8)})
+    page = "<article class=card>teaser</article><div class=story><p>a body that is much longer than its teaser</p></div>"
+    assert H.main_text(page) == "teaser\na body that is much longer than its teaser"
 
 
 def test_html_edges(spark):
