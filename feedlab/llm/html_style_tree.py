@@ -229,36 +229,51 @@ def _judged(e: Element) -> bool:
     return e.tag not in ("html", "body", "") and e.tag in BLOCK_TAGS
 
 
+def _in_doubt(e: Element) -> bool:
+    """Whether the tree can change what becomes of the element: not where markup
+    alone removes it or what it stands in, nor where the floor keeps it."""
+    if not _judged(e) or importance_of(e, 0.0) >= MIN_IMPORTANCE:
+        return False
+    while e is not None:
+        if importance_of(e, 1.0) < MIN_IMPORTANCE:
+            return False
+        e = e.up
+    return True
+
+
 def importance_of(e: Element, tree: float) -> float:
     """The element's importance by the tree and by its markup."""
     return e.factor * (max(tree, ARTICLE_FLOOR) if e.plain else tree)
 
 
-_NODE_DDL = "host string, path long, above array<long>, depth int, kind int, feature long, page long"
-_NODE = pa.schema([("host", pa.string()), ("path", pa.int64()), ("above", pa.list_(pa.int64())), ("depth", pa.int32()),
-                   ("kind", pa.int32()), ("feature", pa.int64()), ("page", pa.int64())])
+_CONTENT, _STYLE, _SHOWN, _PLACE = range(4)
+_NODE_DDL = "path long, kind int, feature long, page long, above array<long>, depth int"
+_NODE = pa.schema([("path", pa.int64()), ("kind", pa.int32()), ("feature", pa.int64()), ("page", pa.int64()),
+                   ("above", pa.list_(pa.int64())), ("depth", pa.int32())])
 
 
 def _nodes(batches):
-    """Rows of the style tree: kind 0 a content, kind 1 a presentation."""
+    """Rows of the style tree: what a page shows of a node (a content, a
+    presentation, itself), and once per batch a node's place in the tree."""
     for b in batches:
-        rows = set()
+        rows, places = set(), {}
         for url, page in zip(b.column(0).to_pylist(), b.column(1)):
             host = host_of(url)
             if not host:
                 continue
             found, elements = blocks(page.as_py())
             signature = _hash(*(x.text for x in found))
-            def row(e, kind, feature):
-                return (host, _path_hash(host, e.path), _above(host, e.path), e.path.count("/") + 1, kind, feature,
-                        signature)
             for x in found:
                 if _judged(x.element):
-                    rows.add(row(x.element, 0, _hash(x.text)))
+                    rows.add((_path_hash(host, x.element.path), _CONTENT, _hash(x.text), signature, None, None))
             for e in elements:
                 if _judged(e):
+                    path = _path_hash(host, e.path)
                     style = [c for c, before in zip(e.children, [None, *e.children]) if c != before]
-                    rows.add(row(e, 1, _hash(*style)))
+                    rows.add((path, _STYLE, _hash(*style), signature, None, None))
+                    rows.add((path, _SHOWN, 0, signature, None, None))
+                    places[path] = _above(host, e.path), e.path.count("/") + 1
+        rows = [*rows, *((p, _PLACE, 0, 0, above, depth) for p, (above, depth) in places.items())]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _NODE)], schema=_NODE)
 
@@ -268,23 +283,21 @@ def importance(pages: DataFrame, url: str = "url", page: str = "html") -> DataFr
     host's style tree (``path`` identifies host and path)."""
     src = pages.select(F.col(url).alias("url"), F.coalesce(F.col(page), F.lit("")).alias("html"))
     rows = map_arrow(src, _nodes, _NODE_DDL).distinct()
-    # pages that show a feature, then a node's mean over its features
-    seen = rows.groupBy("path", "kind", "feature").agg(F.count(F.lit(1)).alias("c"), F.first("above").alias("above"),
-                                                       F.first("depth").alias("depth"))
-    nodes = materialize(rows.select("path", "page").distinct().groupBy("path").agg(F.count(F.lit(1)).alias("m")),
-                        "style-pages")
-    entropy = F.log(F.col("c").cast("double")) / F.log(F.col("m").cast("double"))
-    share = F.col("c") / F.col("m")
-    own = (seen.join(nodes.filter("m > 1"), "path")
-           .groupBy("path", "kind").agg(
-               F.first("m").alias("m"), F.first("above").alias("above"), F.first("depth").alias("depth"),
-               # contents: 1 - mean entropy; presentations: entropy of the choice of style
-               F.when(F.col("kind") == 0, 1 - F.avg(entropy))
-               .otherwise(F.sum(-share * F.log(share)) / F.log(F.first("m").cast("double"))).alias("value")))
-    own = materialize(own.groupBy("path").agg(
-        F.first("m").alias("m"), F.first("above").alias("above"), F.first("depth").alias("depth"),
-        F.max(F.when(F.col("kind") == 0, F.col("value"))).alias("content"),
-        F.max(F.when(F.col("kind") == 1, F.col("value"))).alias("style")), "style-tree")
+    # c: the distinct pages that show a feature; sums over a node's features are
+    # all that its entropies need
+    seen = rows.groupBy("path", "kind", "feature").agg(F.count(F.lit(1)).cast("double").alias("c"),
+                                                       F.first("above").alias("above"), F.first("depth").alias("depth"))
+    of = lambda kind, value: F.when(F.col("kind") == kind, value)
+    c, log_c = F.col("c"), F.log(F.col("c"))
+    sums = seen.groupBy("path").agg(
+        F.max(of(_SHOWN, c)).alias("m"), F.avg(of(_CONTENT, log_c)).alias("log_c"), F.sum(of(_STYLE, c)).alias("styles"),
+        F.sum(of(_STYLE, c * log_c)).alias("c_log_c"), F.max("above").alias("above"), F.max("depth").alias("depth"))
+    log_m = F.log(F.col("m"))
+    own = materialize(sums.filter("m > 1").select(
+        "path", "m", "above", "depth",
+        # contents: 1 - mean entropy; presentations: entropy of the choice of style
+        (1 - F.col("log_c") / log_m).alias("content"),
+        ((F.col("styles") * log_m - F.col("c_log_c")) / (F.col("m") * log_m)).alias("style")), "style-tree")
     # what hangs below a node passes its content importance up, less by DECAY a level
     below = (own.filter("content is not null").select(F.explode(F.concat("above", F.array("path"))).alias("path"),
                                                       F.col("content").alias("under"), F.col("m").alias("weight"),
@@ -304,7 +317,7 @@ def _page_paths(batches):
         for i, url, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
             host = host_of(url)
             if host:
-                rows.update((i, _path_hash(host, e.path)) for e in blocks(page.as_py())[1] if _judged(e))
+                rows.update((i, _path_hash(host, e.path)) for e in blocks(page.as_py())[1] if _in_doubt(e))
         if rows:
             ids, paths = zip(*rows)
             yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(paths)],
