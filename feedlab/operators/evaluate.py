@@ -108,6 +108,17 @@ def auc_roc(df: DataFrame, score: str = "score", label: str = "label") -> DataFr
     return c.agg((num.cast("double") / (F.lit(2.0) * F.max("P") * F.max("N"))).alias("auc_roc"))
 
 
+def auc_roc_hard(df: DataFrame, pred: str = "prediction", label: str = "label") -> DataFrame:
+    """Area under ROC of hard predictions (E2): the curve has one inner point, so the
+    area is ``(tp·N + tn·P) / (2·P·N)``, from one aggregate; null without both classes.
+    Rows without a prediction are left out."""
+    p, y = F.col(pred).cast("double") > 0.5, F.col(label).cast("double") > 0.5
+    n = df.where(F.col(pred).isNotNull()).agg(
+        F.count_if(y).alias("P"), F.count_if(~y).alias("N"), F.count_if(y & p).alias("tp"), F.count_if(~y & ~p).alias("tn"))
+    area = (F.col("tp") * F.col("N") + F.col("tn") * F.col("P")).cast("double") / (F.lit(2.0) * F.col("P") * F.col("N"))
+    return n.select(F.when((F.col("P") > 0) & (F.col("N") > 0), area).alias("auc_roc"))
+
+
 def auc_pr(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Area under the PR curve, trapezoid rule, first point (0, first precision)."""
     c = cumulative_counts(df, score, label)

@@ -107,6 +107,18 @@ LEAST_BUCKETS = 8
 BUCKET_ROWS = 500_000
 
 
+def _first_not(bounds: Column, passed, steps: int) -> Column:
+    """How many leading elements of a sorted array fulfil ``passed``, by binary search in ``steps`` halvings."""
+    def halve(s, _):
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        inside = F.when(F.coalesce(passed(F.get(bounds, mid)), F.lit(False)),
+                        F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"))).otherwise(
+                            F.struct(s["lo"].alias("lo"), mid.alias("hi")))
+        return F.when(s["lo"] < s["hi"], inside).otherwise(s)
+    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max(steps, 1))), start, halve)["lo"]
+
+
 def range_buckets(df: DataFrame, col: str, n_buckets: int | None = None, out: str = "_bucket",
                   descending: bool = False) -> DataFrame:
     """Assign each row a bucket of ``col``'s value range (approximate quantiles,
@@ -114,17 +126,19 @@ def range_buckets(df: DataFrame, col: str, n_buckets: int | None = None, out: st
     bucket numbers (or the reverse with ``descending``).  Equal values share a
     bucket, so per-bucket work can be finished with a window partitioned by
     bucket and stitched together with per-bucket offsets (one row a bucket).
-    The number of buckets follows the number of rows (``BUCKET_ROWS`` each).
+    The number of buckets follows the number of rows (``BUCKET_ROWS`` each), and a
+    row finds its bucket by binary search, so its cost grows with their logarithm.
     """
     n = n_buckets or LEAST_BUCKETS + df.count() // BUCKET_ROWS
     qs = [i / n for i in range(1, n)]
     bounds = df.agg(F.percentile_approx(col, qs, 10 * n)).scalar()
     # (a subquery may not sit inside a lambda: project it as a column first)
-    with_b = df.withColumn("_bounds", bounds)
-    if descending:
-        b = F.size(F.filter("_bounds", lambda x: x > F.col(col)))
-    else:
-        b = F.size(F.filter("_bounds", lambda x: x < F.col(col)))
+    # no bounds for one bucket or an empty table
+    with_b = df.withColumn("_bounds", F.coalesce(bounds, F.array().cast(f"array<{df.schema[col].dataType.simpleString()}>")))
+    # ascending: how many bounds lie below the value; descending: how many above it
+    passed = (lambda bound: bound <= F.col(col)) if descending else (lambda bound: bound < F.col(col))
+    at = _first_not(F.col("_bounds"), passed, (n - 1).bit_length())
+    b = F.size("_bounds") - at if descending else at
     return with_b.withColumn(out, b).drop("_bounds")
 
 

@@ -27,6 +27,7 @@ from feedlab.operators.clean import guard_width
 from feedlab.operators.features import FEATURE_COLUMNS, VECTOR_ORDER, assemble, train_feature
 from feedlab.operators.terms import page_vector
 from feedlab.operators.text import keywords
+from feedlab.plans.stages import Stages
 from feedlab.session import materialize, stage_outputs_removed
 from feedlab.sources.readers import read_lines
 
@@ -72,8 +73,16 @@ def read_page_export(spark: SparkSession, path: str, charset: str | None = None,
 
 
 def feature_job(spark: SparkSession, impressions_path: str, pages_path: str, out_path: str,
-                fmt: str = "csv", charset: str | None = None, title_k: int = C.TITLE_KEYWORDS, top_n: int = C.PROFILE_TOP_N) -> DataFrame:
-    """Impression and page exports -> the nine-column feature table at ``out_path``."""
+                fmt: str = "csv", charset: str | None = None, title_k: int = C.TITLE_KEYWORDS, top_n: int = C.PROFILE_TOP_N,
+                stages: Stages | None = None) -> DataFrame:
+    """Impression and page exports -> the nine-column feature table at ``out_path``.
+
+    With ``stages`` every stage is committed in its folder, and a job run again
+    goes on after the last committed one (``Stages``)."""
+    if stages is not None:
+        feats = _staged_features(stages, impressions_path, pages_path, out_path, charset, title_k, top_n)
+        feats.write.mode("overwrite").format(fmt).save(out_path)
+        return spark.read.format(fmt).schema(feats.schema).load(out_path)
     imp = read_impression_export(spark, impressions_path, quarantine=f"{out_path}_quarantine/impressions")
     pages = read_page_export(spark, pages_path, charset, quarantine=f"{out_path}_quarantine/pages")
     pages = materialize(pages, "pages_clean")
@@ -84,6 +93,23 @@ def feature_job(spark: SparkSession, impressions_path: str, pages_path: str, out
     return spark.read.format(fmt).schema(feats.select(*FEATURE_COLUMNS).schema).load(out_path)
 
 
+def _staged_features(stages: Stages, impressions_path: str, pages_path: str, out_path: str, charset: str | None,
+                     title_k: int, top_n: int) -> DataFrame:
+    """The stages of ``feature_job``; each output is read from its committed folder."""
+    spark = stages.spark
+    pages = stages.run("pages", lambda: read_page_export(spark, pages_path, charset, f"{out_path}_quarantine/pages"),
+                       [pages_path], charset=charset, quarantine=out_path)
+    kw = stages.run("title_keywords", lambda: keywords(pages.df.select("urlid", "title"), "urlid", "title", title_k)
+                    .select("urlid", "term", "weight"), [pages], title_k=title_k)
+    pv = stages.run("page_vector", lambda: page_vector(kw.df, pages.df.select("urlid", "points", "tags")), [kw, pages])
+    imp = stages.run("impressions", lambda: read_impression_export(
+        spark, impressions_path, f"{out_path}_quarantine/impressions"), [impressions_path], quarantine=out_path)
+    attrs = pages.df.select("urlid", "pnum", "pdef", "pbeau")
+    feats = stages.run("features", lambda: train_feature(imp.df, attrs, pv.df, top_n).select(*FEATURE_COLUMNS),
+                       [imp, pages, pv], top_n=top_n)
+    return feats.df
+
+
 def text_job(spark: SparkSession, pages_path: str, out_path: str, charset: str | None = None,
              vector_size: int = 128, min_count: int = 2, truncate: int | None = None) -> DataFrame:
     """Page export -> stop-word-free tokens -> Word2Vec; writes ``words`` and
@@ -130,7 +156,7 @@ def model_job(spark: SparkSession, features: DataFrame, out_path: str, max_iter:
 def main(argv: list[str] | None = None) -> None:
     """Command line for the jobs (``spark-submit -m`` style)::
 
-        python -m feedlab.plans.jobs features --impressions IMP --pages PAGES --out OUT [--fmt csv] [--charset GBK]
+        python -m feedlab.plans.jobs features --impressions IMP --pages PAGES --out OUT [--fmt csv] [--charset GBK] [--stages DIR]
         python -m feedlab.plans.jobs text --pages PAGES --out OUT [--size 128] [--min-count 2]
 
     The session comes from ``SparkSession.builder.getOrCreate()``, so cluster
@@ -145,6 +171,7 @@ def main(argv: list[str] | None = None) -> None:
     f.add_argument("--out", required=True)
     f.add_argument("--fmt", default="csv")
     f.add_argument("--charset", default=None)
+    f.add_argument("--stages", default=None, help="folder of committed stage outputs: a job run again goes on from them")
     t = sub.add_parser("text")
     t.add_argument("--pages", required=True)
     t.add_argument("--out", required=True)
@@ -155,7 +182,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.getOrCreate()
     with stage_outputs_removed(spark):
         if args.job == "features":
-            feature_job(spark, args.impressions, args.pages, args.out, fmt=args.fmt, charset=args.charset)
+            feature_job(spark, args.impressions, args.pages, args.out, fmt=args.fmt, charset=args.charset,
+                        stages=Stages(spark, args.stages) if args.stages else None)
         else:
             text_job(spark, args.pages, args.out, charset=args.charset, vector_size=args.size,
                      min_count=args.min_count)

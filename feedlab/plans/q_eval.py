@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedlab.operators.evaluate import (accuracy, apply_threshold, auc_pr, auc_roc, best_threshold,
+from feedlab.operators.evaluate import (accuracy, apply_threshold, auc_pr, auc_roc, auc_roc_hard, best_threshold,
                                         f_by_threshold, precision_by_threshold, rmse, roc_curve, weighted_f1)
 from feedlab.plans import sql as S
 from feedlab.plans.registry import query
@@ -47,6 +47,18 @@ def q_eval_auc_roc(spark, sf_dir):
     return auc_roc(scores(spark, sf_dir))
 
 
+@query("eval_auc_roc_hard", S.with_(S.IMPRESSIONS, S.URL_STATS, S.SCORES) + """, n AS (
+  SELECT CAST(sum(CASE WHEN label > 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS p,
+         CAST(sum(CASE WHEN label > 0.5 THEN 0 ELSE 1 END) AS BIGINT) AS n,
+         CAST(sum(CASE WHEN label > 0.5 AND prediction > 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+         CAST(sum(CASE WHEN label <= 0.5 AND prediction <= 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS tn
+  FROM scores WHERE prediction IS NOT NULL)
+SELECT CAST(tp * n + tn * p AS DOUBLE) / (2.0 * p * n) AS auc_roc FROM n
+""".replace("\n, n AS", ",\nn AS"))
+def q_eval_auc_roc_hard(spark, sf_dir):
+    return auc_roc_hard(scores(spark, sf_dir))
+
+
 @query("eval_auc_pr", CURVE + """
 SELECT round(sum(CAST(pos AS DOUBLE) / P * (CAST(tp AS DOUBLE) / (tp + fp) +
              CASE WHEN tp - pos + fp - neg = 0 THEN CAST(tp AS DOUBLE) / (tp + fp)

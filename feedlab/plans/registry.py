@@ -40,7 +40,7 @@ def all_queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
-QUERY_MODULES = ("q_core", "q_io", "q_text", "q_features", "q_eval", "q_models", "q_embed", "q_drift")
+QUERY_MODULES = ("q_core", "q_io", "q_text", "q_features", "q_eval", "q_models", "q_embed", "q_drift", "q_rules")
 
 
 def _load() -> None:
