@@ -4,8 +4,11 @@ Entities are found by pattern.  Each distinct entity (type and canonical form)
 gets one surrogate for the whole corpus, drawn from a keyed hash, of the same
 type, script and format: digits stay digits, a card number keeps its length
 and check digit, a name keeps its gender and script.  Every mention of an
-entity gets the same surrogate in the mention's own formatting (coreference),
-and different entities never share one (distinctness): surrogates that collide
+entity gets the same surrogate in the mention's own formatting (coreference):
+a person's family name has one surrogate with or without a given name, and a
+person introduced with a title is replaced in the whole text, also where the
+full name, the family name or the given name stands alone.  Different entities
+never share one (distinctness): surrogates that collide
 with each other, or with an entity of the corpus, are drawn again until none
 collides.  The collision check is a distributed aggregate over distinct
 entities; only entities whose first draw collided ever travel to documents.
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 
 import pyarrow as pa
@@ -40,9 +44,11 @@ PATTERNS = {
               r"|\+(?:\d{8,15}|\d{1,3}[ .-]\d{7,12})|\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\d(?:[ .-]\d{2}){4}"
               r"|(?=\+(?:[ .()-]{0,2}\d){8})\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]\d{2,4}){2,4}"
               r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\d)"),
-    "name": (r"\b(?P<title>Mr|Mrs|Ms|Miss|Sir|Madam|Herr|Frau|Monsieur|Madame|M\.|Mme|Señor|Señora|Sr|Sra|Don|Doña)\.? "
+    "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "ipv6": r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{0,4}(?![\w:])",
+    "name": (r"\b(?P<title>Dr|Prof|Doctor|Professor|Mr|Mrs|Ms|Miss|Sir|Madam|Herr|Frau|Monsieur|Madame|M\.|Mme|Señor|Señora|Sr|Sra|Don|Doña)\.? "
              r"(?P<name_value>[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+(?: [A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+)?)(?![\w@])"),
-    "name_cyr": (rf"\b(?P<title_cyr>господин|госпожа|Господин|Госпожа) "
+    "name_cyr": (rf"\b(?P<title_cyr>господин|госпожа|Господин|Госпожа|доктор|Доктор|профессор|Профессор) "
                  rf"(?P<name_cyr_value>[А-ЯЁ][а-яё]+(?: [А-ЯЁ][а-яё]+)?)(?![{_CYR}])"),
 }
 FEMALE_TITLES = {"Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Señora", "Sra", "Doña", "госпожа", "Госпожа"}
@@ -52,17 +58,20 @@ FIRST_NAMES = {
     ("cyrillic", "f"): "Алла Белла Вера Галина Дарья Ева Жанна Зоя Инна Клара Лидия Майя Нина Ольга Полина Рита София Таисия".split(),
     ("cyrillic", "m"): "Антон Борис Вадим Глеб Денис Егор Захар Игорь Кирилл Лев Макар Назар Олег Павел Роман Семён Тимур Фёдор".split(),
 }
-SYLLABLES = {
-    "latin": "bal cor den fal gor hol jen kel lor mar nor pel ros sar tol var wen zel bran ster".split(),
-    "cyrillic": "бал вер гор дан зор кал лор мар нор пол рос сар тол фен".split(),
-}
+NEUTRAL_TITLES = {"Dr", "Prof", "Doctor", "Professor", "доктор", "Доктор", "профессор", "Профессор"}
+# onset, vowel and coda of an invented syllable; a given name's ending by gender
+SOUNDS = {"latin": ("b c d f g h j k l m n p r s t v w z br st tr".split(), "a e i o u".split(), ["", "l", "n", "r", "s", "m"]),
+          "cyrillic": ("б в г д ж з к л м н п р с т ф х ц".split(), "а е и о у".split(), ["", "л", "н", "р", "с", "м"])}
+ENDINGS = {("latin", "f"): "a", ("latin", "m"): "us", ("latin", "n"): "en",
+           ("cyrillic", "f"): "а", ("cyrillic", "m"): "ий", ("cyrillic", "n"): "ен"}
 # -----------------------------------------------------------------------------
 
 _RE = {k: re.compile(p) for k, p in PATTERNS.items()}
-_TITLES = ("Mr", "Ms", "Miss", "Sir", "Mada", "Herr", "Frau", "Monsieur", "M.", "Mme", "Se\xf1or", "Sr", "Don", "Do\xf1a")
+_TITLES = ("Dr", "Prof", "Doctor", "Mr", "Ms", "Miss", "Sir", "Mada", "Herr", "Frau", "Monsieur", "M.", "Mme", "Se\xf1or", "Sr", "Don", "Do\xf1a")
 _SECRET_WORDS = re.compile(r"(?i)(?:pass(?:word|wd)|pwd|secret|token|api[_-]?key)\s{0,3}[=:]")
 # Digits with the punctuation of numbers: where the numeric kinds can lie.
 _NUMBER = re.compile(r"[+(]?\d[\d .()-]*")
+_CAPITALISED = re.compile(r"(?<![\w@])(?:[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+|[А-ЯЁ][а-яё]+)(?![\w@])")
 _NUMERIC = ("ssn", "card", "ipv4", "phone")
 
 
@@ -74,6 +83,23 @@ def luhn_digit(digits: str) -> int:
     return -total % 10
 
 
+def iban_check(country: str, account: str) -> str:
+    """The two check digits of an account number."""
+    return f"{98 - int(''.join(str(int(c, 36)) for c in account + country + '00')) % 97:02d}"
+
+
+def iban_valid(iban: str) -> bool:
+    return iban_check(iban[:2], iban[4:]) == iban[2:4]
+
+
+def _is_ipv6(text: str) -> bool:
+    """Four groups at least: shorter forms are clock times, scopes and loopbacks."""
+    try:
+        return len([g for g in text.split(":") if g]) >= 4 and ipaddress.IPv6Address(text) is not None
+    except ValueError:
+        return False
+
+
 def _matches(text: str):
     """(start, order of the kind, kind, match); patterns run only where their marks are."""
     if "@" in text:
@@ -86,15 +112,23 @@ def _matches(text: str):
         if run.end() - run.start() >= 7:
             for i, kind in enumerate(_NUMERIC):
                 yield from ((m.start(), 3 + i, kind, m) for m in _RE[kind].finditer(text, *run.span()))
+    yield from ((m.start(), 2, "iban", m) for m in _RE["iban"].finditer(text) if iban_valid(re.sub(" ", "", m.group())))
+    if text.count(":") > 2:
+        yield from ((m.start(), 2, "ipv6", m) for m in _RE["ipv6"].finditer(text) if _is_ipv6(m.group()))
     if any(t in text for t in _TITLES):
         yield from ((m.start("name_value"), 8, "name", m) for m in _RE["name"].finditer(text))
-    if "оспо" in text:
+    if "оспо" in text or "октор" in text or "рофессор" in text:
         yield from ((m.start("name_cyr_value"), 9, "name_cyr", m) for m in _RE["name_cyr"].finditer(text))
 
 
 def find(text: str | None):
-    """(type, canonical, start, end) of each entity, in order, without overlap."""
-    upto = 0
+    """(type, canonical, start, end) of each entity, in order, without overlap.
+
+    A person found after a title is also found where their full name, family name
+    or (if one person of the text has it) given name stands without one; the
+    canonical form of a given name alone is the full name.
+    """
+    found, upto = [], 0
     for start, _, kind, m in sorted(_matches(text or ""), key=lambda x: x[:2]):
         if start < upto:
             continue
@@ -103,14 +137,64 @@ def find(text: str | None):
             canonical, end = m["secret_value"], m.end("secret_value")
         elif kind in ("name", "name_cyr"):
             canonical, end = m[kind + "_value"], m.end(kind + "_value")
-            title = m["title"] if kind == "name" else m["title_cyr"]
-            kind = "name_f" if title.rstrip(".") in FEMALE_TITLES else "name_m"
+            title = (m["title"] if kind == "name" else m["title_cyr"]).rstrip(".")
+            kind = "name_f" if title in FEMALE_TITLES else "name_n" if title in NEUTRAL_TITLES else "name_m"
         elif kind in ("card", "phone", "ssn"):
             canonical = ("+" if raw[0] == "+" else "") + re.sub(r"\D", "", raw)
+        elif kind == "iban":
+            canonical = raw.replace(" ", "")
+        elif kind == "ipv6":
+            canonical = ipaddress.IPv6Address(raw).compressed
         else:
             canonical = raw.lower() if kind == "email" else raw
         upto = end
-        yield kind, canonical, start, end
+        found.append((kind, canonical, start, end))
+    return _with_repeats(text, found) if any(k.startswith("name_") for k, *_ in found) else found
+
+
+def _with_repeats(text: str, found: list) -> list:
+    """``found`` and the mentions without a title of the persons in it."""
+    kinds, family, given = {}, {}, {}
+    for kind, name, _, _ in found:
+        if kind.startswith("name_"):
+            if kinds.get(name, "name_n") == "name_n":   # a title that tells the gender decides
+                kinds[name] = kind
+            parts = name.split(" ")
+            if family.get(parts[-1], "name_n") == "name_n":
+                family[parts[-1]] = kind
+            if len(parts) == 2:
+                given.setdefault(parts[0], set()).add(name)
+    found = [(kinds.get(c, k) if k.startswith("name_") else k, c, i, j) for k, c, i, j in found]
+    out, at = [], 0
+    for entity in [*found, (None, None, len(text), len(text))]:
+        upto = at
+        for m in _CAPITALISED.finditer(text, at, entity[2]):
+            word, start, end = m.group(), m.start(), m.end()
+            if start < upto:
+                continue
+            names = given.get(word, ())
+            full = next((n for n in names if text.startswith(n, start) and start + len(n) <= entity[2]
+                         and not re.match(r"[\w@]", text[start + len(n):start + len(n) + 1])), None)
+            if full:
+                upto = start + len(full)
+                out.append((kinds[full], full, start, upto))
+            elif word in family:
+                out.append((kinds.get(word, family[word]), word, start, end))
+            elif len(names) == 1:
+                name, = names
+                out.append((kinds[name], name, start, end))
+        out.append(entity)
+        at = entity[3]
+    return out[:-1]
+
+
+def parts_of(kind: str, canonical: str):
+    """The entities that are drawn for one: a person's given and family name are
+    drawn apart, so that the family name is the same with and without the other."""
+    if not kind.startswith("name_"):
+        return [(kind, canonical)]
+    family = canonical.rpartition(" ")[2]
+    return [("family", family)] if family == canonical else [(kind, canonical), ("family", family)]
 
 
 class _Stream:
@@ -149,8 +233,16 @@ def _shaped(s: _Stream, text: str) -> str:
     return "".join(out)
 
 
+def _invented(s: _Stream, script: str, syllables: int, ending: str = "") -> str:
+    onset, vowel, coda = SOUNDS[script]
+    return "".join(s.pick(onset) + s.pick(vowel) + s.pick(coda) for _ in range(syllables - 1)).capitalize() \
+        + (lambda x: x if syllables > 1 else x.capitalize())(s.pick(onset) + (ending or s.pick(vowel) + s.pick(coda)))
+
+
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
-    """The canonical form of an entity's surrogate."""
+    """The canonical form of an entity's surrogate; of a full name, that of the given name
+    (``parts_of``).  A family name is one of some 10^8 at first and each four further
+    draws add a syllable, so the draws keep pace with the number of entities."""
     s = _Stream(key, kind, canonical, attempt)
     if kind == "email":
         local, _, domain = canonical.partition("@")
@@ -172,13 +264,18 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
         return s.pick("23456789") + "".join(s.pick(_DIGITS) for _ in canonical[1:])
     if kind == "key_id":
         return canonical[:4] + "".join(s.pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in canonical[4:])
-    if kind.startswith("name_"):
+    if kind == "iban":
+        account = _shaped(s, canonical[4:])
+        return canonical[:2] + iban_check(canonical[:2], account) + account
+    if kind == "ipv6":                    # the prefix for documentation
+        return ipaddress.IPv6Address((0x20010DB8 << 96) | int("".join(s.pick(_HEX) for _ in range(24)), 16)).compressed
+    if kind == "family" or kind.startswith("name_"):
         script = "cyrillic" if re.search(f"[{_CYR}]", canonical) else "latin"
-        parts = canonical.split(" ")
-        family = ("".join(s.pick(SYLLABLES[script]) for _ in range(3 + attempt // 8))).capitalize()
-        if len(parts) == 1:
-            return family
-        return f"{s.pick(FIRST_NAMES[script, kind[-1]])} {family}"
+        if kind == "family":
+            return _invented(s, script, 3 + attempt // 4)
+        if not attempt:
+            return s.pick(FIRST_NAMES[script, kind[-1] if kind[-1] in "fm" else s.pick("fm")])
+        return _invented(s, script, 2 + attempt // 4, ENDINGS[script, kind[-1]])
     return _shaped(s, canonical)
 
 
@@ -189,12 +286,21 @@ def dress(kind: str, canonical: str, mention: str) -> str:
         return "".join(next(digits) if c.isdigit() else c for c in mention)
     if kind == "email" and mention.isupper():
         return canonical.upper()
+    if kind == "iban":
+        letters = iter(canonical)
+        return "".join(c if c == " " else next(letters) for c in mention)
+    if kind == "ipv6" and mention.isupper():
+        return canonical.upper()
     return canonical
 
 
+def _entities(text):
+    return {part for k, c, _, _ in find(text) for part in parts_of(k, c)}
+
+
 def _mentions(batches):
     for b in batches:
-        seen = {(k, c) for t in b.column(0) for k, c, _, _ in find(t.as_py())}
+        seen = set().union(*(_entities(t.as_py()) for t in b.column(0)))
         if seen:
             kinds, values = zip(*seen)
             yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(values)], names=["kind", "canonical"])
@@ -212,9 +318,14 @@ def _draw(key: bytes):
 _MAP_DDL = "kind string, canonical string, attempt int, surrogate string"
 
 
-def _family(kind):
-    # types whose surrogates could be read as one another share a name space
-    return F.when(kind.startswith("name_"), F.lit("name")).otherwise(kind)
+def _family():
+    # given names must differ among persons of one family name only
+    return F.when(F.col("kind").startswith("name_"), F.concat(F.lit("given "), F.substring_index("canonical", " ", -1))) \
+        .otherwise(F.col("kind"))
+
+
+def _own():
+    return F.when(F.col("kind").startswith("name_"), F.substring_index("canonical", " ", 1)).otherwise(F.col("canonical"))
 
 
 def surrogate_map(docs: DataFrame, key: bytes, text: str = "text", max_rounds: int = 1000) -> DataFrame:
@@ -222,12 +333,12 @@ def surrogate_map(docs: DataFrame, key: bytes, text: str = "text", max_rounds: i
     surrogate of a kind unlike the others and unlike every entity of that kind."""
     entities = materialize(map_arrow(docs.select(text), _mentions, "kind string, canonical string").distinct(),
                            "pii-entities")
-    real = entities.select(_family(F.col("kind")).alias("family"), F.col("canonical").alias("surrogate")).distinct()
+    real = entities.select(_family().alias("family"), _own().alias("surrogate")).distinct()
     drawn = materialize(map_arrow(entities.withColumn("attempt", F.lit(0)), _draw(key), _MAP_DDL), "pii-drawn")
     for round_ in range(max_rounds):
         # the earliest draw keeps a surrogate, then the smallest entity
         first = Window.partitionBy("family", "surrogate").orderBy("attempt", "kind", "canonical")
-        ranked = drawn.withColumn("family", _family(F.col("kind"))).withColumn("rank", F.row_number().over(first))
+        ranked = drawn.withColumn("family", _family()).withColumn("rank", F.row_number().over(first))
         taken = real.withColumn("taken", F.lit(True))
         judged = materialize(ranked.join(taken, ["family", "surrogate"], "left")
                              .withColumn("again", (F.col("rank") > 1) | F.coalesce("taken", F.lit(False)))
@@ -242,11 +353,17 @@ def surrogate_map(docs: DataFrame, key: bytes, text: str = "text", max_rounds: i
 
 def _keyed_mentions(batches):
     for b in batches:
-        rows = [(i, k, c) for i, t in zip(b.column(0).to_pylist(), b.column(1)) for k, c, _, _ in find(t.as_py())]
+        rows = {(i, *e) for i, t in zip(b.column(0).to_pylist(), b.column(1)) for e in _entities(t.as_py())}
         if rows:
-            a, k, c = zip(*set(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(a, b.schema.field(0).type), pa.array(k), pa.array(c)],
-                                             names=["doc_id", "kind", "canonical"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=["digest", "kind", "canonical"])
+
+
+def _new(key: bytes, kind: str, canonical: str, mention: str, attempts: dict) -> str:
+    """What a mention becomes."""
+    new = [surrogate(key, *e, attempts.get(e, 0)) for e in parts_of(kind, canonical)]
+    if not kind.startswith("name_"):
+        return dress(kind, new[0], mention)
+    return " ".join(new) if mention == canonical else new[0]
 
 
 def _replace(key: bytes):
@@ -259,8 +376,7 @@ def _replace(key: bytes):
                 attempts = {(r["kind"], r["canonical"]): r["attempt"] for r in redrawn or ()}
                 parts, at, found = [], 0, []
                 for kind, canonical, i, j in find(t):
-                    new = surrogate(key, kind, canonical, attempts.get((kind, canonical), 0))
-                    parts += [t[at:i], dress(kind, new, t[i:j])]
+                    parts += [t[at:i], _new(key, kind, canonical, t[i:j], attempts)]
                     at = j
                     found.append(kind)
                 out.append(t if not found else "".join(parts) + t[at:])
@@ -274,29 +390,30 @@ def _replace(key: bytes):
     return run
 
 
-def replace_pii(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def replace_pii(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """``docs`` with surrogates in ``text``, and n_entities and entity_kinds.
 
     All columns stay (columns named n_entities or entity_kinds are replaced).
     A null text stays null and an empty one empty, with no entities.  Repeated
     rows, and rows with a null or repeated id, are each replaced; an empty
-    table stays empty.
+    table stays empty.  Very long texts are read whole, one at a time.  Redrawn
+    surrogates reach the rows by a digest of the text, so rows that share an id do
+    not meet in one task, and what is gathered for a text is bounded by its mentions.
     """
     mapping = surrogate_map(docs, key, text)
     redrawn = materialize(mapping.filter("attempt > 0").drop("surrogate"), "pii-redrawn")
     plain = docs.drop("n_entities", "entity_kinds")
     # An entity whose first draw collided is rare; the others need no join.
-    id_type = docs.schema[doc_id].dataType.simpleString()
     if redrawn.isEmpty():
         with_redrawn = plain.withColumn(
             "__redrawn", F.lit(None).cast("array<struct<kind:string,canonical:string,attempt:int>>"))
     else:
-        mentions = map_arrow(docs.select(F.col(doc_id).alias("doc_id"), text), _keyed_mentions,
-                             f"doc_id {id_type}, kind string, canonical string").distinct()
+        mentions = map_arrow(docs.select(F.md5(text).alias("digest"), text), _keyed_mentions,
+                             "digest string, kind string, canonical string").distinct()
         per_doc = materialize(
-            mentions.join(redrawn, ["kind", "canonical"]).groupBy(F.col("doc_id").alias("__id"))
+            mentions.join(redrawn, ["kind", "canonical"]).groupBy(F.col("digest").alias("__digest"))
             .agg(F.collect_list(F.struct("kind", "canonical", "attempt")).alias("__redrawn")), "pii-redrawn")
-        with_redrawn = plain.join(per_doc, F.col(doc_id).eqNullSafe(F.col("__id")), "left").drop("__id")
+        with_redrawn = plain.join(per_doc, F.md5(text) == F.col("__digest"), "left").drop("__digest")
     order = plain.columns
     rest = [c for c in order if c != text]
     src = with_redrawn.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(rest)],
