@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from feedlab import constants as C
 from feedlab.operators.stats import ctr
-from feedlab.operators.terms import (merge_terms, no_neg_zero, pair_scores, pair_scores_topn,
-                                     rounded, top_n_per_key)
+from feedlab.operators.terms import (map_scores, merge_terms, no_neg_zero, page_maps, pair_scores, rounded,
+                                     top_n_per_key)
 from feedlab.functions.terms import sign_weight
-from feedlab.session import materialize
+from feedlab.session import materialize, together
 
 FEATURE_COLUMNS = ["uid", "label", "sumclick", "sumshow", "ctr", "pnum", "pdef", "pbeau", "s_term_score"]
 VECTOR_ORDER = list(C.VECTOR_ORDER)
@@ -76,16 +76,19 @@ def feature_groups(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
     pbeau)``; ``page_vec``: ``(urlid, term, weight)``.  The user profile sums
     each user's signed page vectors over all impressions (the row's own label
     included, as in the source pipeline) and keeps the ``top_n`` strongest
-    terms (``None`` keeps all).
+    terms (``None`` keeps all).  ``page_vec`` may be a function that builds the
+    table, which then runs beside the reduction of the log.
     """
-    # the page vector feeds both the profile and the scores
-    page_vec = materialize(page_vec, "page_vector")
     # Impressions reduced to (uid, urlid, label, cnt) once; the reduced table
     # feeds the url statistics, the profile pairs and the final rows, so it is
-    # written once instead of rescanning the log per branch.
-    groups = materialize(log.select("uid", "urlid", "label")
-                            .groupBy("uid", "urlid", "label").agg(F.count(F.lit(1)).alias("cnt")),
-                         "impression_groups")
+    # written once instead of rescanning the log per branch.  The page vector
+    # feeds both the profile and the scores; a page travels as one map.
+    groups, pages = together(
+        log.sparkSession,
+        lambda: materialize(log.select("uid", "urlid", "label")
+                               .groupBy("uid", "urlid", "label").agg(F.count(F.lit(1)).alias("cnt")),
+                            "impression_groups"),
+        lambda: materialize(page_maps(page_vec() if callable(page_vec) else page_vec), "page_vector"))
 
     # url statistics, from the reduced groups
     stats = groups.groupBy("urlid").agg(
@@ -96,12 +99,15 @@ def feature_groups(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
     sgn = F.when(F.col("label") != F.lit(0), F.col("cnt")).otherwise(-F.col("cnt"))
     pairs = (groups.where(F.col("uid").isNotNull())
                    .groupBy("uid", "urlid").agg(F.sum(sgn).cast("double").alias("net")))
-    prof_rows = pairs.join(page_vec, "urlid").select(
-        "uid", "term", (F.col("net") * F.col("weight")).alias("weight"))
+    prof_rows = (pairs.join(pages, "urlid").select("uid", "net", F.explode("_page").alias("term", "_w"))
+                      .select("uid", "term", (F.col("net") * F.col("_w")).alias("weight")))
     profile = merge_terms(prof_rows, "uid")
     if top_n is not None:
         profile = top_n_per_key(profile, "uid", [F.col("weight").desc(), F.col("term").asc()], top_n)
-    dots = (pair_scores if top_n is None else pair_scores_topn)(pairs, page_vec, profile)
+    if top_n is None:
+        dots = pair_scores(pairs, pages.select("urlid", F.explode("_page").alias("term", "weight")), profile)
+    else:
+        dots = map_scores(pairs, pages, profile)
 
     url_side = page_attrs.select("urlid", "pnum", "pdef", "pbeau")
     if with_click_stats:

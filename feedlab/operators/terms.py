@@ -80,10 +80,10 @@ def page_vector(keyword_rows: DataFrame, page: DataFrame, key: str = "urlid",
     ``keyword_rows`` is ``(key, term, weight)`` (e.g. title keywords).  Computed
     once per page, never per impression.
     """
-    pts = explode_terms(page, key, parse_terms(points, POINT_ITEM_SEP, TERM_KV_SEP))
-    tgs = explode_terms(page, key, tag_terms(tags))
+    # both in one pass: the page side is often a join of its own
+    own = explode_terms(page, key, F.concat(parse_terms(points, POINT_ITEM_SEP, TERM_KV_SEP), tag_terms(tags)))
     kw = keyword_rows.select(key, "term", F.col("weight").cast("double").alias("weight"))
-    return merge_terms(kw.unionByName(pts).unionByName(tgs), key)
+    return merge_terms(kw.unionByName(own), key)
 
 
 def sign_terms(df: DataFrame, label: str = "label", weight: str = "weight") -> DataFrame:
@@ -167,6 +167,11 @@ def pair_scores(pairs: DataFrame, page_vec: DataFrame, profile: DataFrame, user:
     return rows.groupBy(user, item).agg(F.sum(F.col("weight") * F.col("pw")).alias("dot"))
 
 
+def page_maps(page_vec: DataFrame, item: str = "urlid") -> DataFrame:
+    """``(item, _page)``: a page's terms as one map (bounded by the page)."""
+    return page_vec.groupBy(item).agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("_page"))
+
+
 def pair_scores_topn(pairs: DataFrame, page_vec: DataFrame, profile: DataFrame, user: str = "uid",
                      item: str = "urlid") -> DataFrame:
     """``pair_scores`` for profiles of a bounded number of terms per user.
@@ -175,10 +180,15 @@ def pair_scores_topn(pairs: DataFrame, page_vec: DataFrame, profile: DataFrame,
     in both joins instead of one row per term.  The dot product is a native
     fold over the user's terms.
     """
+    return map_scores(pairs, page_maps(page_vec, item), profile, user, item)
+
+
+def map_scores(pairs: DataFrame, pages: DataFrame, profile: DataFrame, user: str = "uid",
+               item: str = "urlid") -> DataFrame:
+    """``pair_scores_topn`` over ``page_maps``."""
     terms = profile.groupBy(user).agg(
         F.sort_array(F.collect_list(F.struct("term", F.col("weight").alias("w")))).alias("_terms"))
-    page = page_vec.groupBy(item).agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("_page"))
-    j = pairs.select(user, item).join(page, item).join(terms, user)
+    j = pairs.select(user, item).join(pages, item).join(terms, user)
     dot = F.aggregate("_terms", F.lit(0.0),
                       lambda acc, t: acc + t["w"] * F.coalesce(F.try_element_at("_page", t["term"]), F.lit(0.0)))
     return j.select(user, item, dot.alias("dot"))

@@ -17,7 +17,7 @@ from feedlab.functions.terms import text_to_tokens, weight_text
 from feedlab.functions.tokens import tokenize
 from feedlab.operators.stats import lookup_join
 from feedlab.operators.terms import DIGITS, rounded, top_n_per_key
-from feedlab.session import materialize
+from feedlab.session import materialize, together
 
 
 def explode_values(df: DataFrame, keep, arr, alias: str, pos: str | None = None) -> DataFrame:
@@ -84,8 +84,9 @@ def keywords_text(kw: DataFrame, key: str, out: str) -> DataFrame:
 def enrich_page(page: DataFrame, key: str = "urlid", title: str = "title", content: str = "content",
                 k_title: int = 20, k_content: int = 40, tokenizer=tokenize) -> DataFrame:
     """Page row + ``s_title`` / ``s_content`` keyword text columns."""
-    kt = keywords_text(keywords(page, key, title, k_title, tokenizer), key, "s_title")
-    kc = keywords_text(keywords(page, key, content, k_content, tokenizer), key, "s_content")
+    kt, kc = together(page.sparkSession,
+                      lambda: keywords_text(keywords(page, key, title, k_title, tokenizer), key, "s_title"),
+                      lambda: keywords_text(keywords(page, key, content, k_content, tokenizer), key, "s_content"))
     out = page.join(kt, key, "left").join(kc, key, "left")
     return (out.withColumn("s_title", F.coalesce("s_title", F.lit("-")))
                .withColumn("s_content", F.coalesce("s_content", F.lit("-"))))

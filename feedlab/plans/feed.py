@@ -30,6 +30,13 @@ def content_keywords(pages: DataFrame, k: int = CONTENT_K) -> DataFrame:
     return keywords(pages.select("urlid", "content"), "urlid", "content", k)
 
 
+def page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page columns of the feature table, joined and written once: the keywords,
+    the point and tag terms and the page attributes all read it, none the content."""
+    return materialize(pages_info(spark, sf_dir).select("urlid", "title", "points", "tags", "pnum", "pdef", "pbeau"),
+                       "pages")
+
+
 def feed_page_vector(pages: DataFrame) -> DataFrame:
     """Page vector: title keywords ⊕ points ⊕ tags (T4)."""
     kw = title_keywords(pages).select("urlid", "term", "weight")
@@ -39,9 +46,9 @@ def feed_page_vector(pages: DataFrame) -> DataFrame:
 def feed_train_feature(spark: SparkSession, sf_dir: str, top_n: int | None = PROFILE_N,
                        with_click_stats: bool = True) -> DataFrame:
     imp = impressions(spark, sf_dir)
-    pages = pages_info(spark, sf_dir)
+    pages = page_table(spark, sf_dir)
     attrs = pages.select("urlid", "pnum", "pdef", "pbeau")
-    return train_feature(imp, attrs, feed_page_vector(pages), top_n, with_click_stats)
+    return train_feature(imp, attrs, lambda: feed_page_vector(pages), top_n, with_click_stats)
 
 
 def feed_train_feature_loo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,9 +60,9 @@ def feed_train_feature_loo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_feature_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature rows with their counts, before they are expanded."""
-    pages = pages_info(spark, sf_dir)
+    pages = page_table(spark, sf_dir)
     return feature_groups(impressions(spark, sf_dir), pages.select("urlid", "pnum", "pdef", "pbeau"),
-                          feed_page_vector(pages), PROFILE_N)
+                          lambda: feed_page_vector(pages), PROFILE_N)
 
 
 def checkpoint_stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

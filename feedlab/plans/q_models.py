@@ -59,7 +59,42 @@ def q_chi2_stats(spark, sf_dir):
     return chi2_stats(feed_feature_groups(spark, sf_dir), VECTOR_ORDER, "label", count="cnt")
 
 
-@query("chi2_select")
+def _chi2_select_sql() -> str:
+    """The upper tail of the chi-square distribution as two recursions over the
+    seven features: the series of the lower tail below the mean, a continued
+    fraction above it."""
+    *ctes, last = _chi2_sql().rpartition("SELECT cells.feature")
+    names = ", ".join(f"('{f}', {i})" for i, f in enumerate(VECTOR_ORDER))
+    return ctes[0].replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f""",
+stats AS (SELECT cells.feature{last}),
+arg AS (SELECT n.feature, n.i, stats.dof / 2.0::DOUBLE AS a, stats.statistic / 2.0::DOUBLE AS x, stats.dof
+        FROM stats JOIN (VALUES {names}) n(feature, i) ON n.feature = stats.feature),
+ser AS (
+  SELECT feature, x, a AS n, 1 / a AS term, 1 / a AS total FROM arg WHERE dof > 0 AND x > 0 AND x < a + 1
+  UNION ALL
+  SELECT feature, x, n + 1, term * x / (n + 1), total + term * x / (n + 1) FROM ser WHERE term > total * 1e-16),
+frac AS (
+  SELECT feature, a, 0::BIGINT AS k, x + 1 - a AS b, 1e300::DOUBLE AS c, 1 / (x + 1 - a) AS d, 1 / (x + 1 - a) AS h,
+         false AS done
+  FROM arg WHERE dof > 0 AND x >= a + 1
+  UNION ALL
+  SELECT feature, a, k, b, c, d, h * d * c, abs(d * c - 1) < 1e-15 OR k >= 99999
+  FROM (SELECT feature, a, k + 1 AS k, b + 2 AS b, b + 2 - (k + 1) * (k + 1 - a) / c AS c,
+               1 / (b + 2 - (k + 1) * (k + 1 - a) * d) AS d, h FROM frac WHERE NOT done)),
+p AS (
+  SELECT arg.feature, arg.i, CASE
+    WHEN arg.dof <= 0 OR arg.x <= 0 THEN 1.0::DOUBLE
+    WHEN s.total IS NOT NULL
+      THEN 1 - least(exp(ln(s.total) - arg.x + arg.a * ln(arg.x) - lgamma(arg.a)), 1 - 1e-16::DOUBLE)
+    ELSE exp(ln(f.h) - arg.x + arg.a * ln(arg.x) - lgamma(arg.a)) END AS p
+  FROM arg LEFT JOIN (SELECT feature, max(total) AS total FROM ser GROUP BY feature) s ON s.feature = arg.feature
+           LEFT JOIN (SELECT feature, h FROM frac WHERE done) f ON f.feature = arg.feature),
+best AS (SELECT feature, i FROM p ORDER BY p, i LIMIT {C.CHI2_TOP_FEATURES})
+SELECT CAST(row_number() OVER (ORDER BY i) - 1 AS INTEGER) AS rank, CAST(i AS INTEGER) AS feature_index, feature FROM best
+"""
+
+
+@query("chi2_select", _chi2_select_sql())
 def q_chi2_select(spark, sf_dir):
     stats = chi2_stats(feed_feature_groups(spark, sf_dir), VECTOR_ORDER, "label", count="cnt")
     rows = [(rank, i, name) for rank, (i, name) in enumerate(chi2_select(stats, VECTOR_ORDER))]

@@ -14,8 +14,10 @@ import os
 import tempfile
 import uuid
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings the plans assume.  AQE re-plans joins at runtime: a join side whose
@@ -130,8 +132,13 @@ def stage_outputs_removed(spark: SparkSession):
         yield
     finally:
         for path in _open_scopes.pop():
-            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+            remove_output(spark, path)
+
+
+def remove_output(spark: SparkSession, path: str) -> None:
+    """Delete a stage output that no later stage reads."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def materialize(df, name: str):
@@ -148,6 +155,17 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+def together(spark: SparkSession, *builds):
+    """Run functions that write stage outputs side by side; their results in order.
+
+    For stages that do not read each other: the jobs share the cluster, so the tail
+    of one stage does not leave it idle.  The first error is raised once all ended.
+    """
+    with ThreadPoolExecutor(len(builds)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(b)) for b in builds]
+    return [r.result() for r in running]
+
+
 _shipped: set[str] = set()
 
 
