@@ -4,22 +4,28 @@ A run is a stretch of text without a word boundary (a run of Han characters).
 ``lexicon`` finds the corpus' words by aggregates alone: a character n-gram is a
 word if it is frequent, holds together (pointwise mutual information of its
 weakest split) and stands free (entropy of the characters beside it).
-``segment`` cuts every run along the path of largest word probability, a native
-fold over the candidate words.  No dictionary file and no Python worker.
+``segment`` cuts every run along the path of largest word probability.  No
+dictionary file.
 
-Scale: equal runs are counted first; n-grams are explode + partial aggregate;
+Scale: equal runs are counted first; only the longest n-gram at each character
+is exploded and counted, the shorter ones are prefixes of the counted ones;
 the splits and the neighbours join or group on the n-gram, of which there are
-far fewer than characters.  The lexicon is never broadcast by hand: the runs'
-candidate pieces meet it in an equi-join on the piece, and return grouped by run.
+far fewer than characters.  A lexicon of up to ``TABLE_WORDS`` words goes to the
+tasks as a table and a run is cut where it lies, without a shuffle.  A larger one
+meets the runs' candidate pieces in an equi-join on the piece; these return
+grouped by run.  Both ways give the same cuts.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlab.functions.strings import col_of
-from feedlab.session import materialize
+from feedlab.session import map_arrow, materialize
 
 HAN_RUN = r"\p{IsHan}+"
 MAX_WORD = 4
@@ -28,6 +34,13 @@ MIN_PMI = 1.0
 MIN_ENTROPY = 0.5
 DIGITS = 6
 BLOCK_CHARS = 256
+# Largest lexicon that travels as a table, its largest alphabet (codes of words fit
+# 63 bits) and the number of codes up to which a length is looked up by position.
+TABLE_WORDS = 1_000_000
+TABLE_CHARS = 50_000
+_DENSE = 1 << 21
+# Characters of the runs cut at once.
+_CUT_CHARS = 1 << 20
 
 
 def unspaced_runs(c, pattern: str = HAN_RUN) -> Column:
@@ -42,8 +55,9 @@ def run_counts(df: DataFrame, runs: str = "runs") -> DataFrame:
             .groupBy("run").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _pieces(counted: DataFrame, longest: int, *carry: str) -> DataFrame:
-    """Every piece of up to ``longest`` characters: ``(carry.., start, gram)``, start from 1.
+def _starts(counted: DataFrame, longest: int, *carry: str) -> DataFrame:
+    """Every character of the runs: ``(carry.., _at, _s, _part)``, the one at ``_s`` of the
+    text ``_part``, which holds the ``longest`` - 1 characters after it too, if there are any.
     A long run is cut into overlapping blocks first: finding a character takes
     time linear in the text it is looked up in."""
     b = F.col("_b") * BLOCK_CHARS
@@ -51,15 +65,23 @@ def _pieces(counted: DataFrame, longest: int, *carry: str) -> DataFrame:
         F.lit(0), F.floor((F.length("run") - 1) / BLOCK_CHARS).cast("int"))).alias("_b"))
     blocks = blocks.select(*carry, b.alias("_at"), F.least(F.lit(BLOCK_CHARS), F.length("run") - b).alias("_own"),
                            F.substring(F.col("run"), b + 1, F.lit(BLOCK_CHARS + longest - 1)).alias("_part"))
-    at = blocks.select("_part", "_at", *carry, F.explode(F.sequence(F.lit(1), F.col("_own"))).alias("_s"))
+    return blocks.select("_part", "_at", *carry, F.explode(F.sequence(F.lit(1), F.col("_own"))).alias("_s"))
+
+
+def _pieces(counted: DataFrame, longest: int, *carry: str) -> DataFrame:
+    """Every piece of up to ``longest`` characters: ``(carry.., start, gram)``, start from 1."""
     sizes = F.sequence(F.lit(1), F.least(F.lit(longest), F.length("_part") - F.col("_s") + 1))
-    return at.select(*carry, (F.col("_at") + F.col("_s")).alias("start"), F.explode(F.transform(
-        sizes, lambda k: F.substring(F.col("_part"), F.col("_s"), k))).alias("gram"))
+    return _starts(counted, longest, *carry).select(*carry, (F.col("_at") + F.col("_s")).alias("start"), F.explode(
+        F.transform(sizes, lambda k: F.substring(F.col("_part"), F.col("_s"), k))).alias("gram"))
 
 
 def ngrams(counted: DataFrame, longest: int) -> DataFrame:
-    """Occurrences of every n-gram: ``(gram, count)``."""
-    return _pieces(counted, longest, "n").groupBy("gram").agg(F.sum("n").alias("count"))
+    """Occurrences of every n-gram: ``(gram, count)``.  The n-grams that start at a
+    character are the prefixes of the longest one, so only that one is counted there."""
+    heads = (_starts(counted, longest, "n").select(F.substring(F.col("_part"), F.col("_s"), F.lit(longest)).alias("head"), "n")
+             .groupBy("head").agg(F.sum("n").alias("n")))
+    prefixes = F.transform(F.sequence(F.lit(1), F.length("head")), lambda k: F.substring(F.col("head"), F.lit(1), k))
+    return heads.select("n", F.explode(prefixes).alias("gram")).groupBy("gram").agg(F.sum("n").alias("count"))
 
 
 def _entropy(grams: DataFrame, part: Column, out: str) -> DataFrame:
@@ -107,13 +129,140 @@ def lexicon(counted: DataFrame, longest: int = MAX_WORD, min_count: int = MIN_CO
         F.round(F.log(F.col("count") / F.col("_mass")), DIGITS).alias("logp"))
 
 
+class _Words:
+    """A lexicon as tables: ``logp`` by length and by the code of a word's characters;
+    -inf where there is no such word."""
+
+    def __init__(self, terms: list[str], logp: np.ndarray, longest: int):
+        points = [np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32) for t in terms]
+        used = np.unique(np.concatenate(points)) if points else np.zeros(0, dtype=np.uint32)
+        self.base = len(used) + 1
+        # characters of no word share the last number
+        self.number = np.full(0x110000, len(used), dtype=np.int32)
+        self.number[used] = np.arange(len(used))
+        size = np.array([len(x) for x in points], dtype=np.int64)
+        self.longest, self.tables = longest, []
+        for n in range(1, longest + 1):
+            at = np.flatnonzero(size == n)
+            code = self._codes([self.number[np.array([points[i][k] for i in at], dtype=np.int64)] for k in range(n)])
+            order = np.argsort(code)
+            code, values = code[order], logp[at][order]
+            if self.base ** n <= _DENSE:
+                dense = np.full(self.base ** n, -np.inf)
+                dense[code] = values
+                code, values = None, dense
+            self.tables.append((code, values))
+
+    def _codes(self, numbers) -> np.ndarray:
+        code = np.zeros(len(numbers[0]), dtype=np.int64)
+        for x in numbers:
+            code = code * self.base + x
+        return code
+
+    def starting(self, chars: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """By length: ``logp`` of the word that starts at each character; none crosses
+        the end of its run (``ends``: the position after it, by character)."""
+        number = self.number[chars].astype(np.int64)
+        code, out = np.zeros(len(chars), dtype=np.int64), []
+        for n, (known, values) in enumerate(self.tables, 1):
+            code = code[:len(chars) - n + 1] * self.base + number[n - 1:] if len(chars) >= n else code[:0]
+            if known is None:
+                found = values[code]
+            elif len(known):
+                at = np.minimum(np.searchsorted(known, code), len(known) - 1)
+                found = np.where(known[at] == code, values[at], -np.inf)
+            else:
+                found = np.full(len(code), -np.inf)
+            logp = np.full(len(chars), -np.inf)
+            logp[:len(code)] = np.where(np.arange(n, n + len(code)) <= ends[:len(code)], found, -np.inf)
+            out.append(logp)
+        return out
+
+
+def _word_ends(words: _Words, chars: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions of the last characters of the words, for runs of ``sizes`` characters
+    laid end to end.  All parts (see ``segment``) advance together, a character a step."""
+    total = len(chars)
+    if not total:
+        return np.zeros(0, dtype=np.int64)
+    logp = words.starting(chars, np.repeat(np.cumsum(sizes), sizes))
+    joined = np.zeros(total + 1, dtype=bool)  # a word spans the cut before this character
+    for n, p in enumerate(logp, 1):
+        at = np.flatnonzero(p > -np.inf)
+        for k in range(1, n):
+            joined[at + k] = True
+    first = np.flatnonzero(~joined[:total])
+    length = np.diff(np.append(first, total))
+    order = np.argsort(-length, kind="stable")
+    first, length = first[order], length[order]
+    # how many parts have more than t characters
+    more = np.searchsorted(-length, -np.arange(length[0]), side="left")
+    best, back = np.zeros(total), np.ones(total, dtype=np.int32)
+    for t, parts in enumerate(more.tolist()):
+        at = first[:parts] + t
+        top, size = np.full(parts, -np.inf), np.ones(parts, dtype=np.int32)
+        for n in range(min(words.longest, t + 1), 0, -1):
+            sums = logp[n - 1][at - n + 1] + (best[at - n] if n <= t else 0.0)
+            better = sums > top
+            top[better], size[better] = sums[better], n
+        best[at], back[at] = top, size
+    is_end = np.zeros(total, dtype=bool)
+    at = first + length - 1
+    while len(at):
+        is_end[at] = True
+        at = at - back[at]
+        on = at >= first
+        at, first = at[on], first[on]
+    return np.flatnonzero(is_end)
+
+
+def _cut(lexicon):
+    """Runs -> ``(run, terms)`` by the lexicon's tables."""
+    def batches_of(runs: pa.StringArray):
+        sizes = np.cumsum(pc.utf8_length(runs).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(runs):
+            to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + _CUT_CHARS, side="right")))
+            yield runs.slice(at, to - at)
+            at = to
+
+    def run(batches):
+        words = lexicon.value
+        for b in batches:
+            for runs in batches_of(b.column(0)):
+                sizes = pc.utf8_length(runs).to_numpy(zero_copy_only=False).astype(np.int64)
+                text = "".join(runs.to_pylist())
+                chars = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+                ends = _word_ends(words, chars, sizes)
+                width = 1 + (chars > 0x7F).astype(np.int32) + (chars > 0x7FF) + (chars > 0xFFFF)
+                offsets = np.concatenate([[0], np.cumsum(width)[ends]]).astype(np.int32)
+                terms = pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(text.encode()))
+                lists = np.concatenate([[0], np.searchsorted(ends, np.cumsum(sizes))]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([runs, pa.ListArray.from_arrays(pa.array(lists), terms)], ["run", "terms"])
+    return run
+
+
 def segment(counted: DataFrame, words: DataFrame, longest: int = MAX_WORD) -> DataFrame:
     """``(run, terms)``: each distinct run along its path of largest summed
     ``logp``; of equal paths the one with the longer last word, at every cut.
 
-    A boundary that no candidate word spans lies on every path, so a run is cut
-    there and the parts, a few characters long, are searched on their own.
+    Every character must be a word (``lexicon``).  A boundary that no candidate word
+    spans lies on every path, so a run is cut there and the parts, a few characters
+    long, are searched on their own.
     """
+    size = F.length("term")
+    words = words.where(size.between(1, longest)).select("term", "logp")
+    chars = words.where(size == 1)
+    if words.limit(TABLE_WORDS + 1).count() > TABLE_WORDS or chars.limit(TABLE_CHARS + 1).count() > TABLE_CHARS:
+        return _segment_joined(counted, words, longest)
+    table = words.toArrow()
+    lexicon = counted.sparkSession.sparkContext.broadcast(
+        _Words(table["term"].to_pylist(), table["logp"].to_numpy(), longest))
+    return map_arrow(counted.select("run").where(F.col("run").isNotNull()), _cut(lexicon), "run string, terms array<string>")
+
+
+def _segment_joined(counted: DataFrame, words: DataFrame, longest: int = MAX_WORD) -> DataFrame:
+    """``segment`` for a lexicon of any size."""
     # a run travels as a number: its text would repeat with every piece
     numbered = materialize(counted.select("run").withColumn("_run", F.monotonically_increasing_id()), "numbered_runs")
     lex = words.select(F.col("term").alias("gram"), "logp")

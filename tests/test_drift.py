@@ -80,6 +80,42 @@ def test_lexicon_and_path_equal_brute_force(spark):
     assert all("".join(by_id.get(r.id, [])) == "".join(r.runs) for r in df.collect())
 
 
+def test_runs_are_cut_where_they_lie_and_large_lexicons_are_joined(spark, monkeypatch):
+    runs = [(r,) for t in han_texts(40) if t for r in [t, t[::-1]]] + [("𝄞é中国a",), ("好" * 600,), ("中国北京" * 150,)]
+    counted = S.run_counts(spark.createDataFrame([([r for (r,) in runs],)], "runs array<string>")).localCheckpoint()
+    lex = S.lexicon(counted, min_count=2, min_entropy=0.1).localCheckpoint()
+    by_table = S.segment(counted, lex)
+    assert "Exchange" not in by_table._jdf.queryExecution().executedPlan().toString()
+    got = {r.run: r.terms for r in by_table.collect()}
+    logp = {r.term: r.logp for r in lex.collect()}
+    assert got == {r.run: brute_path(r.run, logp) for r in counted.collect()}
+    # words looked up by search, a few characters at once
+    monkeypatch.setattr(S, "_DENSE", 0)
+    monkeypatch.setattr(S, "_CUT_CHARS", 50)
+    assert {r.run: r.terms for r in S.segment(counted, lex).collect()} == got
+    monkeypatch.setattr(S, "TABLE_WORDS", 3)
+    joined = S.segment(counted, lex)
+    assert "Exchange" in joined._jdf.queryExecution().executedPlan().toString()
+    assert {r.run: r.terms for r in joined.collect()} == got
+
+
+@pytest.mark.parametrize("longest", [1, 2, 5])
+def test_one_piece_a_character_is_counted(spark, longest):
+    rng = random.Random(1)
+    runs = {"".join(rng.choices("abcé中", k=n)): rng.randint(1, 9) for n in (1, 2, 4, 5, 6, 255, 256, 257, 600)}
+    counted = spark.createDataFrame(list(runs.items()), "run string, n long").coalesce(1)
+    want = Counter()
+    for run, n in runs.items():
+        for i in range(len(run)):
+            for k in range(1, min(longest, len(run) - i) + 1):
+                want[run[i:i + k]] += n
+    assert {r.gram: r["count"] for r in S.ngrams(counted, longest).collect()} == dict(want)
+    seen = spark.sparkContext.accumulator(0)
+    starts = S._starts(counted, longest, "n")
+    starts.foreach(lambda r: seen.add(1))
+    assert seen.value == sum(map(len, runs))
+
+
 def test_segmentation_of_nothing(spark):
     df = spark.createDataFrame([(1, None), (2, "latin only")], "id long, text string").select(
         "id", S.unspaced_runs("text").alias("runs"))
