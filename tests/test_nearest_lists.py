@@ -99,3 +99,30 @@ def test_calibration_is_the_smallest_number_that_holds_the_share():
     c = s[:10]
     assert N.probes_for(s, c, 5, 1.0) <= 10
     assert N.probes_for(s, c, 5, 0.5) <= N.probes_for(s, c, 5, 0.9) <= N.probes_for(s, c, 5, 1.0)
+
+
+def test_a_block_hands_on_little_and_keeps_the_order_of_equal_scores(spark, monkeypatch):
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(300, 8))
+    v[100:200] = v[7]  # a hundred copies
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    ids = rng.permutation(300)
+    rows = pa.table({"id": ids, "unit": unit.tolist()})
+    queries = pa.table({"query_id": ids[:20], "_q": unit[:20].tolist(), "floor": pa.array([None] * 19 + [2.0], pa.float64())})
+    for slab in (1, 1 << 22):
+        monkeypatch.setattr(N, "_SLAB", slab)
+        got = {}
+        for r in N._block_best(3, queries, rows).to_pylist():
+            got.setdefault(r["query_id"], []).append((-round(r["score"], N.SCORE_DIGITS), r["id"]))
+        assert sum(map(len, got.values())) < 20 * 8 and ids[19] not in got
+        for i in range(19):
+            s = np.round(unit @ unit[i], N.SCORE_DIGITS)
+            want = sorted((-s[j], ids[j]) for j in range(300) if j != i)[:3]
+            assert [x for _, x in sorted(got[ids[i]])[:3]] == [x for _, x in want]
+
+
+def test_lists_are_compared_as_groups(spark):
+    df = frame(spark, clustered(200))
+    plan = N.nearest_many(df, df.where("id % 50 = 0"), 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroupsInArrow" in plan and "zip_with" not in plan.lower()
