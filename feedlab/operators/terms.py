@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from feedlab.constants import POINT_ITEM_SEP, TERM_KV_SEP
 from feedlab.functions.terms import parse_terms, sign_weight, tag_terms, weight_text
+from feedlab.session import spread
 
 DIGITS = 6
 
@@ -132,7 +133,7 @@ def user_profile(log: DataFrame, page_vec: DataFrame, user: str = "uid", item: s
     """
     pairs = net_sign(log, user, item, label, count)
     rows = pairs.join(page_vec, item).select(user, "term", (F.col("net") * F.col("weight")).alias("weight"))
-    return merge_terms(rows, user)
+    return merge_terms(spread(rows, user, "term"), user)
 
 
 def user_profile_topn(log: DataFrame, page_vec: DataFrame, n: int = 21, **kw) -> DataFrame:

@@ -17,7 +17,7 @@ from feedlab.functions.terms import text_to_tokens, weight_text
 from feedlab.functions.tokens import tokenize
 from feedlab.operators.stats import lookup_join
 from feedlab.operators.terms import DIGITS, rounded, top_n_per_key
-from feedlab.session import materialize, together
+from feedlab.session import materialize, spread, together
 
 
 def explode_values(df: DataFrame, keep, arr, alias: str, pos: str | None = None) -> DataFrame:
@@ -51,7 +51,7 @@ def tfidf(df: DataFrame, key: str, text: str, tokenizer=tokenize, idf: DataFrame
     N counts documents with at least one token.  A supplied ``idf`` table
     ``(term, idf)`` replaces the corpus statistics.
     """
-    toks = df.select(key, tokenizer(F.col(text)).alias("tokens"))
+    toks = spread(df.select(key, text), key).select(key, tokenizer(F.col(text)).alias("tokens"))
     tf = term_frequencies(toks, key, "tokens")
     if idf is None:
         # The text is read and tokenised once: document frequencies, N (every
@@ -101,7 +101,7 @@ def token_count(lines: DataFrame, col: str = "value", sep: str = "\t") -> DataFr
 def term_doc_count(df: DataFrame, key: str, title: str, terms: str, sep: str = ",") -> DataFrame:
     """Term frequency per document (A4): ``(key, title, term, tf)``;
     a document without terms gives one row ``("-", 0)``."""
-    docs = df.select(key, title, terms)
+    docs = spread(df.select(key, title, terms), key, title)
     ex = docs.select(key, title, F.explode_outer(F.when(F.col(terms).isNotNull(), split_all(terms, sep)))
                      .alias("term"))
     counted = ex.groupBy(key, title, "term").agg(F.count("term").alias("tf"))

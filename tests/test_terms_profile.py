@@ -156,3 +156,39 @@ def test_train_feature_matches_brute_force(spark):
     exp = brute_force_features(log, attrs, pv_rounded)
     norm = lambda rows: Counter(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in rows)
     assert norm(tuple(r) for r in got) == norm(exp)
+
+
+def test_terms_are_dealt_to_tasks_by_the_inputs_bytes(spark, tmp_path, monkeypatch):
+    """The aggregates over exploded terms get more tasks as their inputs grow."""
+    import os
+    from feedlab import session
+    from feedlab.operators import terms as T, text as X
+
+    def tasks(df):
+        return df.rdd.getNumPartitions()
+
+    def tables(copies):
+        log = spark.range(copies * 4000).selectExpr("id % 97 as uid", "id % 50 as urlid", "cast(id % 2 as int) as label")
+        docs = spark.range(copies * 4000).selectExpr("id as urlid", "concat('t', id) as title", "repeat('a,b,a,', 5) as terms")
+        out = []
+        for name, df in (("log", log), ("docs", docs)):
+            path = f"{tmp_path}/{name}{copies}"
+            df.coalesce(1).write.parquet(path)
+            out.append(spark.read.parquet(path))
+        return out
+    pages = spark.createDataFrame([(i, f"t{i % 7}", 1.0) for i in range(50)], "urlid long, term string, weight double")
+    small, large = tables(1), tables(30)
+    stored = sum(os.path.getsize(f.removeprefix("file:")) for f in large[1].inputFiles())
+    assert session.input_bytes(large[1]) == stored and session.input_bytes(pages) == 0
+    monkeypatch.setattr(session.spread, "__kwdefaults__", {"bytes_a_task": stored // 40})
+    for make in (lambda log, docs: X.term_doc_count(docs, "urlid", "title", "terms"),
+                 lambda log, docs: X.term_frequencies(session.spread(docs, "urlid").selectExpr("urlid", "split(terms, ',') as t"), "urlid", "t")):
+        assert tasks(make(*small)) < 40 <= tasks(make(*large))
+    monkeypatch.setattr(session.spread, "__kwdefaults__", {"bytes_a_task": session.input_bytes(large[0]) // 40})
+    assert tasks(T.user_profile(small[0], pages)) < 40 <= tasks(T.user_profile(large[0], pages))
+    got = {(r.uid, r.term): r.weight for r in T.user_profile(small[0], pages).collect()}
+    want = {}
+    for i in range(4000):
+        key = (i % 97, f"t{i % 50 % 7}")
+        want[key] = want.get(key, 0.0) + (1 if i % 2 else -1)
+    assert got == want
