@@ -16,6 +16,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from feedlab.llm.common import SPACES, map_arrow, text_bytes, without_spaces
 
@@ -78,19 +79,28 @@ def repeated_window_words(words: list, k: int = WINDOW_WORDS) -> int:
     return covered
 
 
-def _measure(batches):
-    for b in batches:
-        cols: list[list[int]] = [[], [], [], []]
-        for text in b.column("__text").to_pylist():
-            words = text.split()
-            lines = [x for x in text.split(b"\n") if x.split()] if b"\n" in text else [text] if words else []
-            for out, v in zip(cols, (len(words), len(lines), len(lines) - len(set(lines)),
-                                     repeated_window_words(words))):
-                out.append(v)
-        keep = [i for i, n in enumerate(b.schema.names) if n != "__text"]
-        yield pa.RecordBatch.from_arrays(
-            [b.column(i) for i in keep] + [pa.array(c, pa.int64()) for c in cols],
-            names=[b.schema.names[i] for i in keep] + ["n_words", "n_lines", "n_dup_lines", "n_repeat_words"])
+# Texts measured, and rows handed on, at a time.
+_RUN = 500
+
+
+def _measure(text: str, drop: bool):
+    """The measurements of the column ``text``, which stays beside them unless ``drop``."""
+    def run(batches):
+        for whole in batches:
+            for b in (whole.slice(at, _RUN) for at in range(0, whole.num_rows, _RUN)):
+                cols: list[list[int]] = [[], [], [], []]
+                for value in b.column(text).cast(pa.binary()):
+                    t = value.as_py() or b""
+                    words = t.split()
+                    lines = [x for x in t.split(b"\n") if x.split()] if b"\n" in t else [t] if words else []
+                    for out, v in zip(cols, (len(words), len(lines), len(lines) - len(set(lines)),
+                                             repeated_window_words(words))):
+                        out.append(v)
+                keep = [i for i, n in enumerate(b.schema.names) if n != text or not drop]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(i) for i in keep] + [pa.array(c, pa.int64()) for c in cols],
+                    names=[b.schema.names[i] for i in keep] + ["n_words", "n_lines", "n_dup_lines", "n_repeat_words"])
+    return run
 
 
 def failure_bits(rules=RULES) -> Column:
@@ -111,13 +121,17 @@ def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules=RU
     ignored.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
+    # a carried text goes to the workers once: it is measured where it stands
+    own_text = text not in carry or docs.schema[text].dataType != StringType()
+    measured_text = "__text" if own_text else f"__carry{carry.index(text)}"
     src = docs.select(F.col(doc_id).alias("doc_id"),
                       F.length(without_spaces(whole)).cast("long").alias("word_chars"),
                       (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-                      text_bytes(text).alias("__text"),
+                      *([text_bytes(text).alias("__text")] if own_text else []),
                       *[F.col(c).alias(f"__carry{i}") for i, c in enumerate(carry)])
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields if f.name != "__text")
-    measured = map_arrow(src, _measure, ddl + ", n_words long, n_lines long, n_dup_lines long, n_repeat_words long")
+    measured = map_arrow(src, _measure(measured_text, own_text),
+                         ddl + ", n_words long, n_lines long, n_dup_lines long, n_repeat_words long")
     own = ["doc_id", *MEASURES]
     return measured.select(*[F.col(c) for c in own if c not in carry], failure_bits(rules).alias("failures"),
                            *[F.col(f"__carry{i}").alias(c) for i, c in enumerate(carry)])

@@ -58,6 +58,28 @@ def test_ledger_measures_and_bits(spark):
         assert r.failures == want
 
 
+def test_carried_text_goes_to_the_workers_once_and_in_short_runs(spark, monkeypatch):
+    rows = [*edge_rows(), *((100 + i, f"row {i} of many") for i in range(1_200))]
+    seen, sizes = [], spark.sparkContext.accumulator(0)
+    send = Q.map_arrow
+
+    def watched(df, function, schema):
+        seen.append([f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")])
+
+        def run(batches):
+            for b in function(batches):
+                sizes.add(b.num_rows > 500)
+                yield b
+        return send(df, run, schema)
+
+    monkeypatch.setattr(Q, "map_arrow", watched)
+    docs = spark.createDataFrame(rows, DDL).coalesce(1)
+    got = Q.ledger(docs, carry=("doc_id", "text")).collect()
+    assert seen == [["__carry1"]] and sizes.value == 0
+    assert sorted(((r.doc_id, r.text, *(r[m] for m in Q.MEASURES)) for r in got), key=str) == sorted(
+        ((d, t, n, c, s, *rest) for d, t in rows for n, c, s, *rest in [brute_measures(t)]), key=str)
+
+
 def test_policies_and_ablation(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     led = Q.ledger(docs).cache()
