@@ -25,7 +25,7 @@ from feedlab.operators.stats import ctr
 from feedlab.operators.terms import (map_scores, merge_terms, no_neg_zero, page_maps, pair_scores, rounded,
                                      top_n_per_key)
 from feedlab.functions.terms import sign_weight
-from feedlab.session import materialize, spread, together
+from feedlab.session import materialize, spread_like, together
 
 FEATURE_COLUMNS = ["uid", "label", "sumclick", "sumshow", "ctr", "pnum", "pdef", "pbeau", "s_term_score"]
 VECTOR_ORDER = list(C.VECTOR_ORDER)
@@ -101,13 +101,13 @@ def feature_groups(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
                    .groupBy("uid", "urlid").agg(F.sum(sgn).cast("double").alias("net")))
     prof_rows = (pairs.join(pages, "urlid").select("uid", "net", F.explode("_page").alias("term", "_w"))
                       .select("uid", "term", (F.col("net") * F.col("_w")).alias("weight")))
-    profile = merge_terms(spread(prof_rows, "uid", "term"), "uid")
+    profile = merge_terms(spread_like(log, prof_rows, "uid", "term"), "uid")
     if top_n is not None:
-        profile = top_n_per_key(profile, "uid", [F.col("weight").desc(), F.col("term").asc()], top_n)
+        profile = top_n_per_key(spread_like(log, profile, "uid"), "uid", [F.col("weight").desc(), F.col("term").asc()], top_n)
     if top_n is None:
-        dots = pair_scores(pairs, pages.select("urlid", F.explode("_page").alias("term", "weight")), profile)
+        dots = pair_scores(pairs, pages.select("urlid", F.explode("_page").alias("term", "weight")), profile, log=log)
     else:
-        dots = map_scores(pairs, pages, profile)
+        dots = map_scores(pairs, pages, profile, log=log)
 
     url_side = page_attrs.select("urlid", "pnum", "pdef", "pbeau")
     if with_click_stats:

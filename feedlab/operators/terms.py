@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from feedlab.constants import POINT_ITEM_SEP, TERM_KV_SEP
 from feedlab.functions.terms import parse_terms, sign_weight, tag_terms, weight_text
-from feedlab.session import spread
+from feedlab.session import spread, spread_like
 
 DIGITS = 6
 
@@ -138,8 +138,9 @@ def user_profile(log: DataFrame, page_vec: DataFrame, user: str = "uid", item: s
 
 def user_profile_topn(log: DataFrame, page_vec: DataFrame, n: int = 21, **kw) -> DataFrame:
     """Profile cut to the ``n`` largest weights per user, ties by term."""
-    prof = user_profile(log, page_vec, **kw)
-    return top_n_per_key(prof, kw.get("user", "uid"), [F.col("weight").desc(), F.col("term").asc()], n)
+    user = kw.get("user", "uid")
+    prof = spread(user_profile(log, page_vec, **kw), user)
+    return top_n_per_key(prof, user, [F.col("weight").desc(), F.col("term").asc()], n)
 
 
 def clicked_profile(log: DataFrame, term_rows: DataFrame, user: str = "uid", item: str = "urlid",
@@ -153,18 +154,20 @@ def clicked_profile(log: DataFrame, term_rows: DataFrame, user: str = "uid", ite
     clicks = (drop_null_key(positives(log, label), user)
               .groupBy(user, item).agg(F.count(F.lit(1)).cast("double").alias("_c")))
     rows = clicks.join(term_rows, item).select(user, "term", (F.col("_c") * F.col("weight")).alias("weight"))
-    return merge_terms(rows, user)
+    return merge_terms(spread(rows, user, "term"), user)
 
 
 def pair_scores(pairs: DataFrame, page_vec: DataFrame, profile: DataFrame, user: str = "uid",
-                item: str = "urlid") -> DataFrame:
+                item: str = "urlid", log: DataFrame | None = None) -> DataFrame:
     """Unsigned dot product of page vector and user profile per (user, item).
 
     Inner joins drop pairs without a common term; callers left-join back and
-    default to 0.
+    default to 0.  The terms of all pairs take many times the room of the pairs, so
+    they are spread before they are sorted for the profile.
     """
     p = profile.select(user, "term", F.col("weight").alias("pw"))
-    rows = pairs.select(user, item).join(page_vec, item).join(p, [user, "term"])
+    terms = pairs.select(user, item).join(page_vec, item)
+    rows = spread_like(pairs if log is None else log, terms, user, "term").join(p, [user, "term"])
     return rows.groupBy(user, item).agg(F.sum(F.col("weight") * F.col("pw")).alias("dot"))
 
 
@@ -185,11 +188,13 @@ def pair_scores_topn(pairs: DataFrame, page_vec: DataFrame, profile: DataFrame,
 
 
 def map_scores(pairs: DataFrame, pages: DataFrame, profile: DataFrame, user: str = "uid",
-               item: str = "urlid") -> DataFrame:
-    """``pair_scores_topn`` over ``page_maps``."""
+               item: str = "urlid", log: DataFrame | None = None) -> DataFrame:
+    """``pair_scores_topn`` over ``page_maps``.  A pair that carries its page's map is a
+    wide row; these are spread before they are sorted for the users (``log``: see ``spread_like``)."""
     terms = profile.groupBy(user).agg(
         F.sort_array(F.collect_list(F.struct("term", F.col("weight").alias("w")))).alias("_terms"))
-    j = pairs.select(user, item).join(pages, item).join(terms, user)
+    wide = pairs.select(user, item).join(pages, item)
+    j = spread_like(pairs if log is None else log, wide, user).join(terms, user)
     dot = F.aggregate("_terms", F.lit(0.0),
                       lambda acc, t: acc + t["w"] * F.coalesce(F.try_element_at("_page", t["term"]), F.lit(0.0)))
     return j.select(user, item, dot.alias("dot"))

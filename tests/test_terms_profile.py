@@ -192,3 +192,58 @@ def test_terms_are_dealt_to_tasks_by_the_inputs_bytes(spark, tmp_path, monkeypat
         key = (i % 97, f"t{i % 50 % 7}")
         want[key] = want.get(key, 0.0) + (1 if i % 2 else -1)
     assert got == want
+
+
+def test_profile_cuts_and_pair_scores_are_dealt_by_the_bytes_of_the_log(spark, tmp_path, monkeypatch):
+    """What follows a profile's aggregate held a fixed number of tasks, whatever the log."""
+    from pyspark.sql import functions as F
+    from feedlab import session
+    from feedlab.operators import features, terms as T
+
+    def tasks(df):
+        return df.rdd.getNumPartitions()
+
+    logs = []
+    for copies in (1, 30):
+        path = f"{tmp_path}/log{copies}"
+        spark.range(copies * 4000).selectExpr("id % 97 as uid", "id % 50 as urlid", "cast(id % 3 as int) as label",
+                                              "id as event_id").coalesce(1).write.parquet(path)
+        logs.append(spark.read.parquet(path))
+    small, large = logs
+    pages = spark.createDataFrame([(i, f"t{(i * 5 + j) % 11}", 1.0 + j) for i in range(50) for j in range(3)],
+                                  "urlid long, term string, weight double")
+    attrs = spark.createDataFrame([(i, i, 1.0, 0.0) for i in range(50)], "urlid long, pnum int, pdef double, pbeau double")
+    for f in (session.spread, session.spread_like):
+        monkeypatch.setattr(f, "__kwdefaults__", {"bytes_a_task": session.input_bytes(large) // 40})
+    profiles = [T.user_profile_topn(log, pages, n=2) for log in logs]
+    assert tasks(profiles[0]) < 40 <= tasks(profiles[1])
+    assert tasks(T.clicked_profile(small, pages)) < 40 <= tasks(T.clicked_profile(large, pages))
+    pairs = large.select("uid", "urlid").distinct()
+    assert tasks(T.map_scores(pairs, T.page_maps(pages), profiles[1])) >= 40
+    # a reduced copy of the log counts as the log
+    few = spark.createDataFrame([(1, 2)], "uid long, urlid long")
+    assert tasks(session.spread(few, "uid")) < 40 <= tasks(session.spread_like(large, few, "uid"))
+    seen = []
+    monkeypatch.setattr(features, "spread_like", lambda log, df, *k: (seen.append((session.input_bytes(log), k)),
+                                                                     session.spread_like(log, df, *k))[1])
+    groups = features.feature_groups(large, attrs, pages, 2)
+    assert seen == [(session.input_bytes(large), ("uid", "term")), (session.input_bytes(large), ("uid",))]
+    assert groups.agg(F.sum("cnt")).first()[0] == large.count()
+
+    # the results are those of plain joins
+    page, prof = {}, {}
+    for r in pages.collect():
+        page.setdefault(r.urlid, {})[r.term] = r.weight
+    for r in small.collect():
+        for term, w in page[r.urlid].items():
+            prof[r.uid, term] = prof.get((r.uid, term), 0.0) + (w if r.label else -w)
+    cut = {}
+    for (u, term), w in sorted(prof.items(), key=lambda x: (x[0][0], -x[1], x[0][1])):
+        if len(cut.setdefault(u, {})) < 2:
+            cut[u][term] = w
+    dot = {(u, i): sum(w * page[i].get(t, 0.0) for t, w in cut[u].items()) for u in cut for i in page}
+    got = T.term_score(small, pages, profiles[0], topn_profile=True).collect()
+    assert len(got) == small.count()
+    assert all(r.s_term_score == (dot[r.uid, r.urlid] if r.label else -dot[r.uid, r.urlid]) for r in got)
+    plain = T.term_score(small, pages, profiles[0]).collect()
+    assert sorted((r.event_id, r.s_term_score) for r in plain) == sorted((r.event_id, r.s_term_score) for r in got)
