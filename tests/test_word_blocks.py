@@ -31,6 +31,20 @@ def test_pair_counts_equal_brute_force_over_chunks(spark, monkeypatch):
         assert got == dict(brute_pairs(rows, window))
 
 
+def test_pairs_are_counted_once_and_only_those_of_the_words_given(spark):
+    rows = [["b", "a", "a", None, "rare", "c"], ["c", "b", "a", "c"], ["a"], [], None, ["é", "a", "é"]]
+    df = spark.createDataFrame([(r,) for r in rows], "t array<string>")
+    pairs = W.pair_counts(df, "t", 2)
+    # one shuffle of the pairs of two words, none of their two directions
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    want = brute_pairs([r or [] for r in rows], 2)
+    assert {(r.word, r.context): r.n for r in pairs.collect()} == dict(want)
+    words = spark.createDataFrame([("a", 1), ("b", 2), ("é", 3), ("unseen", 4)], "word string, slot int")
+    slots = {r.word: r.slot for r in words.collect()}
+    got = sorted((r.word, r.context, r.n, r.word_slot, r.context_slot) for r in W.pair_counts(df, "t", 2, words).collect())
+    assert got == sorted((a, b, n, slots[a], slots[b]) for (a, b), n in want.items() if a in slots and b in slots)
+
+
 def corpus(topics=8, texts=700, seed=0):
     """Two synonyms a topic, which stand among the same words but never together."""
     rng = random.Random(seed)
