@@ -8,18 +8,21 @@ also computed natively from contingency counts so they can be checked in SQL.
 
 from __future__ import annotations
 
+import contextlib
 import math
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlab import constants as C
-from feedlab.session import materialize
+from feedlab.session import materialize, together
 
 SEED = 42
 STAT_DIGITS = 6
@@ -109,23 +112,53 @@ def fit_lr(df: DataFrame, max_iter: int = C.LR_MAX_ITER, reg: float = C.LR_REG,
                               featuresCol=features).fit(df)
 
 
+@contextlib.contextmanager
+def _kept(df: DataFrame):
+    """``df`` on the executors' disks while a tree model is fitted: a fit reads it four
+    times, and a part of a random split sorts its whole input each time.  Rows keep
+    their tasks, on which the models' samples depend."""
+    ours = df.storageLevel == StorageLevel.NONE
+    if ours:
+        df.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield df
+    finally:
+        if ours:
+            df.unpersist()
+
+
 def fit_tree(df: DataFrame, depth: int = C.TREE_DEPTH, label: str = "label", features: str = "features"):
     """Decision tree, depth 5 (M7)."""
-    return DecisionTreeClassifier(maxDepth=depth, labelCol=label, featuresCol=features, seed=SEED).fit(df)
+    with _kept(df):
+        return DecisionTreeClassifier(maxDepth=depth, labelCol=label, featuresCol=features, seed=SEED).fit(df)
 
 
 def fit_forest(df: DataFrame, trees: int = C.FOREST_TREES, subsample: float = C.SUBSAMPLE, label: str = "label",
                features: str = "features"):
     """Random forest, 10 trees, subsample 0.7 (M8)."""
-    return RandomForestClassifier(numTrees=trees, subsamplingRate=subsample, labelCol=label,
-                                  featuresCol=features, seed=SEED).fit(df)
+    with _kept(df):
+        return RandomForestClassifier(numTrees=trees, subsamplingRate=subsample, labelCol=label,
+                                      featuresCol=features, seed=SEED).fit(df)
 
 
 def fit_gbt(df: DataFrame, subsample: float = C.SUBSAMPLE, label: str = "label", features: str = "features",
             max_iter: int = 20):
     """Gradient-boosted trees, subsample 0.7 (M9)."""
-    return GBTClassifier(subsamplingRate=subsample, labelCol=label, featuresCol=features, seed=SEED,
-                         maxIter=max_iter).fit(df)
+    with _kept(df):
+        return GBTClassifier(subsamplingRate=subsample, labelCol=label, featuresCol=features, seed=SEED,
+                             maxIter=max_iter).fit(df)
+
+
+# The three tree models (M7-M9) by name.
+TREE_FITS = (("decision_tree", fit_tree), ("random_forest", fit_forest), ("gbt", fit_gbt))
+
+
+def fit_trees(df: DataFrame) -> list[tuple[str, object]]:
+    """The three tree models of ``df``, fitted side by side: a fit is a row of short
+    jobs, one level of trees each, which leave the cluster idle between them."""
+    with _kept(df):
+        models = together(df.sparkSession, *[partial(fit, df) for _, fit in TREE_FITS])
+    return [(name, model) for (name, _), model in zip(TREE_FITS, models)]
 
 
 def prediction_report(pred: DataFrame, label: str = "label") -> DataFrame:

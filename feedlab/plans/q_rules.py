@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedlab.operators.features import VECTOR_ORDER
 from feedlab.operators.incremental import ProfileStore, profile_delta
-from feedlab.operators.models import fit_forest, fit_gbt, fit_tree
+from feedlab.operators.models import fit_trees
 from feedlab.operators.relational import random_split
 from feedlab.operators.rules import leaf_rules, model_kind, node_table, score_nodes, tree_depth
 from feedlab.operators.terms import page_vector_from_text, terms_to_text
@@ -20,16 +20,12 @@ from feedlab.plans.registry import query
 from feedlab.session import materialize, scratch_path
 from feedlab.sources.tables import impressions, pages_info
 
-FITS = (("decision_tree", fit_tree), ("random_forest", fit_forest), ("gbt", fit_gbt))
-
-
 @query("tree_rules")
 def q_tree_rules(spark, sf_dir):
     """The rules of the three tree models, one row per leaf (M7-M9)."""
     train, _ = random_split(_ml_input(spark, sf_dir), CLS_SPLIT, SEED)
     rules = []
-    for name, fit in FITS:
-        model = fit(train)
+    for name, model in fit_trees(train):
         rules.append(leaf_rules(node_table(spark, model), VECTOR_ORDER, tree_depth(model))
                      .select(F.lit(name).alias("model"), "*"))
     return reduce(lambda a, b: a.unionByName(b), rules)
@@ -40,8 +36,7 @@ def q_tree_node_scores(spark, sf_dir):
     """Held-out rows scored by the walk over the node tables, beside the models' own predictions."""
     train, test = random_split(_ml_input(spark, sf_dir), CLS_SPLIT, SEED)
     out = test
-    for name, fit in FITS:
-        model = fit(train)
+    for name, model in fit_trees(train):
         own = model.transform(out).withColumnRenamed("prediction", f"{name}_model").drop("rawPrediction", "probability")
         own = own.withColumn("_x", vector_to_array("features"))
         out = score_nodes(own, node_table(spark, model), model_kind(model), tree_depth(model), "_x", f"{name}_nodes").drop("_x")

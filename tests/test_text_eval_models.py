@@ -234,3 +234,30 @@ def test_dense_index_skips_nulls_and_duplicates(spark):
     df = spark.createDataFrame([(3,), (None,), (3,), (10,), (-4,)], "k long")
     got = sorted((r.k, r.i) for r in dense_index(df, "k", "i", n_buckets=4).collect())
     assert got == [(-4, 0), (3, 1), (10, 2)]
+
+
+def test_tree_fits_read_a_split_once_and_give_the_models_of_single_fits(spark):
+    from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from feedlab.operators.models import SEED as model_seed, fit_trees
+    from feedlab.operators.relational import random_split
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        read.add(1)
+        return x
+    rows = spark.range(400).repartition(3, "id").select(
+        (F.col("id") % 7 > 2).cast("double").alias("label"), F.udf(seen, "double")(F.col("id") * 1.0).alias("a"),
+        (F.col("id") % 5).cast("double").alias("b"))
+    data = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows).select("label", "features")
+    train, _ = random_split(data, [0.9, 0.1], 1)
+    models = dict(fit_trees(train))
+    assert read.value == 400
+    assert not train.storageLevel.useDisk and not train.storageLevel.useMemory
+    single = {"decision_tree": DecisionTreeClassifier(maxDepth=5, seed=model_seed),
+              "random_forest": RandomForestClassifier(numTrees=10, subsamplingRate=0.7, seed=model_seed),
+              "gbt": GBTClassifier(subsamplingRate=0.7, maxIter=20, seed=model_seed)}
+
+    def text(model):
+        return model.toDebugString.split("\n", 1)[1]
+    assert {n: text(m) for n, m in models.items()} == {n: text(e.fit(train)) for n, e in single.items()}
