@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from feedlab.constants import POINT_ITEM_SEP, TERM_KV_SEP
 from feedlab.functions.terms import parse_terms, sign_weight, tag_terms, weight_text
-from feedlab.session import spread, spread_like
+from feedlab.session import join_dealt, spread_like
 
 DIGITS = 6
 
@@ -132,14 +132,15 @@ def user_profile(log: DataFrame, page_vec: DataFrame, user: str = "uid", item: s
     pair; only those pairs are joined to the page vectors.
     """
     pairs = net_sign(log, user, item, label, count)
-    rows = pairs.join(page_vec, item).select(user, "term", (F.col("net") * F.col("weight")).alias("weight"))
-    return merge_terms(spread(rows, user, "term"), user)
+    rows = (join_dealt(log, pairs, page_vec, item, user)
+            .select(user, "term", (F.col("net") * F.col("weight")).alias("weight")))
+    return merge_terms(spread_like(log, rows, user, "term"), user)
 
 
 def user_profile_topn(log: DataFrame, page_vec: DataFrame, n: int = 21, **kw) -> DataFrame:
     """Profile cut to the ``n`` largest weights per user, ties by term."""
     user = kw.get("user", "uid")
-    prof = spread(user_profile(log, page_vec, **kw), user)
+    prof = spread_like(log, user_profile(log, page_vec, **kw), user)
     return top_n_per_key(prof, user, [F.col("weight").desc(), F.col("term").asc()], n)
 
 
@@ -153,8 +154,9 @@ def clicked_profile(log: DataFrame, term_rows: DataFrame, user: str = "uid", ite
     from feedlab.operators.relational import drop_null_key, positives
     clicks = (drop_null_key(positives(log, label), user)
               .groupBy(user, item).agg(F.count(F.lit(1)).cast("double").alias("_c")))
-    rows = clicks.join(term_rows, item).select(user, "term", (F.col("_c") * F.col("weight")).alias("weight"))
-    return merge_terms(spread(rows, user, "term"), user)
+    rows = (join_dealt(log, clicks, term_rows, item, user)
+            .select(user, "term", (F.col("_c") * F.col("weight")).alias("weight")))
+    return merge_terms(spread_like(log, rows, user, "term"), user)
 
 
 def pair_scores(pairs: DataFrame, page_vec: DataFrame, profile: DataFrame, user: str = "uid",
@@ -166,8 +168,9 @@ def pair_scores(pairs: DataFrame, page_vec: DataFrame, profile: DataFrame, user:
     they are spread before they are sorted for the profile.
     """
     p = profile.select(user, "term", F.col("weight").alias("pw"))
-    terms = pairs.select(user, item).join(page_vec, item)
-    rows = spread_like(pairs if log is None else log, terms, user, "term").join(p, [user, "term"])
+    log = pairs if log is None else log
+    terms = join_dealt(log, pairs.select(user, item), page_vec, item, user)
+    rows = spread_like(log, terms, user, "term").join(p, [user, "term"])
     return rows.groupBy(user, item).agg(F.sum(F.col("weight") * F.col("pw")).alias("dot"))
 
 
@@ -193,8 +196,9 @@ def map_scores(pairs: DataFrame, pages: DataFrame, profile: DataFrame, user: str
     wide row; these are spread before they are sorted for the users (``log``: see ``spread_like``)."""
     terms = profile.groupBy(user).agg(
         F.sort_array(F.collect_list(F.struct("term", F.col("weight").alias("w")))).alias("_terms"))
-    wide = pairs.select(user, item).join(pages, item)
-    j = spread_like(pairs if log is None else log, wide, user).join(terms, user)
+    log = pairs if log is None else log
+    wide = join_dealt(log, pairs.select(user, item), pages, item, user)
+    j = spread_like(log, wide, user).join(terms, user)
     dot = F.aggregate("_terms", F.lit(0.0),
                       lambda acc, t: acc + t["w"] * F.coalesce(F.try_element_at("_page", t["term"]), F.lit(0.0)))
     return j.select(user, item, dot.alias("dot"))

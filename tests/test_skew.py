@@ -92,3 +92,26 @@ def test_lookup_join_splits_hot_url(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_join_is_dealt_by_the_log_and_a_hot_key_is_cut(spark, tmp_path):
+    from feedlab.operators.terms import user_profile
+    from feedlab.session import join_dealt
+    # half of the rows have key 1, some have none; a key of the side may repeat or be missing
+    log = spark.range(2_000).select(F.col("id").alias("uid"),
+                                    F.when(F.col("id") % 2 == 0, 1).when(F.col("id") % 7 > 0, F.col("id") % 90)
+                                    .cast("long").alias("urlid"), (F.col("id") % 3 > 0).cast("int").alias("label"))
+    log.write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    side = spark.createDataFrame([(k, f"t{t}", 1.0 + t) for k in [*range(60), 1, None] for t in range(3)],
+                                 "urlid long, term string, weight double")
+    rows = log.select("uid", "urlid")
+    dealt = join_dealt(log, rows, side, "urlid", "uid", bytes_a_task=512)
+    key = ["uid", "urlid", "term", "weight"]
+    assert Counter(dealt.select(key).collect()) == Counter(rows.join(side, "urlid").select(key).collect())
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 16 and max(sizes) < sum(sizes) / 4
+
+    # the profile's join has a task for each SPREAD_BYTES of the log, whatever Spark would choose
+    plan = user_profile(log, side)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [urlid" in plan and "_cut" in plan
