@@ -17,7 +17,7 @@ all impressions is emitted by many tasks, never one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlab import constants as C
@@ -25,7 +25,7 @@ from feedlab.operators.stats import ctr
 from feedlab.operators.terms import (map_scores, merge_terms, no_neg_zero, page_maps, pair_scores, rounded,
                                      top_n_per_key)
 from feedlab.functions.terms import sign_weight
-from feedlab.session import materialize, spread_like, together
+from feedlab.session import join_dealt, materialize, spread_like, together
 
 FEATURE_COLUMNS = ["uid", "label", "sumclick", "sumshow", "ctr", "pnum", "pdef", "pbeau", "s_term_score"]
 VECTOR_ORDER = list(C.VECTOR_ORDER)
@@ -99,7 +99,7 @@ def feature_groups(log: DataFrame, page_attrs: DataFrame, page_vec: DataFrame,
     sgn = F.when(F.col("label") != F.lit(0), F.col("cnt")).otherwise(-F.col("cnt"))
     pairs = (groups.where(F.col("uid").isNotNull())
                    .groupBy("uid", "urlid").agg(F.sum(sgn).cast("double").alias("net")))
-    prof_rows = (pairs.join(pages, "urlid").select("uid", "net", F.explode("_page").alias("term", "_w"))
+    prof_rows = (join_dealt(log, pairs, pages, "urlid", "uid").select("uid", "net", F.explode("_page").alias("term", "_w"))
                       .select("uid", "term", (F.col("net") * F.col("_w")).alias("weight")))
     profile = merge_terms(spread_like(log, prof_rows, "uid", "term"), "uid")
     if top_n is not None:
@@ -141,7 +141,8 @@ def feature_groups_loo(log: DataFrame, page_attrs: DataFrame, page_vec: DataFram
     full profile.  A term that only the row itself brought is gone.
 
     Scale: a user travels as one array of that depth, a pair as one array of its
-    page's terms; the (uid, term) rows exist once, where both sums are formed.
+    page's terms; the (uid, term) rows meet once, where both sums are formed beside
+    the pairs' own weights, and are dealt by the log's bytes.
     """
     page_vec = materialize(page_vec, "page_vector")
     groups = materialize(log.select("uid", "urlid", "label")
@@ -155,29 +156,38 @@ def feature_groups_loo(log: DataFrame, page_attrs: DataFrame, page_vec: DataFram
     sgn = F.when(F.col("label") != F.lit(0), F.col("cnt")).otherwise(-F.col("cnt"))
     pairs = (groups.where(F.col("uid").isNotNull()).groupBy("uid", "urlid")
              .agg(F.sum(sgn).cast("double").alias("net"), F.sum("cnt").alias("rows")))
-    terms = materialize(pairs.join(page_vec, "urlid"), "pair_terms")
-    full = materialize(terms.groupBy("uid", "term").agg(F.sum(F.col("net") * F.col("weight")).alias("w"),
-                                                        F.sum("rows").alias("rows")), "full_profile")
+    # each (uid, term) is summed where its pairs stand, so no join brings the sums back
+    terms = spread_like(log, join_dealt(log, pairs, page_vec, "urlid", "uid"), "uid", "term")
+    order = Window.partitionBy("uid", "term").orderBy("urlid")
+    every = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    terms = materialize(
+        terms.select("uid", "urlid", "term", F.col("weight").alias("pv"),
+                     F.sum(F.col("net") * F.col("weight")).over(every).alias("w"),
+                     F.sum("rows").over(every).alias("rows"),
+                     (F.row_number().over(order) == 1).alias("first")), "pair_terms")
     most = page_vec.groupBy("urlid").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-    ranked = top_n_per_key(full.select("uid", "term", rounded(F.col("w")).alias("w")), "uid",
-                           [F.col("w").desc(), F.col("term").asc()], top_n + most)
-    deep = materialize(ranked.groupBy("uid").agg(F.collect_list(F.struct("term", "w")).alias("_deep")), "deep_profile")
-    own = (terms.select("uid", "urlid", "term", F.col("weight").alias("pv")).join(full, ["uid", "term"])
+    full = terms.where("first").select("uid", "term", rounded(F.col("w")).alias("w"))
+    ranked = top_n_per_key(spread_like(log, full, "uid"), "uid", [F.col("w").desc(), F.col("term").asc()], top_n + most)
+    down = no_neg_zero(-F.col("w"))
+    # ascending order of these structs is descending weight, then term
+    best = F.sort_array(F.collect_list(F.struct(down.alias("down"), "term")))
+    deep = materialize(ranked.groupBy("uid").agg(best.alias("_deep")), "deep_profile")
+    own = (spread_like(log, terms.select("uid", "urlid", "term", "pv", "w", "rows"), "uid", "urlid")
            .groupBy("uid", "urlid").agg(F.collect_list(F.struct("term", "pv", "w", "rows")).alias("_own")))
-    own = materialize(own, "own_terms")
 
     sign = F.when(F.col("label") != F.lit(0), F.lit(1.0)).otherwise(F.lit(-1.0))
 
-    def entry(weight, term, pv):
-        # ascending order of these structs is descending weight, then term
-        return F.struct(no_neg_zero(-weight).alias("down"), term.alias("term"), pv.alias("pv"))
+    def entry(down, term, pv):
+        return F.struct(down.alias("down"), term.alias("term"), pv.alias("pv"))
 
     feat = groups.join(url_side, "urlid", "left").join(own, ["uid", "urlid"], "left").join(deep, "uid", "left")
     left = F.transform(F.filter("_own", lambda t: t["rows"] > 1),
-                       lambda t: entry(rounded(t["w"] - F.col("_sign") * t["pv"]), t["term"], t["pv"]))
-    rest = F.transform(F.filter("_deep", lambda t: ~F.array_contains(F.col("_terms"), t["term"])),
-                       lambda t: entry(t["w"], t["term"], F.lit(0.0)))
-    top = F.slice(F.array_sort(F.concat("_left", "_rest")), 1, top_n)
+                       lambda t: entry(no_neg_zero(-rounded(t["w"] - F.col("_sign") * t["pv"])), t["term"], t["pv"]))
+    # the page's terms take no more than their number from the first of the user's
+    near = F.slice("_deep", 1, F.lit(top_n) + F.size("_own"))
+    rest = F.transform(F.slice(F.filter(near, lambda t: ~F.array_contains(F.col("_terms"), t["term"])), 1, top_n),
+                       lambda t: entry(t["down"], t["term"], F.lit(0.0)))
+    top = F.slice(F.sort_array(F.concat("_left", "_rest")), 1, top_n)
     dot = F.aggregate("_top", F.lit(0.0), lambda acc, t: acc - t["down"] * t["pv"])
     feat = (page_defaults(feat).withColumn("_sign", sign)
             .withColumn("_terms", F.transform("_own", lambda t: t["term"]))

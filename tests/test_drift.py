@@ -220,3 +220,30 @@ def test_pruned_recommendations_equal_the_library(spark):
     want = {(r.uid, r.urlid): r.rating for r in recommend_items(model, 10).collect()}
     got = {(r.uid, r.urlid): r.rating for r in R.recommend_pruned(model.userFactors, model.itemFactors, 10).collect()}
     assert got.keys() == want.keys() and got == pytest.approx(want, abs=1e-4)
+
+
+def test_leave_one_out_sums_meet_the_pairs_once(spark, monkeypatch):
+    from feedlab.operators import features
+    written = []
+    monkeypatch.setattr(features, "materialize", lambda df, name: written.append((name, df)) or df.localCheckpoint())
+    rng = random.Random(5)
+    log = [(rng.choice([1, 2, 3, None]), rng.randrange(6), rng.randrange(2)) for _ in range(60)]
+    # many pages share a term, weights tie
+    vec = {u: {f"t{t}": float(rng.randint(-2, 3)) for t in rng.sample(range(9), 4)} for u in range(5)}
+    pages = spark.createDataFrame([(u, u, 0.5, 0.0) for u in range(5)], "urlid long, pnum int, pdef double, pbeau double")
+    rows = spark.createDataFrame([(u, t, w) for u, ts in vec.items() for t, w in ts.items()],
+                                 "urlid long, term string, weight double")
+    got = features.train_feature_loo(spark.createDataFrame(log, "uid long, urlid long, label int"), pages, rows, top_n=3)
+    want = []
+    for i, (uid, url, label) in enumerate(log):
+        profile = {}
+        for j, (u, v, y) in enumerate(log):
+            if j != i and uid is not None and u == uid:
+                for t, w in vec.get(v, {}).items():
+                    profile[t] = profile.get(t, 0.0) + (w if y else -w)
+        top = dict(sorted(profile.items(), key=lambda x: (-x[1], x[0]))[:3])
+        dot = sum(w * top.get(t, 0.0) for t, w in vec.get(url, {}).items())
+        want.append((uid, label, (dot if label else -dot) + 0.0))
+    assert Counter(got.select("uid", "label", "s_term_score").collect()) == Counter(want)
+    # the sums are not written beside the rows and joined back
+    assert [n for n, df in written if {"uid", "term"} <= set(df.columns)] == ["pair_terms"]
