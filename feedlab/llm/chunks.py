@@ -17,6 +17,7 @@ import numpy as np
 
 # Chunks and words remembered per Python worker, and the longest text of one.
 MEMO_CHUNKS = 200_000
+MEMO_SPACED = 100_000
 MEMO_WORDS = 500_000
 MEMO_CHARS = 48
 
@@ -25,6 +26,9 @@ MEMO_CHARS = 48
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _MARKS = r"!-&(-/:-@\[-`{-~"
 _WORD = re.compile(f"([{_LETTERS}]+)([{_MARKS}]*)")
+_BARE = re.compile(f"[{_LETTERS}]+")
+_LETTER_CHARS = frozenset(c for c in map(chr, range(0x100)) if re.match(f"[{_LETTERS}]", c))
+_MARK_CHARS = "".join(c for c in map(chr, range(0x80)) if re.match(f"[{_MARKS}]", c))
 _WORD_LINE_WORD = re.compile(f"([{_LETTERS}]+)([{_MARKS}]*)\n([{_LETTERS}]+)([{_MARKS}]*)")
 
 # A space with white space on both sides is not a safe place to cut.
@@ -61,6 +65,7 @@ def _byte_characters() -> dict[int, str]:
 
 
 _CHARACTERS = _byte_characters()
+_SPACE = _CHARACTERS[0x20]
 
 
 class _Encoder:
@@ -93,6 +98,33 @@ class _Encoder:
         return b"".join([*out, self.plain(text[at:])])
 
 
+class _SpacedChunks(dict):
+    """Ids of chunks with a leading space.  Words of letters alone have a limit of
+    their own, so chunks with marks do not take their room."""
+
+    def __init__(self, encoder: SpaceKeepingEncoder):
+        super().__init__()
+        self.encoder, self.words_left, self.others_left = encoder, MEMO_WORDS, MEMO_SPACED
+
+    def __missing__(self, chunk):
+        word = chunk.rstrip(_MARK_CHARS)
+        if word == chunk and _BARE.fullmatch(chunk):
+            ids = self.encoder.spaced_word(chunk)
+            if self.words_left and len(chunk) <= MEMO_CHARS:
+                self[chunk] = ids
+                self.words_left -= 1
+            return ids
+        if word != chunk and word[-1:] in _LETTER_CHARS:
+            # marks after a letter are a pre-token of their own, whatever comes before
+            ids = self[word] + self.encoder.marks[chunk[len(word):]]
+        else:
+            ids = self.encoder.chunk(chunk)
+        if self.others_left and len(chunk) <= MEMO_CHARS:
+            self[chunk] = ids
+            self.others_left -= 1
+        return ids
+
+
 class SpaceKeepingEncoder(_Encoder):
     """Byte-level BPE whose pre-tokens are words with one leading space.
 
@@ -103,14 +135,18 @@ class SpaceKeepingEncoder(_Encoder):
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.words = _Memo(lambda w: self.word(" " + w), MEMO_WORDS)
+        self.chunks = _SpacedChunks(self)
         self.bare = _Memo(self.word, MEMO_CHUNKS)
 
+    def spaced_word(self, word: str) -> bytes:
+        """Ids of a space and a word of letters; ASCII letters stand for themselves."""
+        if not word.isascii():
+            return self.word(" " + word)
+        return array("I", [t.id for t in self.merge(_SPACE + word)]).tobytes()
+
     def chunk(self, text: str) -> bytes:
-        if m := _WORD.fullmatch(text):
-            return self.words[m[1]] + (self.marks[m[2]] if m[2] else b"")
         if m := _WORD_LINE_WORD.fullmatch(text):
-            return (self.words[m[1]] + (self.marks[m[2]] if m[2] else b"") + self.marks["\n"]
+            return (self.chunks[m[1]] + (self.marks[m[2]] if m[2] else b"") + self.marks["\n"]
                     + self.bare[m[3]] + (self.marks[m[4]] if m[4] else b""))
         return self.whole(" " + text)
 

@@ -50,6 +50,17 @@ def test_chunked_ids_equal_the_library(name, keeps_space):
         assert encode(t) == library_ids(name, t), repr(t)
 
 
+def test_marks_after_a_letter_are_added_to_known_chunks(monkeypatch):
+    monkeypatch.setattr(C, "MEMO_SPACED", 3)
+    encode = C.SpaceKeepingEncoder(C.tokenizer_path("byte_bpe_50k.json"))
+    whole, calls = encode.whole, []
+    monkeypatch.setattr(encode, "whole", lambda t: calls.append(t) or whole(t))
+    text = "so don't, don't. don't!! (Éa), (Éa) x1, x1' ab'', ab' 'cd. d'e_ ABC- abc; Ö... ß) 12, 12. b\nc, b\nc. 3\nto"
+    assert encode(text) == library_ids("byte_bpe_50k.json", text)
+    assert calls.count(" don't") == 1 and not any(" don't" in c and c != " don't" for c in calls), calls
+    assert sum(not w.isalpha() for w in encode.chunks) == 3
+
+
 @lru_cache
 def library_tokenizer(name):
     """As the library loads its file, without a setting."""
