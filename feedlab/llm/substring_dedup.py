@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+import struct
 import tempfile
 from collections.abc import Iterator
 from itertools import compress
@@ -62,6 +63,7 @@ LAST = np.iinfo(np.int64).max
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
                                0x27D4EB2F165667C5, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 _PLACE = np.dtype([("id", "<i8"), ("variant", "<i4"), ("at", "<i4")])
+_PLACE_BYTES = "<qii"
 
 
 class WordHashes(dict):
@@ -328,15 +330,13 @@ def _documents(batches, record: np.dtype) -> Iterator[tuple]:
 
 def _segments(window: int, n: int):
     def run(batches):
-        held: dict[tuple[int, bytes], list] = {}
+        held: dict[tuple[int, bytes], bytearray] = {}
         size = 0
 
         def leave():
-            keys = list(held)
-            places = [np.array(held[k], dtype=_PLACE).tobytes() for k in keys]
+            anchor = np.fromiter((k[0] for k in held), dtype=np.uint64, count=len(held)).view(np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.array([k[0] for k in keys], dtype=np.uint64).view(np.int64)),
-                 pa.array([k[1] for k in keys], pa.binary()), pa.array(places, pa.binary())],
+                [pa.array(anchor), pa.array((k[1] for k in held), pa.binary()), pa.array(held.values(), pa.binary())],
                 names=["anchor", "segment", "places"])
 
         for i, _, variant, text, hits in _documents(batches, np.dtype("<u8")):
@@ -351,11 +351,11 @@ def _segments(window: int, n: int):
                 key = (a, b" ".join(words[at:at + c + window - 1]))
                 where = held.get(key)
                 if where is None:
-                    held[key] = [(i, variant, at)]
-                    size += len(key[1]) + 300
+                    held[key] = bytearray(struct.pack(_PLACE_BYTES, i, variant, at))
+                    size += len(key[1]) + 400
                 else:
-                    where.append((i, variant, at))
-                    size += 100
+                    where += struct.pack(_PLACE_BYTES, i, variant, at)
+                    size += 20
             if size > HELD_BYTES:
                 yield leave()
                 held, size = {}, 0

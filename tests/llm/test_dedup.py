@@ -244,3 +244,37 @@ def test_automaton_states_know_the_earliest_document():
             want = [min((i for d, i in zip(docs, ids) if any(d[p:p + k] == q[a:a + k] for p in range(len(d) - k + 1))),
                         default=SD.LAST) for a in range(len(q) - k + 1)]
             assert m.earliest_windows(q, k) == want
+
+
+def test_held_segments_keep_their_places_packed():
+    import tracemalloc
+
+    import pyarrow as pa
+    import zstandard
+
+    rng, z = random.Random(1), zstandard.ZstdCompressor()
+    vocab = [b"w%d" % i for i in range(3000)]
+    texts = [b" ".join(rng.choice(vocab) for _ in range(400)) for _ in range(60)]
+
+    def batches():
+        for i in range(120):
+            hits = np.unique(SD.anchors(texts[i % 60].split(), 13, 5)[0])
+            side = np.full(len(hits), i, "<i8").tobytes() + hits.astype("<u8").tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i, i], pa.int64()), pa.array([0, 1], pa.int32()), pa.array([None, i], pa.int64()),
+                 pa.array([side, z.compress(texts[i % 60])], pa.binary()), pa.array([None, i], pa.int64())],
+                names=["dest", "kind", "id", "payload", "doc_id"])
+
+    list(SD._segments(13, 5)(batches()))
+    tracemalloc.start()
+    out, = SD._segments(13, 5)(batches())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 480 * out.num_rows, peak / out.num_rows
+    at = {}
+    for i, t in enumerate(texts):
+        words = t.split()
+        for _, first, n in zip(*(x.tolist() for x in SD.anchors(words, 13, 5))):
+            at.setdefault(b" ".join(words[first:first + n + 12]), []).extend([(i, 0, first), (i + 60, 0, first)])
+    got = {r["segment"]: np.frombuffer(r["places"], dtype=SD._PLACE).tolist() for r in out.to_pylist()}
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in at.items()}
