@@ -9,7 +9,7 @@ from feedlab.operators.embed import mean_vectors, nearest
 from feedlab.operators.evaluate import auc_pr, auc_roc, best_threshold, roc_curve, weighted_f1
 from feedlab.operators.models import chi2_p_value, chi2_select, chi2_stats
 from feedlab.operators.text import (combine_tokens, keywords, remove_stopwords, remove_stopwords_table,
-                                    term_doc_count, tokens_from_text)
+                                    term_doc_count, term_share, term_total_count, tokens_from_text)
 
 
 def test_combine_tokens_by_width(spark):
@@ -58,6 +58,25 @@ def test_term_doc_count(spark):
     assert got == [("1", "x", 2), ("1", "y", 1), ("2", "-", 0)]
 
 
+def test_term_counts_without_title_do_not_carry_it(spark):
+    """The title, which may be a whole text, was copied and hashed with every term."""
+    rows = [(1, "T", "x,y,x"), (1, "T", "x"), (1, "U", "x"), (1, None, "x"), (None, "T", "x,z"), (None, None, None), (2, "", None)]
+    df = spark.createDataFrame(rows, "urlid long, title string, s string")
+    without = term_doc_count(df, "urlid", "title", "s", keep_title=False)
+    key = lambda r: (r.urlid or 0, r.term, r.tf)
+    assert without.columns == ["urlid", "term", "tf"]
+    assert sorted(map(key, without.collect())) == sorted(map(key, term_doc_count(df, "urlid", "title", "s").collect()))
+    aggregates = [x for x in without._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in x]
+    assert aggregates and all("title#" not in x.replace("_title#", "") for x in aggregates)
+
+
+def test_term_share_of_documents_without_terms(spark):
+    """The share of their ``-`` is 0 / 0, which ended the query; NaN as in its SQL."""
+    tf = spark.createDataFrame([(1, "x", 3), (None, "x", 1), (2, "-", 0), (3, "-", 0)], "urlid long, term string, tf long")
+    got = sorted((r.urlid or 0, r.term, r.tf, r.total, str(r.share)) for r in term_share(tf, term_total_count(tf), "urlid").collect())
+    assert got == [(0, "x", 1, 4, "0.25"), (1, "x", 3, 4, "0.75"), (2, "-", 0, 0, "nan"), (3, "-", 0, 0, "nan")]
+
+
 def test_keywords_rank_and_weight(spark):
     df = spark.createDataFrame([(1, "apple apple pear"), (2, "pear plum"), (3, "")], "k long, text string")
     kw = {(r.k, r.term): (r.weight, r.rank) for r in keywords(df, "k", "text", 2).collect()}
